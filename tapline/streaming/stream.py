@@ -21,8 +21,11 @@ METRICS_NAME = "tapline_pipeline"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, glob_filter: str | None = None) -> DataFrame:
+    """A file stream over the folder ``path`` (new files are picked up as they land)."""
     reader = spark.readStream.schema(schema).format(file_format)
+    if glob_filter:
+        reader = reader.option("pathGlobFilter", glob_filter)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return normalize_columns(reader.load(path))
