@@ -107,8 +107,6 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
     staged = StagedOutput(spark, output, overwrite)
     staged.check()
-    if bom and fmt in ("csv", "tsv") and not header:
-        raise OutputError("A byte-order mark needs the header line; turn the header on or the BOM off.")
 
     sources = sum(x is not None for x in (sql, sql_file, df, jdbc))
     if sources != 1 and not (jdbc is not None and (sql or sql_file)):

@@ -3,6 +3,7 @@
 from .formats import (
     COMPRESSIONS,
     FORMATS,
+    delimited_lines,
     delimited_values,
     exact_decimal,
     json_array_lines,
@@ -17,6 +18,6 @@ from .formats import (
 )
 from .publish import StagedOutput
 
-__all__ = ["COMPRESSIONS", "FORMATS", "StagedOutput", "delimited_values", "exact_decimal",
+__all__ = ["COMPRESSIONS", "FORMATS", "StagedOutput", "delimited_lines", "delimited_values", "exact_decimal",
            "json_array_lines", "json_objects", "json_values", "ndjson_lines", "normalize_format",
            "parquet_values", "write_delimited", "write_parquet", "write_text_lines"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,30 +162,69 @@ def delimited_values(df: DataFrame, escape_formulas: bool = False) -> DataFrame:
     return df.select(*cols)
 
 
+# Fixed rules, equal to the reference's CSV library in minimal-quote mode: a cell is quoted when
+# it is empty and first in its line, starts with a character at or below "#", contains CR, LF,
+# the quote or the delimiter, or ends with a character at or below space. Quotes are doubled.
+QUOTE = '"'
+
+
+def _needs_quotes_pattern(sep: str) -> str:
+    delim = "\\t" if sep == "\t" else sep
+    return f"^[\\x00-\\x23]|[\\r\\n\"{delim}\\x00]|[\\x00-\\x20]$"
+
+
+def quote_cell(value: str, first: bool, sep: str) -> str:
+    """Driver-side twin of the cell rule, for the header line (column names only)."""
+    import re
+
+    if value == "":
+        return '""' if first else ""
+    if re.search(_needs_quotes_pattern(sep), value):
+        return QUOTE + value.replace(QUOTE, QUOTE * 2) + QUOTE
+    return value
+
+
+def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_value: str = "",
+                    escape_formulas: bool = False, bom: bool = False) -> tuple[DataFrame, str]:
+    """One text line per row (column ``value``), and the header line.
+
+    The first row of every partition carries the header (and BOM) in front of it, so each part
+    file is a complete delimited file; no row is moved between tasks.
+    """
+    text = delimited_values(df, escape_formulas)
+    pattern = _needs_quotes_pattern(sep)
+    cells = []
+    for i, name in enumerate(text.columns):
+        cell = F.coalesce(F.col(_q(name)), F.lit(null_value))
+        quoted = F.concat(F.lit(QUOTE), F.replace(cell, F.lit(QUOTE), F.lit(QUOTE * 2)), F.lit(QUOTE))
+        needs = cell.rlike(pattern)
+        if i == 0:
+            needs = needs | (cell == F.lit(""))
+        cells.append(F.when(needs, quoted).otherwise(cell))
+    line = F.concat_ws(sep, *cells)
+    head = sep.join(quote_cell(n, i == 0, sep) for i, n in enumerate(df.columns)) if header else None
+    lead = ((BOM if bom else "") + (head + "\r\n" if head is not None else ""))
+    if lead:
+        # the lower 33 bits of the id count rows within the partition
+        first_in_part = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))) == F.lit(0)
+        line = F.when(first_in_part, F.concat(F.lit(lead), line)).otherwise(line)
+    return text.select(line.alias("value")), (BOM if bom else "") + (head if head is not None else "")
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, null_value: str = "",
                     escape_formulas: bool = False, bom: bool = False, single_file: bool = False,
                     mode: str = "errorifexists") -> None:
-    out = delimited_values(df, escape_formulas)
-    if bom:
-        if not header:
-            raise OutputError("A byte-order mark needs the header line; turn the header on or the BOM off.")
-        first = out.columns[0]
-        out = out.withColumnRenamed(first, BOM + first)
-    if single_file:
-        out = out.coalesce(1)
-    (out.write.mode(mode)
-     .option("header", str(bool(header)).lower())
-     .option("sep", sep)
-     .option("nullValue", null_value)
-     .option("emptyValue", "")
-     .option("quote", '"')
-     .option("escape", '"')
-     .option("quoteAll", "false")
-     .option("ignoreLeadingWhiteSpace", "false")
-     .option("ignoreTrailingWhiteSpace", "false")
-     .option("lineSep", "\r\n")
-     .option("encoding", "UTF-8")
-     .csv(path))
+    """CSV (``sep=","``) or TSV (``sep="\\t"``) with CRLF line ends. Returns after the write."""
+    lines, head = delimited_lines(df if not single_file else df.coalesce(1), sep, header, null_value,
+                                  escape_formulas, bom)
+    observation = Observation()
+    lines = lines.observe(observation, F.count(F.lit(1)).alias("n"))
+    lines.write.mode(mode).option("lineSep", "\r\n").text(path)
+    if head and not observation.get.get("n"):
+        # an empty result still gets its header line (a tiny one-row write into the same folder)
+        spark = df.sparkSession
+        spark.createDataFrame([(head,)], "value string").coalesce(1) \
+            .write.mode("append").option("lineSep", "\r\n").text(path)
 
 
 # ---------------------------------------------------------------------------- Parquet

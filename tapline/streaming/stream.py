@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import OutputError
 from ..plans.pipeline import Pipeline
 from ..session import scratch_path
-from ..sinks.formats import delimited_values, ndjson_lines, normalize_format, parquet_values
+from ..sinks.formats import delimited_lines, ndjson_lines, normalize_format, parquet_values
 from ..sources.query import normalize_columns
 
 METRICS_NAME = "tapline_pipeline"
@@ -54,11 +54,8 @@ def start_stream_export(stream: DataFrame, pipeline: Pipeline, fmt: str, output:
     elif fmt == "ndjson":
         out, writer_format, options = ndjson_lines(transformed), "text", {}
     elif fmt in ("csv", "tsv"):
-        out = delimited_values(transformed, escape_formulas)
-        writer_format = "csv"
-        options = {"header": str(header).lower(), "sep": "," if fmt == "csv" else "\t", "nullValue": null_value,
-                   "emptyValue": "", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
-                   "ignoreTrailingWhiteSpace": "false", "lineSep": "\r\n"}
+        out, _ = delimited_lines(transformed, "," if fmt == "csv" else "\t", header, null_value, escape_formulas)
+        writer_format, options = "text", {"lineSep": "\r\n"}
     else:
         raise OutputError("A stream cannot write a JSON array; use ndjson.")
     writer = (out.writeStream.format(writer_format).outputMode("append")
