@@ -52,8 +52,18 @@ def _strip_iso_tail(text: Column) -> Column:
 
 
 def iso_timestamp_ntz(col: Column) -> Column:
-    """Zone-free timestamp as ``2024-06-01T12:34:56`` (Java ``LocalDateTime.toString``)."""
-    return _strip_iso_tail(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    """Zone-free timestamp as ``2024-06-01T12:34:56`` (Java ``LocalDateTime.toString``).
+
+    Four-digit years (the usual case) are shortened with fixed-position substring checks; any
+    other width falls back to the regular-expression form.
+    """
+    full = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    fraction, seconds = F.substring(full, 21, 6), F.substring(full, 18, 2)
+    short = (F.when(fraction == F.lit("000000"),
+                    F.when(seconds == F.lit("00"), F.substring(full, 1, 16)).otherwise(F.substring(full, 1, 19)))
+             .when(F.substring(full, 24, 3) == F.lit("000"), F.substring(full, 1, 23))
+             .otherwise(full))
+    return F.when(F.length(full) == F.lit(26), short).otherwise(_strip_iso_tail(full))
 
 
 def iso_timestamp_utc(col: Column) -> Column:
@@ -149,5 +159,5 @@ def redact_text(text: str | None) -> str | None:
 
     if text is None:
         return None
-    first = re.sub(r"(//[^/@:\s]+:)[^@\s]+(@)", r"\1" + REDACTION_MASK + r"\2", text)
-    return re.sub(r"(?i)\b(password|pwd)=[^&;\s]*", r"\1=" + REDACTION_MASK, first)
+    first = re.sub(URL_CREDENTIALS_PATTERN, r"\1" + REDACTION_MASK + r"\2", text)
+    return re.sub(PASSWORD_PROPERTY_PATTERN, r"\1=" + REDACTION_MASK, first)

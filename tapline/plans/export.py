@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..errors import OutputError, TaplineError, TransformError
 from ..functions.values import redact_text
 from ..sinks.formats import (
-    json_array_lines,
+    write_json_array,
     ndjson_lines,
     normalize_format,
     write_delimited,
@@ -100,8 +100,15 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            error_strategy: str | None = None, registry=None, max_rows: int | None = None,
            overwrite: bool = False, header: bool = True, null_value: str = "", escape_formulas: bool = False,
            bom: bool = False, pretty: bool = False, compression: str = "snappy",
-           metadata_path: str | None = None, single_file: bool = False) -> ExportResult:
-    """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet)."""
+           metadata_path: str | None = None, single_file: bool = False,
+           rebalance: bool | None = None) -> ExportResult:
+    """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
+
+    ``rebalance=None`` (auto) spreads an under-partitioned, unordered source (fewer partitions
+    than the cluster has cores, e.g. one large file with one row group) round-robin over all
+    cores before the per-row work; a large source already has enough scan splits and is never
+    shuffled, and an ordered result (ORDER BY) keeps its order.
+    """
     fmt = normalize_format(fmt)
     # Configuration and pipeline are checked before the source is touched.
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
@@ -121,6 +128,11 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         source = query_source(spark, sql, sql_file)
         source_label = "sql-file" if sql_file else "sql"
     source = cap_rows(source, max_rows)
+    if rebalance is None:
+        rebalance = max_rows is None and not single_file and _under_partitioned(spark, source)
+    if rebalance:
+        # AQE sizes the partitions (at least 1 MB each, up to one per shuffle partition)
+        source = source.hint("rebalance")
 
     if pipeline.is_empty():
         observation = Observation()
@@ -166,6 +178,18 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     return result
 
 
+def _under_partitioned(spark: SparkSession, df: DataFrame) -> bool:
+    """Fewer partitions than cores, and no global sort whose order the output must keep."""
+    try:
+        partitions = df.rdd.getNumPartitions()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001 - planning problems surface later with a clear error
+        return False
+    if partitions >= spark.sparkContext.defaultParallelism:
+        return False
+    return not re.search(r"(^|\n)\s*(:\s*)?[+-]*\s*Sort \[.*\], true", plan)
+
+
 def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
            escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool) -> None:
     if fmt == "parquet":
@@ -173,7 +197,7 @@ def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: b
     elif fmt == "ndjson":
         write_text_lines(ndjson_lines(data), path, single_file)
     elif fmt == "json":
-        write_text_lines(json_array_lines(data, pretty, single_file), path)
+        write_json_array(data, path, pretty, single_file)
     else:
         write_delimited(data, path, sep="," if fmt == "csv" else "\t", header=header, null_value=null_value,
                         escape_formulas=escape_formulas, bom=bom, single_file=single_file)

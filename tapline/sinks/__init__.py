@@ -13,6 +13,7 @@ from .formats import (
     normalize_format,
     parquet_values,
     write_delimited,
+    write_json_array,
     write_parquet,
     write_text_lines,
 )
@@ -20,4 +21,4 @@ from .publish import StagedOutput
 
 __all__ = ["COMPRESSIONS", "FORMATS", "StagedOutput", "delimited_lines", "delimited_values", "exact_decimal",
            "json_array_lines", "json_objects", "json_values", "ndjson_lines", "normalize_format",
-           "parquet_values", "write_delimited", "write_parquet", "write_text_lines"]
+           "parquet_values", "write_delimited", "write_json_array", "write_parquet", "write_text_lines"]

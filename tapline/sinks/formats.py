@@ -8,9 +8,6 @@ result into one part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,52 +82,56 @@ def json_objects(df: DataFrame, pretty: bool = False) -> DataFrame:
 
 
 def _frame_arrays(pretty: bool):
-    """mapInPandas body: each partition becomes one JSON array (one part file)."""
+    """mapInArrow body: each partition becomes one JSON array (one part file).
 
-    def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
+    One batch of look-ahead tells the last batch of the partition; the text work is Arrow
+    compute (vectorised, no per-row Python)."""
 
+    def frame(batches):
         pending = None
         first = True
         for batch in batches:
-            values = batch["value"]
-            if len(values) == 0:
+            if batch.num_rows == 0:
                 continue
             if pending is not None:
                 yield _render(pending, first, False, pretty)
                 first = False
-            pending = values
+            pending = batch.column(0)
         if pending is not None:
             yield _render(pending, first, True, pretty)
-        else:
-            ctx = TaskContext.get()
-            if ctx is None or ctx.partitionId() == 0:
-                yield pd.DataFrame({"value": ["[ ]" if pretty else "[]"]})
 
     return frame
 
 
-def _render(values: pd.Series, first: bool, last: bool, pretty: bool) -> pd.DataFrame:
-    """Row i of a batch: prefix + object + suffix; the partition's first row opens the array,
-    its last row closes it, every other row ends with a comma."""
+def _render(values, first: bool, last: bool, pretty: bool):
+    """Row i: prefix + object + suffix. The partition's first row opens the array, its last row
+    closes it, every other row ends with a comma."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     if pretty:
-        body = values.str.replace("\n", "\n  ", regex=False)
+        body = pc.replace_substring(values, "\n", "\n  ")
         head, middle, tail = "[\n  ", "  ", "\n]"
     else:
         body, head, middle, tail = values, "[", "", "]"
-    body = body.reset_index(drop=True)
     n = len(body)
-    prefix = pd.Series([middle] * n)
-    suffix = pd.Series([","] * n)
-    if first:
-        prefix.iloc[0] = head
-    if last:
-        suffix.iloc[n - 1] = tail
-    return pd.DataFrame({"value": prefix + body + suffix})
+    lines = pc.binary_join_element_wise(middle, body, ",", "")
+    if first or last:
+        pieces = []
+        lo, hi = (1 if first else 0), (n - 1 if last else n)
+        if first:
+            end = tail if (last and n == 1) else ","
+            pieces.append(pa.array([head + body[0].as_py() + end], pa.string()))
+        if hi > lo:
+            pieces.append(lines.slice(lo, hi - lo))
+        if last and not (first and n == 1):
+            pieces.append(pa.array([middle + body[n - 1].as_py() + tail], pa.string()))
+        lines = pa.concat_arrays([p.cast(pa.string()) for p in pieces])
+    return pa.RecordBatch.from_arrays([lines], ["value"])
 
 
 def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = False) -> DataFrame:
-    """Lines that make each part file one JSON array (``[`` ... ``]``, ``[]`` when empty).
+    """Lines that make each non-empty partition one JSON array (``[`` ... ``]``).
 
     Framing is per partition, so the partitioning must be final before it: ``single_file``
     coalesces first.
@@ -138,9 +139,18 @@ def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = Fa
     lines = json_objects(json_values(df), pretty)
     if single_file:
         lines = lines.coalesce(1)
-    if lines.rdd.getNumPartitions() == 0:
-        lines = lines.repartition(1)
-    return lines.mapInPandas(_frame_arrays(pretty), "value string")
+    return lines.mapInArrow(_frame_arrays(pretty), "value string")
+
+
+def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file: bool = False,
+                     mode: str = "errorifexists") -> None:
+    """Each part file is one JSON array; an empty result is one ``[]`` file."""
+    observation = Observation()
+    data = df.observe(observation, F.count(F.lit(1)).alias("n"))
+    json_array_lines(data, pretty, single_file).write.mode(mode).text(path)
+    if not observation.get.get("n"):
+        df.sparkSession.createDataFrame([("[ ]" if pretty else "[]",)], "value string").coalesce(1) \
+            .write.mode("append").text(path)
 
 
 def ndjson_lines(df: DataFrame) -> DataFrame:
@@ -194,13 +204,20 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
     text = delimited_values(df, escape_formulas)
     pattern = _needs_quotes_pattern(sep)
     cells = []
-    for i, name in enumerate(text.columns):
-        cell = F.coalesce(F.col(_q(name)), F.lit(null_value))
-        quoted = F.concat(F.lit(QUOTE), F.replace(cell, F.lit(QUOTE), F.lit(QUOTE * 2)), F.lit(QUOTE))
-        needs = cell.rlike(pattern)
-        if i == 0:
-            needs = needs | (cell == F.lit(""))
-        cells.append(F.when(needs, quoted).otherwise(cell))
+    for i, (name, source) in enumerate(zip(text.columns, df.schema.fields)):
+        value = F.col(_q(name))
+        null_cell = F.lit(quote_cell(null_value, i == 0, sep))
+        _, ctype = canonical(F.col(_q(source.name)), source.dataType)
+        if isinstance(ctype, T.StringType):
+            quoted = F.concat(F.lit(QUOTE), F.replace(value, F.lit(QUOTE), F.lit(QUOTE * 2)), F.lit(QUOTE))
+            needs = value.rlike(pattern)
+            if i == 0:
+                needs = needs | (value == F.lit(""))
+            cell = F.when(needs, quoted).otherwise(value)
+        else:
+            # number and boolean text never needs quotes: skip the scan
+            cell = value
+        cells.append(F.when(value.isNull(), null_cell).otherwise(cell))
     line = F.concat_ws(sep, *cells)
     head = sep.join(quote_cell(n, i == 0, sep) for i, n in enumerate(df.columns)) if header else None
     lead = ((BOM if bom else "") + (head + "\r\n" if head is not None else ""))
