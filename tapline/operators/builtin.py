@@ -188,10 +188,9 @@ class MapStep(Step):
         target = row.require(self.column, "map")
         value = row[self.column]
         key = stringify(value, target.dtype)
-        # Keys are matched on the value's text form. A literal map is constant-folded once per
-        # query; a key may map to null, so presence and value are read separately.
-        lookup = F.create_map(*[x for k, v in self.mapping.items()
-                                for x in (F.lit(k), F.lit(v).cast("string"))])
+        # Keys are matched on the value's text form; a key may map to null, so presence and
+        # value are read separately.
+        lookup = _lookup_map(self.mapping, key)
         matched = F.map_contains_key(lookup, key)
         if self.unmatched == "default":
             otherwise = F.lit(self.default).cast("string")
@@ -208,6 +207,36 @@ class MapStep(Step):
                           message=f'no mapping for a value in column "{self.column}"')
 
 
+# Mappings up to this size are one literal map (a map lookup scans its keys); larger ones are
+# split into hash buckets of about this many keys each.
+MAP_BUCKET_SIZE = 16
+
+
+def _literal_map(items) -> "F.Column":
+    return F.create_map(*[x for k, v in items for x in (F.lit(k), F.lit(v).cast("string"))]) if items \
+        else F.create_map().cast("map<string,string>")
+
+
+def _lookup_map(mapping: dict[str, str | None], key):
+    """The literal map holding ``key``'s entry, if any.
+
+    A large mapping is split into buckets by CRC-32 of the key's UTF-8 text; Python places each
+    entry at plan time and Spark's ``crc32`` picks the bucket per row, so a row scans one small
+    map instead of the whole mapping. All buckets are literals, folded once per query.
+    """
+    import zlib
+
+    if len(mapping) <= MAP_BUCKET_SIZE:
+        return _literal_map(list(mapping.items()))
+    buckets = max(2, -(-len(mapping) // MAP_BUCKET_SIZE))
+    grouped: list[list] = [[] for _ in range(buckets)]
+    for k, v in mapping.items():
+        grouped[zlib.crc32(k.encode("utf-8")) % buckets].append((k, v))
+    maps = F.array(*[_literal_map(items) for items in grouped])
+    index = F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int") + F.lit(1)
+    return F.element_at(maps, index)
+
+
 class MaskStep(Step):
     type_name = "mask"
 

@@ -101,13 +101,14 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            overwrite: bool = False, header: bool = True, null_value: str = "", escape_formulas: bool = False,
            bom: bool = False, pretty: bool = False, compression: str = "snappy",
            metadata_path: str | None = None, single_file: bool = False,
-           rebalance: bool | None = None) -> ExportResult:
+           rebalance: bool | str = False) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
-    ``rebalance=None`` (auto) spreads an under-partitioned, unordered source (fewer partitions
-    than the cluster has cores, e.g. one large file with one row group) round-robin over all
-    cores before the per-row work; a large source already has enough scan splits and is never
-    shuffled, and an ordered result (ORDER BY) keeps its order.
+    ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
+    shuffle, partitions sized by AQE); ``"auto"`` does so only for an under-partitioned, unordered
+    source (fewer partitions than cores, e.g. one big file with one row group) and never for an
+    ORDER BY result. The default ``False`` keeps the scan's own splits, which at scale already
+    give one task per file block.
     """
     fmt = normalize_format(fmt)
     # Configuration and pipeline are checked before the source is touched.
@@ -128,7 +129,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         source = query_source(spark, sql, sql_file)
         source_label = "sql-file" if sql_file else "sql"
     source = cap_rows(source, max_rows)
-    if rebalance is None:
+    if rebalance == "auto":
         rebalance = max_rows is None and not single_file and _under_partitioned(spark, source)
     if rebalance:
         # AQE sizes the partitions (at least 1 MB each, up to one per shuffle partition)

@@ -176,3 +176,17 @@ def test_expression_errors_fail_before_rows(bookings):
 def test_expression_sees_previous_steps(bookings):
     out = run(bookings, "rename:room_code=room", "expression:tag=concat(room, '!')")
     assert sorted(r.tag for r in out.collect()) == ["A-101!", "A-101!", "B-202!"]
+
+
+def test_large_mapping_uses_buckets_and_matches(spark):
+    df = spark.range(0, 3000).selectExpr("id", "CAST(id AS STRING) AS code")
+    mapping = {str(i): (None if i % 97 == 0 else f"v{i}") for i in range(0, 2500)}
+    out = build_pipeline([{"type": "map", "column": "code", "mapping": mapping, "unmatched": "default",
+                           "default": "other"}]).apply(df)
+    got = {r.id: r.code for r in out.collect()}
+    for i in range(3000):
+        expected = "other" if i >= 2500 else mapping[str(i)]
+        assert got[i] == expected, i
+    failing = build_pipeline({"errorStrategy": "skipRow", "transforms": [
+        {"type": "map", "column": "code", "mapping": mapping, "unmatched": "fail"}]}).apply(df)
+    assert failing.count() == 2500
