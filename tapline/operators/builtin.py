@@ -351,9 +351,9 @@ def _check_syntax(output_field: str, expression: str) -> None:
     if spark is None:
         return
     try:
-        # Analysing over an empty one-column relation parses the text; unknown names are
-        # expected here (columns are checked when the plan is built).
-        spark.range(0).select(F.expr(expression)).schema
+        # EXPLAIN parses the text and only describes the plan: unknown names are expected here
+        # (columns are checked when the plan is built) and nothing is executed.
+        spark.sql(f"EXPLAIN SELECT (\n{expression}\n)")
     except ParseException as exc:
         text = str(exc).strip().splitlines()[0]
         raise TransformError(

@@ -39,8 +39,8 @@ def latest_runs(runs: DataFrame, max_finished: int = DEFAULT_MAX_FINISHED) -> Da
 
 def elapsed_ms(started: Column, completed: Column, now: Column | None = None) -> Column:
     """Milliseconds from start to end (or ``now`` while running); 0 before the start, never negative."""
-    end = F.coalesce(completed, now if now is not None else F.current_timestamp())
-    millis = (F.unix_millis(end.cast("timestamp")) - F.unix_millis(started.cast("timestamp")))
+    end = F.coalesce(completed, now if now is not None else F.localtimestamp())
+    millis = F.timestamp_diff("MILLISECOND", started, end)
     return F.when(started.isNull(), F.lit(0)).otherwise(F.greatest(millis, F.lit(0))).cast("long")
 
 
@@ -48,7 +48,7 @@ def with_throughput(runs: DataFrame, now: Column | None = None) -> DataFrame:
     """Adds ``duration_ms`` (null unless finished), ``elapsed_ms`` and ``rows_per_second``."""
     started, completed = F.col("started_at"), F.col("completed_at")
     duration = F.when(started.isNotNull() & completed.isNotNull(),
-                      F.unix_millis(completed.cast("timestamp")) - F.unix_millis(started.cast("timestamp")))
+                      F.timestamp_diff("MILLISECOND", started, completed))
     elapsed = elapsed_ms(started, completed, now)
     rate = F.when(elapsed > 0, F.col("row_count") * F.lit(1000.0) / elapsed).otherwise(F.lit(0.0))
     return runs.select("*", duration.alias("duration_ms"), elapsed.alias("elapsed_ms"),
