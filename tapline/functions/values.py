@@ -54,24 +54,32 @@ def _strip_iso_tail(text: Column) -> Column:
 def iso_timestamp_ntz(col: Column) -> Column:
     """Zone-free timestamp as ``2024-06-01T12:34:56`` (Java ``LocalDateTime.toString``).
 
-    Four-digit years (the usual case) are shortened with fixed-position substring checks; any
-    other width falls back to the regular-expression form.
+    Built from ``CAST(ts AS STRING)`` (``yyyy-MM-dd HH:mm:ss`` plus the fraction with trailing
+    zeros trimmed), which involves no time zone. For four-digit years the fraction is padded to
+    3 or 6 digits with substring arithmetic; other widths take the regular-expression form.
     """
-    full = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    fraction, seconds = F.substring(full, 21, 6), F.substring(full, 18, 2)
-    short = (F.when(fraction == F.lit("000000"),
-                    F.when(seconds == F.lit("00"), F.substring(full, 1, 16)).otherwise(F.substring(full, 1, 19)))
-             .when(F.substring(full, 24, 3) == F.lit("000"), F.substring(full, 1, 23))
-             .otherwise(full))
-    return F.when(F.length(full) == F.lit(26), short).otherwise(_strip_iso_tail(full))
+    text = col.cast("string")
+    size = F.length(text)
+    base = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.substring(text, 21, 6)
+    fast = (F.when(size == F.lit(19), F.when(text.endswith(":00"), F.substring(base, 1, 16)).otherwise(base))
+            .when(size <= F.lit(23), F.concat(base, F.lit("."), F.rpad(fraction, 3, "0")))
+            .otherwise(F.concat(base, F.lit("."), F.rpad(fraction, 6, "0"))))
+    # signed or five-digit years (outside 0000-9999): same rule on the text after the space
+    other = F.regexp_replace(F.regexp_replace(text, " (\\d\\d:\\d\\d):00$", "T$1"), " ", "T")
+    return F.when(F.substring(text, 11, 1) == F.lit(" "), fast).otherwise(other)
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def iso_timestamp_utc(col: Column) -> Column:
     """Instant as UTC ``2024-06-01T02:34:56Z`` (Java ``OffsetDateTime.toString`` at offset zero).
 
-    Independent of the session time zone: the instant is shifted to UTC wall-clock first.
+    The UTC wall clock is the epoch plus the instant's microseconds, as a zone-free timestamp,
+    so neither the session time zone nor its DST transitions play a part.
     """
-    wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
+    wall = F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
     return F.concat(iso_timestamp_ntz(wall), F.lit("Z"))
 
 
