@@ -336,6 +336,16 @@ def q_sink_json_array(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "nation", "json", pretty=True)
 
 
+def q_sink_parquet_decimals(spark, sf_dir):
+    """Parquet with declared decimal columns: exact rescale, a value needing rounding would fail."""
+    _views(spark, sf_dir, "lineitem")
+    out = scratch_path(spark, "sink-decimals")
+    export(spark, sql="SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_quantity FROM lineitem",
+           fmt="parquet", output=out,
+           parquet_decimals={"l_extendedprice": (15, 2), "l_discount": (4, 2), "l_quantity": (10, 0)})
+    return spark.read.parquet(out)
+
+
 def q_sink_ndjson_transformed(spark, sf_dir):
     _views(spark, sf_dir, "orders")
     out = scratch_path(spark, "sink-ndjson-t")
@@ -413,6 +423,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_tsv": q_sink_tsv,
     "sink_ndjson": q_sink_ndjson,
     "sink_json_array": q_sink_json_array,
+    "sink_parquet_decimals": q_sink_parquet_decimals,
     "sink_ndjson_transformed": q_sink_ndjson_transformed,
     "jdbc_roundtrip": q_jdbc_roundtrip,
     "stream_pipeline": q_stream_pipeline,
@@ -542,6 +553,9 @@ FROM (SELECT event_type AS step, 'map' AS type, CAST(count(*) AS BIGINT) AS invo
     "sink_tsv": "SELECT * FROM supplier",
     "sink_ndjson": "SELECT * FROM customer",
     "sink_json_array": "SELECT * FROM nation",
+    "sink_parquet_decimals": "SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(15, 2)) AS l_extendedprice, "
+                             "CAST(l_discount AS DECIMAL(4, 2)) AS l_discount, "
+                             "CAST(l_quantity AS DECIMAL(10, 0)) AS l_quantity FROM lineitem",
     "sink_ndjson_transformed": f"SELECT o_orderkey, {_iso('o_orderdate')} AS order_date, "
                                "CASE WHEN o_orderstatus IS NOT NULL THEN '***' END AS o_orderstatus FROM orders",
     "jdbc_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",

@@ -101,7 +101,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            overwrite: bool = False, header: bool = True, null_value: str = "", escape_formulas: bool = False,
            bom: bool = False, pretty: bool = False, compression: str = "snappy",
            metadata_path: str | None = None, single_file: bool = False,
-           rebalance: bool | str = False) -> ExportResult:
+           rebalance: bool | str = False,
+           parquet_decimals: dict[str, tuple[int, int]] | None = None) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
@@ -150,7 +151,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         with staged as stage:
             _write(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
                    escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
-                   single_file=single_file)
+                   single_file=single_file, decimals=parquet_decimals)
     except PySparkException as exc:
         raise _job_error(exc) from None
     except Exception as exc:  # py4j errors from the JVM
@@ -192,9 +193,11 @@ def _under_partitioned(spark: SparkSession, df: DataFrame) -> bool:
 
 
 def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
-           escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool) -> None:
+           escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool,
+           decimals: dict | None = None) -> None:
     if fmt == "parquet":
-        write_parquet(data, path, compression, canonical_types=transformed, single_file=single_file)
+        write_parquet(data, path, compression, canonical_types=transformed, single_file=single_file,
+                      decimals=decimals)
     elif fmt == "ndjson":
         write_text_lines(ndjson_lines(data), path, single_file)
     elif fmt == "json":

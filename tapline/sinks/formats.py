@@ -269,18 +269,36 @@ def parquet_values(df: DataFrame, canonical_types: bool = False) -> DataFrame:
 
 def exact_decimal(col: Column, precision: int, scale: int, name: str) -> Column:
     """Rescale to ``decimal(precision, scale)``; a value that would be rounded fails instead."""
-    target = col.cast(T.DecimalType(precision, scale))
+    target = col.try_cast(T.DecimalType(precision, scale))
     lossy = col.isNotNull() & (target.isNull() | (target != col))
     return F.when(lossy, F.raise_error(F.lit(f'Value in column "{name}" does not fit decimal({precision},{scale}).'))) \
         .otherwise(target)
 
 
+def with_declared_decimals(df: DataFrame, decimals: dict[str, tuple[int, int]] | None) -> DataFrame:
+    """Give columns a declared ``decimal(p, s)``; a value that would need rounding fails the job."""
+    if not decimals:
+        return df
+    missing = [name for name in decimals if name not in df.columns]
+    if missing:
+        raise OutputError(f"Declared decimal columns not in the output: {missing}.")
+    cols = []
+    for name in df.columns:
+        col = F.col(_q(name))
+        if name in decimals:
+            precision, scale = decimals[name]
+            col = exact_decimal(col, precision, scale, name)
+        cols.append(col.alias(name))
+    return df.select(*cols)
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonical_types: bool = False,
-                  single_file: bool = False, mode: str = "errorifexists") -> None:
+                  single_file: bool = False, mode: str = "errorifexists",
+                  decimals: dict[str, tuple[int, int]] | None = None) -> None:
     codec = COMPRESSIONS.get(str(compression).strip().lower())
     if codec is None:
         raise OutputError(f'Unknown compression "{compression}". Valid: SNAPPY, GZIP, ZSTD, UNCOMPRESSED.')
-    out = parquet_values(df, canonical_types)
+    out = parquet_values(with_declared_decimals(df, decimals), canonical_types)
     if single_file:
         out = out.coalesce(1)
     spark = df.sparkSession

@@ -207,3 +207,15 @@ def test_row_cap_counts_rows_written(spark, out):
     spark.range(100).createOrReplaceTempView("hundred")
     result = export(spark, sql="SELECT id FROM hundred ORDER BY id", fmt="ndjson", output=out("cap"), max_rows=7)
     assert result.row_count == 7
+
+
+def test_declared_decimal_scale_fails_instead_of_rounding(spark, out):
+    df = spark.sql("SELECT CAST(1.23 AS DECIMAL(10, 3)) AS amount UNION ALL SELECT CAST(4.5 AS DECIMAL(10, 3))")
+    path = out("dec")
+    export(spark, df=df, fmt="parquet", output=path, parquet_decimals={"amount": (12, 2)})
+    back = spark.read.parquet(path)
+    assert back.schema["amount"].dataType.simpleString() == "decimal(12,2)"
+    assert sorted(str(r.amount) for r in back.collect()) == ["1.23", "4.50"]
+    bad = spark.sql("SELECT CAST(1.239 AS DECIMAL(10, 3)) AS amount")
+    with pytest.raises(OutputError, match="Export job failed"):
+        export(spark, df=bad, fmt="parquet", output=out("dec2"), parquet_decimals={"amount": (12, 2)})

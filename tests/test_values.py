@@ -105,3 +105,15 @@ def test_output_names(spark):
     df = normalize_columns(spark.sql("SELECT 1 AS `  MixedCase `"))
     assert df.columns == ["mixedcase"]
     assert df.schema["mixedcase"].metadata["label"] == "  MixedCase "
+
+
+def test_timestamp_text_ignores_dst_gaps(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 does not exist on that day in New York; a zone-free value must print unchanged
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS ts, TIMESTAMP_LTZ'2024-11-03 05:30:00+00:00' AS z")
+        row = df.select(*text_of(df)).collect()[0]
+        assert (row.ts, row.z) == ("2024-03-10T02:30", "2024-11-03T05:30Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
