@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import TransformError
@@ -66,8 +67,9 @@ class Field:
 class RowView:
     """The current columns as a step sees them. Name lookup is exact and case-sensitive."""
 
-    def __init__(self, fields: list[Field], column_of):
+    def __init__(self, fields: list[Field], column_of, live: Column | None = None):
         self._fields = list(fields)
+        self.live = live if live is not None else F.lit(True)  # false once the row failed or was dropped
         self._by_name = {f.name: f for f in fields}
         self._column_of = column_of
         self._cache: dict[str, Column] = {}

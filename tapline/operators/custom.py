@@ -95,10 +95,8 @@ class PandasStep(Step):
         udf = F.pandas_udf(run, result_type)
         if not self.deterministic:
             udf = udf.asNondeterministic()
-        from ..plans.pipeline import STOP
-
         struct = F.struct(*[row[n].alias(n) for n in names])
-        result = udf(struct, F.col(STOP).isNull())
+        result = udf(struct, row.live)
         cols = [(n, result.getField(n)) for n in out_names]
         return StepOutput(cols, fail=result.getField(FAIL_FLAG), keep=result.getField(KEEP_FLAG),
                           message="custom step failed")

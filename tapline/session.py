@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide exports (hundreds of columns) stay in whole-stage codegen; Spark still falls back
+    # by itself if a generated method grows too large
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 
