@@ -290,6 +290,14 @@ def q_step_summary(spark, sf_dir):
     return step_summary(steps, 50)
 
 
+def q_describe(spark, sf_dir):
+    """The flagship's output columns, resolved without reading a row."""
+    from tapline import describe
+
+    _views(spark, sf_dir, "orders", "customer")
+    return describe(spark, sql=FLAGSHIP_SQL, transforms=FLAGSHIP_TRANSFORMS)
+
+
 def q_manifest(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     manifest = {"tool": "tapline", "format": "parquet", "source": "sql", "output": "orders",
@@ -418,6 +426,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "throughput": q_throughput,
     "step_summary": q_step_summary,
     "manifest": q_manifest,
+    "describe": q_describe,
     "sink_parquet": q_sink_parquet,
     "sink_csv": q_sink_csv,
     "sink_tsv": q_sink_tsv,
@@ -569,5 +578,5 @@ FROM orders""",
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. ``manifest`` has none: it describes a schema, not rows."""
+    """DuckDB SQL per query. ``manifest`` and ``describe`` have none: they describe a schema, not rows."""
     return dict(_ORACLE)

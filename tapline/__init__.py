@@ -16,11 +16,11 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 from .errors import OutputError, SourceError, TaplineError, TransformError
 from .operators import StepRegistry, TransformSpec, default_registry
-from .plans import OutputContract, Pipeline, TransformConfig, build_pipeline, export, load_config
+from .plans import OutputContract, Pipeline, TransformConfig, build_pipeline, describe, export, load_config
 from .session import build_session, scratch_path, shared_dir
 
 __all__ = [
     "OutputError", "SourceError", "TaplineError", "TransformError", "StepRegistry", "TransformSpec",
-    "default_registry", "OutputContract", "Pipeline", "TransformConfig", "build_pipeline", "export",
+    "default_registry", "OutputContract", "Pipeline", "TransformConfig", "build_pipeline", "describe", "export",
     "load_config", "build_session", "scratch_path", "shared_dir",
 ]

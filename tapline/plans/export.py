@@ -47,6 +47,7 @@ class ExportResult:
     metrics: dict = field(default_factory=dict)
     sensitive_columns: list[str] = field(default_factory=list)
     manifest: dict = field(default_factory=dict)
+    dry_run: bool = False
 
     def summary(self) -> str:
         """One line, no row values: rows in/out/dropped and failures per step."""
@@ -102,7 +103,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            bom: bool = False, pretty: bool = False, compression: str = "snappy",
            metadata_path: str | None = None, single_file: bool = False,
            rebalance: bool | str = False,
-           parquet_decimals: dict[str, tuple[int, int]] | None = None) -> ExportResult:
+           parquet_decimals: dict[str, tuple[int, int]] | None = None,
+           dry_run: bool = False) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
@@ -117,18 +119,11 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     staged = StagedOutput(spark, output, overwrite)
     staged.check()
 
-    sources = sum(x is not None for x in (sql, sql_file, df, jdbc))
-    if sources != 1 and not (jdbc is not None and (sql or sql_file)):
-        raise TaplineError("Provide exactly one source: sql, sql_file, df or jdbc.")
-    if jdbc is not None:
-        source = jdbc_source(spark, sql=sql, sql_file=sql_file, **jdbc)
-        source_label = redact_text(jdbc.get("url"))
-    elif df is not None:
-        source = normalize_columns(df)
-        source_label = "dataframe"
-    else:
-        source = query_source(spark, sql, sql_file)
-        source_label = "sql-file" if sql_file else "sql"
+    _check_sources(sql, sql_file, df, jdbc)
+    if dry_run:  # options, configuration and paths are valid; the source is not touched
+        now = datetime.now(timezone.utc).isoformat()
+        return ExportResult(output, fmt, 0, [], now, now, 0, dry_run=True)
+    source, source_label = _resolve_source(spark, sql, sql_file, df, jdbc)
     source = cap_rows(source, max_rows)
     if rebalance == "auto":
         rebalance = max_rows is None and not single_file and _under_partitioned(spark, source)
@@ -180,6 +175,38 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     return result
 
 
+def _check_sources(sql, sql_file, df, jdbc) -> None:
+    if jdbc is not None:
+        if (sql is None) == (sql_file is None) or df is not None:
+            raise TaplineError("A JDBC source needs exactly one of sql or sql_file.")
+    elif sum(x is not None for x in (sql, sql_file, df)) != 1:
+        raise TaplineError("Provide exactly one source: sql, sql_file, df or jdbc.")
+
+
+def _resolve_source(spark: SparkSession, sql, sql_file, df, jdbc) -> tuple[DataFrame, str]:
+    _check_sources(sql, sql_file, df, jdbc)
+    if jdbc is not None:
+        return jdbc_source(spark, sql=sql, sql_file=sql_file, **jdbc), redact_text(jdbc.get("url"))
+    if df is not None:
+        return normalize_columns(df), "dataframe"
+    return query_source(spark, sql, sql_file), ("sql-file" if sql_file else "sql")
+
+
+def describe(spark: SparkSession, *, sql: str | None = None, sql_file: str | None = None,
+             df: DataFrame | None = None, jdbc: dict | None = None, transforms=None, inline=(),
+             error_strategy: str | None = None, registry=None) -> DataFrame:
+    """The output columns of a query (after the pipeline, if any), without running it.
+
+    One row per column: index, label, output name, type, nullable, precision, scale, sensitive.
+    Only the schema is resolved (a JDBC source is asked for its result metadata); no row is read.
+    """
+    pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
+    source, _ = _resolve_source(spark, sql, sql_file, df, jdbc)
+    schema = source.schema if pipeline.is_empty() else pipeline.output_schema(source)
+    columns = column_manifest(schema, pipeline.sensitive_columns())
+    return spark.createDataFrame(columns, _COLUMN_TYPE)
+
+
 def _under_partitioned(spark: SparkSession, df: DataFrame) -> bool:
     """Fewer partitions than cores, and no global sort whose order the output must keep."""
     try:
@@ -226,13 +253,16 @@ def _job_error(exc: Exception) -> TaplineError:
     return OutputError(f"Export job failed ({cls}); no output was published.")
 
 
+_COLUMN_TYPE = T.StructType([
+    T.StructField("index", T.IntegerType()), T.StructField("label", T.StringType()),
+    T.StructField("output_name", T.StringType()), T.StructField("type", T.StringType()),
+    T.StructField("nullable", T.BooleanType()), T.StructField("precision", T.IntegerType()),
+    T.StructField("scale", T.IntegerType()), T.StructField("sensitive", T.BooleanType())])
+
+
 def manifest_frame(spark: SparkSession, manifest: dict) -> DataFrame:
     """The manifest as a one-row DataFrame with an array-of-struct ``columns`` field."""
-    col_type = T.StructType([
-        T.StructField("index", T.IntegerType()), T.StructField("label", T.StringType()),
-        T.StructField("output_name", T.StringType()), T.StructField("type", T.StringType()),
-        T.StructField("nullable", T.BooleanType()), T.StructField("precision", T.IntegerType()),
-        T.StructField("scale", T.IntegerType()), T.StructField("sensitive", T.BooleanType())])
+    col_type = _COLUMN_TYPE
     schema = T.StructType([
         T.StructField("tool", T.StringType()), T.StructField("format", T.StringType()),
         T.StructField("source", T.StringType()), T.StructField("output", T.StringType()),

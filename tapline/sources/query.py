@@ -15,6 +15,11 @@ from ..errors import SourceError
 from ..functions.names import normalized_names
 
 DEFAULT_FETCH_SIZE = 1000
+# Statements that make each reading connection read-only, per JDBC sub-protocol; the database
+# then refuses any write the query text might attempt.
+READ_ONLY_SESSION = {
+    "postgresql": "SET SESSION CHARACTERISTICS AS TRANSACTION READ ONLY",
+}
 
 
 def register_tables(spark: SparkSession, directory: str, names: list[str] | None = None) -> list[str]:
@@ -65,14 +70,31 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def query_source(spark: SparkSession, sql: str | None = None, sql_file: str | None = None) -> DataFrame:
-    """``spark.sql`` over the registered views, with output names normalised."""
-    return normalize_columns(spark.sql(sql_text(sql, sql_file)))
+    """``spark.sql`` over the registered views, with output names normalised.
+
+    Read-only by construction: the text is placed inside ``SELECT * FROM ( ... )``, where only a
+    query (SELECT, WITH ... SELECT, VALUES, set operations) can parse. A command such as
+    ``DROP VIEW`` or ``INSERT`` is refused before anything runs, without a SQL scanner of our own.
+    """
+    from pyspark.errors import AnalysisException, ParseException
+
+    text = sql_text(sql, sql_file).rstrip().rstrip(";").rstrip()
+    try:
+        df = spark.sql(f"SELECT * FROM (\n{text}\n) AS tapline_query")
+    except ParseException as exc:
+        first = str(exc).strip().splitlines()[0] if str(exc) else "syntax error"
+        raise SourceError(f"Only a read-only query (SELECT, WITH, VALUES) can be exported: {first}") from None
+    except AnalysisException as exc:
+        first = str(exc).strip().splitlines()[0] if str(exc) else "analysis error"
+        raise SourceError(f"The query cannot be resolved: {first}") from None
+    return normalize_columns(df)
 
 
 def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file: str | None = None, *,
                 user: str | None = None, password: str | None = None, driver: str | None = None,
                 fetch_size: int = DEFAULT_FETCH_SIZE, partition_column: str | None = None,
                 lower_bound=None, upper_bound=None, num_partitions: int | None = None,
+                session_init: str | None = None, read_only: bool = True,
                 options: dict | None = None) -> DataFrame:
     """Read a query's result over JDBC.
 
@@ -81,8 +103,12 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
     a derived table and read by ``num_partitions`` parallel range queries: the way to scale a
     large extract out across executors.
     """
-    text = sql_text(sql, sql_file)
+    text = sql_text(sql, sql_file).rstrip().rstrip(";").rstrip()
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size))
+    if session_init is None and read_only:
+        session_init = READ_ONLY_SESSION.get(url.split(":")[1] if url.count(":") >= 2 else "")
+    if session_init:
+        reader = reader.option("sessionInitStatement", session_init)
     if partition_column:
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise SourceError("A partitioned JDBC read needs lower_bound, upper_bound and num_partitions.")

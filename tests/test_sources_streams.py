@@ -64,3 +64,31 @@ def test_pipeline_over_a_stream(spark):
     assert back.filter("status = 'Finished'").count() == orders.filter("o_orderstatus = 'F'").count()
     metrics = [p["observedMetrics"].get("tapline_pipeline") for p in query.recentProgress if p["observedMetrics"]]
     assert sum(m["rows_in"] for m in metrics) == orders.count()
+
+
+def test_only_queries_are_accepted(spark):
+    register_tables(spark, SF, ["nation"])
+    for text in ["DROP VIEW nation", "INSERT INTO nation VALUES (1, 'x', 1)", "SHOW TABLES", "selec 1"]:
+        with pytest.raises(SourceError):
+            query_source(spark, text)
+    assert spark.catalog.tableExists("nation")
+    assert query_source(spark, "WITH a AS (SELECT n_name FROM nation) SELECT * FROM a;").count() == 25
+    top = query_source(spark, "SELECT n_nationkey FROM nation ORDER BY n_nationkey DESC LIMIT 3").collect()
+    assert [r.n_nationkey for r in top] == [24, 23, 22]
+
+
+def test_describe_and_dry_run(spark, out):
+    from tapline import describe
+
+    register_tables(spark, SF, ["orders"])
+    cols = describe(spark, sql="SELECT o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(12,2)) AS Price "
+                               "FROM orders", inline=["mask:o_orderkey"]).collect()
+    assert [(c.output_name, c.type, c.sensitive) for c in cols] == [
+        ("o_orderkey", "string", True), ("o_orderdate", "string", False), ("price", "decimal(12,2)", False)]
+    assert cols[2].label == "Price" and (cols[2].precision, cols[2].scale) == (12, 2)
+    path = out("dry")
+    result = export(spark, sql="SELECT * FROM no_such_table", fmt="csv", output=path, dry_run=True,
+                    inline=["mask:x"])
+    assert result.dry_run and result.row_count == 0
+    assert not spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
