@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import OutputError
 from ..plans.pipeline import Pipeline
 from ..session import scratch_path
-from ..sinks.formats import delimited_lines, ndjson_lines, normalize_format, parquet_values
+from ..sinks.formats import ndjson_lines, normalize_format, parquet_values, write_delimited
 from ..sources.query import normalize_columns
 
 METRICS_NAME = "tapline_pipeline"
@@ -44,7 +44,7 @@ def start_stream_export(stream: DataFrame, pipeline: Pipeline, fmt: str, output:
                         processing_time: str | None = None, header: bool = True,
                         null_value: str = "", escape_formulas: bool = False) -> StreamingQuery:
     """Start the export stream. JSON arrays need a closing bracket per file, so a stream writes
-    NDJSON, CSV, TSV or Parquet."""
+    NDJSON, CSV, TSV or Parquet. CSV/TSV land in one ``batch_id=N`` folder per micro-batch."""
     fmt = normalize_format(fmt)
     transformed = transform_stream(stream, pipeline)
     spark = stream.sparkSession
@@ -54,16 +54,29 @@ def start_stream_export(stream: DataFrame, pipeline: Pipeline, fmt: str, output:
     elif fmt == "ndjson":
         out, writer_format, options = ndjson_lines(transformed), "text", {}
     elif fmt in ("csv", "tsv"):
-        out, _ = delimited_lines(transformed, "," if fmt == "csv" else "\t", header, null_value, escape_formulas)
-        writer_format, options = "text", {"lineSep": "\r\n"}
+        # Delimited files put a header on the first row of each part, which needs batch
+        # DataFrames: each micro-batch is written by the batch writer into its own folder.
+        # Overwriting that folder makes a replayed batch idempotent (exactly-once output).
+        sep = "," if fmt == "csv" else "\t"
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            write_delimited(batch, f"{output.rstrip('/')}/batch_id={batch_id}", sep=sep, header=header,
+                            null_value=null_value, escape_formulas=escape_formulas, mode="overwrite")
+
+        writer = transformed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+        return _trigger(writer, available_now, processing_time).start()
     else:
         raise OutputError("A stream cannot write a JSON array; use ndjson.")
     writer = (out.writeStream.format(writer_format).outputMode("append")
               .option("checkpointLocation", checkpoint).option("path", output))
     for key, value in options.items():
         writer = writer.option(key, value)
+    return _trigger(writer, available_now, processing_time).start()
+
+
+def _trigger(writer, available_now: bool, processing_time: str | None):
     if processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    elif available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+        return writer.trigger(processingTime=processing_time)
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer

@@ -219,3 +219,26 @@ def test_declared_decimal_scale_fails_instead_of_rounding(spark, out):
     bad = spark.sql("SELECT CAST(1.239 AS DECIMAL(10, 3)) AS amount")
     with pytest.raises(OutputError, match="Export job failed"):
         export(spark, df=bad, fmt="parquet", output=out("dec2"), parquet_decimals={"amount": (12, 2)})
+
+
+def test_json_array_spans_arrow_batches(spark, out):
+    # more rows than one Arrow batch (10,000 by default) in one partition: one array per part
+    df = spark.range(0, 25_000, numPartitions=1).withColumnRenamed("id", "n")
+    for pretty in (False, True):
+        path = out("batches")
+        export(spark, df=df, fmt="json", output=path, pretty=pretty)
+        files = parts(path)
+        assert len(files) == 1
+        doc = json.load(open(files[0]))
+        assert [r["n"] for r in doc] == list(range(25_000))
+
+
+def test_rebalance_auto(spark, out):
+    from tapline.plans.export import _under_partitioned
+
+    one = spark.range(0, 1000, numPartitions=1)
+    assert _under_partitioned(spark, one)
+    assert not _under_partitioned(spark, one.orderBy("id"))
+    assert not _under_partitioned(spark, spark.range(0, 1000, numPartitions=64))
+    result = export(spark, df=one, fmt="ndjson", output=out("rb"), rebalance="auto")
+    assert result.row_count == 1000

@@ -92,3 +92,15 @@ def test_describe_and_dry_run(spark, out):
     assert result.dry_run and result.row_count == 0
     assert not spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
         spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def test_csv_stream_has_header_per_file(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    stream = read_stream(spark, SF, orders.schema, glob_filter="orders.parquet")
+    target = scratch_path(spark, "stream-csv")
+    pipeline = build_pipeline(inline=["keep:o_orderkey,o_orderstatus"])
+    query = start_stream_export(stream, pipeline, "csv", target, checkpoint=scratch_path(spark, "ckpt-csv"))
+    query.awaitTermination()
+    back = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(target)
+    assert back.columns == ["o_orderkey", "o_orderstatus"]
+    assert back.count() == orders.count()
