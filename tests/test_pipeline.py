@@ -176,3 +176,12 @@ def test_transforms_file_and_export(spark, bookings, out, tmp_path):
     assert result.metrics["rows_dropped_by_error"] == 1
     assert result.sensitive_columns == ["booking_id"]
     assert "2 out, 1 dropped" in result.summary()
+
+
+def test_custom_step_may_copy_a_column(bookings):
+    def fn(row):
+        return StepOutput(row.passthrough() + [("booking_copy", row["booking_id"])])
+
+    out = Pipeline.of(ColumnStep("copy", fn)).apply(bookings)
+    assert out.columns[-1] == "booking_copy"
+    assert all(r.booking_id == r.booking_copy for r in out.collect())
