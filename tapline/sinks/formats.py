@@ -147,7 +147,8 @@ def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file
     """Each part file is one JSON array; an empty result is one ``[]`` file."""
     observation = Observation()
     data = df.observe(observation, F.count(F.lit(1)).alias("n"))
-    json_array_lines(data, pretty, single_file).write.mode(mode).text(path)
+    # one file per task: a file split by maxRecordsPerFile would leave arrays unclosed
+    json_array_lines(data, pretty, single_file).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     if not observation.get.get("n"):
         df.sparkSession.createDataFrame([("[ ]" if pretty else "[]",)], "value string").coalesce(1) \
             .write.mode("append").text(path)
@@ -236,7 +237,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
                                   escape_formulas, bom)
     observation = Observation()
     lines = lines.observe(observation, F.count(F.lit(1)).alias("n"))
-    lines.write.mode(mode).option("lineSep", "\r\n").text(path)
+    # one file per task, so every file starts with the header row
+    lines.write.mode(mode).option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
     if head and not observation.get.get("n"):
         # an empty result still gets its header line (a tiny one-row write into the same folder)
         spark = df.sparkSession

@@ -104,3 +104,33 @@ def test_csv_stream_has_header_per_file(spark):
     back = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(target)
     assert back.columns == ["o_orderkey", "o_orderstatus"]
     assert back.count() == orders.count()
+
+
+def test_jdbc_predicates_split_a_skewed_key(spark):
+    url = f"jdbc:derby:memory:p{uuid.uuid4().hex[:8]};create=true"
+    # a third of the rows share one key
+    spark.sql("SELECT id AS ID, CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS K FROM range(0, 900)") \
+        .write.format("jdbc").option("url", url).option("dbtable", "S").save()
+    preds = [f"MOD(ID, 4) = {i}" for i in range(4)]
+    df = jdbc_source(spark, url, "SELECT ID, K FROM S", predicates=preds)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 900
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) <= 226
+
+
+def test_writers_ignore_max_records_per_file(spark, out):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        df = spark.range(0, 100, numPartitions=1).withColumnRenamed("id", "n")
+        j, c = out("mrj"), out("mrc")
+        export(spark, df=df, fmt="json", output=j)
+        export(spark, df=df, fmt="csv", output=c)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    import glob as _glob
+    import json as _json
+    import os as _os
+
+    jfiles = sorted(_glob.glob(_os.path.join(j.replace("file:", ""), "part-*")))
+    assert len(jfiles) == 1 and len(_json.load(open(jfiles[0]))) == 100
+    assert spark.read.option("header", "true").csv(c).count() == 100
