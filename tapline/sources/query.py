@@ -137,7 +137,18 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
         reader = reader.option("driver", driver)
     for key, value in (options or {}).items():
         reader = reader.option(key, str(value))
-    return normalize_columns(reader.load())
+    return normalize_columns(_load(reader, url))
+
+
+def _load(reader, url: str) -> DataFrame:
+    """Load, turning a driver failure into a :class:`SourceError` with credentials redacted."""
+    from ..functions.values import redact_text
+
+    try:
+        return reader.load()
+    except Exception as exc:  # noqa: BLE001 - py4j wraps the driver's SQLException
+        first = str(exc).strip().splitlines()[0] if str(exc) else type(exc).__name__
+        raise SourceError(f"JDBC query failed on {redact_text(url)}: {redact_text(first)[:300]}") from None
 
 
 def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
