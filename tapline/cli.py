@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.describe:
             for col in describe(spark, sql=args.sql, sql_file=args.sql_file, jdbc=jdbc,
                                 transforms=config).collect():
-                print(f"{col.index}\t{col.output_name}\t{col.type}\tnullable={str(col.nullable).lower()}")
+                print(f"{col['index']}\t{col['output_name']}\t{col['type']}\tnullable={str(col['nullable']).lower()}")
             return EXIT_OK
         result = export(spark, sql=args.sql, sql_file=args.sql_file, jdbc=jdbc, transforms=config,
                         fmt=args.format, output=args.output, max_rows=args.max_rows, overwrite=args.overwrite,
