@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from pyspark import cloudpickle  # noqa: E402
+
 from tapline import build_pipeline, export, scratch_path  # noqa: E402
 from tapline.functions import formula_guard, non_finite_to_null, redact_credentials  # noqa: E402
 from tapline.operators import PandasStep, StepRegistry  # noqa: E402
@@ -31,6 +33,11 @@ from tapline.sinks import parquet_values  # noqa: E402
 from tapline.sources import cap_rows, jdbc_source, query_source, register_tables  # noqa: E402
 from tapline.streaming import read_stream, start_stream_export  # noqa: E402
 
+# Functions defined here run in Python workers (the pandas step); they travel with the task by
+# value, so workers need not find this file on their path.
+if __name__ in sys.modules:  # loaded without a module entry, functions are pickled by value anyway
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
