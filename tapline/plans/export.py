@@ -169,7 +169,9 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
                           metrics, sensitive)
     result.manifest = {"tool": TOOL, "format": fmt, "source": source_label, "output": output,
                        "row_count": rows, "started_at": result.started_at,
-                       "completed_at": result.completed_at, "duration_ms": duration, "columns": columns}
+                       "completed_at": result.completed_at, "duration_ms": duration, "columns": columns,
+                       "jdbc_url": source_label if jdbc is not None else None,
+                       "sql_source": sql_file if sql_file else ("<inline>" if sql is not None else source_label)}
     if metadata_path:
         write_manifest(spark, result.manifest, metadata_path)
     return result
@@ -274,8 +276,48 @@ def manifest_frame(spark: SparkSession, manifest: dict) -> DataFrame:
     return spark.createDataFrame([row], schema)
 
 
+def sidecar_document(manifest: dict) -> dict:
+    """The manifest in the sidecar's JSON layout (field names as the reference writes them)."""
+    return {
+        "tool": manifest.get("tool"),
+        "format": manifest.get("format"),
+        "jdbcUrl": redact_text(manifest.get("jdbc_url")),
+        "sqlSource": manifest.get("sql_source"),
+        "output": manifest.get("output"),
+        "rowCount": manifest.get("row_count"),
+        "startedAt": manifest.get("started_at"),
+        "completedAt": manifest.get("completed_at"),
+        "durationMillis": manifest.get("duration_ms"),
+        "columns": [{"index": c["index"], "jdbcLabel": c["label"], "outputName": c["output_name"],
+                     "jdbcType": c["type"], "nullable": c["nullable"], "precision": c["precision"],
+                     "scale": c["scale"], "sensitive": c["sensitive"]} for c in manifest.get("columns", [])],
+    }
+
+
 def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
-    """Sidecar JSON (one small part file), published only when complete."""
-    frame = manifest_frame(spark, manifest).coalesce(1)
-    with StagedOutput(spark, path, overwrite=True) as stage:
-        frame.write.option("ignoreNullFields", "false").json(stage)
+    """The sidecar: one small pretty-printed JSON file (a few lines per column, never rows).
+
+    Written from the driver through the target's Hadoop ``FileSystem`` into a hidden sibling and
+    renamed over ``path``, so a reader sees the old sidecar or the complete new one.
+    """
+    import json
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    temporary = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex[:12]}.tmp")
+    data = bytearray(json.dumps(sidecar_document(manifest), indent=2, ensure_ascii=False).encode("utf-8"))
+    stream = fs.create(temporary, True)
+    try:
+        stream.write(data)
+    finally:
+        stream.close()
+    try:
+        if fs.exists(target):
+            fs.delete(target, True)
+        if not fs.rename(temporary, target):
+            raise OutputError(f"Could not publish the metadata file {path}.")
+    finally:
+        if fs.exists(temporary):
+            fs.delete(temporary, False)

@@ -196,11 +196,16 @@ def test_overwrite_guard_and_atomic_publish(spark, bookings, out):
 def test_manifest_sidecar(spark, bookings, out):
     path, meta = out("m"), out("meta")
     result = export(spark, df=bookings, fmt="csv", output=path, metadata_path=meta, inline=["mask:booking_id"])
-    doc = json.loads(read_text(meta))
-    assert doc["row_count"] == 3 and doc["format"] == "csv"
-    assert [c["output_name"] for c in doc["columns"]] == bookings.columns
-    assert doc["columns"][0]["sensitive"] is True
+    doc = json.load(open(local(meta)))
+    assert doc["rowCount"] == 3 and doc["format"] == "csv" and doc["sqlSource"] == "dataframe"
+    assert [c["outputName"] for c in doc["columns"]] == bookings.columns
+    assert doc["columns"][0]["sensitive"] is True and doc["columns"][4]["jdbcType"] == "decimal(12,2)"
     assert result.manifest["row_count"] == 3
+    # a JDBC URL in the sidecar never carries its password
+    from tapline.plans.export import sidecar_document
+
+    redacted = sidecar_document({"jdbc_url": "jdbc:postgresql://u:secret@h/db", "columns": []})
+    assert redacted["jdbcUrl"] == "jdbc:postgresql://u:*****@h/db"
 
 
 def test_row_cap_counts_rows_written(spark, out):
