@@ -190,3 +190,20 @@ def test_large_mapping_uses_buckets_and_matches(spark):
     failing = build_pipeline({"errorStrategy": "skipRow", "transforms": [
         {"type": "map", "column": "code", "mapping": mapping, "unmatched": "fail"}]}).apply(df)
     assert failing.count() == 2500
+
+
+def test_builtins_declare_capabilities():
+    from tapline import default_registry
+    from tapline.operators import TransformSpec
+
+    registry = default_registry()
+    changing = [("rename", {"from": "a", "to": "b"}), ("drop", {"columns": ["a"]}), ("keep", {"columns": ["a"]}),
+                ("addStatic", {"fields": {"s": "1"}}), ("template", {"name": "f", "template": "{a}"}),
+                ("expression", {"outputField": "f", "expression": "a"})]
+    for kind, config in changing:
+        assert registry.create(TransformSpec(kind, config)).capabilities.schema_changing, kind
+    in_place = [("mask", {"column": "a"}), ("default", {"column": "a", "value": "x"}),
+                ("map", {"column": "a", "mapping": {"A": "B"}})]
+    for kind, config in in_place:
+        caps = registry.create(TransformSpec(kind, config)).capabilities
+        assert (caps.schema_changing, caps.row_level, caps.deterministic) == (False, True, True), kind
