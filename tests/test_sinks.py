@@ -247,3 +247,39 @@ def test_rebalance_auto(spark, out):
     assert not _under_partitioned(spark, spark.range(0, 1000, numPartitions=64))
     result = export(spark, df=one, fmt="ndjson", output=out("rb"), rebalance="auto")
     assert result.row_count == 1000
+
+
+def test_parquet_types_seen_by_another_reader(spark, out):
+    import duckdb
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Brisbane")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-06-01 12:34:56' AS ts, CAST(580.23 AS DECIMAL(12,2)) AS amount, "
+                       "DATE'2024-06-01' AS d, X'68656c6c6f' AS bin")
+        native, transformed = out("dn"), out("dt")
+        export(spark, df=df, fmt="parquet", output=native)
+        export(spark, df=df, fmt="parquet", output=transformed, inline=["rename:amount=amount2"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    con = duckdb.connect()
+    rel = con.execute(f"SELECT typeof(ts), ts::VARCHAR, typeof(amount), amount::VARCHAR, d::VARCHAR, bin "
+                      f"FROM read_parquet('{local(native)}/*.parquet')").fetchone()
+    assert rel[:5] == ("TIMESTAMP", "2024-06-01 12:34:56", "DECIMAL(12,2)", "580.23", "2024-06-01")
+    assert bytes(rel[5]) == b"hello"
+    rel = con.execute(f"SELECT typeof(ts), ts, typeof(amount2), amount2 FROM read_parquet('{local(transformed)}/*.parquet')"
+                      ).fetchone()
+    assert rel == ("VARCHAR", "2024-06-01T12:34:56", "VARCHAR", "580.23")
+
+
+def test_fast_and_transform_paths_give_the_same_json_values(spark, bookings, out):
+    fast, transformed = out("fast"), out("tr")
+    export(spark, df=bookings, fmt="json", output=fast, single_file=True)
+    export(spark, df=bookings, fmt="json", output=transformed, single_file=True,
+           inline=["rename:attendees=attendee_count"])
+    a = {r["booking_id"]: r for r in json.loads(read_text(fast))}
+    b = {r["booking_id"]: r for r in json.loads(read_text(transformed))}
+    for key, row in a.items():
+        other = dict(b[key])
+        other["attendees"] = other.pop("attendee_count")
+        assert other == row
