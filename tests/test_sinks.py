@@ -283,3 +283,24 @@ def test_fast_and_transform_paths_give_the_same_json_values(spark, bookings, out
         other = dict(b[key])
         other["attendees"] = other.pop("attendee_count")
         assert other == row
+
+
+def test_odd_column_names_through_pipeline_and_sinks(spark, out):
+    df = spark.sql("SELECT 1 AS `a.b`, 'x' AS `we``ird`, 'y' AS `with space`, 'z' AS `naïve`")
+    pipe = ["rename:a.b=a.c", "template:t={with space}-{naïve}", "mask:we`ird"]
+    for fmt in ("csv", "ndjson", "json", "parquet"):
+        path = out("odd")
+        result = export(spark, df=df, fmt=fmt, output=path, inline=pipe, single_file=True)
+        assert result.row_count == 1
+    path = out("odd-nd")
+    export(spark, df=df, fmt="ndjson", output=path, inline=pipe)
+    row = json.loads(read_text(path).splitlines()[0])
+    assert row == {"a.c": 1, "we`ird": "***", "with space": "y", "naïve": "z", "t": "y-z"}
+
+
+def test_empty_result_with_transforms(spark, bookings, out):
+    empty = bookings.where("attendees > 1000")
+    c = out("ect")
+    result = export(spark, df=empty, fmt="csv", output=c, inline=["rename:room_code=room", "mask:booking_id"])
+    assert result.row_count == 0 and result.metrics["rows_in"] == 0
+    assert read_text(c) == "booking_id,room,attendees,cancelled,amount\r\n"
