@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapline import Pipeline, StepRegistry, TransformError, build_pipeline, export, load_config
-from tapline.operators import ColumnStep, PandasStep, RenameStep, StepOutput
+from tapline.operators import ColumnStep, PandasStep, StepOutput
 from tapline.operators.custom import filter_provider, uppercase_provider
 
 FAIL_ON_B202 = {"type": "map", "column": "room_code", "mapping": {"A-101": "A-101"}, "unmatched": "fail"}

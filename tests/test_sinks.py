@@ -8,7 +8,6 @@ import os
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from tapline import OutputError, TransformError, export
 from tapline.sinks import json_objects, json_values
