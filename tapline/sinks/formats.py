@@ -28,21 +28,28 @@ def normalize_format(fmt: str) -> str:
     return value
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def by_position(df: DataFrame) -> tuple[DataFrame, list[T.StructField]]:
+    """The frame with columns renamed ``_p0 .. _pN`` by position, and the original fields.
+
+    Output names may differ only in case (renames can produce ``staffid`` next to ``staffId``);
+    addressing columns by position keeps that legal under case-insensitive name resolution.
+    """
+    fields = list(df.schema.fields)
+    return df.toDF(*[f"_p{i}" for i in range(len(fields))]), fields
 
 
 # ---------------------------------------------------------------------------- JSON
 
 def json_values(df: DataFrame) -> DataFrame:
     """Canonical values for JSON: ISO text for temporals, Base64 for binary, NaN/Inf as null."""
+    work, fields = by_position(df)
     cols = []
-    for sf in df.schema.fields:
-        value, ctype = canonical(F.col(_q(sf.name)), sf.dataType)
+    for i, sf in enumerate(fields):
+        value, ctype = canonical(F.col(f"_p{i}"), sf.dataType)
         if isinstance(ctype, (T.FloatType, T.DoubleType)):
             value = non_finite_to_null(value)
         cols.append(value.alias(sf.name))
-    return df.select(*cols)
+    return work.select(*cols)
 
 
 def _needs_plain_decimals(df: DataFrame) -> bool:
@@ -59,14 +66,15 @@ def json_objects(df: DataFrame, pretty: bool = False) -> DataFrame:
     """One JSON object text per row (column ``value``): columns in order, nulls written,
     decimals in plain notation. ``df`` must already hold JSON values (:func:`json_values`)."""
     opts = _PRETTY_OPTS if pretty else _JSON_OPTS
+    work, fields = by_position(df)
     if not _needs_plain_decimals(df):
-        obj = F.to_json(F.struct(*[F.col(_q(c)) for c in df.columns]), opts)
-        return df.select(obj.alias("value"))
+        obj = F.to_json(F.struct(*[F.col(f"_p{i}").alias(sf.name) for i, sf in enumerate(fields)]), opts)
+        return work.select(obj.alias("value"))
     # Per-column fragments, so high-scale decimals can be printed as plain text.
     frags: list[Column] = []
     sep = ",\n  " if pretty else ","
-    for sf in df.schema.fields:
-        col = F.col(_q(sf.name))
+    for i, sf in enumerate(fields):
+        col = F.col(f"_p{i}")
         if isinstance(sf.dataType, T.DecimalType):
             name_text = F.to_json(F.struct(F.lit(None).cast("string").alias(sf.name)), opts)
             # '{"name":null}' -> '"name":'   /  pretty: '{\n  "name" : null\n}' -> '"name" : '
@@ -78,7 +86,7 @@ def json_objects(df: DataFrame, pretty: bool = False) -> DataFrame:
         frags.append(frag)
     body = F.concat_ws(sep, *frags)
     obj = F.concat(F.lit("{\n  "), body, F.lit("\n}")) if pretty else F.concat(F.lit("{"), body, F.lit("}"))
-    return df.select(obj.alias("value"))
+    return work.select(obj.alias("value"))
 
 
 def _frame_arrays(pretty: bool):
@@ -163,14 +171,15 @@ def ndjson_lines(df: DataFrame) -> DataFrame:
 def delimited_values(df: DataFrame, escape_formulas: bool = False) -> DataFrame:
     """Every column as its canonical text (decimals plain, Java number text, ISO temporals),
     optionally with the spreadsheet formula guard. Nulls stay null for the writer's placeholder."""
+    work, fields = by_position(df)
     cols = []
-    for sf in df.schema.fields:
-        value, _ = canonical(F.col(_q(sf.name)), sf.dataType)
+    for i, sf in enumerate(fields):
+        value, _ = canonical(F.col(f"_p{i}"), sf.dataType)
         text = value.cast("string")
         if escape_formulas:
             text = formula_guard(text)
         cols.append(text.alias(sf.name))
-    return df.select(*cols)
+    return work.select(*cols)
 
 
 # Fixed rules, equal to the reference's CSV library in minimal-quote mode: a cell is quoted when
@@ -202,13 +211,13 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
     The first row of every partition carries the header (and BOM) in front of it, so each part
     file is a complete delimited file; no row is moved between tasks.
     """
-    text = delimited_values(df, escape_formulas)
+    text, _ = by_position(delimited_values(df, escape_formulas))
     pattern = _needs_quotes_pattern(sep)
     cells = []
-    for i, (name, source) in enumerate(zip(text.columns, df.schema.fields)):
-        value = F.col(_q(name))
+    for i, source in enumerate(df.schema.fields):
+        value = F.col(f"_p{i}")
         null_cell = F.lit(quote_cell(null_value, i == 0, sep))
-        _, ctype = canonical(F.col(_q(source.name)), source.dataType)
+        _, ctype = canonical(value, source.dataType)
         if isinstance(ctype, T.StringType):
             quoted = F.concat(F.lit(QUOTE), F.replace(value, F.lit(QUOTE), F.lit(QUOTE * 2)), F.lit(QUOTE))
             needs = value.rlike(pattern)
@@ -256,9 +265,10 @@ def parquet_values(df: DataFrame, canonical_types: bool = False) -> DataFrame:
     if len(set(lowered)) != len(lowered):
         dup = next(n for n in names if lowered.count(n.lower()) > 1)
         raise OutputError(f'Parquet output would hold two fields that differ only in case ("{dup}"); rename one.')
+    work, fields = by_position(df)
     cols = []
-    for sf, name in zip(df.schema.fields, names):
-        col = F.col(_q(sf.name))
+    for i, (sf, name) in enumerate(zip(fields, names)):
+        col = F.col(f"_p{i}")
         if canonical_types:
             col, ctype = canonical(col, sf.dataType)
             if isinstance(ctype, T.DecimalType):
@@ -266,7 +276,7 @@ def parquet_values(df: DataFrame, canonical_types: bool = False) -> DataFrame:
         elif isinstance(sf.dataType, (T.ByteType, T.ShortType)):
             col = col.cast("int")
         cols.append(col.alias(name))
-    return df.select(*cols)
+    return work.select(*cols)
 
 
 def exact_decimal(col: Column, precision: int, scale: int, name: str) -> Column:
@@ -284,14 +294,15 @@ def with_declared_decimals(df: DataFrame, decimals: dict[str, tuple[int, int]] |
     missing = [name for name in decimals if name not in df.columns]
     if missing:
         raise OutputError(f"Declared decimal columns not in the output: {missing}.")
+    work, fields = by_position(df)
     cols = []
-    for name in df.columns:
-        col = F.col(_q(name))
-        if name in decimals:
-            precision, scale = decimals[name]
-            col = exact_decimal(col, precision, scale, name)
-        cols.append(col.alias(name))
-    return df.select(*cols)
+    for i, sf in enumerate(fields):
+        col = F.col(f"_p{i}")
+        if sf.name in decimals:
+            precision, scale = decimals[sf.name]
+            col = exact_decimal(col, precision, scale, sf.name)
+        cols.append(col.alias(sf.name))
+    return work.select(*cols)
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonical_types: bool = False,

@@ -303,3 +303,17 @@ def test_empty_result_with_transforms(spark, bookings, out):
     result = export(spark, df=empty, fmt="csv", output=c, inline=["rename:room_code=room", "mask:booking_id"])
     assert result.row_count == 0 and result.metrics["rows_in"] == 0
     assert read_text(c) == "booking_id,room,attendees,cancelled,amount\r\n"
+
+
+def test_names_differing_only_in_case(spark, out):
+    # the pipeline matches names exactly; text sinks keep both columns, Parquet refuses them
+    df = spark.sql("SELECT 1 AS staffid, 2 AS other")
+    for fmt in ("csv", "ndjson", "json"):
+        path = out("case-" + fmt)
+        export(spark, df=df, fmt=fmt, output=path, inline=["rename:other=staffId"], single_file=True)
+    text = read_text(path)
+    assert json.loads(text) == [{"staffid": 1, "staffId": 2}]
+    from tapline import build_pipeline
+
+    raw = spark.sql("SELECT 1 AS a, 2 AS A")
+    assert build_pipeline(inline=["rename:a=b"]).apply(raw).columns == ["b", "A"]
