@@ -361,6 +361,11 @@ def q_sink_tsv_documents(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "documents", "tsv")
 
 
+def q_sink_json_pages(spark, sf_dir):
+    """Raw HTML pages (quotes, markup, newlines) through pretty JSON arrays and back."""
+    return _roundtrip(spark, sf_dir, "pages", "json", pretty=True)
+
+
 def q_sink_parquet_decimals(spark, sf_dir):
     """Parquet with declared decimal columns: exact rescale, a value needing rounding would fail."""
     _views(spark, sf_dir, "lineitem")
@@ -451,6 +456,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_json_array": q_sink_json_array,
     "sink_csv_texts": q_sink_csv_texts,
     "sink_tsv_documents": q_sink_tsv_documents,
+    "sink_json_pages": q_sink_json_pages,
     "sink_parquet_decimals": q_sink_parquet_decimals,
     "sink_ndjson_transformed": q_sink_ndjson_transformed,
     "jdbc_roundtrip": q_jdbc_roundtrip,
@@ -583,6 +589,7 @@ FROM (SELECT event_type AS step, 'map' AS type, CAST(count(*) AS BIGINT) AS invo
     "sink_json_array": "SELECT * FROM nation",
     "sink_csv_texts": "SELECT * FROM conversations",
     "sink_tsv_documents": "SELECT * FROM documents",
+    "sink_json_pages": "SELECT * FROM pages",
     "sink_parquet_decimals": "SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(15, 2)) AS l_extendedprice, "
                              "CAST(l_discount AS DECIMAL(4, 2)) AS l_discount, "
                              "CAST(l_quantity AS DECIMAL(10, 0)) AS l_quantity FROM lineitem",
