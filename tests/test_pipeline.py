@@ -185,3 +185,21 @@ def test_custom_step_may_copy_a_column(bookings):
     out = Pipeline.of(ColumnStep("copy", fn)).apply(bookings)
     assert out.columns[-1] == "booking_copy"
     assert all(r.booking_id == r.booking_copy for r in out.collect())
+
+
+def test_example_configuration_end_to_end(spark, out):
+    from tapline.plans import load_config_file
+
+    here = os.path.join(os.path.dirname(os.path.dirname(__file__)), "examples", "bookings.transforms.json")
+    df = spark.sql("SELECT * FROM VALUES ('B001', 'A-101', 10, false, CAST(123.45 AS DECIMAL(12,2))), "
+                   "('B002', 'C-303', 15, false, NULL), ('B003', 'B-202', 4, true, NULL) "
+                   "AS t(booking_id, room_code, attendees, cancelled, amount)")
+    result = export(spark, df=df, fmt="ndjson", output=out("example"), transforms=load_config_file(here))
+    assert result.row_count == 2 and result.metrics["rows_dropped_by_error"] == 1
+    assert [s["name"] for s in result.metrics["steps"]][:2] == ["room-name", "drop"]
+    back = {r["summary"]: r for r in spark.read.json(result.output).collect()}
+    assert set(back) == {"Atrium for 10", "Boardroom for 4"}
+    atrium = back["Atrium for 10"]
+    assert (atrium.booking_id, atrium.band, atrium.origin, atrium.schema_version, atrium.amount) == \
+        ("###", "LARGE", "bookings-db", "2", 123.45)
+    assert back["Boardroom for 4"].amount == 0
