@@ -36,6 +36,8 @@ def build_parser() -> argparse.ArgumentParser:
     sql.add_argument("--sql", help="query text")
     sql.add_argument("--sql-file", help="file holding the query text")
     src.add_argument("--tables", help="folder of <name>.parquet files to register as views")
+    src.add_argument("--table", action="append", default=[], metavar="NAME=PATH",
+                     help="register one Parquet file or folder as a view (repeatable)")
     src.add_argument("--url", help="JDBC URL (the query then runs in that database)")
     src.add_argument("--user")
     src.add_argument("--password")
@@ -84,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     from . import describe, export
     from .plans.config import load_config, load_config_file
     from .session import build_session
-    from .sources import register_tables
+    from .sources import register_paths, register_tables
 
     try:
         if args.transforms_file:
@@ -94,6 +96,12 @@ def main(argv: list[str] | None = None) -> int:
         spark = build_session(args.master)
         if args.tables:
             register_tables(spark, args.tables)
+        if args.table:
+            pairs = [t.split("=", 1) for t in args.table]
+            if any(len(p) != 2 or not p[0].strip() for p in pairs):
+                print("--table expects NAME=PATH.", file=sys.stderr)
+                return EXIT_INVALID_ARGUMENTS
+            register_paths(spark, {k.strip(): v for k, v in pairs})
         jdbc = None
         if args.url:
             jdbc = {"url": args.url, "user": args.user, "password": password, "fetch_size": args.fetch_size}

@@ -6,9 +6,10 @@ from .query import (
     jdbc_source,
     normalize_columns,
     query_source,
+    register_paths,
     register_tables,
     sql_text,
 )
 
 __all__ = ["DEFAULT_FETCH_SIZE", "cap_rows", "jdbc_source", "normalize_columns", "query_source",
-           "register_tables", "sql_text"]
+           "register_paths", "register_tables", "sql_text"]

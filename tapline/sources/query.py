@@ -35,6 +35,18 @@ def register_tables(spark: SparkSession, directory: str, names: list[str] | None
     return list(names)
 
 
+def register_paths(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet",
+                   options: dict | None = None) -> list[str]:
+    """Register each ``name -> path`` (a file or a folder of parts, any Spark file format) as a
+    temp view. Partitioned folders keep their partition columns, so filters on them prune files."""
+    for name, path in tables.items():
+        reader = spark.read.format(fmt)
+        for key, value in (options or {}).items():
+            reader = reader.option(key, str(value))
+        reader.load(path).createOrReplaceTempView(name)
+    return list(tables)
+
+
 def sql_text(sql: str | None = None, sql_file: str | None = None) -> str:
     """Exactly one of inline SQL or a SQL file, stripped."""
     if (sql is None) == (sql_file is None):

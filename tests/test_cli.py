@@ -32,3 +32,14 @@ def test_cli_exit_codes(spark, out):
     assert main(["--tables", SF, "--sql", "SELECT * FROM nation", "--format", "csv", "--output", out("c3"),
                  "--transform", "drop:nope"]) == EXIT_TRANSFORM
     assert main(["--sql", "SELECT 1 AS a", "--format", "csv", "--output", out("c4"), "--dry-run"]) == EXIT_OK
+
+
+def test_cli_table_paths(spark, out):
+    path = out("cli-table")
+    code = main(["--table", f"n2={SF}/nation.parquet", "--sql", "SELECT count(*) AS n FROM n2",
+                 "--format", "ndjson", "--output", path, "--single-file"])
+    assert code == EXIT_OK
+    text = open(glob.glob(os.path.join(path.replace("file:", ""), "part-*"))[0]).read()
+    assert text == '{"n":25}\n'
+    assert main(["--table", "oops", "--sql", "SELECT 1", "--format", "csv", "--output", out("x")]) == \
+        EXIT_INVALID_ARGUMENTS
