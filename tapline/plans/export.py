@@ -104,9 +104,14 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            metadata_path: str | None = None, single_file: bool = False,
            rebalance: bool | str = False,
            parquet_decimals: dict[str, tuple[int, int]] | None = None,
-           dry_run: bool = False) -> ExportResult:
+           dry_run: bool = False, staged: bool = True) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
+    ``staged``: write into a hidden sibling and rename it onto ``output`` when complete (the
+    default; a folder rename is cheap on HDFS and local disks). On an object store, where a
+    rename copies every object, pass ``staged=False`` to write straight to ``output`` through
+    Spark's commit protocol (use a committer made for the store).
+
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
     shuffle, partitions sized by AQE); ``"auto"`` does so only for an under-partitioned, unordered
     source (fewer partitions than cores, e.g. one big file with one row group) and never for an
@@ -116,8 +121,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     fmt = normalize_format(fmt)
     # Configuration and pipeline are checked before the source is touched.
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
-    staged = StagedOutput(spark, output, overwrite)
-    staged.check()
+    publisher = StagedOutput(spark, output, overwrite)
+    publisher.check()
 
     _check_sources(sql, sql_file, df, jdbc)
     if dry_run:  # options, configuration and paths are valid; the source is not touched
@@ -143,10 +148,16 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     started = datetime.now(timezone.utc)
     t0 = time.monotonic()
     try:
-        with staged as stage:
-            _write(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
+        if staged:
+            with publisher as stage:
+                _write(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
+                       escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
+                       single_file=single_file, decimals=parquet_decimals)
+        else:
+            _write(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
                    escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
-                   single_file=single_file, decimals=parquet_decimals)
+                   single_file=single_file, decimals=parquet_decimals,
+                   mode="overwrite" if overwrite else "errorifexists")
     except PySparkException as exc:
         raise _job_error(exc) from None
     except Exception as exc:  # py4j errors from the JVM
@@ -223,17 +234,17 @@ def _under_partitioned(spark: SparkSession, df: DataFrame) -> bool:
 
 def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
            escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool,
-           decimals: dict | None = None) -> None:
+           decimals: dict | None = None, mode: str = "errorifexists") -> None:
     if fmt == "parquet":
         write_parquet(data, path, compression, canonical_types=transformed, single_file=single_file,
-                      decimals=decimals)
+                      decimals=decimals, mode=mode)
     elif fmt == "ndjson":
-        write_text_lines(ndjson_lines(data), path, single_file)
+        write_text_lines(ndjson_lines(data), path, single_file, mode=mode)
     elif fmt == "json":
-        write_json_array(data, path, pretty, single_file)
+        write_json_array(data, path, pretty, single_file, mode=mode)
     else:
         write_delimited(data, path, sep="," if fmt == "csv" else "\t", header=header, null_value=null_value,
-                        escape_formulas=escape_formulas, bom=bom, single_file=single_file)
+                        escape_formulas=escape_formulas, bom=bom, single_file=single_file, mode=mode)
 
 
 _MARKER = re.compile(FAIL_MARKER + r": (Transform \"[^\"]*\" failed: [^\n]*?\.)(?=\s|$|\")")

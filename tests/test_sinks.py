@@ -318,3 +318,12 @@ def test_names_differing_only_in_case(spark, out):
 
     raw = spark.sql("SELECT 1 AS a, 2 AS A")
     assert build_pipeline(inline=["rename:a=b"]).apply(raw).columns == ["b", "A"]
+
+
+def test_direct_write_without_staging(spark, bookings, out):
+    path = out("direct")
+    assert export(spark, df=bookings, fmt="ndjson", output=path, staged=False).row_count == 3
+    with pytest.raises(OutputError, match="already exists"):
+        export(spark, df=bookings, fmt="ndjson", output=path, staged=False)
+    export(spark, df=bookings.limit(1), fmt="csv", output=path, staged=False, overwrite=True)
+    assert len(read_text(path).splitlines()) == 2
