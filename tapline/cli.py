@@ -56,6 +56,8 @@ def build_parser() -> argparse.ArgumentParser:
     out.add_argument("--bom", action="store_true")
     out.add_argument("--parquet-compression", default="SNAPPY")
     out.add_argument("--single-file", action="store_true", help="coalesce a small result into one part")
+    out.add_argument("--direct-write", action="store_true",
+                     help="write straight to --output (object stores) instead of staging and renaming")
     tr = p.add_argument_group("transforms")
     tr.add_argument("--transform", action="append", default=[], help="inline step, e.g. rename:a=b")
     tr.add_argument("--transforms-file")
@@ -115,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
                         header=args.include_header, null_value=args.null_value,
                         escape_formulas=args.escape_formulas, bom=args.bom, pretty=args.pretty,
                         compression=args.parquet_compression, metadata_path=args.metadata,
-                        single_file=args.single_file, dry_run=args.dry_run)
+                        single_file=args.single_file, dry_run=args.dry_run, staged=not args.direct_write)
         print(json.dumps({"output": result.output, "format": result.format, "rows": result.row_count,
                           "dry_run": result.dry_run, "summary": result.summary()}))
         return EXIT_OK
