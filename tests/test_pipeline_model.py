@@ -9,7 +9,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tapline import TransformError, build_pipeline
+from tapline import StepRegistry, TransformError, build_pipeline, load_config
+from tapline.operators.custom import filter_provider
 
 VALUES = ["x", "y", "z"]
 
@@ -52,6 +53,10 @@ def model(rows, columns, steps, strategy):
             elif kind == "template":
                 parts = step["parts"]
                 cur[step["name"]] = "".join(text(cur[p]) or "" if is_col else p for p, is_col in parts)
+            elif kind == "filter":  # keep rows whose column is not null
+                if cur[step["column"]] is None:
+                    failed = "filtered"
+                    break
             elif kind == "map":
                 value = cur[step["column"]]
                 if value is None:
@@ -66,6 +71,8 @@ def model(rows, columns, steps, strategy):
                     break
                 else:
                     cur[step["column"]] = key
+        if failed == "filtered":
+            continue
         if failed:
             if strategy == "fail":
                 raise AssertionError("fail")
@@ -83,8 +90,8 @@ def pipelines(draw):
     live = list(columns)
     strategy = draw(st.sampled_from(["fail", "skipRow", "keepOriginal"]))
     configs = []
-    kinds = ["map", "default", "drop"] if strategy == "keepOriginal" else \
-        ["map", "default", "drop", "mask", "template", "rename"]
+    kinds = ["map", "default", "drop", "filter"] if strategy == "keepOriginal" else \
+        ["map", "default", "drop", "mask", "template", "rename", "filter"]
     for i in range(draw(st.integers(1, 4))):
         kind = draw(st.sampled_from(kinds))
         if kind in ("drop",) and len(live) < 2:
@@ -104,6 +111,8 @@ def pipelines(draw):
             live.remove(col)
         elif kind == "mask":
             step = {"type": "mask", "column": col}
+        elif kind == "filter":
+            step = {"type": "filter", "condition": f"`{col}` IS NOT NULL", "column": col}
         elif kind == "template":
             name = f"t{i}"
             step = {"type": "template", "name": name, "template": "{" + col + "}/" + "{" + live[0] + "}"}
@@ -159,7 +168,8 @@ def test_random_pipelines_match_the_model(spark, data, pipeline):
         should_fail = False
     except AssertionError:
         should_fail = True
-    planned = build_pipeline({"errorStrategy": strategy, "transforms": configs}).plan(df)
+    registry = StepRegistry({"filter": filter_provider})
+    planned = registry.build(load_config({"errorStrategy": strategy, "transforms": configs})).plan(df)
     if should_fail:
         with pytest.raises(Exception, match="TAPLINE_ROW_FAILURE"):
             planned.df.collect()
