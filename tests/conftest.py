@@ -17,8 +17,20 @@ def spark():
 
 @pytest.fixture
 def out(spark):
-    """A fresh output path under the session's shared folder."""
-    return lambda label="out": scratch_path(spark, label)
+    """Fresh output paths under the session's shared folder, removed after the test."""
+    made = []
+
+    def make(label="out"):
+        path = scratch_path(spark, label)
+        made.append(path)
+        return path
+
+    yield make
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
 
 
 BOOKINGS_SQL = """
