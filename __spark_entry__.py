@@ -167,6 +167,28 @@ def q_expression(spark, sf_dir):
     return p.apply(src)
 
 
+def q_labels_join_map(spark, sf_dir):
+    """A join in the user's SQL (documents with their labels), then map + template + drop."""
+    _views(spark, sf_dir, "documents", "labels")
+    src = query_source(spark, "SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic "
+                              "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+    p = build_pipeline({"transforms": [
+        {"type": "map", "column": "quality", "mapping": {"0": "low", "1": "high"}, "unmatched": "fail"},
+        {"type": "map", "column": "toxic", "mapping": {"1": "flagged"}, "unmatched": "default", "default": "clean"},
+        {"type": "template", "name": "tag", "template": "{lang}:{quality}:{toxic}"},
+        {"type": "drop", "columns": ["source"]}]})
+    return p.apply(src)
+
+
+def q_embeddings_keep(spark, sf_dir):
+    """Embedding vectors: their size from SQL, then keep/rename/addStatic/template."""
+    _views(spark, sf_dir, "embeddings")
+    src = query_source(spark, "SELECT vec_id, label, size(embedding) AS dims, embedding FROM embeddings")
+    p = build_pipeline(inline=["keep:vec_id,label,dims", "rename:label=class_id", "addStatic:model=v1",
+                               "template:key={vec_id}#{class_id}"])
+    return p.apply(src)
+
+
 def q_canonical_events(spark, sf_dir):
     _views(spark, sf_dir, "events")
     src = query_source(spark, "SELECT event_id, ts, event_type FROM events")
@@ -432,6 +454,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mask": q_mask,
     "template": q_template,
     "expression": q_expression,
+    "labels_join_map": q_labels_join_map,
+    "embeddings_keep": q_embeddings_keep,
     "canonical_events": q_canonical_events,
     "canonical_orders": q_canonical_orders,
     "redact": q_redact,
@@ -527,6 +551,16 @@ FROM orders""",
                   "o_orderpriority || ' / ' || o_orderstatus AS summary, "
                   "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS state, "
                   "CAST(o_orderkey * 10 AS VARCHAR) AS key_text FROM orders",
+    "labels_join_map": """
+SELECT d.doc_id, d.lang,
+  CASE CAST(l.quality AS VARCHAR) WHEN '0' THEN 'low' WHEN '1' THEN 'high' END AS quality,
+  CASE WHEN l.toxic IS NULL THEN NULL WHEN CAST(l.toxic AS VARCHAR) = '1' THEN 'flagged' ELSE 'clean' END AS toxic,
+  coalesce(d.lang, '') || ':' || coalesce(CASE CAST(l.quality AS VARCHAR) WHEN '0' THEN 'low' WHEN '1' THEN 'high' END, '')
+    || ':' || coalesce(CASE WHEN l.toxic IS NULL THEN NULL WHEN CAST(l.toxic AS VARCHAR) = '1' THEN 'flagged'
+                            ELSE 'clean' END, '') AS tag
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+    "embeddings_keep": "SELECT vec_id, label AS class_id, CAST(len(embedding) AS INTEGER) AS dims, 'v1' AS model, "
+                       "CAST(vec_id AS VARCHAR) || '#' || coalesce(CAST(label AS VARCHAR), '') AS key FROM embeddings",
     "canonical_events": f"SELECT event_id, {_iso('ts')} AS ts, event_type FROM events",
     "canonical_orders": f"SELECT o_orderkey, {_iso('o_orderdate')} AS order_ts, "
                         "strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders",
