@@ -235,7 +235,7 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
         # the lower 33 bits of the id count rows within the partition
         first_in_part = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))) == F.lit(0)
         line = F.when(first_in_part, F.concat(F.lit(lead), line)).otherwise(line)
-    return text.select(line.alias("value")), (BOM if bom else "") + (head if head is not None else "")
+    return text.select(line.alias("value")), ((BOM if bom else "") + head if head is not None else "")
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, null_value: str = "",

@@ -327,3 +327,10 @@ def test_direct_write_without_staging(spark, bookings, out):
         export(spark, df=bookings, fmt="ndjson", output=path, staged=False)
     export(spark, df=bookings.limit(1), fmt="csv", output=path, staged=False, overwrite=True)
     assert len(read_text(path).splitlines()) == 2
+
+
+def test_empty_result_without_header_writes_no_lines(spark, out):
+    empty = spark.sql("SELECT 'x' AS a WHERE 1 = 0")
+    path = out("nohdr")
+    export(spark, df=empty, fmt="csv", output=path, header=False, bom=True)
+    assert read_text(path) == ""
