@@ -247,7 +247,7 @@ def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: b
                         escape_formulas=escape_formulas, bom=bom, single_file=single_file, mode=mode)
 
 
-_MARKER = re.compile(FAIL_MARKER + r": (Transform \"[^\"]*\" failed: [^\n]*?\.)(?=\s|$|\")")
+_MARKER = re.compile(FAIL_MARKER + r": (Transform \"[^\"]*\" failed[^\n]*?\.)(?=\s|$|\")")
 
 
 def _job_error(exc: Exception) -> TaplineError:

@@ -45,7 +45,7 @@ def test_fail_aborts_without_row_values(bookings):
     with pytest.raises(Exception) as info:
         p.apply(bookings).collect()
     text = str(info.value)
-    assert 'Transform "map" failed' in text
+    assert 'Transform "map" failed at row ' in text and " of part " in text
     assert "B-202" not in text.split("Transform")[1].split("\n")[0]
 
 
