@@ -134,3 +134,15 @@ def test_writers_ignore_max_records_per_file(spark, out):
     jfiles = sorted(_glob.glob(_os.path.join(j.replace("file:", ""), "part-*")))
     assert len(jfiles) == 1 and len(_json.load(open(jfiles[0]))) == 100
     assert spark.read.option("header", "true").csv(c).count() == 100
+
+
+def test_stream_with_fail_strategy_and_failing_capable_step(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    stream = read_stream(spark, SF, orders.schema, glob_filter="orders.parquet")
+    pipeline = build_pipeline({"errorStrategy": "fail", "transforms": [
+        {"type": "keep", "columns": ["o_orderkey", "o_orderstatus"]},
+        {"type": "map", "column": "o_orderstatus", "mapping": {"F": "F", "O": "O", "P": "P"}, "unmatched": "fail"}]})
+    target = scratch_path(spark, "stream-fail")
+    query = start_stream_export(stream, pipeline, "parquet", target, checkpoint=scratch_path(spark, "ckpt-fail"))
+    query.awaitTermination()
+    assert spark.read.parquet(target).count() == orders.count()
