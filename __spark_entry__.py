@@ -234,6 +234,8 @@ def q_output_names(spark, sf_dir):
 
 
 def q_row_cap(spark, sf_dir):
+    """The row cap itself (max rows read, before transforms) is the operator under test: the
+    first 100 orders of an ORDERED query, then a map."""
     _views(spark, sf_dir, "orders")
     src = query_source(spark, "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey")
     return build_pipeline(inline=["map:o_orderstatus=F>Finished"]).apply(cap_rows(src, 100))
