@@ -29,12 +29,22 @@ def register_tables(spark: SparkSession, directory: str, names: list[str] | None
     table still scans only those two (column pruning and filter pushdown reach the scan).
     """
     if names is None:
-        names = sorted(f[:-len(".parquet")] for f in os.listdir(directory) if f.endswith(".parquet"))
+        names = sorted(f[:-len(".parquet")] for f in _list_names(spark, directory) if f.endswith(".parquet"))
     for name in names:
         spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
     return list(names)
 
 
+def _list_names(spark: SparkSession, directory: str) -> list[str]:
+    """Entry names in a folder: local listing, or the Hadoop FileSystem for hdfs://, s3a://, ..."""
+    if "://" not in directory and not directory.startswith("file:"):
+        return os.listdir(directory)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(path)]
+
+
 def register_paths(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet",
                    options: dict | None = None) -> list[str]:
     """Register each ``name -> path`` (a file or a folder of parts, any Spark file format) as a
