@@ -143,8 +143,23 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
         return normalize_columns(spark.read.jdbc(url, f"({text}) tapline_q", predicates=list(predicates),
                                                  properties=props))
     if partition_column:
-        if lower_bound is None or upper_bound is None or not num_partitions:
-            raise SourceError("A partitioned JDBC read needs lower_bound, upper_bound and num_partitions.")
+        if not num_partitions:
+            raise SourceError("A partitioned JDBC read needs num_partitions.")
+        if lower_bound is None or upper_bound is None:
+            # one small query on the database: the column's range (a single row)
+            bounds = (spark.read.format("jdbc").option("url", url)
+                      .option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
+                                       f"FROM ({text}) tapline_bounds"))
+            for key, value in (("user", user), ("password", password), ("driver", driver),
+                               ("sessionInitStatement", session_init)):
+                if value is not None:
+                    bounds = bounds.option(key, value)
+            lo, hi = _load(bounds, url).collect()[0]
+            if lo is None:  # empty result: any range reads nothing
+                lo, hi = 0, 1
+            lower_bound = lower_bound if lower_bound is not None else lo
+            if upper_bound is None:  # the upper bound is exclusive for whole numbers
+                upper_bound = hi + 1 if isinstance(hi, int) else hi
         reader = (reader.option("dbtable", f"({text}) tapline_q")
                   .option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))

@@ -146,3 +146,13 @@ def test_stream_with_fail_strategy_and_failing_capable_step(spark):
     query = start_stream_export(stream, pipeline, "parquet", target, checkpoint=scratch_path(spark, "ckpt-fail"))
     query.awaitTermination()
     assert spark.read.parquet(target).count() == orders.count()
+
+
+def test_jdbc_bounds_found_automatically(spark):
+    url = f"jdbc:derby:memory:b{uuid.uuid4().hex[:8]};create=true"
+    spark.range(100, 600).select(F.col("id").alias("ID")).write.format("jdbc").option("url", url) \
+        .option("dbtable", "B").save()
+    df = jdbc_source(spark, url, "SELECT ID FROM B", partition_column="ID", num_partitions=5)
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 500
+    sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes == [100] * 5
