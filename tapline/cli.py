@@ -43,6 +43,8 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--password")
     src.add_argument("--password-env", help="environment variable holding the password")
     src.add_argument("--fetch-size", type=int, default=1000)
+    src.add_argument("--partition-column", help="JDBC: read in parallel ranges of this numeric/date column")
+    src.add_argument("--num-partitions", type=int, help="JDBC: number of parallel range reads")
     src.add_argument("--max-rows", type=int)
     out = p.add_argument_group("output")
     out.add_argument("--format", choices=["json", "ndjson", "csv", "tsv", "parquet"], type=str.lower)
@@ -107,6 +109,8 @@ def main(argv: list[str] | None = None) -> int:
         jdbc = None
         if args.url:
             jdbc = {"url": args.url, "user": args.user, "password": password, "fetch_size": args.fetch_size}
+            if args.partition_column:
+                jdbc.update(partition_column=args.partition_column, num_partitions=args.num_partitions or 8)
         if args.describe:
             for col in describe(spark, sql=args.sql, sql_file=args.sql_file, jdbc=jdbc,
                                 transforms=config).collect():

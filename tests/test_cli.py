@@ -43,3 +43,14 @@ def test_cli_table_paths(spark, out):
     assert text == '{"n":25}\n'
     assert main(["--table", "oops", "--sql", "SELECT 1", "--format", "csv", "--output", out("x")]) == \
         EXIT_INVALID_ARGUMENTS
+
+
+def test_cli_jdbc_partitioned(spark, out):
+    import uuid
+
+    url = f"jdbc:derby:memory:c{uuid.uuid4().hex[:8]};create=true"
+    spark.range(0, 50).selectExpr("id AS ID").write.format("jdbc").option("url", url).option("dbtable", "T").save()
+    path = out("cli-jdbc")
+    assert main(["--url", url, "--sql", "SELECT ID FROM T", "--partition-column", "ID", "--num-partitions", "3",
+                 "--format", "ndjson", "--output", path]) == EXIT_OK
+    assert spark.read.json(path).count() == 50
