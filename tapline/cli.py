@@ -30,6 +30,7 @@ EXIT_UNEXPECTED = 99
 
 
 def build_parser() -> argparse.ArgumentParser:
+    """The command-line options."""
     p = argparse.ArgumentParser(prog="tapline", description="Export a query result to a file, as a Spark job.")
     src = p.add_argument_group("source")
     sql = src.add_mutually_exclusive_group(required=True)
@@ -72,6 +73,7 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run one export (or describe) and return the process exit code."""
     parser = build_parser()
     try:
         args = parser.parse_args(argv)

@@ -84,6 +84,7 @@ def iso_timestamp_utc(col: Column) -> Column:
 
 
 def iso_date(col: Column) -> Column:
+    """``DATE`` as ``yyyy-MM-dd``."""
     return F.date_format(col, "yyyy-MM-dd")
 
 

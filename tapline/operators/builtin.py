@@ -18,6 +18,8 @@ from .spec import TransformSpec
 
 
 class RenameStep(Step):
+    """``from`` -> ``to``, keeping the position; the target must not exist unless equal."""
+
     type_name = "rename"
     capabilities = COLUMN_CHANGING
 
@@ -37,6 +39,8 @@ class RenameStep(Step):
 
 
 class DropStep(Step):
+    """Remove the listed columns; each must exist."""
+
     type_name = "drop"
     capabilities = COLUMN_CHANGING
 
@@ -55,6 +59,8 @@ class DropStep(Step):
 
 
 class KeepStep(Step):
+    """Keep only the listed columns, in the listed order; a name may appear once."""
+
     type_name = "keep"
     capabilities = COLUMN_CHANGING
 
@@ -78,6 +84,8 @@ class KeepStep(Step):
 
 
 class AddStaticStep(Step):
+    """Append constant string columns (a value may be null); names must be new."""
+
     type_name = "addStatic"
     capabilities = COLUMN_CHANGING
 
@@ -145,6 +153,8 @@ def parse_literal(literal: str, dtype: T.DataType, step_type: str, column: str):
 
 
 class DefaultStep(Step):
+    """Fill nulls with a literal parsed for the column's type before any row is read."""
+
     type_name = "default"
 
     def __init__(self, column: str, value: str):
@@ -166,6 +176,8 @@ UNMATCHED_MODES = ("keep", "default", "fail")
 
 
 class MapStep(Step):
+    """Look up the value's text form; unmatched values are kept, defaulted or failed."""
+
     type_name = "map"
 
     def __init__(self, column: str, mapping: dict[str, str | None], unmatched: str = "keep",
@@ -238,6 +250,8 @@ def _lookup_map(mapping: dict[str, str | None], key):
 
 
 class MaskStep(Step):
+    """Replace non-null values with a token; the columns are marked sensitive."""
+
     type_name = "mask"
 
     def __init__(self, columns: list[str], mask: str = "***"):
@@ -282,6 +296,8 @@ def template_parts(template: str) -> list[tuple[str, bool]]:
 
 
 class TemplateStep(Step):
+    """Append a text column rendered from ``{column}`` placeholders (null renders empty)."""
+
     type_name = "template"
     capabilities = COLUMN_CHANGING
 

@@ -13,6 +13,8 @@ Factory = Callable[[TransformSpec], Step]
 
 
 class StepRegistry:
+    """Step types by name: the built-ins plus custom factories (``spec -> Step``)."""
+
     def __init__(self, providers: dict[str, Factory] | None = None):
         self._factories: dict[str, Factory] = dict(BUILTIN_FACTORIES)
         for kind, factory in (providers or {}).items():
@@ -53,4 +55,5 @@ class StepRegistry:
 
 
 def default_registry() -> StepRegistry:
+    """A registry with the built-in step types only."""
     return StepRegistry()

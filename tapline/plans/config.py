@@ -20,6 +20,8 @@ from .pipeline import error_strategy_from_config
 
 @dataclass
 class TransformConfig:
+    """Ordered step specs, the error strategy and the optional output contract."""
+
     specs: list[TransformSpec] = field(default_factory=list)
     error_strategy: str = "fail"
     contract: OutputContract | None = None
@@ -58,6 +60,7 @@ def load_config(document=None, inline: list[str] | tuple[str, ...] = (),
 
 
 def load_config_file(path: str, inline=(), error_strategy: str | None = None) -> TransformConfig:
+    """A config from a JSON file, then inline specs; ``error_strategy`` overrides the file's."""
     try:
         with open(path, encoding="utf-8") as handle:
             text = handle.read()
@@ -78,6 +81,7 @@ def _pair(args: str, raw: str) -> tuple[str, str]:
 
 
 def parse_inline(raw: str) -> TransformSpec:
+    """One inline shorthand spec, e.g. ``rename:a=b`` or ``map:c=A>X,B>Y``."""
     colon = raw.find(":")
     if colon < 0:
         raise TransformError(f'Invalid --transform "{raw}"; expected <type>:<args>.')

@@ -9,6 +9,8 @@ from ..errors import TransformError
 
 @dataclass(frozen=True)
 class OutputContract:
+    """Fields the final schema must hold; with ``fail_on_unknown_fields`` also the only ones allowed."""
+
     required_fields: tuple[str, ...] = ()
     optional_fields: tuple[str, ...] = ()
     fail_on_unknown_fields: bool = False

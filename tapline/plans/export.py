@@ -37,6 +37,8 @@ TOOL = "tapline"
 
 @dataclass
 class ExportResult:
+    """What an export wrote: rows, columns, timings, pipeline counters and the manifest."""
+
     output: str
     format: str
     row_count: int

@@ -22,6 +22,7 @@ BOM = "\ufeff"
 
 
 def normalize_format(fmt: str) -> str:
+    """The format name in lower case; unknown formats are an error."""
     value = str(fmt).strip().lower()
     if value not in FORMATS:
         raise OutputError(f'Unknown format "{fmt}". Valid formats: {", ".join(FORMATS)}.')
@@ -163,6 +164,7 @@ def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file
 
 
 def ndjson_lines(df: DataFrame) -> DataFrame:
+    """One JSON object text per row (column ``value``) with JSON value rules applied."""
     return json_objects(json_values(df), pretty=False)
 
 
@@ -308,6 +310,7 @@ def with_declared_decimals(df: DataFrame, decimals: dict[str, tuple[int, int]] |
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonical_types: bool = False,
                   single_file: bool = False, mode: str = "errorifexists",
                   decimals: dict[str, tuple[int, int]] | None = None) -> None:
+    """Parquet with sanitised field names, micro-second timestamps and the chosen codec."""
     codec = COMPRESSIONS.get(str(compression).strip().lower())
     if codec is None:
         raise OutputError(f'Unknown compression "{compression}". Valid: SNAPPY, GZIP, ZSTD, UNCOMPRESSED.')
@@ -329,6 +332,7 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonic
 
 def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists",
                      compression: str | None = None) -> None:
+    """Write a one-string-column DataFrame as text lines."""
     if single_file:
         lines = lines.coalesce(1)
     writer = lines.write.mode(mode)
