@@ -84,8 +84,8 @@ def iso_timestamp_utc(col: Column) -> Column:
 
 
 def iso_date(col: Column) -> Column:
-    """``DATE`` as ``yyyy-MM-dd``."""
-    return F.date_format(col, "yyyy-MM-dd")
+    """``DATE`` as ``yyyy-MM-dd`` (a zone-free cast; no timestamp is involved)."""
+    return col.cast("string")
 
 
 def iso_time(col: Column) -> Column:
