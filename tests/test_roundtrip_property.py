@@ -37,3 +37,15 @@ def test_text_round_trips(spark, out, rows):
     export(spark, df=df, fmt="ndjson", output=path)
     lines = [json.loads(line) for line in _read(path).split("\n") if line]
     assert {r["id"]: (r["a"], r["b"]) for r in lines} == {i: (a, b) for i, a, b in data}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(TEXT, min_size=1, max_size=60))
+def test_header_and_data_cells_quote_alike(spark, values):
+    from tapline.sinks.formats import delimited_lines, quote_cell
+
+    for sep in (",", "\t"):
+        df = spark.createDataFrame([(v, v) for v in values], "a string, b string")
+        lines, _ = delimited_lines(df, sep=sep, header=False)
+        got = [r.value for r in lines.collect()]
+        assert got == [quote_cell(v, True, sep) + sep + quote_cell(v, False, sep) for v in values]
