@@ -54,6 +54,15 @@ def _remove(spark, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _scale(sf_dir: str):
+    """The scale factor from a folder named like ``sf0.1`` (the name itself if it is not one)."""
+    name = os.path.basename(sf_dir)
+    try:
+        return float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -110,7 +119,7 @@ def main() -> None:
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "export_total_seconds", "value": total, "unit": "sec", "queries": timings,
-                      "sf": os.path.basename(sf_dir).replace("sf", ""), "lineitem_rows": rows,
+                      "sf": _scale(sf_dir), "lineitem_rows": rows,
                       "cpus": int(cpus)}))
     spark.stop()
 
