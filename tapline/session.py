@@ -46,16 +46,19 @@ def build_session(master: str | None = None, app_name: str = "tapline",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a folder under the system temp dir is chosen and
-    recorded in the session, so every later call agrees on it.
+    Read from the session's configuration, else from the context's checkpoint folder. Only when
+    neither is set (local tests) a folder under the system temp dir is made and registered as the
+    context's checkpoint folder, so every later call agrees on it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tapline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    local = tempfile.mkdtemp(prefix="tapline-")
+    spark.sparkContext.setCheckpointDir(local)
+    return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
