@@ -54,3 +54,17 @@ def test_cli_jdbc_partitioned(spark, out):
     assert main(["--url", url, "--sql", "SELECT ID FROM T", "--partition-column", "ID", "--num-partitions", "3",
                  "--format", "ndjson", "--output", path]) == EXIT_OK
     assert spark.read.json(path).count() == 50
+
+
+def test_cli_sql_file_and_metadata(spark, out, tmp_path):
+    import json
+
+    sql = tmp_path / "q.sql"
+    sql.write_text("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1;\n")
+    path, meta = out("cli-file"), out("cli-meta")
+    assert main(["--tables", SF, "--sql-file", str(sql), "--format", "tsv", "--output", path,
+                 "--metadata", meta, "--no-include-header"]) == EXIT_OK
+    doc = json.load(open(meta.replace("file:", "")))
+    assert doc["sqlSource"] == str(sql) and doc["rowCount"] == 5 and doc["format"] == "tsv"
+    text = "".join(open(p, newline="").read() for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*")))
+    assert text.count("\r\n") == 5 and not text.startswith("n_nationkey")
