@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..errors import SourceError, TransformError
 
 
@@ -25,36 +27,19 @@ def normalized_names(labels: list[str]) -> list[str]:
     return names
 
 
-def _ascii_letter(ch: str) -> bool:
-    return ("a" <= ch <= "z") or ("A" <= ch <= "Z")
-
-
-def _ascii_digit(ch: str) -> bool:
-    return "0" <= ch <= "9"
+_NOT_NAME_CHAR = re.compile(r"[^A-Za-z0-9_]")
 
 
 def sanitize_field_name(name: str | None) -> str:
     """A name valid as ``[A-Za-z_][A-Za-z0-9_]*``.
 
-    Any other character becomes ``_``; a leading digit keeps its digit behind an added ``_``;
-    a blank name becomes ``_column``.
+    Any other character becomes ``_``; a name that then starts with a digit gets a leading
+    ``_``; a blank name becomes ``_column``.
     """
     if name is None or not name.strip():
         return "_column"
-    out: list[str] = []
-    for i, ch in enumerate(name):
-        if i == 0:
-            if _ascii_letter(ch) or ch == "_":
-                out.append(ch)
-            else:
-                out.append("_")
-                if _ascii_digit(ch):
-                    out.append(ch)
-        elif _ascii_letter(ch) or _ascii_digit(ch) or ch == "_":
-            out.append(ch)
-        else:
-            out.append("_")
-    return "".join(out) or "_column"
+    clean = _NOT_NAME_CHAR.sub("_", name)
+    return "_" + clean if clean[0] in "0123456789" else clean
 
 
 def sanitized_names(names: list[str]) -> list[str]:
