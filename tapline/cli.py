@@ -114,9 +114,12 @@ def main(argv: list[str] | None = None) -> int:
             if args.partition_column:
                 jdbc.update(partition_column=args.partition_column, num_partitions=args.num_partitions or 8)
         if args.describe:
+            # Fixed layout, as the reference prints it (the type column holds Spark types here).
+            print("Columns:")
             for col in describe(spark, sql=args.sql, sql_file=args.sql_file, jdbc=jdbc,
                                 transforms=config).collect():
-                print(f"{col['index']}\t{col['output_name']}\t{col['type']}\tnullable={str(col['nullable']).lower()}")
+                print(f"  {col['index']}. {col['label']:<20} type {col['type']:<15} "
+                      f"nullable={str(col['nullable']).lower():<5} output={col['output_name']}")
             return EXIT_OK
         result = export(spark, sql=args.sql, sql_file=args.sql_file, jdbc=jdbc, transforms=config,
                         fmt=args.format, output=args.output, max_rows=args.max_rows, overwrite=args.overwrite,

@@ -18,7 +18,8 @@ def test_cli_export_and_describe(spark, out, capsys):
     assert text.startswith("n_nationkey,name\r\n0,***\r\n")
     code = main(["--tables", SF, "--sql", "SELECT n_nationkey FROM nation", "--describe"])
     assert code == EXIT_OK
-    assert "1\tn_nationkey\tint" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "Columns:\n  1. n_nationkey          type int             nullable=true  output=n_nationkey" in printed
 
 
 def test_cli_exit_codes(spark, out):
