@@ -11,7 +11,6 @@ Spark application; the rows are read, transformed and written by the cluster.
 from __future__ import annotations
 
 import argparse
-import json
 import os
 import sys
 
@@ -69,6 +68,7 @@ def build_parser() -> argparse.ArgumentParser:
     run.add_argument("--dry-run", action="store_true", help="validate without reading or writing")
     run.add_argument("--describe", action="store_true", help="print the output columns instead")
     run.add_argument("--master", help="Spark master (default: from spark-submit)")
+    run.add_argument("--verbose", action="store_true", help="print extra progress information")
     return p
 
 
@@ -127,23 +127,30 @@ def main(argv: list[str] | None = None) -> int:
                         escape_formulas=args.escape_formulas, bom=args.bom, pretty=args.pretty,
                         compression=args.parquet_compression, metadata_path=args.metadata,
                         single_file=args.single_file, dry_run=args.dry_run, staged=not args.direct_write)
-        print(json.dumps({"output": result.output, "format": result.format, "rows": result.row_count,
-                          "dry_run": result.dry_run, "summary": result.summary()}))
+        # Fixed messages, as the reference prints them.
+        if result.dry_run:
+            print("Dry run complete. All options are valid.")
+            return EXIT_OK
+        if args.verbose:
+            print(f"Exported {result.row_count} rows in {result.duration_ms} ms")
+        print(f"Export complete: {result.row_count} rows -> {result.output}")
+        if result.metrics:
+            print(result.summary())
         return EXIT_OK
     except TransformError as exc:
-        print(str(exc), file=sys.stderr)
+        print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_TRANSFORM
     except SourceError as exc:
-        print(str(exc), file=sys.stderr)
+        print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_DATABASE if args.url else EXIT_SQL_INPUT
     except OutputError as exc:
-        print(str(exc), file=sys.stderr)
+        print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_UNSUPPORTED_FORMAT if "Unknown" in str(exc) else EXIT_OUTPUT_WRITE
     except TaplineError as exc:
-        print(str(exc), file=sys.stderr)
+        print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_INVALID_ARGUMENTS
     except Exception as exc:  # noqa: BLE001 - the last resort keeps row values out of the message
-        print(f"Unexpected error: {type(exc).__name__}", file=sys.stderr)
+        print(f"UNEXPECTED ERROR: {type(exc).__name__}", file=sys.stderr)
         return EXIT_UNEXPECTED
 
 

@@ -69,3 +69,17 @@ def test_cli_sql_file_and_metadata(spark, out, tmp_path):
     assert doc["sqlSource"] == str(sql) and doc["rowCount"] == 5 and doc["format"] == "tsv"
     text = "".join(open(p, newline="").read() for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*")))
     assert text.count("\r\n") == 5 and not text.startswith("n_nationkey")
+
+
+def test_cli_messages(spark, out, capsys):
+    path = out("cli-msg")
+    assert main(["--tables", SF, "--sql", "SELECT * FROM region", "--format", "csv", "--output", path,
+                 "--transform", "mask:r_name", "--verbose"]) == EXIT_OK
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0].startswith("Exported 5 rows in ") and lines[1] == f"Export complete: 5 rows -> {path}"
+    assert lines[2].startswith("transforms: 5 in, 5 out, 0 dropped; mask")
+    assert main(["--sql", "SELECT 1 AS a", "--format", "csv", "--output", out("d"), "--dry-run"]) == EXIT_OK
+    assert capsys.readouterr().out.strip() == "Dry run complete. All options are valid."
+    assert main(["--tables", SF, "--sql", "SELECT * FROM region", "--format", "csv", "--output", out("e"),
+                 "--transform", "drop:nope"]) == EXIT_TRANSFORM
+    assert capsys.readouterr().err.startswith("ERROR: Transform \\"drop\\" references unknown column")
