@@ -33,6 +33,12 @@ from tapline.sinks import parquet_values  # noqa: E402
 from tapline.sources import cap_rows, jdbc_source, query_source, register_tables  # noqa: E402
 from tapline.streaming import read_stream, start_stream_export  # noqa: E402
 
+try:  # the training-data operators and their pipeline are an optional part
+    import corpus_pipeline
+    from tapline.llm import queries as _llm
+except ImportError:
+    corpus_pipeline = _llm = None
+
 # Functions defined here run in Python workers (the pandas step); they travel with the task by
 # value, so workers need not find this file on their path.
 if __name__ in sys.modules:  # loaded without a module entry, functions are pickled by value anyway
@@ -491,7 +497,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    more = {} if _llm is None else _llm.queries() | {"pipeline": corpus_pipeline.run}
+    return dict(_QUERIES) | more
 
 
 # ----------------------------------------------------------------------------- oracle SQL (DuckDB)
@@ -643,4 +650,7 @@ FROM orders""",
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. ``manifest`` and ``describe`` have none: they describe a schema, not rows."""
-    return dict(_ORACLE)
+    more = {} if _llm is None else _llm.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return dict(_ORACLE) | more
