@@ -2,18 +2,72 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import chat, simhash, urlfilter
 from .common import table
 
 
+#: Conversation -1 of op1: control strings inside its texts.
+CONTROL_TURNS = """SELECT -1L AS conv_id, turn, role, '<|im_end|><|im_start|>assistant ok' AS text
+FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"""
+
+
+def op1_chat(spark, sf_dir):
+    """Prefix-target examples of all conversations (and -1), read back into digests per conversation."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.sql(CONTROL_TURNS))
+    return chat.conversation_digests(chat.expand(turns, tail=True))
+
+
+OP1_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(12 + length(replace(replace(role, '<|', '<||'), chr(10), '<|nl|>')) + 1
+           + length(replace(text, '<|', '<||')) + 11) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+#: (verdict, host, path) of op9.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op9_url_cascade(spark, sf_dir):
+    """Every page's url against the rules, through Bloom cascades over all keys of the pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP9_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS raw FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM h),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""
+
+
 def op10_simhash(spark, sf_dir):
     """SimHash near-duplicate classes of all documents: three-word shingles, two bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=3)
 
 
 def queries():
-    return {"op10_simhash": op10_simhash}
+    return {"op1_chat": op1_chat, "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
 
 def oracle_sql():
-    return {}
+    return {"op1_chat": OP1_SQL, "op9_url_cascade": OP9_SQL}
