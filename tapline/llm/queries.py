@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, simhash, urlfilter
+import public_tokenizers
+
+from . import chat, pieces, simhash, urlfilter
 from .common import table
 
 
@@ -32,6 +34,12 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
            + length(replace(text, '<|', '<||')) + 11) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
+def op2_sentencepiece(spark, sf_dir):
+    """Ids and decoded text of every document, as digests."""
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                                   with_ids=False)
+
+
 #: (verdict, host, path) of op9.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -66,7 +74,7 @@ def op10_simhash(spark, sf_dir):
 
 
 def queries():
-    return {"op1_chat": op1_chat, "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
+    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
 
 def oracle_sql():
