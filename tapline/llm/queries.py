@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import chat, pieces, simhash, urlfilter
-from .common import table
+from pyspark.sql import functions as F
+
+from . import chat, langid, pieces, quality, simhash, urlfilter
+from .common import cut, table
 
 
 #: Conversation -1 of op1: control strings inside its texts.
@@ -40,6 +42,21 @@ def op2_sentencepiece(spark, sf_dir):
                                    with_ids=False)
 
 
+def op4_language(spark, sf_dir):
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.held_out(F.col("doc_id"), 3, 1)
+    model = langid.fit(docs.filter(~out))
+    return langid.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality(spark, sf_dir):
+    """Quality of every document, learned from the labels of the rows that are not held out."""
+    stats = cut(quality.document_statistics(table(spark, sf_dir, "documents")), "stats")
+    model = quality.fit(quality.training_rows(stats, table(spark, sf_dir, "labels")))
+    return quality.score_documents(stats, model)
+
+
 #: (verdict, host, path) of op9.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -74,7 +91,8 @@ def op10_simhash(spark, sf_dir):
 
 
 def queries():
-    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
+    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op4_language": op4_language, "op7_quality": op7_quality,
+            "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
 
 def oracle_sql():
