@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import chat, langid, pieces, quality, simhash, urlfilter
+from . import chat, decontam, langid, pieces, quality, simhash, urlfilter
 from .common import cut, table
 
 
@@ -57,6 +57,11 @@ def op7_quality(spark, sf_dir):
     return quality.score_documents(stats, model)
 
 
+def op8_decontamination(spark, sf_dir):
+    """Every document's best window for each benchmark item that it holds."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: (verdict, host, path) of op9.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -92,6 +97,7 @@ def op10_simhash(spark, sf_dir):
 
 def queries():
     return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op4_language": op4_language, "op7_quality": op7_quality,
+            "op8_decontamination": op8_decontamination,
             "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
 
