@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, pieces, quality, simhash, urlfilter
+from . import ann, chat, decontam, html, langid, pieces, quality, simhash, urlfilter
 from .common import cut, table
 
 
@@ -50,6 +50,16 @@ def op4_language(spark, sf_dir):
     return langid.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_html(spark, sf_dir):
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_ann(spark, sf_dir):
+    """The 20 nearest vectors of every twentieth vector, among all."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op7_quality(spark, sf_dir):
     """Quality of every document, learned from the labels of the rows that are not held out."""
     stats = cut(quality.document_statistics(table(spark, sf_dir, "documents")), "stats")
@@ -96,7 +106,7 @@ def op10_simhash(spark, sf_dir):
 
 
 def queries():
-    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op4_language": op4_language, "op7_quality": op7_quality,
+    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op4_language": op4_language, "op5_html": op5_html, "op6_ann": op6_ann, "op7_quality": op7_quality,
             "op8_decontamination": op8_decontamination,
             "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
