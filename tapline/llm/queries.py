@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, html, langid, pieces, quality, simhash, urlfilter
+from . import ann, chat, decontam, html, langid, pieces, quality, simhash, suffixdedup, urlfilter
 from .common import cut, table
 
 
@@ -42,6 +42,11 @@ def op2_sentencepiece(spark, sf_dir):
                                    with_ids=False)
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    """What is left of every document without strings of 200 bytes that occur again."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark, sf_dir):
     """Language of every document, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -106,7 +111,8 @@ def op10_simhash(spark, sf_dir):
 
 
 def queries():
-    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op4_language": op4_language, "op5_html": op5_html, "op6_ann": op6_ann, "op7_quality": op7_quality,
+    return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op3_suffix_dedup": op3_suffix_dedup,
+            "op4_language": op4_language, "op5_html": op5_html, "op6_ann": op6_ann, "op7_quality": op7_quality,
             "op8_decontamination": op8_decontamination,
             "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
 
