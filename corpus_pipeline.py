@@ -1,17 +1,55 @@
-"""A training-data pipeline over ``documents``: STAGES, run() and ORACLE_SQL."""
+"""A training-data pipeline over ``documents``: STAGES, run() and ORACLE_SQL.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet below the shared
+checkpoint folder and reads it back as the next stage's ``docs``. All stages but the last keep the columns of
+``documents``. Extra columns pass through; nulls, empty texts, ties, repeated rows and an empty table have the
+results that the operators' docstrings give.
+"""
 
 from __future__ import annotations
 
-from tapline.llm import simhash
+import public_tokenizers
+
+from tapline.llm import decontam, pieces, quality, simhash, suffixdedup
 from tapline.llm.common import cut, table
 
 
+def quality_filter(spark, docs, sf_dir):
+    """Documents with a quality score of 0.3 or more stay. Learned from the labels of ``docs`` that are not held
+    out; without any label every document stays."""
+    stats = cut(quality.document_statistics(docs), "stats")
+    model = quality.fit(quality.training_rows(stats, table(spark, sf_dir, "labels")))
+    return quality.accepted(docs, model, "text", threshold=0.3)
+
+
 def near_dedup(spark, docs, sf_dir):
-    """SimHash near-dedup: one document of each group stays."""
+    """One document of each SimHash group stays (three-word shingles, two bits): the one with the smallest id."""
     return simhash.keep_one(docs, "doc_id", "text", width=3)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+def suffix_dedup(spark, docs, sf_dir):
+    """Bytes of strings of 200 that start twice or more are cut out of the texts; ``n_chars`` follows. A document of
+    which nothing is left goes."""
+    return suffixdedup.without_repeats(docs, "text", "n_chars")
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Documents that hold a benchmark item (similarity 0.8 or more over shingles of five words) go."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark, docs, sf_dir):
+    """``doc_id``, token counts, digests and ids of each document that is left."""
+    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality_classifier", quality_filter),
+    ("simhash_near_dedup", near_dedup),
+    ("suffix_array_dedup", suffix_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("sentencepiece", tokenize),
+]
 
 
 def run(spark, sf_dir):
@@ -22,5 +60,5 @@ def run(spark, sf_dir):
     return docs
 
 
-#: The stages train models, so no SQL gives their rows; tests compare with a brute-force version.
+#: A trained classifier and SimHash have no SQL; the stages are tested against brute-force versions instead.
 ORACLE_SQL = None

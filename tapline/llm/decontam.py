@@ -269,7 +269,8 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def clean(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that match no item, with all their columns as they were."""
-    spark, at = df.sparkSession, df.columns.index(text_col)
+    spark, at, names = df.sparkSession, df.columns.index(text_col), df.columns
+    df = df.toDF(*[f"c{k}" for k in range(len(names))])
     for items in _buckets(benchmark, item_id_col, item_text_col):
         shared = spark.sparkContext.broadcast(items)
 
@@ -281,4 +282,4 @@ def clean(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_c
                 yield batch.filter(pa.array(kept))
 
         df = df.mapInArrow(run, df.schema)
-    return df
+    return df.toDF(*names)

@@ -251,3 +251,10 @@ def score_documents(stats: DataFrame, model: QualityModel, id_col: str = "doc_id
 def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     texts = df.select(F.col(id_col).alias(id_col), text_or_empty(text_col).alias("_text"))
     return with_statistics(texts, "_text").drop("_text")
+
+
+def accepted(df: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``df`` whose text scores ``threshold`` or more, with all their columns as they were. No shuffle."""
+    safe = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    scored = with_scores(safe, model, safe.columns[df.columns.index(text_col)], from_stats=False)
+    return scored.filter(F.col("_score") >= threshold).drop("_score").toDF(*df.columns)

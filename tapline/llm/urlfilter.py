@@ -122,8 +122,8 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], url_col: str =
     spark = df.sparkSession
     shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules})
     host, path = split_url(F.col(url_col))
-    split = df.withColumns({"host": host, "path": path}).withColumn("_keys", rule_keys(F.col("host"), F.col("path"), shapes))
-    universe = split.select(F.explode("_keys").alias("key")).distinct()
+    split = df.withColumns({"host": host, "path": path}).withColumn("__url_keys", rule_keys(F.col("host"), F.col("path"), shapes))
+    universe = split.select(F.explode("__url_keys").alias("key")).distinct()
     verdicts = sorted({v for v, _, _ in rules})
     lists = {}
     for verdict in verdicts:
@@ -139,6 +139,6 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], url_col: str =
             hit = hit | lists[verdict].contains(key)
         return hit
 
-    longest = F.get(F.array_sort(F.filter("_keys", fits), lambda a, b: F.length(b) - F.length(a)), F.lit(0))
+    longest = F.get(F.array_sort(F.filter("__url_keys", fits), lambda a, b: F.length(b) - F.length(a)), F.lit(0))
     return split.withColumn("rule", longest).withColumn(
-        "verdict", F.when(F.col("rule").isNull(), F.lit(default)).otherwise(verdict_of)).drop("_keys")
+        "verdict", F.when(F.col("rule").isNull(), F.lit(default)).otherwise(verdict_of)).drop("__url_keys")
