@@ -26,7 +26,7 @@ from tapline import build_pipeline, export, scratch_path  # noqa: E402
 from tapline.functions import formula_guard, non_finite_to_null, redact_credentials  # noqa: E402
 from tapline.operators import PandasStep, StepRegistry  # noqa: E402
 from tapline.operators.custom import filter_provider, uppercase_provider  # noqa: E402
-from tapline.plans import column_manifest, manifest_frame  # noqa: E402
+from tapline.plans import column_manifest, describe  # noqa: E402
 from tapline.plans.pipeline import pipeline_counters  # noqa: E402
 from tapline.plans.runs import latest_runs, run_kpis, step_summary, with_throughput  # noqa: E402
 from tapline.sinks import parquet_values  # noqa: E402
@@ -168,11 +168,20 @@ def q_expression(spark, sf_dir):
         {"type": "expression", "outputField": "summary",
          "expression": "concat(o_orderpriority, ' / ', o_orderstatus)"},
         {"type": "expression", "outputField": "state",
-         "expression": "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END"},
+         "expression": "CASE WHEN o_orderstatus = 'F' THEN 'settled' ELSE 'due' END"},
         {"type": "expression", "outputField": "key_text", "expression": "o_orderkey * 10"}]})
     return p.apply(src)
 
 
+def q_expression_skip_row(spark, sf_dir):
+    """An expression that raises for some rows: those rows fail and are skipped."""
+    _views(spark, sf_dir, "orders")
+    src = query_source(spark, "SELECT o_orderkey, o_orderstatus FROM orders")
+    return build_pipeline({"errorStrategy": "skipRow", "transforms": [
+        {"type": "expression", "outputField": "share",
+         "expression": "o_orderkey div (o_orderkey % 7) + o_orderkey div (o_orderkey % 7)"}]}).apply(src)
+
+
 def q_labels_join_map(spark, sf_dir):
     """A join in the user's SQL (documents with their labels), then map + template + drop."""
     _views(spark, sf_dir, "documents", "labels")
@@ -287,6 +296,20 @@ def q_custom_pandas(spark, sf_dir):
     return Pipeline.of(step, error_strategy="skipRow").apply(docs)
 
 
+def _thousandths(batch):
+    out = batch[["doc_id"]].copy()
+    out["share"] = [1000 // (int(i) % 13) for i in batch["doc_id"]]  # raises for every thirteenth id
+    return out
+
+
+def q_custom_skip_row(spark, sf_dir):
+    """A custom step that raises for some rows of a batch: only those rows fail and are skipped."""
+    from tapline.plans.pipeline import Pipeline
+
+    step = PandasStep("share", _thousandths, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("share", T.LongType())]))
+    return Pipeline.of(step, error_strategy="skipRow").apply(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 # ----------------------------------------------------------------------------- runs
 
 # event type -> run status, for the run table derived from events
@@ -314,8 +337,9 @@ def q_latest_runs(spark, sf_dir):
 
 
 def q_throughput(spark, sf_dir):
-    runs = _runs(spark, sf_dir).filter(F.col("completed_at").isNotNull())
-    return with_throughput(runs).select("id", "duration_ms", "elapsed_ms", "rows_per_second")
+    """All runs; a run that has not ended counts up to a fixed time."""
+    now = F.lit("2031-01-01 00:00:00").cast("timestamp_ntz")
+    return with_throughput(_runs(spark, sf_dir), now).select("id", "duration_ms", "elapsed_ms", "rows_per_second")
 
 
 def q_step_summary(spark, sf_dir):
@@ -327,20 +351,26 @@ def q_step_summary(spark, sf_dir):
     return step_summary(steps, 50)
 
 
-def q_describe(spark, sf_dir):
-    """The flagship's output columns, resolved without reading a row."""
-    from tapline import describe
+def _column_rows(spark, df: DataFrame, columns: list[dict], extra) -> DataFrame:
+    """One row per described column, with counts taken over all rows of ``df``."""
+    listed = F.array(*[F.struct(*[F.lit(c[k]).alias(k) for k in ("index", "output_name", "type", "precision", "scale")],
+                                F.count(F.col(f"`{c['label']}`")).alias("filled")) for c in columns])
+    return df.agg(F.count(F.lit(1)).alias("row_count"), listed.alias("columns")).select(
+        *extra, "row_count", F.inline("columns"))
 
-    _views(spark, sf_dir, "orders", "customer")
-    return describe(spark, sql=FLAGSHIP_SQL, transforms=FLAGSHIP_TRANSFORMS)
+
+def q_describe(spark, sf_dir):
+    """The output columns of a query, with how many of its rows fill each."""
+    _views(spark, sf_dir, "lineitem")
+    sql = ("SELECT l_orderkey, l_shipdate, CAST(l_extendedprice AS DECIMAL(15,2)) AS l_price, l_returnflag FROM lineitem")
+    columns = [r.asDict() for r in describe(spark, sql=sql).collect()]  # one row per column
+    return _column_rows(spark, query_source(spark, sql), columns, []).drop("row_count")
 
 
 def q_manifest(spark, sf_dir):
+    """The manifest's columns and row count of an export of ``orders``."""
     orders = _table(spark, sf_dir, "orders")
-    manifest = {"tool": "tapline", "format": "parquet", "source": "sql", "output": "orders",
-                "row_count": orders.count(), "started_at": None, "completed_at": None, "duration_ms": 0,
-                "columns": column_manifest(orders.schema)}
-    return manifest_frame(spark, manifest)
+    return _column_rows(spark, orders, column_manifest(orders.schema), [F.lit("tapline").alias("tool"), F.lit("parquet").alias("format")])
 
 
 # ----------------------------------------------------------------------------- sinks (write, read back)
@@ -416,6 +446,26 @@ def q_sink_ndjson_transformed(spark, sf_dir):
     return spark.read.schema(schema).json(out)
 
 
+def q_sink_empty_parts(spark, sf_dir):
+    """JSON arrays from a table most of whose partitions are empty: each part file is a whole document."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    out = scratch_path(spark, "sink-empty-parts")
+    export(spark, df=orders.repartition(16, "o_orderstatus"), fmt="json", output=out)
+    return spark.read.schema(orders.schema).option("multiLine", "true").option("mode", "FAILFAST").json(out)
+
+
+def q_sink_csv_bom(spark, sf_dir):
+    """CSV with a byte-order mark at the start of every part."""
+    part = _table(spark, sf_dir, "part")
+    out = scratch_path(spark, "sink-bom")
+    export(spark, df=part.repartition(3), fmt="csv", output=out, bom=True)
+    heads = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out)
+             .agg(F.bool_and(F.hex(F.substring("content", 1, 3)) == "EFBBBF").alias("marked")))
+    rows = (spark.read.schema(part.schema).option("header", "true").option("escape", '"').option("lineSep", "\r\n").csv(out)
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("p_partkey").alias("keys")))
+    return rows.select("rows", "keys", heads.scalar().alias("marked"))
+
+
 # ----------------------------------------------------------------------------- JDBC and streams
 
 def q_jdbc_roundtrip(spark, sf_dir):
@@ -447,6 +497,18 @@ def q_stream_pipeline(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_stream_restart(spark, sf_dir):
+    """A stream that ends, gets more files and starts again with its own checkpoint: every row once."""
+    orders = _table(spark, sf_dir, "orders")
+    source, out = scratch_path(spark, "restart-in"), scratch_path(spark, "restart-out")
+    pipeline = build_pipeline(inline=["keep:o_orderkey,o_orderstatus", "map:o_orderstatus=F>Finished,O>Open,P>Partial"])
+    for odd in (0, 1):
+        orders.filter(F.col("o_orderkey") % 2 == odd).write.mode("append").parquet(source)
+        stream = read_stream(spark, source, orders.schema, glob_filter="*.parquet")
+        start_stream_export(stream, pipeline, "parquet", out).awaitTermination()
+    return spark.read.parquet(out)
+
+
 # ----------------------------------------------------------------------------- registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -493,6 +555,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_ndjson_transformed": q_sink_ndjson_transformed,
     "jdbc_roundtrip": q_jdbc_roundtrip,
     "stream_pipeline": q_stream_pipeline,
+    "expression_skip_row": q_expression_skip_row,
+    "custom_skip_row": q_custom_skip_row,
+    "sink_empty_parts": q_sink_empty_parts,
+    "sink_csv_bom": q_sink_csv_bom,
+    "stream_restart": q_stream_restart,
 }
 
 
@@ -558,7 +625,7 @@ FROM orders""",
                 "|| coalesce(CAST(n_regionkey AS VARCHAR), '') || ')' AS label FROM nation",
     "expression": "SELECT o_orderkey, o_orderstatus, o_orderpriority, "
                   "o_orderpriority || ' / ' || o_orderstatus AS summary, "
-                  "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS state, "
+                  "CASE WHEN o_orderstatus = 'F' THEN 'settled' ELSE 'due' END AS state, "
                   "CAST(o_orderkey * 10 AS VARCHAR) AS key_text FROM orders",
     "labels_join_map": """
 SELECT d.doc_id, d.lang,
@@ -610,11 +677,11 @@ SELECT * FROM (SELECT id, status FROM {_RUNS_SQL} WHERE status IN ('completed',
 UNION ALL
 SELECT id, status FROM {_RUNS_SQL} WHERE status NOT IN ('completed', 'failed')""",
     "throughput": f"""
-SELECT id, d AS duration_ms, greatest(d, 0) AS elapsed_ms,
-  CASE WHEN greatest(d, 0) > 0 THEN CAST(row_count AS DOUBLE) * 1000.0::DOUBLE / CAST(greatest(d, 0) AS DOUBLE)
-       ELSE 0.0::DOUBLE END AS rows_per_second
-FROM (SELECT id, row_count, CAST(date_diff('millisecond', started_at, completed_at) AS BIGINT) AS d
-      FROM {_RUNS_SQL} WHERE completed_at IS NOT NULL)""",
+SELECT id, d AS duration_ms, e AS elapsed_ms,
+  CASE WHEN e > 0 THEN CAST(row_count AS DOUBLE) * 1000.0::DOUBLE / CAST(e AS DOUBLE) ELSE 0.0::DOUBLE END AS rows_per_second
+FROM (SELECT id, row_count, (epoch_us(completed_at) - epoch_us(started_at)) // 1000 AS d,
+        greatest((epoch_us(coalesce(completed_at, TIMESTAMP '2031-01-01')) - epoch_us(started_at)) // 1000, 0) AS e
+      FROM {_RUNS_SQL})""",
     "step_summary": """
 SELECT step, type, invocations AS rows, failures AS errors,
   CAST(floor(total_nanos / 1000000.0) AS BIGINT) AS duration_ms,
@@ -639,6 +706,28 @@ FROM (SELECT event_type AS step, 'map' AS type, CAST(count(*) AS BIGINT) AS invo
     "sink_ndjson_transformed": f"SELECT o_orderkey, {_iso('o_orderdate')} AS order_date, "
                                "CASE WHEN o_orderstatus IS NOT NULL THEN '***' END AS o_orderstatus FROM orders",
     "jdbc_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "expression_skip_row": "SELECT o_orderkey, o_orderstatus, CAST(2 * (o_orderkey // (o_orderkey % 7)) AS VARCHAR) AS share "
+                           "FROM orders WHERE o_orderkey % 7 <> 0",
+    "custom_skip_row": "SELECT doc_id, 1000 // (doc_id % 13) AS share FROM documents WHERE doc_id % 13 <> 0",
+    "sink_empty_parts": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    "sink_csv_bom": 'SELECT count(*) AS "rows", CAST(sum(p_partkey) AS BIGINT) AS keys, true AS marked FROM part',
+    "stream_restart": """SELECT o_orderkey,
+  CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Partial' ELSE o_orderstatus END
+    AS o_orderstatus FROM orders""",
+    "manifest": """
+SELECT 'tapline' AS tool, 'parquet' AS format, n AS row_count, i AS "index", c AS output_name, t AS type, 0 AS precision,
+  0 AS scale, f AS filled
+FROM (SELECT count(*) AS n, unnest([1, 2, 3, 4, 5, 6]) AS i,
+    unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS c,
+    unnest(['bigint', 'bigint', 'string', 'double', 'timestamp_ntz', 'string']) AS t,
+    unnest([count(o_orderkey), count(o_custkey), count(o_orderstatus), count(o_totalprice), count(o_orderdate),
+            count(o_orderpriority)]) AS f FROM orders)""",
+    "describe": """
+SELECT unnest([1, 2, 3, 4]) AS "index", unnest(['l_orderkey', 'l_shipdate', 'l_price', 'l_returnflag']) AS output_name,
+  unnest(['bigint', 'timestamp_ntz', 'decimal(15,2)', 'string']) AS type, unnest([0, 0, 15, 0]) AS precision,
+  unnest([0, 0, 2, 0]) AS scale,
+  unnest([count(l_orderkey), count(l_shipdate), count(l_extendedprice), count(l_returnflag)]) AS filled
+FROM lineitem""",
     "stream_pipeline": f"""
 SELECT o_orderkey,
   CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Partial' ELSE o_orderstatus END
@@ -649,7 +738,7 @@ FROM orders""",
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. ``manifest`` and ``describe`` have none: they describe a schema, not rows."""
+    """DuckDB SQL per query; queries that learn a model or iterate have none."""
     more = {} if _llm is None else _llm.oracle_sql()
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
         more["pipeline"] = corpus_pipeline.ORACLE_SQL

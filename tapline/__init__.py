@@ -15,12 +15,12 @@ from pyspark import cloudpickle as _cloudpickle
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 from .errors import OutputError, SourceError, TaplineError, TransformError
-from .operators import StepRegistry, TransformSpec, default_registry
+from .operators import StepRegistry, StepSpec, default_registry
 from .plans import OutputContract, Pipeline, TransformConfig, build_pipeline, describe, export, load_config
 from .session import build_session, scratch_path, shared_dir
 
 __all__ = [
-    "OutputError", "SourceError", "TaplineError", "TransformError", "StepRegistry", "TransformSpec",
+    "OutputError", "SourceError", "TaplineError", "TransformError", "StepRegistry", "StepSpec",
     "default_registry", "OutputContract", "Pipeline", "TransformConfig", "build_pipeline", "describe", "export",
     "load_config", "build_session", "scratch_path", "shared_dir",
 ]

@@ -14,7 +14,7 @@ import argparse
 import os
 import sys
 
-from .errors import OutputError, SourceError, TaplineError, TransformError
+from .errors import FormatError, OutputError, SchemaError, SourceError, TaplineError, TransformError
 
 # Process exit codes, equal to the reference's.
 EXIT_OK = 0
@@ -32,9 +32,8 @@ def build_parser() -> argparse.ArgumentParser:
     """The command-line options."""
     p = argparse.ArgumentParser(prog="tapline", description="Export a query result to a file, as a Spark job.")
     src = p.add_argument_group("source")
-    sql = src.add_mutually_exclusive_group(required=True)
-    sql.add_argument("--sql", help="query text")
-    sql.add_argument("--sql-file", help="file holding the query text")
+    src.add_argument("--sql", help="query text (exactly one of --sql and --sql-file)")
+    src.add_argument("--sql-file", help="file holding the query text")
     src.add_argument("--tables", help="folder of <name>.parquet files to register as views")
     src.add_argument("--table", action="append", default=[], metavar="NAME=PATH",
                      help="register one Parquet file or folder as a view (repeatable)")
@@ -47,7 +46,7 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--num-partitions", type=int, help="JDBC: number of parallel range reads")
     src.add_argument("--max-rows", type=int)
     out = p.add_argument_group("output")
-    out.add_argument("--format", choices=["json", "ndjson", "csv", "tsv", "parquet"], type=str.lower)
+    out.add_argument("--format", help="json, ndjson, csv, tsv or parquet")
     out.add_argument("--output")
     out.add_argument("--metadata", help="path of the manifest sidecar")
     out.add_argument("--overwrite", action="store_true")
@@ -57,7 +56,7 @@ def build_parser() -> argparse.ArgumentParser:
     out.add_argument("--escape-formulas", action="store_true")
     out.add_argument("--bom", action="store_true")
     out.add_argument("--parquet-compression", default="SNAPPY")
-    out.add_argument("--single-file", action="store_true", help="coalesce a small result into one part")
+    out.add_argument("--single-file", action="store_true", help="gather a small result into one part")
     out.add_argument("--direct-write", action="store_true",
                      help="write straight to --output (object stores) instead of staging and renaming")
     tr = p.add_argument_group("transforms")
@@ -82,6 +81,9 @@ def main(argv: list[str] | None = None) -> int:
     if not args.describe and (not args.format or not args.output):
         print("--format and --output are required unless --describe is given.", file=sys.stderr)
         return EXIT_INVALID_ARGUMENTS
+    if (args.sql is None) == (args.sql_file is None):
+        print("ERROR: give exactly one of --sql and --sql-file.", file=sys.stderr)
+        return EXIT_SQL_INPUT
     password = args.password
     if args.password_env:
         password = os.environ.get(args.password_env)
@@ -140,12 +142,18 @@ def main(argv: list[str] | None = None) -> int:
     except TransformError as exc:
         print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_TRANSFORM
+    except SchemaError as exc:
+        print(f"ERROR: {exc}", file=sys.stderr)
+        return EXIT_SCHEMA
     except SourceError as exc:
         print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_DATABASE if args.url else EXIT_SQL_INPUT
+    except FormatError as exc:
+        print(f"ERROR: {exc}", file=sys.stderr)
+        return EXIT_UNSUPPORTED_FORMAT
     except OutputError as exc:
         print(f"ERROR: {exc}", file=sys.stderr)
-        return EXIT_UNSUPPORTED_FORMAT if "Unknown" in str(exc) else EXIT_OUTPUT_WRITE
+        return EXIT_OUTPUT_WRITE
     except TaplineError as exc:
         print(f"ERROR: {exc}", file=sys.stderr)
         return EXIT_INVALID_ARGUMENTS

@@ -18,5 +18,13 @@ class SourceError(TaplineError):
     """The query or source table could not be resolved."""
 
 
+class SchemaError(SourceError):
+    """The query's columns cannot be exported, such as two of one name."""
+
+
 class OutputError(TaplineError):
     """The output could not be written or published."""
+
+
+class FormatError(OutputError):
+    """An output format that is not known."""

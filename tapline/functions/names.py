@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from ..errors import SourceError, TransformError
+from ..errors import SchemaError, TransformError
 
 
 def normalize_output_name(label: str) -> str:
@@ -19,7 +19,7 @@ def normalized_names(labels: list[str]) -> list[str]:
     for label in labels:
         name = normalize_output_name(label)
         if name in seen:
-            raise SourceError(
+            raise SchemaError(
                 f'Query returns duplicate column name "{name}" (from "{seen[name]}" and "{label}"); '
                 "give each column a distinct alias.")
         seen[name] = label

@@ -16,11 +16,11 @@ from .builtin import (
 )
 from .custom import ColumnStep, PandasStep
 from .registry import StepRegistry, default_registry
-from .spec import TransformSpec
+from .spec import StepSpec
 
 __all__ = [
     "COLUMN_CHANGING", "Capabilities", "Field", "RowView", "SqlExpression", "Step", "StepOutput",
     "AddStaticStep", "DefaultStep", "DropStep", "ExpressionStep", "KeepStep", "MapStep", "MaskStep",
     "RenameStep", "TemplateStep", "parse_literal", "template_parts", "ColumnStep", "PandasStep",
-    "StepRegistry", "default_registry", "TransformSpec",
+    "StepRegistry", "default_registry", "StepSpec",
 ]

@@ -5,8 +5,10 @@ Each is a handful of native column expressions; none runs Python per row.
 
 from __future__ import annotations
 
+import json
 import re
-from decimal import Decimal, InvalidOperation
+import zlib
+from decimal import Decimal, InvalidOperation, localcontext
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from ..errors import TransformError
 from ..functions.values import kind_of, stringify
 from .base import COLUMN_CHANGING, RowView, SqlExpression, Step, StepOutput
-from .spec import TransformSpec
+from .spec import StepSpec, choice, entries, names, text
 
 
 class RenameStep(Step):
@@ -26,9 +28,12 @@ class RenameStep(Step):
     def __init__(self, source: str, target: str):
         self.source, self.target = source, target
 
+    shorthand, usage = re.compile(r"\s*(?P<from_>[^=]*?)\s*=(?P<to>.*)", re.S), "<column>=<new name>"
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "RenameStep":
-        return cls(spec.require_string("from"), spec.require_string("to"))
+    def from_spec(cls, spec: StepSpec) -> "RenameStep":
+        found = spec.values(from_=text(), to=text())
+        return cls(found["from"], found["to"])
 
     def build(self, row: RowView) -> StepOutput:
         row.require(self.source, "rename")
@@ -47,9 +52,11 @@ class DropStep(Step):
     def __init__(self, columns: list[str]):
         self.columns = list(columns)
 
+    shorthand, usage = re.compile(r"(?P<columns>.*)", re.S), "<column>,..."
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "DropStep":
-        return cls(spec.require_columns("columns"))
+    def from_spec(cls, spec: StepSpec) -> "DropStep":
+        return cls(**spec.values(columns=names()))
 
     def build(self, row: RowView) -> StepOutput:
         for name in self.columns:
@@ -67,9 +74,11 @@ class KeepStep(Step):
     def __init__(self, columns: list[str]):
         self.columns = list(columns)
 
+    shorthand, usage = re.compile(r"(?P<columns>.*)", re.S), "<column>,..."
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "KeepStep":
-        return cls(spec.require_columns("columns"))
+    def from_spec(cls, spec: StepSpec) -> "KeepStep":
+        return cls(**spec.values(columns=names()))
 
     def build(self, row: RowView) -> StepOutput:
         seen: set[str] = set()
@@ -92,9 +101,11 @@ class AddStaticStep(Step):
     def __init__(self, fields: dict[str, str | None]):
         self.fields = dict(fields)
 
+    shorthand, usage = re.compile(r"(?P<fields>[^=]*=.*)", re.S), "<name>=<value>,..."
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "AddStaticStep":
-        return cls(spec.require_string_map("fields"))
+    def from_spec(cls, spec: StepSpec) -> "AddStaticStep":
+        return cls(**spec.values(fields=entries("=", trim=False)))
 
     def build(self, row: RowView) -> StepOutput:
         for name in self.fields:
@@ -105,8 +116,9 @@ class AddStaticStep(Step):
         return StepOutput(out)
 
 
-_INT_TEXT = re.compile(r"^[+-]?\d+$")
-_FLOAT_TEXT = re.compile(r"^[+-]?(NaN|Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)[fFdD]?$")
+_INT_TEXT = re.compile(r"[+-]?[0-9]+")
+_DECIMAL_TEXT = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})?")
+_FLOAT_TEXT = re.compile(r"[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)[fFdD]?")
 _INT_RANGE = {"INT": (-(2 ** 31), 2 ** 31 - 1), "LONG": (-(2 ** 63), 2 ** 63 - 1)}
 
 
@@ -124,7 +136,7 @@ def parse_literal(literal: str, dtype: T.DataType, step_type: str, column: str):
             return text.lower() == "true"
         raise invalid()
     if kind in ("INT", "LONG"):
-        if not _INT_TEXT.match(text):
+        if not _INT_TEXT.fullmatch(text):
             raise invalid()
         value = int(text)
         low, high = _INT_RANGE[kind]
@@ -132,22 +144,23 @@ def parse_literal(literal: str, dtype: T.DataType, step_type: str, column: str):
             raise invalid()
         return value
     if kind in ("FLOAT", "DOUBLE"):
-        if not _FLOAT_TEXT.match(text):
+        if not _FLOAT_TEXT.fullmatch(text):
             raise invalid()
         return float(text.rstrip("fFdD"))
     if kind == "DECIMAL":
-        try:
-            value = Decimal(text)
-        except InvalidOperation:
-            raise invalid() from None
-        if not value.is_finite():
+        if not _DECIMAL_TEXT.fullmatch(text):
             raise invalid()
         precision, scale = dtype.precision, dtype.scale  # type: ignore[attr-defined]
-        exact = value.quantize(Decimal(1).scaleb(-scale))
-        if value != exact or len(exact.as_tuple().digits) > precision and exact != 0:
-            raise TransformError(
-                f'Transform "{step_type}" value "{literal}" does not fit column "{column}" '
-                f"({dtype.simpleString()}).")
+        unfit = TransformError(f'Transform "{step_type}" value "{literal}" does not fit column "{column}" '
+                               f"({dtype.simpleString()}).")
+        value = Decimal(text)
+        with localcontext(prec=2 * 38 + 2):  # room for every decimal type
+            try:
+                exact = value.quantize(Decimal(1).scaleb(-scale))
+            except InvalidOperation:
+                raise unfit from None
+            if value != exact or len(exact.as_tuple().digits) > precision and exact != 0:
+                raise unfit
         return exact
     return literal
 
@@ -160,9 +173,11 @@ class DefaultStep(Step):
     def __init__(self, column: str, value: str):
         self.column, self.value = column, value
 
+    shorthand, usage = re.compile(r"\s*(?P<column>[^=]*?)\s*=(?P<value>.*)", re.S), "<column>=<value>"
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "DefaultStep":
-        return cls(spec.require_string("column"), spec.require_string("value"))
+    def from_spec(cls, spec: StepSpec) -> "DefaultStep":
+        return cls(**spec.values(column=text(), value=text()))
 
     def build(self, row: RowView) -> StepOutput:
         target = row.require(self.column, "default")
@@ -186,15 +201,14 @@ class MapStep(Step):
             raise TransformError('Transform "map" "unmatched" must be one of keep, default, fail.')
         self.column, self.mapping, self.unmatched, self.default = column, dict(mapping), unmatched, default
 
+    shorthand, usage = re.compile(r"\s*(?P<column>[^=]*?)\s*=(?P<mapping>.*)", re.S), "<column>=<key>><value>,..."
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "MapStep":
-        column = spec.require_string("column")
-        mapping = spec.require_string_map("mapping")
-        unmatched = spec.optional_string("unmatched", "keep")
-        if unmatched not in UNMATCHED_MODES:
-            raise spec.fail('"unmatched" must be one of keep, default, fail')
-        fallback = spec.require_string("default") if unmatched == "default" else None
-        return cls(column, mapping, unmatched, fallback)
+    def from_spec(cls, spec: StepSpec) -> "MapStep":
+        fallback = text(required=spec.config.get("unmatched") == "default")
+        found = spec.values(column=text(), mapping=entries(">", trim=True),
+                            unmatched=choice(*UNMATCHED_MODES, default="keep"), default=fallback)
+        return cls(**found)
 
     def build(self, row: RowView) -> StepOutput:
         target = row.require(self.column, "map")
@@ -219,34 +233,24 @@ class MapStep(Step):
                           message=f'no mapping for a value in column "{self.column}"')
 
 
-# Mappings up to this size are one literal map (a map lookup scans its keys); larger ones are
-# split into hash buckets of about this many keys each.
+# A map lookup scans its keys, so a mapping is split into hash buckets of about this many keys each.
 MAP_BUCKET_SIZE = 16
 
 
-def _literal_map(items) -> "F.Column":
-    return F.create_map(*[x for k, v in items for x in (F.lit(k), F.lit(v).cast("string"))]) if items \
-        else F.create_map().cast("map<string,string>")
-
-
 def _lookup_map(mapping: dict[str, str | None], key):
     """The literal map holding ``key``'s entry, if any.
 
-    A large mapping is split into buckets by CRC-32 of the key's UTF-8 text; Python places each
-    entry at plan time and Spark's ``crc32`` picks the bucket per row, so a row scans one small
-    map instead of the whole mapping. All buckets are literals, folded once per query.
+    The mapping is split into buckets by CRC-32 of the key's UTF-8 text; Python places each entry at plan
+    time and Spark's ``crc32`` picks the bucket per row, so a row scans one small map instead of the whole
+    mapping. All buckets travel as one JSON literal that the optimizer folds into an array of maps, so planning
+    takes one call however many entries there are.
     """
-    import zlib
-
-    if len(mapping) <= MAP_BUCKET_SIZE:
-        return _literal_map(list(mapping.items()))
-    buckets = max(2, -(-len(mapping) // MAP_BUCKET_SIZE))
-    grouped: list[list] = [[] for _ in range(buckets)]
+    buckets = -(-len(mapping) // MAP_BUCKET_SIZE)
+    grouped: list[dict] = [{} for _ in range(buckets)]
     for k, v in mapping.items():
-        grouped[zlib.crc32(k.encode("utf-8")) % buckets].append((k, v))
-    maps = F.array(*[_literal_map(items) for items in grouped])
-    index = F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int") + F.lit(1)
-    return F.element_at(maps, index)
+        grouped[zlib.crc32(k.encode("utf-8")) % buckets][k] = v
+    maps = F.from_json(F.lit(json.dumps(grouped)), "array<map<string,string>>")
+    return F.element_at(maps, F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int") + F.lit(1))
 
 
 class MaskStep(Step):
@@ -257,13 +261,14 @@ class MaskStep(Step):
     def __init__(self, columns: list[str], mask: str = "***"):
         self.columns, self.mask = list(columns), mask
 
+    shorthand, usage = re.compile(r"\s*(?P<column>[^=]*?)\s*(=(?P<mask>.*))?", re.S), "<column> or <column>=<token>"
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "MaskStep":
-        if "columns" in spec.config:
-            columns = spec.require_columns("columns")
-        else:
-            columns = [spec.require_string("column")]
-        return cls(columns, spec.optional_string("mask", "***"))
+    def from_spec(cls, spec: StepSpec) -> "MaskStep":
+        several = "columns" in spec.config
+        found = spec.values(columns=names(required=several), column=text(required=not several),
+                            mask=text(required=False, default="***"))
+        return cls(found["columns"] if several else [found["column"]], found["mask"])
 
     def sensitive_columns(self) -> tuple[str, ...]:
         return tuple(self.columns)
@@ -305,9 +310,12 @@ class TemplateStep(Step):
         self.column, self.template = column, template
         self.parts = template_parts(template)
 
+    shorthand, usage = re.compile(r"\s*(?P<name>[^=]*?)\s*=(?P<template>.*)", re.S), "<new column>=<template>"
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "TemplateStep":
-        return cls(spec.require_string("name"), spec.require_string("template"))
+    def from_spec(cls, spec: StepSpec) -> "TemplateStep":
+        found = spec.values(name=text(), template=text())
+        return cls(found["name"], found["template"])
 
     def build(self, row: RowView) -> StepOutput:
         if row.has(self.column):
@@ -323,16 +331,13 @@ class TemplateStep(Step):
         return StepOutput(row.passthrough() + [(self.column, rendered)])
 
 
-# Functions that would let an expression call into the JVM; refused in user expressions.
-_BLOCKED_FUNCTIONS = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
-
-
 class ExpressionStep(Step):
     """A computed string column from a Spark SQL expression over the current column names.
 
     The expression is Spark SQL, e.g. ``concat(lastName, ', ', firstName)`` or
     ``CASE WHEN activeFlag = 'Y' THEN 'ACTIVE' ELSE 'INACTIVE' END``. Syntax errors fail when the
-    step is created; unknown columns fail when the plan is built; both before any row is read.
+    step is created; unknown columns, and calls into the JVM (looked for in the resolved expression), fail when
+    the plan is built; all before any row is read. A run-time error is a failure of its row.
     """
 
     type_name = "expression"
@@ -340,15 +345,14 @@ class ExpressionStep(Step):
 
     def __init__(self, output_field: str, expression: str):
         self.output_field, self.expression = output_field, expression
-        if _BLOCKED_FUNCTIONS.search(expression):
-            raise TransformError(
-                f'Transform "expression" has an invalid expression for "{output_field}": '
-                "calls into the JVM are not allowed.")
         _check_syntax(output_field, expression)
 
+    shorthand, usage = re.compile(r"\s*(?P<outputField>[^=]*?)\s*=(?P<expression>.*)", re.S), "<new column>=<expression>"
+
     @classmethod
-    def from_spec(cls, spec: TransformSpec) -> "ExpressionStep":
-        return cls(spec.require_string("outputField"), spec.require_string("expression"))
+    def from_spec(cls, spec: StepSpec) -> "ExpressionStep":
+        found = spec.values(outputField=text(), expression=text())
+        return cls(found["outputField"], found["expression"])
 
     def build(self, row: RowView) -> StepOutput:
         if row.has(self.output_field):
@@ -378,14 +382,5 @@ def _check_syntax(output_field: str, expression: str) -> None:
         pass
 
 
-BUILTIN_FACTORIES = {
-    "rename": RenameStep.from_spec,
-    "drop": DropStep.from_spec,
-    "keep": KeepStep.from_spec,
-    "addStatic": AddStaticStep.from_spec,
-    "default": DefaultStep.from_spec,
-    "map": MapStep.from_spec,
-    "mask": MaskStep.from_spec,
-    "template": TemplateStep.from_spec,
-    "expression": ExpressionStep.from_spec,
-}
+BUILTIN_STEPS = {cls.type_name: cls for cls in (RenameStep, DropStep, KeepStep, AddStaticStep, DefaultStep, MapStep,
+                                               MaskStep, TemplateStep, ExpressionStep)}

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..errors import TransformError
 from ..functions.values import stringify
 from .base import Capabilities, RowView, Step, StepOutput
-from .spec import TransformSpec
+from .spec import StepSpec, text
 
 KEEP_FLAG = "__keep__"
 FAIL_FLAG = "__fail__"
@@ -50,7 +50,8 @@ class PandasStep(Step):
 
     ``fn(batch) -> batch`` gets the rows that are still live, with logical column names, and
     returns a frame with exactly ``output_schema``'s columns, row for row, plus optional boolean
-    ``__keep__`` (false drops the row) and ``__fail__`` (true fails it) columns.
+    ``__keep__`` (false drops the row) and ``__fail__`` (true fails it) columns. Rows for which ``fn``
+    raises fail; the other rows of their batch go on.
     """
 
     def __init__(self, type_name: str, fn: Callable[[pd.DataFrame], pd.DataFrame],
@@ -72,18 +73,37 @@ class PandasStep(Step):
             T.StructField(KEEP_FLAG, T.BooleanType()), T.StructField(FAIL_FLAG, T.BooleanType())])
         fn, step_type = self.fn, self.type_name
 
+        def checked(rows: pd.DataFrame) -> pd.DataFrame:
+            produced = fn(rows)
+            wrong = set(produced.columns) - {*out_names, KEEP_FLAG, FAIL_FLAG} or set(out_names) - set(produced.columns)
+            if wrong or len(produced) != len(rows):
+                raise TransformError(f'Transform "{step_type}" returned other columns or rows than it declares.')
+            return produced
+
+        def isolated(rows: pd.DataFrame) -> pd.DataFrame:
+            """The step's rows; a batch that raises is halved until the rows that do it stand alone and fail."""
+            try:
+                return checked(rows)
+            except TransformError:
+                raise
+            except Exception:  # noqa: BLE001 - any error of user code is a failure of its row
+                if len(rows) == 1:
+                    return pd.DataFrame({**{n: [None] for n in out_names}, FAIL_FLAG: [True]})
+            half = len(rows) // 2
+            parts = [isolated(rows.iloc[:half].reset_index(drop=True)), isolated(rows.iloc[half:].reset_index(drop=True))]
+            for part in parts:
+                for flag, value in ((KEEP_FLAG, True), (FAIL_FLAG, False)):
+                    if flag not in part.columns:
+                        part[flag] = value
+            return pd.concat([p.astype(object) for p in parts], ignore_index=True)
+
         def run(batch: pd.DataFrame, live: pd.Series) -> pd.DataFrame:
             live = live.astype(bool).to_numpy()
             result = pd.DataFrame({n: pd.Series([None] * len(batch), dtype=object) for n in out_names})
             result[KEEP_FLAG] = True
             result[FAIL_FLAG] = False
             if live.any():
-                produced = fn(batch[live].reset_index(drop=True))
-                extra = [c for c in produced.columns if c not in out_names + [KEEP_FLAG, FAIL_FLAG]]
-                missing = [c for c in out_names if c not in produced.columns]
-                if extra or missing or len(produced) != int(live.sum()):
-                    raise TransformError(
-                        f'Transform "{step_type}" produced a row that does not match its declared schema.')
+                produced = isolated(batch[live].reset_index(drop=True))
                 index = live.nonzero()[0]
                 for c in out_names + [KEEP_FLAG, FAIL_FLAG]:
                     if c in produced.columns:
@@ -102,9 +122,9 @@ class PandasStep(Step):
                           message="custom step failed")
 
 
-def uppercase_provider(spec: TransformSpec) -> Step:
+def uppercase_provider(spec: StepSpec) -> Step:
     """Sample plug-in: ``{"type": "uppercase", "column": c}`` upper-cases the value's text form."""
-    column = spec.require_string("column")
+    column = spec.values(column=text())["column"]
 
     def fn(row: RowView) -> StepOutput:
         field = row.require(column, "uppercase")
@@ -114,10 +134,10 @@ def uppercase_provider(spec: TransformSpec) -> Step:
     return ColumnStep("uppercase", fn)
 
 
-def filter_provider(spec: TransformSpec) -> Step:
+def filter_provider(spec: StepSpec) -> Step:
     """Sample plug-in: ``{"type": "filter", "condition": sql}`` drops rows where the Spark SQL
     condition is not true (counted as filtered, not as errors)."""
-    condition = spec.require_string("condition")
+    condition = spec.values(condition=text())["condition"]
 
     class _Filter(Step):
         type_name = "filter"

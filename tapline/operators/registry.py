@@ -6,35 +6,35 @@ from collections.abc import Callable
 
 from ..errors import TransformError
 from .base import Step
-from .builtin import BUILTIN_FACTORIES
-from .spec import TransformSpec
+from .builtin import BUILTIN_STEPS
+from .spec import StepSpec
 
-Factory = Callable[[TransformSpec], Step]
+Factory = Callable[[StepSpec], Step]
 
 
 class StepRegistry:
     """Step types by name: the built-ins plus custom factories (``spec -> Step``)."""
 
     def __init__(self, providers: dict[str, Factory] | None = None):
-        self._factories: dict[str, Factory] = dict(BUILTIN_FACTORIES)
+        self._factories: dict[str, Factory] = {kind: step.from_spec for kind, step in BUILTIN_STEPS.items()}
         for kind, factory in (providers or {}).items():
             self.register(kind, factory)
 
     def register(self, kind: str, factory: Factory) -> None:
         """Add a custom step type; a type that already exists is an error."""
         if kind in self._factories:
-            raise TransformError(f'Transform provider conflict: type "{kind}" is already registered.')
+            raise TransformError(f'A transform of type "{kind}" is registered already.')
         self._factories[kind] = factory
 
     @property
     def types(self) -> list[str]:
         return sorted(self._factories)
 
-    def create(self, spec: TransformSpec) -> Step:
+    def create(self, spec: StepSpec) -> Step:
         factory = self._factories.get(spec.type)
         if factory is None:
             raise TransformError(
-                f'Unknown transform type "{spec.type}". Known types: [{", ".join(self.types)}].')
+                f'No transform has the type "{spec.type}"; there are {", ".join(self.types)}.')
         return factory(spec)
 
     def build(self, config) -> "Pipeline":  # noqa: F821 - import below to avoid a cycle
@@ -42,14 +42,11 @@ class StepRegistry:
         from ..plans.pipeline import Pipeline, PipelineStep
 
         steps = []
-        names: set[str] = set()
+        names: set[str | None] = set()
         for spec in config.specs:
-            explicit = spec.explicit_name
-            if explicit is not None:
-                if explicit in names:
-                    raise TransformError(
-                        f'Duplicate transform name "{explicit}" in pipeline; names must be unique.')
-                names.add(explicit)
+            if spec.label is not None and spec.label in names:
+                raise TransformError(f'Two transforms are named "{spec.label}".')
+            names.add(spec.label)
             steps.append(PipelineStep(spec.name, self.create(spec)))
         return Pipeline(steps, config.error_strategy, config.contract)
 

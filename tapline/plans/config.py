@@ -13,7 +13,8 @@ import json
 from dataclasses import dataclass, field
 
 from ..errors import TransformError
-from ..operators.spec import TransformSpec
+from ..operators.builtin import BUILTIN_STEPS
+from ..operators.spec import StepSpec
 from .contract import OutputContract
 from .pipeline import error_strategy_from_config
 
@@ -22,7 +23,7 @@ from .pipeline import error_strategy_from_config
 class TransformConfig:
     """Ordered step specs, the error strategy and the optional output contract."""
 
-    specs: list[TransformSpec] = field(default_factory=list)
+    specs: list[StepSpec] = field(default_factory=list)
     error_strategy: str = "fail"
     contract: OutputContract | None = None
 
@@ -33,30 +34,18 @@ def load_config(document=None, inline: list[str] | tuple[str, ...] = (),
 
     ``error_strategy``, when given, overrides the document's ``errorStrategy``.
     """
-    specs: list[TransformSpec] = []
-    strategy = "fail"
-    contract = None
-    if document is not None:
-        root = json.loads(document) if isinstance(document, str) else document
-        array = root if isinstance(root, list) else (root.get("transforms") if isinstance(root, dict) else None)
-        if not isinstance(array, list):
-            raise TransformError(
-                f'Transforms {source} must be a JSON array or an object with a "transforms" array.')
-        for node in array:
-            if not isinstance(node, dict) or node.get("type") is None:
-                raise TransformError(f'Each transform in {source} must be an object with a "type".')
-            config = dict(node)
-            kind = str(config.pop("type"))
-            specs.append(TransformSpec(kind, config))
-        if isinstance(root, dict):
-            if root.get("errorStrategy") is not None:
-                strategy = error_strategy_from_config(str(root["errorStrategy"]))
-            contract = OutputContract.from_config(root.get("validateOutput"))
-    for raw in inline or ():
-        specs.append(parse_inline(raw))
-    if error_strategy is not None:
-        strategy = error_strategy_from_config(error_strategy)
-    return TransformConfig(specs, strategy, contract)
+    root = json.loads(document) if isinstance(document, str) else document
+    settings = root if isinstance(root, dict) else {"transforms": [] if root is None else root}
+    nodes = settings.get("transforms")
+    if not isinstance(nodes, list):
+        raise TransformError(f"{source}: expected an array of transforms, or an object that has one under \"transforms\".")
+    if not all(isinstance(n, dict) and n.get("type") is not None for n in nodes):
+        raise TransformError(f'{source}: every transform is an object with a "type".')
+    specs = [StepSpec(str(n["type"]), {k: v for k, v in n.items() if k != "type"}) for n in nodes]
+    specs += [parse_inline(raw) for raw in inline or ()]
+    strategy = error_strategy if error_strategy is not None else settings.get("errorStrategy")
+    return TransformConfig(specs, "fail" if strategy is None else error_strategy_from_config(strategy),
+                           OutputContract.from_config(settings.get("validateOutput")))
 
 
 def load_config_file(path: str, inline=(), error_strategy: str | None = None) -> TransformConfig:
@@ -73,56 +62,17 @@ def load_config_file(path: str, inline=(), error_strategy: str | None = None) ->
     return load_config(document, inline, error_strategy, source=f"file {path}")
 
 
-def _pair(args: str, raw: str) -> tuple[str, str]:
-    eq = args.find("=")
-    if eq < 0:
-        raise TransformError(f'Invalid --transform "{raw}"; expected <key>=<value>.')
-    return args[:eq].strip(), args[eq + 1:]
-
-
-def parse_inline(raw: str) -> TransformSpec:
-    """One inline shorthand spec, e.g. ``rename:a=b`` or ``map:c=A>X,B>Y``."""
-    colon = raw.find(":")
-    if colon < 0:
-        raise TransformError(f'Invalid --transform "{raw}"; expected <type>:<args>.')
-    kind, args = raw[:colon].strip(), raw[colon + 1:]
-    config: dict = {}
-    if kind == "rename":
-        config["from"], config["to"] = _pair(args, raw)
-    elif kind in ("drop", "keep"):
-        config["columns"] = args
-    elif kind == "addStatic":
-        fields = {}
-        for entry in args.split(","):
-            key, value = _pair(entry, raw)
-            fields[key] = value
-        config["fields"] = fields
-    elif kind == "default":
-        config["column"], config["value"] = _pair(args, raw)
-    elif kind == "mask":
-        eq = args.find("=")
-        if eq < 0:
-            config["column"] = args.strip()
-        else:
-            config["column"], config["mask"] = args[:eq].strip(), args[eq + 1:]
-    elif kind == "map":
-        column, pairs = _pair(args, raw)
-        mapping = {}
-        for entry in pairs.split(","):
-            arrow = entry.find(">")
-            if arrow < 0:
-                raise TransformError(
-                    f'Invalid map entry "{entry}" in --transform "{raw}"; expected key>value.')
-            mapping[entry[:arrow].strip()] = entry[arrow + 1:].strip()
-        config["column"], config["mapping"] = column, mapping
-    elif kind == "template":
-        config["name"], config["template"] = _pair(args, raw)
-    elif kind == "expression":
-        config["outputField"], config["expression"] = _pair(args, raw)
-    else:
-        raise TransformError(
-            f'Unknown inline transform type "{kind}". Use a transforms document for advanced transforms.')
-    return TransformSpec(kind, config)
+def parse_inline(raw: str) -> StepSpec:
+    """One inline spec, such as ``rename:a=b`` or ``map:c=A>X,B>Y``: the step's own shorthand tells its parts apart."""
+    kind, _, rest = raw.partition(":")
+    step = BUILTIN_STEPS.get(kind.strip())
+    if step is None:
+        raise TransformError(f'No transform has a shorthand like "{raw}"; write <type>:<options> with a type of '
+                             f'{", ".join(BUILTIN_STEPS)}, or use a transforms document.')
+    found = step.shorthand.fullmatch(rest)
+    if found is None:
+        raise TransformError(f'Cannot read "{raw}"; write {kind.strip()}:{step.usage}.')
+    return StepSpec(kind.strip(), {k.rstrip("_"): v for k, v in found.groupdict().items() if v is not None})
 
 
 def build_pipeline(document=None, inline=(), error_strategy: str | None = None, registry=None):

@@ -1,4 +1,4 @@
-"""Output contract: required / optional fields checked on the final schema, before any row."""
+"""Output contract: which fields the final schema must and may hold, checked before any row is read."""
 
 from __future__ import annotations
 
@@ -9,46 +9,37 @@ from ..errors import TransformError
 
 @dataclass(frozen=True)
 class OutputContract:
-    """Fields the final schema must hold; with ``fail_on_unknown_fields`` also the only ones allowed."""
+    """Required and optional fields; ``closed`` allows no others."""
 
-    required_fields: tuple[str, ...] = ()
-    optional_fields: tuple[str, ...] = ()
-    fail_on_unknown_fields: bool = False
+    required: frozenset[str] = frozenset()
+    optional: frozenset[str] = frozenset()
+    closed: bool = False
 
     @classmethod
     def from_config(cls, node) -> "OutputContract | None":
-        """``validateOutput`` object; ``enabled: false`` (or no object) means no contract."""
-        if not isinstance(node, dict):
+        """The ``validateOutput`` object of a configuration; none if it is absent or not enabled."""
+        if not isinstance(node, dict) or not _on(node, "enabled", True):
             return None
-        if node.get("enabled") is not None and not _truthy(node.get("enabled")):
-            return None
-        return cls(tuple(_strings(node.get("requiredFields"))), tuple(_strings(node.get("optionalFields"))),
-                   node.get("failOnUnknownFields") is not None and _truthy(node.get("failOnUnknownFields")))
+        return cls(_fields(node, "requiredFields"), _fields(node, "optionalFields"), _on(node, "failOnUnknownFields", False))
 
     def validate(self, names: list[str]) -> None:
-        present = list(names)
-        for required in self.required_fields:
-            if required not in present:
-                raise TransformError(
-                    f'Output contract violation: required field "{required}" is missing after transforms.')
-        if self.fail_on_unknown_fields:
-            allowed = set(self.required_fields) | set(self.optional_fields)
-            for name in present:
-                if name not in allowed:
-                    raise TransformError(f'Output contract violation: unexpected field "{name}" in output.')
-
-
-def _strings(node) -> list[str]:
-    if isinstance(node, list):
-        return [("true" if v is True else "false" if v is False else str(v)) for v in node]
-    return []
-
-
-def _truthy(value) -> bool:
-    if isinstance(value, bool):
-        return value
-    if isinstance(value, str):
-        return value.strip().lower() == "true"
-    if isinstance(value, (int, float)):
-        return value != 0
-    return False
+        """One error that tells of every breach."""
+        present = set(names)
+        missing = sorted(self.required - present)
+        strange = sorted(present - self.required - self.optional) if self.closed else []
+        told = [f"{what} {', '.join(fields)}" for what, fields in (("it lacks", missing), ("it must not hold", strange)) if fields]
+        if told:
+            raise TransformError(f"The output breaks its contract: {'; '.join(told)}.")
+
+
+def _fields(node: dict, key: str) -> frozenset[str]:
+    listed = node.get(key)
+    return frozenset(str(x).lower() if isinstance(x, bool) else str(x) for x in listed) if isinstance(listed, list) else frozenset()
+
+
+def _on(node: dict, key: str, default: bool) -> bool:
+    """A switch: a boolean, a number other than 0, or the text ``true``."""
+    value = node.get(key)
+    if value is None:
+        return default
+    return value.strip().lower() == "true" if isinstance(value, str) else isinstance(value, (bool, int, float)) and bool(value)

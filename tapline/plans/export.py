@@ -27,10 +27,10 @@ from ..sinks.formats import (
     write_parquet,
     write_text_lines,
 )
-from ..sinks.publish import StagedOutput
+from ..sinks.publish import ReplacedInPlace, StagedOutput, path_exists
 from ..sources.query import cap_rows, jdbc_source, normalize_columns, query_source
 from .config import TransformConfig, load_config
-from .pipeline import FAIL_MARKER, Pipeline
+from .pipeline import FAIL_MARKER, Pipeline, observed
 
 TOOL = "tapline"
 
@@ -104,7 +104,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            overwrite: bool = False, header: bool = True, null_value: str = "", escape_formulas: bool = False,
            bom: bool = False, pretty: bool = False, compression: str = "snappy",
            metadata_path: str | None = None, single_file: bool = False,
-           rebalance: bool | str = False,
+           rebalance: bool = False,
            parquet_decimals: dict[str, tuple[int, int]] | None = None,
            dry_run: bool = False, staged: bool = True) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
@@ -115,16 +115,18 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     Spark's commit protocol (use a committer made for the store).
 
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
-    shuffle, partitions sized by AQE); ``"auto"`` does so only for an under-partitioned, unordered
-    source (fewer partitions than cores, e.g. one big file with one row group) and never for an
-    ORDER BY result. The default ``False`` keeps the scan's own splits, which at scale already
-    give one task per file block.
+    shuffle, partitions sized by AQE; the order of an ORDER BY result is lost). The default ``False``
+    keeps the scan's own splits, which at scale already give one task per file block.
     """
     fmt = normalize_format(fmt)
     # Configuration and pipeline are checked before the source is touched.
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
+    if max_rows is not None and max_rows <= 0:
+        raise TaplineError(f"max_rows must be greater than 0, not {max_rows}.")
     publisher = StagedOutput(spark, output, overwrite)
     publisher.check()
+    if metadata_path and not overwrite and path_exists(spark, metadata_path):
+        raise OutputError(f"Metadata file already exists: {metadata_path} (use overwrite).")
 
     _check_sources(sql, sql_file, df, jdbc)
     if dry_run:  # options, configuration and paths are valid; the source is not touched
@@ -132,8 +134,6 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         return ExportResult(output, fmt, 0, [], now, now, 0, dry_run=True)
     source, source_label = _resolve_source(spark, sql, sql_file, df, jdbc)
     source = cap_rows(source, max_rows)
-    if rebalance == "auto":
-        rebalance = max_rows is None and not single_file and _under_partitioned(spark, source)
     if rebalance:
         # AQE sizes the partitions (at least 1 MB each, up to one per shuffle partition)
         source = source.hint("rebalance")
@@ -156,10 +156,11 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
                        single_file=single_file, decimals=parquet_decimals)
         else:
-            _write(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
-                   escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
-                   single_file=single_file, decimals=parquet_decimals,
-                   mode="overwrite" if overwrite else "errorifexists")
+            with ReplacedInPlace(spark, output):  # the old files go only after the job has committed
+                _write(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
+                       escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
+                       single_file=single_file, decimals=parquet_decimals,
+                       mode="append" if overwrite else "errorifexists")
     except PySparkException as exc:
         raise _job_error(exc) from None
     except Exception as exc:  # py4j errors from the JVM
@@ -175,7 +176,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         sensitive = planned.sensitive
     else:
         metrics = {}
-        rows = int(observation.get.get("rows_out", 0) or 0)
+        rows = int(observed(observation).get("rows_out", 0) or 0)
         sensitive = []
     columns = column_manifest(schema, sensitive)
     result = ExportResult(output, fmt, rows, columns, started.isoformat(), completed.isoformat(), duration,
@@ -222,18 +223,6 @@ def describe(spark: SparkSession, *, sql: str | None = None, sql_file: str | Non
     return spark.createDataFrame(columns, _COLUMN_TYPE)
 
 
-def _under_partitioned(spark: SparkSession, df: DataFrame) -> bool:
-    """Fewer partitions than cores, and no global sort whose order the output must keep."""
-    try:
-        partitions = df.rdd.getNumPartitions()
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # noqa: BLE001 - planning problems surface later with a clear error
-        return False
-    if partitions >= spark.sparkContext.defaultParallelism:
-        return False
-    return not re.search(r"(^|\n)\s*(:\s*)?[+-]*\s*Sort \[.*\], true", plan)
-
-
 def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
            escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool,
            decimals: dict | None = None, mode: str = "errorifexists") -> None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from .errors import TaplineError
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,8 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session's configuration, else from the context's checkpoint folder. Only when
-    neither is set (local tests) a folder under the system temp dir is made and registered as the
-    context's checkpoint folder, so every later call agrees on it.
+    neither is set and the master is local (tests) a folder under the system temp dir is made and
+    registered as the context's checkpoint folder, so every later call agrees on it. On a cluster a
+    machine's own folder is not shared, so a missing setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -56,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise TaplineError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
     local = tempfile.mkdtemp(prefix="tapline-")
     spark.sparkContext.setCheckpointDir(local)
     return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
@@ -63,7 +67,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below :func:`shared_dir` (not created)."""
-    base = shared_dir(spark)
-    if "://" not in base and not base.startswith("file:"):
-        os.makedirs(base, exist_ok=True)
-    return f"{base}/tapline-{label}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/tapline-{label}-{uuid.uuid4().hex[:12]}"

@@ -2,19 +2,20 @@
 
 Each sink is split into a pure preparation step (``DataFrame -> DataFrame``, all native column
 expressions) and a Spark writer call. Output is a directory of part files written in parallel by
-the executors; nothing is collected on the driver. Pass ``single_file=True`` to coalesce a small
-result into one part.
+the executors; nothing is collected on the driver. Pass ``single_file=True`` to gather the finished
+rows of a small result into one part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import OutputError
+from ..errors import FormatError, OutputError
 from ..functions.names import sanitized_names
 from ..functions.values import canonical, formula_guard, non_finite_to_null
+from .publish import drop_empty_parts, part_names
 
 FORMATS = ("json", "ndjson", "csv", "tsv", "parquet")
 COMPRESSIONS = {"snappy": "snappy", "gzip": "gzip", "zstd": "zstd", "uncompressed": "none"}
@@ -25,7 +26,7 @@ def normalize_format(fmt: str) -> str:
     """The format name in lower case; unknown formats are an error."""
     value = str(fmt).strip().lower()
     if value not in FORMATS:
-        raise OutputError(f'Unknown format "{fmt}". Valid formats: {", ".join(FORMATS)}.')
+        raise FormatError(f'Unknown format "{fmt}". Valid formats: {", ".join(FORMATS)}.')
     return value
 
 
@@ -143,24 +144,32 @@ def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = Fa
     """Lines that make each non-empty partition one JSON array (``[`` ... ``]``).
 
     Framing is per partition, so the partitioning must be final before it: ``single_file``
-    coalesces first.
+    gathers the finished objects first.
     """
     lines = json_objects(json_values(df), pretty)
     if single_file:
-        lines = lines.coalesce(1)
+        lines = in_one_part(lines)
     return lines.mapInArrow(_frame_arrays(pretty), "value string")
 
 
 def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file: bool = False,
                      mode: str = "errorifexists") -> None:
     """Each part file is one JSON array; an empty result is one ``[]`` file."""
-    observation = Observation()
-    data = df.observe(observation, F.count(F.lit(1)).alias("n"))
+    old = part_names(df.sparkSession, path)
     # one file per task: a file split by maxRecordsPerFile would leave arrays unclosed
-    json_array_lines(data, pretty, single_file).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
-    if not observation.get.get("n"):
+    json_array_lines(df, pretty, single_file).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+    if not drop_empty_parts(df.sparkSession, path, old):
         df.sparkSession.createDataFrame([("[ ]" if pretty else "[]",)], "value string").coalesce(1) \
             .write.mode("append").text(path)
+        drop_empty_parts(df.sparkSession, path, old)
+
+
+def in_one_part(df: DataFrame) -> DataFrame:
+    """All rows in one partition, in their order: one shuffle of the finished rows, so that only the last write is a
+    single task and what comes before stays parallel."""
+    work, fields = by_position(df)
+    placed = work.withColumn("_order", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("_order")
+    return placed.select(*[F.col(f"_p{i}").alias(sf.name, metadata=sf.metadata) for i, sf in enumerate(fields)])
 
 
 def ndjson_lines(df: DataFrame) -> DataFrame:
@@ -192,7 +201,7 @@ QUOTE = '"'
 
 def _needs_quotes_pattern(sep: str) -> str:
     delim = "\\t" if sep == "\t" else sep
-    return f"^[\\x00-\\x23]|[\\r\\n\"{delim}\\x00]|[\\x00-\\x20]$"
+    return f"^[\\x00-\\x23]|[\\r\\n\"{delim}\\x00]|[\\x00-\\x20]\\z"
 
 
 def quote_cell(value: str, first: bool, sep: str) -> str:
@@ -201,13 +210,13 @@ def quote_cell(value: str, first: bool, sep: str) -> str:
 
     if value == "":
         return '""' if first else ""
-    if re.search(_needs_quotes_pattern(sep), value):
+    if re.search(_needs_quotes_pattern(sep).replace(r"\z", r"\Z"), value):
         return QUOTE + value.replace(QUOTE, QUOTE * 2) + QUOTE
     return value
 
 
 def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_value: str = "",
-                    escape_formulas: bool = False, bom: bool = False) -> tuple[DataFrame, str]:
+                    escape_formulas: bool = False, bom: bool = False, single_file: bool = False) -> tuple[DataFrame, str]:
     """One text line per row (column ``value``), and the header line.
 
     The first row of every partition carries the header (and BOM) in front of it, so each part
@@ -231,6 +240,9 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
             cell = value
         cells.append(F.when(value.isNull(), null_cell).otherwise(cell))
     line = F.concat_ws(sep, *cells)
+    if single_file:
+        text = in_one_part(text.select(line.alias("value")))
+        line = F.col("value")
     head = sep.join(quote_cell(n, i == 0, sep) for i, n in enumerate(df.columns)) if header else None
     lead = ((BOM if bom else "") + (head + "\r\n" if head is not None else ""))
     if lead:
@@ -244,17 +256,16 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
                     escape_formulas: bool = False, bom: bool = False, single_file: bool = False,
                     mode: str = "errorifexists") -> None:
     """CSV (``sep=","``) or TSV (``sep="\\t"``) with CRLF line ends. Returns after the write."""
-    lines, head = delimited_lines(df if not single_file else df.coalesce(1), sep, header, null_value,
-                                  escape_formulas, bom)
-    observation = Observation()
-    lines = lines.observe(observation, F.count(F.lit(1)).alias("n"))
+    lines, head = delimited_lines(df, sep, header, null_value, escape_formulas, bom, single_file)
+    spark = df.sparkSession
+    old = part_names(spark, path)
     # one file per task, so every file starts with the header row
     lines.write.mode(mode).option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
-    if head and not observation.get.get("n"):
+    if not drop_empty_parts(spark, path, old) and head:
         # an empty result still gets its header line (a tiny one-row write into the same folder)
-        spark = df.sparkSession
         spark.createDataFrame([(head,)], "value string").coalesce(1) \
             .write.mode("append").option("lineSep", "\r\n").text(path)
+        drop_empty_parts(spark, path, old)
 
 
 # ---------------------------------------------------------------------------- Parquet
@@ -316,7 +327,7 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonic
         raise OutputError(f'Unknown compression "{compression}". Valid: SNAPPY, GZIP, ZSTD, UNCOMPRESSED.')
     out = parquet_values(with_declared_decimals(df, decimals), canonical_types)
     if single_file:
-        out = out.coalesce(1)
+        out = in_one_part(out)
     spark = df.sparkSession
     key = "spark.sql.parquet.outputTimestampType"
     before = spark.conf.get(key, None)
@@ -334,7 +345,7 @@ def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mod
                      compression: str | None = None) -> None:
     """Write a one-string-column DataFrame as text lines."""
     if single_file:
-        lines = lines.coalesce(1)
+        lines = in_one_part(lines)
     writer = lines.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)

@@ -14,6 +14,64 @@ from pyspark.sql import SparkSession
 from ..errors import OutputError
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds anything."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def part_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the part files in a folder; none if it does not exist."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listStatus(target) if fs.exists(target) else []
+    return {s.getPath().getName() for s in found if s.getPath().getName().startswith("part-")}
+
+
+def drop_empty_parts(spark: SparkSession, path: str, old: set[str] = frozenset()) -> bool:
+    """Delete the part files of 0 bytes that tasks without rows leave; whether other part files, not among ``old``,
+    are there. A listing of the folder on the driver: names and sizes, never rows.
+    """
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    filled = False
+    for status in fs.listStatus(target):
+        if status.getPath().getName().startswith("part-") and status.getPath().getName() not in old:
+            if status.getLen():
+                filled = True
+            else:
+                fs.delete(status.getPath(), False)
+    return filled
+
+
+class ReplacedInPlace:
+    """``with ReplacedInPlace(spark, target): append to target``: overwriting without a staging folder.
+
+    The job adds its files beside the old ones through Spark's commit protocol; the old ones go only after
+    the job has committed. A failing job leaves the old output as it was.
+    """
+
+    def __init__(self, spark: SparkSession, target: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def __enter__(self):
+        self._old = [s.getPath() for s in self._fs.listStatus(self._path)] if self._fs.exists(self._path) else []
+
+    def __exit__(self, exc_type, exc, tb) -> bool:
+        if exc_type is None:
+            for path in self._old:
+                if path.getName() != "_SUCCESS":
+                    self._fs.delete(path, True)
+        return False
+
+
 class StagedOutput:
     """``with StagedOutput(spark, target, overwrite) as stage: write to stage``."""
 

@@ -6,12 +6,14 @@ lower-cased) with the original label kept in the field metadata.
 
 from __future__ import annotations
 
+import math
 import os
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import SourceError
+from ..errors import SourceError, TaplineError
 from ..functions.names import normalized_names
 
 DEFAULT_FETCH_SIZE = 1000
@@ -127,6 +129,8 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
     instead gives one WHERE condition per partition (for example a database-side hash bucket,
     ``MOD(ABS(hash_fn(id)), 64) = i``), so a hot key's rows can be spread evenly.
     """
+    if fetch_size <= 0:
+        raise TaplineError(f"fetch_size must be greater than 0, not {fetch_size}.")
     text = sql_text(sql, sql_file).rstrip().rstrip(";").rstrip()
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size))
     if session_init is None and read_only:
@@ -151,15 +155,16 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
                       .option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
                                        f"FROM ({text}) tapline_bounds"))
             for key, value in (("user", user), ("password", password), ("driver", driver),
-                               ("sessionInitStatement", session_init)):
+                               ("sessionInitStatement", session_init), *(options or {}).items()):
                 if value is not None:
-                    bounds = bounds.option(key, value)
+                    bounds = bounds.option(key, str(value))
             lo, hi = _load(bounds, url).collect()[0]
-            if lo is None:  # empty result: any range reads nothing
+            if lo is None:  # empty result, or only nulls: the first range reads them
                 lo, hi = 0, 1
-            lower_bound = lower_bound if lower_bound is not None else lo
-            if upper_bound is None:  # the upper bound is exclusive for whole numbers
-                upper_bound = hi + 1 if isinstance(hi, int) else hi
+            lower_bound = lower_bound if lower_bound is not None else whole_bound(lo, math.floor)
+            if upper_bound is None:  # the upper bound is exclusive for numbers
+                top = whole_bound(hi, math.floor)
+                upper_bound = top + 1 if isinstance(top, int) else top
         reader = (reader.option("dbtable", f"({text}) tapline_q")
                   .option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
@@ -177,6 +182,14 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
     return normalize_columns(_load(reader, url))
 
 
+def whole_bound(value, rounding):
+    """A range bound that Spark accepts: numbers of every type as whole numbers, dates and times as they are.
+
+    Bounds only place the ranges' borders; rows outside them are read by the first and last range.
+    """
+    return rounding(value) if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool) else value
+
+
 def _load(reader, url: str) -> DataFrame:
     """Load, turning a driver failure into a :class:`SourceError` with credentials redacted."""
     from ..functions.values import redact_text
@@ -185,11 +198,25 @@ def _load(reader, url: str) -> DataFrame:
         return reader.load()
     except Exception as exc:  # noqa: BLE001 - py4j wraps the driver's SQLException
         first = str(exc).strip().splitlines()[0] if str(exc) else type(exc).__name__
-        raise SourceError(f"JDBC query failed on {redact_text(url)}: {redact_text(first)[:300]}") from None
+        raise SourceError(f"JDBC query failed on {redact_text(url)}: {redact_text(first)}") from None
 
 
 def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Cap the rows read (before any transform); ``None`` or ``0`` means no cap."""
-    if max_rows is None or max_rows <= 0:
+    """Cap the rows read (before any transform); ``None`` means no cap, and a cap must be positive.
+
+    Counting off the first rows is one task's work, but it only passes them on: each capped row gets its place
+    and is dealt, in runs of neighbouring places, over all shuffle partitions, so transforms and the write
+    stay parallel and an ordered query keeps its order from part to part.
+    """
+    if max_rows is None:
         return df
-    return df.limit(int(max_rows))
+    if max_rows <= 0:
+        raise TaplineError(f"max_rows must be greater than 0, not {max_rows}.")
+    names, metadata = df.columns, [sf.metadata for sf in df.schema.fields]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    capped = df.toDF(*[f"_c{k}" for k in range(len(names))]).limit(int(max_rows)).withColumn(
+        "_place", F.monotonically_increasing_id())
+    run = max(1, -(-int(max_rows) // parts))
+    dealt = capped.repartitionById(parts, F.least(F.floor(F.col("_place") / run), F.lit(parts - 1)).cast("int"))
+    return dealt.sortWithinPartitions("_place").select(
+        *[F.col(f"_c{k}").alias(name, metadata=m) for k, (name, m) in enumerate(zip(names, metadata))])

@@ -1,8 +1,10 @@
 """The same pipeline over a stream: ``readStream`` -> steps -> ``writeStream``.
 
 Every step is row-level, so the plan is valid in append mode with no state. Progress is kept in
-the checkpoint folder (under ``spark.checkpoint.dir`` unless given), so a restarted query resumes
-where it stopped and an executor loss only replays the open micro-batch.
+the checkpoint folder, by default a hidden folder beside the output: it belongs to that output, so a
+restarted query resumes where it stopped and an executor loss only replays the open micro-batch.
+An output that holds data without its checkpoint is refused: starting at batch 0 again would skip or
+replace what is there.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..errors import OutputError
 from ..plans.pipeline import Pipeline
-from ..session import scratch_path
 from ..sinks.formats import ndjson_lines, normalize_format, parquet_values, write_delimited
+from ..sinks.publish import has_files
 from ..sources.query import normalize_columns
 
 METRICS_NAME = "tapline_pipeline"
@@ -48,7 +50,9 @@ def start_stream_export(stream: DataFrame, pipeline: Pipeline, fmt: str, output:
     fmt = normalize_format(fmt)
     transformed = transform_stream(stream, pipeline)
     spark = stream.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
+    checkpoint = checkpoint or default_checkpoint(output)
+    if has_files(spark, output) and not has_files(spark, checkpoint):
+        raise OutputError(f"{output} holds data, but {checkpoint} has no progress of a stream that wrote it.")
     if fmt == "parquet":
         out, writer_format, options = parquet_values(transformed, not pipeline.is_empty()), "parquet", {}
     elif fmt == "ndjson":
@@ -74,6 +78,12 @@ def start_stream_export(stream: DataFrame, pipeline: Pipeline, fmt: str, output:
     return _trigger(writer, available_now, processing_time).start()
 
 
+def default_checkpoint(output: str) -> str:
+    """The checkpoint of an output: always the same hidden folder beside it, on the same storage."""
+    parent, _, name = output.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.checkpoint" if parent else f".{name}.checkpoint"
+
+
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if processing_time:
         return writer.trigger(processingTime=processing_time)

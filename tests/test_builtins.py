@@ -44,7 +44,7 @@ def test_drop_requires_every_column(bookings):
 
 
 def test_drop_everything_is_refused(bookings):
-    with pytest.raises(TransformError, match="removed all columns"):
+    with pytest.raises(TransformError, match="leaves no column"):
         run(bookings, "drop:booking_id,room_code,attendees,cancelled,amount")
 
 
@@ -112,11 +112,11 @@ def test_map_value_may_be_null(bookings):
 
 
 def test_map_config_errors():
-    with pytest.raises(TransformError, match='"unmatched" must be one of'):
+    with pytest.raises(TransformError, match='"unmatched" needs one of keep, default, fail'):
         build_pipeline([{"type": "map", "column": "a", "mapping": {"x": "y"}, "unmatched": "drop"}])
-    with pytest.raises(TransformError, match='requires a non-empty "default"'):
+    with pytest.raises(TransformError, match='"default" is missing'):
         build_pipeline([{"type": "map", "column": "a", "mapping": {"x": "y"}, "unmatched": "default"}])
-    with pytest.raises(TransformError, match='requires a non-empty object "mapping"'):
+    with pytest.raises(TransformError, match='"mapping" needs at least one entry'):
         build_pipeline([{"type": "map", "column": "a", "mapping": {}}])
 
 
@@ -167,8 +167,8 @@ def test_expression_errors_fail_before_rows(bookings):
         build_pipeline(inline=["expression:x=attendees +"])
     with pytest.raises(TransformError, match='unknown column "attendeez"'):
         run(bookings, "expression:x=attendeez + 1")
-    with pytest.raises(TransformError, match="not allowed"):
-        build_pipeline(inline=["expression:x=reflect('java.lang.System', 'exit', 1)"])
+    with pytest.raises(TransformError, match="calls into the JVM"):
+        run(bookings, "expression:x=reflect('java.lang.System', 'exit', 1)")
     with pytest.raises(TransformError, match='duplicate column "amount"'):
         run(bookings, "expression:amount=1")
 
@@ -194,16 +194,16 @@ def test_large_mapping_uses_buckets_and_matches(spark):
 
 def test_builtins_declare_capabilities():
     from tapline import default_registry
-    from tapline.operators import TransformSpec
+    from tapline.operators import StepSpec
 
     registry = default_registry()
     changing = [("rename", {"from": "a", "to": "b"}), ("drop", {"columns": ["a"]}), ("keep", {"columns": ["a"]}),
                 ("addStatic", {"fields": {"s": "1"}}), ("template", {"name": "f", "template": "{a}"}),
                 ("expression", {"outputField": "f", "expression": "a"})]
     for kind, config in changing:
-        assert registry.create(TransformSpec(kind, config)).capabilities.schema_changing, kind
+        assert registry.create(StepSpec(kind, config)).capabilities.schema_changing, kind
     in_place = [("mask", {"column": "a"}), ("default", {"column": "a", "value": "x"}),
                 ("map", {"column": "a", "mapping": {"A": "B"}})]
     for kind, config in in_place:
-        caps = registry.create(TransformSpec(kind, config)).capabilities
+        caps = registry.create(StepSpec(kind, config)).capabilities
         assert (caps.schema_changing, caps.row_level, caps.deterministic) == (False, True, True), kind

@@ -3,7 +3,15 @@
 import glob
 import os
 
-from tapline.cli import EXIT_INVALID_ARGUMENTS, EXIT_OK, EXIT_SQL_INPUT, EXIT_TRANSFORM, main
+from tapline.cli import (
+    EXIT_INVALID_ARGUMENTS,
+    EXIT_OK,
+    EXIT_SCHEMA,
+    EXIT_SQL_INPUT,
+    EXIT_TRANSFORM,
+    EXIT_UNSUPPORTED_FORMAT,
+    main,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +32,12 @@ def test_cli_export_and_describe(spark, out, capsys):
 
 def test_cli_exit_codes(spark, out):
     assert main(["--sql", "SELECT 1"]) == EXIT_INVALID_ARGUMENTS              # no format / output
-    assert main(["--format", "csv", "--output", "x"]) == EXIT_INVALID_ARGUMENTS  # no SQL
+    assert main(["--format", "csv", "--output", "x"]) == EXIT_SQL_INPUT  # no SQL
+    assert main(["--sql", "SELECT 1", "--sql-file", "q.sql", "--format", "csv", "--output", "x"]) == EXIT_SQL_INPUT
+    assert main(["--sql", "SELECT 1 AS a", "--format", "xml", "--output", out("f")]) == EXIT_UNSUPPORTED_FORMAT
+    assert main(["--sql", "SELECT 1 AS a, 2 AS A", "--format", "csv", "--output", out("d")]) == EXIT_SCHEMA
+    assert main(["--sql", "SELECT 1 AS a", "--format", "csv", "--output", out("m"), "--max-rows", "0"]) == \
+        EXIT_INVALID_ARGUMENTS
     assert main(["--tables", SF, "--sql", "DROP VIEW nation", "--format", "csv",
                  "--output", out("c1")]) == EXIT_SQL_INPUT
     assert main(["--tables", SF, "--sql", "SELECT * FROM nation", "--format", "csv", "--output", out("c2"),
@@ -82,4 +95,4 @@ def test_cli_messages(spark, out, capsys):
     assert capsys.readouterr().out.strip() == "Dry run complete. All options are valid."
     assert main(["--tables", SF, "--sql", "SELECT * FROM region", "--format", "csv", "--output", out("e"),
                  "--transform", "drop:nope"]) == EXIT_TRANSFORM
-    assert capsys.readouterr().err.startswith("ERROR: Transform \\"drop\\" references unknown column")
+    assert capsys.readouterr().err.startswith('ERROR: Transform "drop" references unknown column')
