@@ -7,8 +7,9 @@
 3. Grid range-join: two lattice points within distance 2r share a lattice point within r of both; r is 1
    here (links at two bits), so each fingerprint is dealt to its own cell and the at most 32 around it.
    A fingerprint that shares no cell with another has no partner.
-4. Exact check of those that do: fingerprints within 2r bits share a bit string within r bits of both.
-   Each candidate emits the strings within r bits of itself; the group of a string is linked to its
+4. Exact check of those that do. The few members of an ordinary cell are compared by their bits where they
+   stand, which clears chance neighbours; members of a full cell all go on. Then, for any number of members:
+   fingerprints within 2r bits share a bit string within r bits of both. Each candidate emits the strings within r bits of itself; the group of a string is linked to its
    smallest member. Members of one group differ by 2r bits at the most, so every link is true, and
    any two fingerprints within 2r bits meet in some group, so none is lost. A group costs one row per
    member and string, never a pair of members.
@@ -31,6 +32,8 @@ from .common import cut, text_or_empty
 
 SEGMENTS = 16
 HASH_SEED = 42
+#: Members of a cell up to which they are compared at once; a fuller cell leaves its check to the strings.
+FULL_CELL = 32
 #: Texts are cut into words in pieces of about this many bytes, so a text of any length needs little memory.
 PIECE_BYTES = 1 << 20
 
@@ -110,8 +113,12 @@ def _near_strings(fp: Column) -> Column:
 def _links(prints: DataFrame) -> DataFrame:
     """Links (a, b), a > b, between distinct fingerprints ``fp`` that connect all pairs within two bits."""
     cells = prints.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
-    shared = cells.groupBy("cell").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
-    candidates = cells.join(shared.select("cell"), "cell", "left_semi").select("fp").distinct()
+    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
+    met = cells.join(shared, "cell")
+    near = F.filter("fps", lambda x: F.exists("fps", lambda y: (x != y) & (F.bit_count(x.bitwiseXOR(y)) <= 2)))
+    few = met.filter(F.col("n") <= FULL_CELL).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
+    candidates = few.select(F.explode(near).alias("fp")).unionByName(
+        met.filter(F.col("n") > FULL_CELL).select("fp")).distinct()
     strings = candidates.select("fp", F.explode(_near_strings(F.col("fp"))).alias("z"))
     heads = strings.groupBy("z").agg(F.min("fp").alias("b"), F.max("fp").alias("high")).filter("b <> high").select("z", "b")
     return strings.join(heads, "z").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
