@@ -28,7 +28,7 @@ SAMPLE = 6000
 PER_PARTITION = 100
 MAX_PARTITIONS = 64
 NEIGHBOURS = 10
-TARGET = 0.98
+TARGET = 0.95
 BLOCK = 20_000
 QUERIES = 2_000
 STEPS, RATE, SEED = 200, 0.05, 11
@@ -65,13 +65,14 @@ def balanced_partitions(x: np.ndarray, graph: np.ndarray, parts: int, rounds: in
     """A partition per row, sizes within a tenth of even; moves keep to what raises the edges inside partitions."""
     label = np.zeros(len(x), np.int64)
     for _ in range(parts.bit_length() - 1):
+        halves = 2 * label
         for p in np.unique(label):
             own = np.flatnonzero(label == p)
             centred = x[own] - x[own].mean(axis=0)
             axis = np.linalg.svd(centred.T @ centred)[0][:, 0]
             order = own[np.argsort(centred @ axis, kind="stable")]
-            label[own] = 2 * p
-            label[order[len(order) // 2:]] += 1
+            halves[order[len(order) // 2:]] += 1
+        label = halves
     limit = int(np.ceil(1.1 * len(x) / parts)) + 1
     ends = np.concatenate([graph.ravel(), np.repeat(np.arange(len(x)), graph.shape[1])])
     starts = np.concatenate([np.repeat(np.arange(len(x)), graph.shape[1]), graph.ravel()])
