@@ -92,6 +92,14 @@ def main() -> None:
             config = load_config(cfg, inline)
             secs, rows = run(fmt, "SELECT * FROM lineitem", config)
             timings[f"lineitem_{name}_{fmt}"] = round(secs, 3)
+    # lineitem is one row group at small scale, so the runs above are one task; here it has a split per core
+    split = scratch_path(spark, "bench-split")
+    spark.table("lineitem").repartition(int(cpus)).write.parquet(split)
+    spark.read.parquet(split).createOrReplaceTempView("lineitem_split")
+    for fmt in FORMATS:
+        config = load_config(None, PIPELINES["rename_drop_map"])
+        timings[f"split_rename_drop_map_{fmt}"] = round(run(fmt, "SELECT * FROM lineitem_split", config)[0], 3)
+    _remove(spark, split)
     secs, _ = run("parquet", FLAGSHIP_SQL, FLAGSHIP)
     timings["flagship_parquet"] = round(secs, 3)
     secs, _ = run("json", FLAGSHIP_SQL, FLAGSHIP)

@@ -51,14 +51,14 @@ def _strip_iso_tail(text: Column) -> Column:
     return F.regexp_replace(text, r"(T|^)(\d{2}:\d{2}):00$", "$1$2")
 
 
-def iso_timestamp_ntz(col: Column) -> Column:
+def iso_timestamp_ntz(col: Column, text: Column | None = None) -> Column:
     """Zone-free timestamp as ``2024-06-01T12:34:56`` (Java ``LocalDateTime.toString``).
 
     Built from ``CAST(ts AS STRING)`` (``yyyy-MM-dd HH:mm:ss`` plus the fraction with trailing
     zeros trimmed), which involves no time zone. For four-digit years the fraction is padded to
     3 or 6 digits with substring arithmetic; other widths take the regular-expression form.
     """
-    text = col.cast("string")
+    text = col.cast("string") if text is None else text
     size = F.length(text)
     base = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
     fraction = F.substring(text, 21, 6)
@@ -73,14 +73,26 @@ def iso_timestamp_ntz(col: Column) -> Column:
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def iso_timestamp_utc(col: Column) -> Column:
+def utc_wall_clock(col: Column) -> Column:
+    """An instant's UTC wall clock as a zone-free timestamp."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def timestamp_text(col: Column, dtype: T.DataType) -> Column | None:
+    """The cast from which a timestamp's ISO text is built, or None for other types. A projection that computes it
+    below :func:`canonical` makes it once a row; the ISO rules read it several times."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return col.cast("string")
+    return utc_wall_clock(col).cast("string") if isinstance(dtype, T.TimestampType) else None
+
+
+def iso_timestamp_utc(col: Column, text: Column | None = None) -> Column:
     """Instant as UTC ``2024-06-01T02:34:56Z`` (Java ``OffsetDateTime.toString`` at offset zero).
 
     The UTC wall clock is the epoch plus the instant's microseconds, as a zone-free timestamp,
     so neither the session time zone nor its DST transitions play a part.
     """
-    wall = F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
-    return F.concat(iso_timestamp_ntz(wall), F.lit("Z"))
+    return F.concat(iso_timestamp_ntz(utc_wall_clock(col), text), F.lit("Z"))
 
 
 def iso_date(col: Column) -> Column:
@@ -101,8 +113,8 @@ def base64_text(col: Column) -> Column:
     return F.regexp_replace(F.base64(col), r"[\r\n]", "")
 
 
-def canonical(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
-    """The canonical value of a column, with its canonical type."""
+def canonical(col: Column, dtype: T.DataType, text: Column | None = None) -> tuple[Column, T.DataType]:
+    """The canonical value of a column, with its canonical type; ``text`` is its :func:`timestamp_text`, if at hand."""
     if isinstance(dtype, (T.ByteType, T.ShortType)):
         return col.cast("int"), T.IntegerType()
     if isinstance(dtype, CANONICAL_TYPES):
@@ -110,9 +122,9 @@ def canonical(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
     if isinstance(dtype, T.DateType):
         return iso_date(col), T.StringType()
     if isinstance(dtype, T.TimestampNTZType):
-        return iso_timestamp_ntz(col), T.StringType()
+        return iso_timestamp_ntz(col, text), T.StringType()
     if isinstance(dtype, T.TimestampType):
-        return iso_timestamp_utc(col), T.StringType()
+        return iso_timestamp_utc(col, text), T.StringType()
     if _TIME_TYPE is not None and isinstance(dtype, _TIME_TYPE):
         return iso_time(col), T.StringType()
     if isinstance(dtype, T.BinaryType):
