@@ -33,7 +33,7 @@ _VOID = set("area base br col embed hr img input link meta param source track wb
 _BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search
 section summary table tbody td textarea tfoot th thead title tr ul br""".split())
-_GROUP = set("body div section td blockquote html center".split())
+_GROUP = set("body div section td html center".split())
 _MAIN = {"article", "main"}
 _NEVER_TAG = set("""head script style noscript template nav footer aside form button select option textarea input iframe object
 svg math canvas audio video menu dialog search label fieldset title""".split())
@@ -42,7 +42,8 @@ _NEVER_ROLE = set("navigation banner contentinfo complementary search form alert
 _NEVER_NAME = set("""ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored sponsors promo
 promotion promoted cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription
 signup login sidebar sidebars sidenav rail aside widget widgets menu menus nav navbar navigation navi breadcrumb breadcrumbs topbar
-masthead footer foot footers colophon copyright comment comments commentlist discussion disqus replies respond share
+masthead footer foot footers colophon copyright alert alerts announcement announcements paywall disclaimer toast teaser
+teasers trending comment comments commentlist discussion disqus replies respond share
 sharing social related recommended recommendations pagination pager toolbar search searchbox form skip skiplink tags""".split())
 _HEADER_NAME = {"header", "headers", "siteheader", "pageheader"}
 _COMMENT_NAME = {"comment", "comments", "commentlist", "reply", "replies", "discussion", "respond"}
@@ -104,7 +105,7 @@ class _Lines(HTMLParser):
         if tag in _MAIN:
             self.containers += 1
             container, in_main = self.containers, True
-        elif tag in _GROUP and not in_main:
+        elif tag in _GROUP and not in_main and (tag != "section" or self._top_block() in ("body", "html", "")):
             self.containers += 1
             container = self.containers
         self.open.append((tag, hidden, container, in_main))

@@ -134,11 +134,13 @@ TEXT = "Title & more First boldtext of the article, long enough to be found. Two
 
 @pytest.mark.parametrize("frame", ["<article>%s</article>", "<main>%s</main>", "<div class='content'>%s</div>", "<main><div><article><header>%s</header></article></div></main>"])
 def test_boilerplate_goes_and_the_article_stays(frame):
-    got = pages.main_text(PAGE % (frame % ARTICLE))
-    if frame.startswith("<div"):
-        assert got.startswith(TEXT.split(" Quoted")[0])
-    else:
-        assert got == TEXT
+    assert pages.main_text(PAGE % (frame % ARTICLE)) == TEXT
+
+
+def test_sections_of_an_unmarked_article_stay_together():
+    body = "".join(f"<section><h2>Part {k}</h2><p>{'A long enough sentence of the text. ' * (6 if k != 2 else 1)}</p></section>" for k in range(4))
+    got = pages.main_text(f"<body><div class='top'><a href='/'>Home</a> <a href='/x'>News</a></div><div id='post'>{body}</div></body>")
+    assert [f"Part {k}" in got for k in range(4)] == [True] * 4 and "Home" not in got
 
 
 @pytest.mark.parametrize("text,want", [("", ""), ("plain words", "plain words"), ("<p>a<br>b</p>", "a b"), ("<p>a", "a"), ("</p></div>x</i>", "x"),
