@@ -9,10 +9,10 @@
    A fingerprint that shares no cell with another has no partner.
 4. Exact check of those that do. The few members of an ordinary cell are compared by their bits where they
    stand, which clears chance neighbours; members of a full cell all go on. Then, for any number of members:
-   fingerprints within 2r bits share a bit string within r bits of both. Each candidate emits the strings within r bits of itself; the group of a string is linked to its
-   smallest member. Members of one group differ by 2r bits at the most, so every link is true, and
-   any two fingerprints within 2r bits meet in some group, so none is lost. A group costs one row per
-   member and string, never a pair of members.
+   fingerprints within 2r bits share a bit string within r bits of both. Each candidate emits the strings
+   within r bits of itself; the group of a string is linked to its smallest member. Members of one group
+   differ by 2r bits at the most, so every link is true, and any two fingerprints within 2r bits meet in some
+   group, so none is lost. A group costs one row per member and string, never a pair of members.
 5. Connected components of the links, with alternating star steps.
 """
 
@@ -112,7 +112,9 @@ def _near_strings(fp: Column) -> Column:
 
 def _links(prints: DataFrame) -> DataFrame:
     """Links (a, b), a > b, between distinct fingerprints ``fp`` that connect all pairs within two bits."""
-    cells = prints.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
+    # a small table in few files becomes many rows here: deal it out first
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = prints.repartition(parts, "fp").select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
     met = cells.join(shared, "cell")
     near = F.filter("fps", lambda x: F.exists("fps", lambda y: (x != y) & (F.bit_count(x.bitwiseXOR(y)) <= 2)))
