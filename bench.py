@@ -121,7 +121,7 @@ def main() -> None:
         for name, config in WIDE_PIPELINES.items():
             pipeline = build_pipeline(config)
             t0 = time.perf_counter()
-            pipeline.plan(wide).df.write.format("noop").mode("overwrite").save()
+            pipeline.plan(wide, observe="stops").df.write.format("noop").mode("overwrite").save()
             timings[f"width{width}_{name}_noop"] = round(time.perf_counter() - t0, 3)
         _remove(spark, wide_path)
 

@@ -138,29 +138,34 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
         # AQE sizes the partitions (at least 1 MB each, up to one per shuffle partition)
         source = source.hint("rebalance")
 
-    if pipeline.is_empty():
-        observation = Observation()
-        data = source.observe(observation, F.count(F.lit(1)).alias("rows_out"))
-        planned = None
-    else:
-        planned = pipeline.plan(source)
-        data, observation = planned.df, planned.observation
+    planned = None if pipeline.is_empty() else pipeline.plan(source, observe="stops")
+    data = source if planned is None else planned.df
     schema = data.schema
+    # where no step can stop a row, the sink counts: rendered lines, or the footers of written Parquet files
+    counted = None if planned is not None and planned.stops else Observation()
+    replaces = not staged and overwrite
+    if counted is not None and fmt == "parquet" and replaces:  # the folder then holds old files too
+        data = data.observe(counted, F.count(F.lit(1)).alias("rows_out"))
 
     started = datetime.now(timezone.utc)
     t0 = time.monotonic()
+    rows_written = None
     try:
         if staged:
             with publisher as stage:
                 _write(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
-                       single_file=single_file, decimals=parquet_decimals)
+                       single_file=single_file, decimals=parquet_decimals, counted=counted)
+                if counted is not None and fmt == "parquet":
+                    rows_written = spark.read.parquet(stage).count()  # from the footers
         else:
             with ReplacedInPlace(spark, output):  # the old files go only after the job has committed
                 _write(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
-                       single_file=single_file, decimals=parquet_decimals,
+                       single_file=single_file, decimals=parquet_decimals, counted=counted,
                        mode="append" if overwrite else "errorifexists")
+            if counted is not None and fmt == "parquet" and not replaces:
+                rows_written = spark.read.parquet(output).count()
     except PySparkException as exc:
         raise _job_error(exc) from None
     except Exception as exc:  # py4j errors from the JVM
@@ -170,14 +175,11 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     duration = int((time.monotonic() - t0) * 1000)
     completed = datetime.now(timezone.utc)
 
-    if planned is not None:
-        metrics = planned.metrics()
-        rows = metrics["rows_out"]
-        sensitive = planned.sensitive
-    else:
-        metrics = {}
-        rows = int(observed(observation).get("rows_out", 0) or 0)
-        sensitive = []
+    if counted is not None and rows_written is None:
+        rows_written = int(observed(counted).get("rows_out", 0) or 0)
+    metrics = {} if planned is None else planned.metrics(rows_written)
+    rows = rows_written if counted is not None else metrics["rows_out"]
+    sensitive = [] if planned is None else planned.sensitive
     columns = column_manifest(schema, sensitive)
     result = ExportResult(output, fmt, rows, columns, started.isoformat(), completed.isoformat(), duration,
                           metrics, sensitive)
@@ -225,17 +227,17 @@ def describe(spark: SparkSession, *, sql: str | None = None, sql_file: str | Non
 
 def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
            escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool,
-           decimals: dict | None = None, mode: str = "errorifexists") -> None:
+           decimals: dict | None = None, mode: str = "errorifexists", counted: Observation | None = None) -> None:
     if fmt == "parquet":
         write_parquet(data, path, compression, canonical_types=transformed, single_file=single_file,
                       decimals=decimals, mode=mode)
     elif fmt == "ndjson":
-        write_text_lines(ndjson_lines(data), path, single_file, mode=mode)
+        write_text_lines(ndjson_lines(data), path, single_file, mode=mode, counted=counted)
     elif fmt == "json":
-        write_json_array(data, path, pretty, single_file, mode=mode)
+        write_json_array(data, path, pretty, single_file, mode=mode, counted=counted)
     else:
         write_delimited(data, path, sep="," if fmt == "csv" else "\t", header=header, null_value=null_value,
-                        escape_formulas=escape_formulas, bom=bom, single_file=single_file, mode=mode)
+                        escape_formulas=escape_formulas, bom=bom, single_file=single_file, mode=mode, counted=counted)
 
 
 _MARKER = re.compile(FAIL_MARKER + r": (Transform \"[^\"]*\" failed[^\n]*?\.)(?=\s|$|\")")

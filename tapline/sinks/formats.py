@@ -8,7 +8,7 @@ rows of a small result into one part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,24 +140,30 @@ def _render(values, first: bool, last: bool, pretty: bool):
     return pa.RecordBatch.from_arrays([lines], ["value"])
 
 
-def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = False) -> DataFrame:
+def counting(lines: DataFrame, counted: Observation | None) -> DataFrame:
+    """Count the rendered rows (one text column, so the metrics node is cheap), if asked to."""
+    return lines if counted is None else lines.observe(counted, F.count(F.lit(1)).alias("rows_out"))
+
+
+def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = False,
+                     counted: Observation | None = None) -> DataFrame:
     """Lines that make each non-empty partition one JSON array (``[`` ... ``]``).
 
     Framing is per partition, so the partitioning must be final before it: ``single_file``
     gathers the finished objects first.
     """
-    lines = json_objects(json_values(df), pretty)
+    lines = counting(json_objects(json_values(df), pretty), counted)
     if single_file:
         lines = in_one_part(lines)
     return lines.mapInArrow(_frame_arrays(pretty), "value string")
 
 
 def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file: bool = False,
-                     mode: str = "errorifexists") -> None:
+                     mode: str = "errorifexists", counted: Observation | None = None) -> None:
     """Each part file is one JSON array; an empty result is one ``[]`` file."""
     old = part_names(df.sparkSession, path)
     # one file per task: a file split by maxRecordsPerFile would leave arrays unclosed
-    json_array_lines(df, pretty, single_file).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+    json_array_lines(df, pretty, single_file, counted).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     if not drop_empty_parts(df.sparkSession, path, old):
         df.sparkSession.createDataFrame([("[ ]" if pretty else "[]",)], "value string").coalesce(1) \
             .write.mode("append").text(path)
@@ -254,13 +260,13 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True, null_value: str = "",
                     escape_formulas: bool = False, bom: bool = False, single_file: bool = False,
-                    mode: str = "errorifexists") -> None:
+                    mode: str = "errorifexists", counted: Observation | None = None) -> None:
     """CSV (``sep=","``) or TSV (``sep="\\t"``) with CRLF line ends. Returns after the write."""
     lines, head = delimited_lines(df, sep, header, null_value, escape_formulas, bom, single_file)
     spark = df.sparkSession
     old = part_names(spark, path)
     # one file per task, so every file starts with the header row
-    lines.write.mode(mode).option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
+    counting(lines, counted).write.mode(mode).option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
     if not drop_empty_parts(spark, path, old) and head:
         # an empty result still gets its header line (a tiny one-row write into the same folder)
         spark.createDataFrame([(head,)], "value string").coalesce(1) \
@@ -342,8 +348,9 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonic
 
 
 def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists",
-                     compression: str | None = None) -> None:
+                     compression: str | None = None, counted: Observation | None = None) -> None:
     """Write a one-string-column DataFrame as text lines."""
+    lines = counting(lines, counted)
     if single_file:
         lines = in_one_part(lines)
     writer = lines.write.mode(mode)
