@@ -36,11 +36,12 @@ from .common import cut, mix64, slices, string_buffers, text_or_empty
 
 LENGTH, GRAM = 200, 32
 REACH = LENGTH - GRAM + 1
-MANY = 2000
 #: Bytes of text that are hashed at a time.
 BLOCK_BYTES = 1 << 20
-#: Suffixes that are sorted at a time, unless one anchor has more.
+#: Suffixes that a task sorts at a time.
 SUFFIXES = 1 << 20
+#: Different spans of one anchor up to which they are sorted together: about ``SUFFIXES`` windows.
+MANY = SUFFIXES // (REACH // 2)
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -78,9 +79,14 @@ def _lowest(keys: np.ndarray, reach: int) -> np.ndarray:
 
 
 def find_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Spans of the texts in ``data``: row, anchor's hash, span's hash, first window, anchor's offset, windows."""
+    """Spans of the texts in ``data``: row, anchor's hash, span's hash, first window, anchor's offset, windows, and the
+    windows from the first one to the last one of a run of equal spans.
+
+    A text that repeats itself with a short period has the same span again and again, one right after the other;
+    such a run is one row.
+    """
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     poly = _Polynomial(data)
     grams = mix64(poly.of(np.arange(len(data) - GRAM + 1), GRAM))
     place = np.uint64(max(len(data), 2)).item().bit_length()
@@ -96,8 +102,13 @@ def find_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     count = np.diff(np.append(new, len(first)))
     offset = anchor - start
     span = mix64(mix64(poly.of(start, LENGTH + count - 1)) + (offset * 256 + count).astype(np.uint64))
-    row = np.searchsorted(offsets, start, side="right") - 1
-    return row, grams[anchor], span, start - offsets[row], offset, count
+    row, gram = np.searchsorted(offsets, start, side="right") - 1, grams[anchor]
+    again = np.concatenate([[False], (gram[1:] == gram[:-1]) & (span[1:] == span[:-1]) & (start[1:] == start[:-1] + count[:-1])])
+    head = np.flatnonzero(~again)
+    tail = np.append(head[1:], len(start)) - 1
+    run = start[tail] + count[tail] - start[head]
+    row, start = row[head], start[head]
+    return row, gram[head], span[head], start - offsets[row], offset[head], count[head], run
 
 
 def _pieces(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
@@ -123,14 +134,16 @@ class _Suffixes:
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Common extension of the suffixes at ``i`` and ``j`` by binary search over prefix hashes."""
-        low, high = np.zeros(len(i), np.int64), np.full(len(i), LENGTH, np.int64)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            middle = (low + high + 1) // 2
+        answer = np.full(len(i), LENGTH, np.int64)
+        differ = np.flatnonzero(self.poly.of(i, LENGTH) != self.poly.of(j, LENGTH))
+        i, j = i[differ], j[differ]
+        low, high = np.zeros(len(i), np.int64), np.full(len(i), LENGTH - 1, np.int64)
+        for _ in range((LENGTH - 1).bit_length()):
+            middle = (low + high + 1) >> 1
             same = self.poly.of(i, middle) == self.poly.of(j, middle)
-            low, high = np.where(open_ & same, middle, low), np.where(open_ & ~same, middle - 1, high)
+            low, high = np.where(same, middle, low), np.where(same, high, np.maximum(middle - 1, low))
+        answer[differ] = low
+        return answer
 
     def common_by_bytes(self, i: int, j: int) -> int:
         differ = np.flatnonzero(self.data[i:i + LENGTH] != self.data[j:j + LENGTH])
@@ -218,19 +231,20 @@ def _runs_of(flags: np.ndarray) -> list[int]:
 # ------------------------------------------------------------------------------------- Spark steps
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """k1, k2, text -> k1, k2, anchor's hash g, span's hash s, p (first window, anchor's offset, windows packed)."""
+    """k1, k2, text -> k1, k2, anchor's hash g, span's hash s, p (first window, anchor's offset and windows, packed) and
+    run (windows of a run of equal spans)."""
     for batch in batches:
         _, one = np.unique(np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]), axis=0, return_index=True)
         if len(one) < batch.num_rows:
             batch = batch.take(pa.array(np.sort(one)))
         raw, offsets = string_buffers(batch.column(2))
         for data, off, first, before in _pieces(raw, offsets):
-            row, gram, span, start, offset, count = find_spans(data, off)
+            row, gram, span, start, offset, count, run = find_spans(data, off)
             at = pa.array(row + first)
             packed = ((start + before) << 16) | (offset << 8) | count
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(gram.astype(np.int64)),
-                 pa.array(span.astype(np.int64)), pa.array(packed)], names=["k1", "k2", "g", "s", "p"])
+                 pa.array(span.astype(np.int64)), pa.array(packed), pa.array(run)], names=["k1", "k2", "g", "s", "p", "run"])
 
 
 def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[dict, bytes]]]:
@@ -330,12 +344,13 @@ def cut_texts(rows: DataFrame, text_col: str) -> DataFrame:
     text = F.col(text_col)
     keyed = rows.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("second"), text, F.length(text))})
     spans = keyed.filter(F.octet_length(text) >= LENGTH).select("k1", "k2", text_col).mapInArrow(
-        _anchor_rows, "k1 long, k2 long, g long, s long, p long")
+        _anchor_rows, "k1 long, k2 long, g long, s long, p long, run long")
     kind, anchor = Window.partitionBy("g", "s"), Window.partitionBy("g")
-    met = cut(spans.withColumn("same", F.count("*").over(kind))
+    seen = F.when(F.col("run") > F.col("p").bitwiseAND(255), 2).otherwise(1)  # a run has its span twice or more
+    met = cut(spans.withColumn("same", F.sum(seen).over(kind))
               .withColumn("nth", F.row_number().over(kind.orderBy("k1", "k2", "p")))
               .withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(anchor))
-              .withColumn("all", F.count("*").over(anchor)).filter("all > 1").drop("all"), "met")
+              .withColumn("all", F.sum(seen).over(anchor)).filter("all > 1").drop("all"), "met")
     copied = keyed.filter(F.octet_length(text) >= LENGTH).groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1")
 
     asked = met.filter("kinds > 1 and nth = 1")
@@ -355,7 +370,7 @@ def cut_texts(rows: DataFrame, text_col: str) -> DataFrame:
     partly = judged.unionByName(counted).filter(F.size("runs") > 0)
 
     start = F.shiftright("p", 16)
-    whole = F.array(start, start + F.col("p").bitwiseAND(255) - 1 + LENGTH)
+    whole = F.array(start, start + F.col("run") - 1 + LENGTH)
     pieces = F.flatten(F.transform(F.sequence(F.lit(0), F.shiftright(F.size("runs"), 1) - 1), lambda k: F.array(
         start + F.get("runs", 2 * k), start + F.get("runs", 2 * k + 1) + LENGTH)))
     found = (met.filter("same > 1").select("k1", "k2", whole.alias("x"))
