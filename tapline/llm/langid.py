@@ -2,7 +2,7 @@
 
 A known word adds its log frequency in each language. An unseen word falls back to its 4-grams (with the
 word's edges); if none of them is known, to its 3-grams, and so on. The model is learned from a bounded number of
-labelled rows a language (``MAX_ROWS``, the rows of smallest hash) and keeps the ``MAX_WORDS`` most frequent
+labelled rows a language (``MAX_ROWS``, in equal shares the rows of smallest hash of each of ``SALTS`` parts) and keeps the ``MAX_WORDS`` most frequent
 words seen at least twice and the ``MAX_GRAMS`` most frequent n-grams of each length and language, so what is
 broadcast is bounded by those parameters whatever the corpus holds. Scoring is a narrow map over whole texts.
 """
@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 
 from .common import text_or_empty
 
-MAX_ROWS = 2000
+MAX_ROWS = 2016
+#: Parts of a language's rows that are ranked each for itself; few rows a part, so ranks are limited before the shuffle.
+SALTS = 32
 MAX_WORDS = 60_000
 MAX_GRAMS = 30_000
 LONGEST_GRAM = 4
@@ -81,8 +83,9 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_rows:
     """Model of the rows of ``df`` with text and language: at most ``max_rows`` of each language."""
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null").withColumn("_h", F.xxhash64("text"))
-    chosen = rows.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text")))
-    counts = count_grams(chosen.filter(F.col("_r") <= max_rows).repartition(16))
+    each = Window.partitionBy("lang", F.pmod("_h", F.lit(SALTS))).orderBy("_h", "text")
+    chosen = rows.withColumn("_r", F.row_number().over(each)).filter(F.col("_r") <= max(1, max_rows // SALTS))
+    counts = count_grams(chosen.repartition(16))
     most = Window.partitionBy("n", "lang").orderBy(F.desc("count"), "gram")
     kept = counts.filter("n > 0 or count > 1").withColumn("_r", F.row_number().over(most)).filter(
         (F.col("_r") <= MAX_GRAMS) | ((F.col("n") == 0) & (F.col("_r") <= MAX_WORDS))).drop("_r")
@@ -137,6 +140,8 @@ class Scorer:
 
     def predict(self, text: str) -> tuple[str, float]:
         """Language and certainty; ``und`` and 0 without letters."""
+        if not any(c.isalpha() for c in text):
+            return "und", 0.0
         total, count = np.zeros(len(self.langs)), 0
         for words in words_of(text):
             if words and self.langs:
