@@ -14,8 +14,8 @@ judged on the input; they never cross documents.
    that compares two suffixes by prefix polynomial hashes: a binary search finds their common extension in 8 steps.
    Neighbours in that order with 200 common bytes are compared byte by byte (a collision is thereby found out, and
    the pair compared anew from its bytes). Repeated windows end up next to each other.
-4. An anchor with more than ``MANY`` different spans is not gathered in a task: its windows are counted by a hash of
-   128 bits each, with partial sums before the shuffle.
+4. An anchor whose different spans have more than ``MANY`` windows is not gathered in a task: its windows are counted
+   by a hash of 128 bits each, with partial sums before the shuffle.
 5. The repeated windows of each class are united into spans of bytes and cut out.
 
 Texts are shuffled once, by a key of their content, for the steps 3 to 5 together; step 2 reads the table in place.
@@ -40,8 +40,10 @@ REACH = LENGTH - GRAM + 1
 BLOCK_BYTES = 1 << 20
 #: Suffixes that a task sorts at a time.
 SUFFIXES = 1 << 20
-#: Different spans of one anchor up to which they are sorted together: about ``SUFFIXES`` windows.
-MANY = SUFFIXES // (REACH // 2)
+#: Suffixes that are compared in one vector operation.
+STEP = 1 << 15
+#: Windows of one anchor's different spans up to which they are sorted together.
+MANY = SUFFIXES // 2
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -162,12 +164,11 @@ class _Suffixes:
 
     def equal(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether ``LENGTH`` bytes agree: by hash, then verified byte by byte."""
-        same = self.common(i, j) == LENGTH
-        at = np.flatnonzero(same)
-        steps = np.arange(LENGTH)
-        for k in range(0, len(at), 1 << 14):
-            some = at[k:k + (1 << 14)]
-            same[some] = (self.data[i[some][:, None] + steps] == self.data[j[some][:, None] + steps]).all(axis=1)
+        same, steps = np.zeros(len(i), bool), np.arange(LENGTH)
+        for k in range(0, len(i), STEP):
+            some = k + np.flatnonzero(self.common(i[k:k + STEP], j[k:k + STEP]) == LENGTH)
+            for at in np.array_split(some, max(1, len(some) >> 13)):
+                same[at] = (self.data[i[at][:, None] + steps] == self.data[j[at][:, None] + steps]).all(axis=1)
         return same
 
     def sort(self, starts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,28 +184,31 @@ class _Suffixes:
         size = np.diff(np.append(begin, len(order)))
         width = 1
         while len(size) and width < size.max():  # merge neighbouring sorted blocks of every longer run
-            at = np.flatnonzero((size > width)[run])
-            inner = at - begin[run[at]]
-            base = begin[run[at]] + inner // (2 * width) * (2 * width)
-            limit = begin[run[at]] + size[run[at]]
-            right = inner // width % 2 == 1
-            low = np.where(right, base, np.minimum(base + width, limit))
-            high = np.where(right, base + width, np.minimum(base + 2 * width, limit))
-            other = low.copy()
-            mine = starts[order[at]]
-            while (todo := np.flatnonzero(low < high)).size:
-                middle = (low[todo] + high[todo]) // 2
-                theirs = starts[order[middle]]
-                # from the left block: go past smaller ones; from the right block: past smaller and equal ones
-                past = np.where(right[todo], ~self.less(mine[todo], theirs), self.less(theirs, mine[todo]))
-                low[todo], high[todo] = np.where(past, middle + 1, low[todo]), np.where(past, high[todo], middle)
-            own = inner % width
-            moved = order.copy()
-            moved[base + own + (low - other)] = order[at]
+            longer, moved = np.flatnonzero((size > width)[run]), order.copy()
+            for k in range(0, len(longer), STEP):
+                at = longer[k:k + STEP]
+                moved[self._merged_place(starts, order, at, begin[run[at]], size[run[at]], width)] = order[at]
             order = moved
             width *= 2
         return order, run
 
+    def _merged_place(self, starts, order, at, begin, size, width) -> np.ndarray:
+        """Where the elements at places ``at`` go when the sorted blocks of ``width`` of their runs are merged in pairs:
+        their place in their own block, after the elements of the other block that a binary search puts before them."""
+        inner = at - begin
+        base, limit = begin + inner // (2 * width) * (2 * width), begin + size
+        right = inner // width % 2 == 1
+        low = np.where(right, base, np.minimum(base + width, limit))
+        high = np.where(right, base + width, np.minimum(base + 2 * width, limit))
+        other, mine = low.copy(), starts[order[at]]
+        while (todo := np.flatnonzero(low < high)).size:
+            middle = (low[todo] + high[todo]) // 2
+            theirs = starts[order[middle]]
+            # from the left block: go past smaller ones; from the right block: past smaller and equal ones
+            past = np.where(right[todo], ~self.less(mine[todo], theirs), self.less(theirs, mine[todo]))
+            low[todo], high[todo] = np.where(past, middle + 1, low[todo]), np.where(past, high[todo], middle)
+        return base + inner % width + (low - other)
+
 
 def repeated_windows(buffers: list[bytes], group: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     """For each span (its bytes, anchor and number of windows): which of its windows stand in another span too."""
@@ -347,9 +351,11 @@ def cut_texts(rows: DataFrame, text_col: str) -> DataFrame:
         _anchor_rows, "k1 long, k2 long, g long, s long, p long, run long")
     kind, anchor = Window.partitionBy("g", "s"), Window.partitionBy("g")
     seen = F.when(F.col("run") > F.col("p").bitwiseAND(255), 2).otherwise(1)  # a run has its span twice or more
-    met = cut(spans.withColumn("same", F.sum(seen).over(kind))
+    # one shuffle by anchor serves all three windows
+    met = cut(spans.repartition("g").withColumn("same", F.sum(seen).over(kind))
               .withColumn("nth", F.row_number().over(kind.orderBy("k1", "k2", "p")))
               .withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(anchor))
+              .withColumn("load", F.sum(F.when(F.col("nth") == 1, F.col("p").bitwiseAND(255)).otherwise(0)).over(anchor))
               .withColumn("all", F.sum(seen).over(anchor)).filter("all > 1").drop("all"), "met")
     copied = keyed.filter(F.octet_length(text) >= LENGTH).groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1")
 
@@ -361,9 +367,9 @@ def cut_texts(rows: DataFrame, text_col: str) -> DataFrame:
         wanted = asked.filter(condition).groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "s", "p")).alias("wanted"))
         return keyed.join(wanted, ["k1", "k2"]).select(*all_columns, "wanted").mapInArrow(reader, schema)
 
-    judged = fetched(F.col("kinds") <= MANY, _span_bytes, "g long, s long, windows int, bytes binary").repartition(
+    judged = fetched(F.col("load") <= MANY, _span_bytes, "g long, s long, windows int, bytes binary").repartition(
         "g").sortWithinPartitions("g", "s").mapInArrow(_sorted_spans, "g long, s long, runs array<int>")
-    windows = fetched(F.col("kinds") > MANY, _window_hashes, "g long, s long, j int, w1 long, w2 long")
+    windows = fetched(F.col("load") > MANY, _window_hashes, "g long, s long, j int, w1 long, w2 long")
     span = F.struct("g", "s")
     twice = windows.groupBy("w1", "w2").agg(F.min(span).alias("a"), F.max(span).alias("b")).filter("a <> b").select("w1", "w2")
     counted = windows.join(twice, ["w1", "w2"]).groupBy("g", "s").agg(F.flatten(F.collect_list(F.array("j", "j"))).alias("runs"))
