@@ -14,6 +14,8 @@
    differ by 2r bits at the most, so every link is true, and any two fingerprints within 2r bits meet in some
    group, so none is lost. A group costs one row per member and string, never a pair of members.
 5. Connected components of the links, with alternating star steps.
+
+Fingerprints, links and components are joined by shuffles only: a broadcast would pass them through the driver.
 """
 
 from __future__ import annotations
@@ -116,14 +118,14 @@ def _links(prints: DataFrame) -> DataFrame:
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = prints.repartition(parts, "fp").select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cells.join(shared, "cell")
+    met = cells.join(shared.hint("merge"), "cell")
     near = F.filter("fps", lambda x: F.exists("fps", lambda y: (x != y) & (F.bit_count(x.bitwiseXOR(y)) <= 2)))
     few = met.filter(F.col("n") <= FULL_CELL).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     candidates = few.select(F.explode(near).alias("fp")).unionByName(
         met.filter(F.col("n") > FULL_CELL).select("fp")).distinct()
     strings = candidates.select("fp", F.explode(_near_strings(F.col("fp"))).alias("z"))
     heads = strings.groupBy("z").agg(F.min("fp").alias("b"), F.max("fp").alias("high")).filter("b <> high").select("z", "b")
-    return strings.join(heads, "z").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return strings.join(heads.hint("merge"), "z").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -137,10 +139,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = both.join(low.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.filter("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = (large.join(down.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(down.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         edges = cut(small, "star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -155,10 +157,10 @@ def classes(prints: DataFrame, id_col: str = "doc_id") -> DataFrame:
     fingerprint of the document that has it. Columns ``fp``, ``component_id``, ``keep_fp``."""
     distinct = cut(prints.groupBy(F.col("_simhash").alias("fp")).agg(F.min(F.col(id_col)).alias("low")), "prints")
     linked = components(_links(distinct))
-    rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
+    rooted = distinct.join(linked.hint("merge"), distinct["fp"] == linked["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     heads = rooted.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("n"), "low", "fp")).alias("h"))
-    return rooted.join(heads, "root").select("fp", F.col("h.low").alias("component_id"), F.col("h.fp").alias("keep_fp"))
+    return rooted.join(heads.hint("merge"), "root").select("fp", F.col("h.low").alias("component_id"), F.col("h.fp").alias("keep_fp"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -171,7 +173,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     prints = cut(with_fingerprints(texts, "text", width).select(F.col("id").alias(id_col), "_simhash"), "simhash")
     found = classes(prints, id_col)
-    return prints.join(found, prints["_simhash"] == found["fp"]).select(
+    return prints.join(found.hint("merge"), prints["_simhash"] == found["fp"]).select(
         prints[id_col], F.lower(F.lpad(F.hex("_simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -187,4 +189,4 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     reps = classes(marked.select(ids, "_simhash"), ids).filter("fp = keep_fp").select(F.col("fp").alias("_simhash"))
     order = Window.partitionBy("_simhash").orderBy(F.col(ids).asc_nulls_last(), F.xxhash64(*safe.columns))
     first = marked.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-    return first.join(reps, "_simhash", "left_semi").select(*safe.columns).toDF(*df.columns)
+    return first.join(reps.hint("merge"), "_simhash", "left_semi").select(*safe.columns).toDF(*df.columns)
