@@ -148,8 +148,11 @@ class _Lines(HTMLParser):
         elif not self.parts and not data.isspace():
             self.parts.append("x")  # a line that is never content still counts as a line
 
-    def unknown_decl(self, data):
-        pass
+    def parse_html_declaration(self, i):
+        """``<![...`` is a comment up to the next ``>``, as in browsers: the library's parser raises at most of them."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        return self.rawdata.find(">", i) + 1 or len(self.rawdata)
 
     def finish(self):
         self.close()
@@ -165,10 +168,7 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
 def main_text(html: str) -> str:
     """The article of one page; empty if it has none. Broken markup never fails: what the parser gives is used."""
     parser = _Lines()
-    try:
-        parser.feed(html)
-    except AssertionError:  # a malformed declaration ends the events here
-        parser.rawdata = ""
+    parser.feed(html)
     lines = parser.finish()
     if not any(x[0] for x in lines):
         return ""

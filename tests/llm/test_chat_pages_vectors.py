@@ -149,6 +149,12 @@ def test_small_and_broken_pages(text, want):
     assert pages.main_text(text) == want
 
 
+@pytest.mark.parametrize("mark", ["<![ endif]-->", "<![x>", "<![endif]-->", "<![>", "<![ if !IE]>", "<![CDATA[x]]>", "<![if gte mso 9]>", "<![broken<!x>", "<![é>"])
+def test_text_after_a_marked_section_stays(mark):
+    assert pages.main_text(f"<p>aaa</p>{mark}<p>bbb</p><p>ccc</p>") == "aaa bbb ccc"
+    assert pages.main_text(f"<article><p>aaa</p>{mark}<p>bbb</p></article><![") == "aaa bbb"
+
+
 def test_awkward_pages(spark):
     frame = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", "<p>" + "long text " * 50_000 + "</p>"), (2, "u", "<![broken<!x>y")],
                                   "page_id long, url string, html string").withColumns({"id": F.lit("clash"), "text": F.lit("clash")})
