@@ -3,7 +3,8 @@
 1. The standard library's parser streams events. A line is the text between two block-level tags (inline tags do
    not end it); it has a container (the nearest ``article`` or ``main``, else the nearest block that groups others)
    and may stand in a part that is never content (menus, headers, footers, sidebars, notices, adverts, forms,
-   scripts, styles, comments), known by tag, role, class or id.
+   scripts, styles, comments), known by tag, role, or the class or id of a block. An article in a block known by its
+   name alone counts again, unless it stands among comments or links to other articles.
 2. The ratio of a line is its characters outside links over its tags; parts that are never content have ratio 0.
    Ratios are smoothed with a Gaussian kernel, and lines over a threshold (a deviation, at most half of
    the highest value) form the clusters of content.
@@ -47,8 +48,19 @@ teasers trending comment comments commentlist discussion disqus replies respond
 sharing social related recommended recommendations pagination pager toolbar search searchbox form skip skiplink tags""".split())
 _HEADER_NAME = {"header", "headers", "siteheader", "pageheader"}
 _COMMENT_NAME = {"comment", "comments", "commentlist", "reply", "replies", "discussion", "respond"}
+#: Names of blocks whose articles are other people's or other pages' texts.
+_OTHER_NAME = _COMMENT_NAME | set("disqus related recommended recommendations teaser teasers trending".split())
+#: Words that may stand beside a name in one class or id (place, shape, what it belongs to): ``left-sidebar``, ``ad-box``.
+#: Any other word makes it tell of something else: ``has-sidebar``, ``no-sidebar``, ``layout-sidebar-right``, ``search-term``.
+_BESIDE = set("""left right top bottom upper lower side main primary secondary tertiary first last site page post posts article articles
+entry story blog box block blocks area areas zone slot slots unit container containers wrap wrapper wrappers inner outer holder
+panel bar list lists item items section group row column col button buttons icon icons link links title heading text message
+policy image label cloud trail mobile desktop sticky fixed floating global local div gpt google dfp wp js id count author body""".split())
+#: Names that stay names beside ``content``, which else tells of the article: ``related-content`` but not ``content-sidebar``.
+_CONTENT_TOO = _OTHER_NAME | set("ad ads advert sponsored promoted footer modal popup".split())
 _CLOSED_BY = {"p": _BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
               "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"}}
+_ALL_NAMES = _NEVER_NAME | _HEADER_NAME | _COMMENT_NAME
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -58,26 +70,38 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []  # text, link characters, tags, container, in article or main
-        self.open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, never content, container, in main
+        self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, never content, container, in main
         self.parts: list[str] = []
         self.link_chars = self.tags = self.links = self.containers = 0
 
     def _names(self, attrs) -> set[str]:
-        found = " ".join(v for k, v in attrs if k in ("class", "id") and v)
-        return {x.lower() for x in _NAME.findall(found)} if found else set()
-
-    def _never(self, tag, attrs, in_main: bool) -> bool:
-        if tag in _NEVER_TAG:
-            return True
+        """Names among the classes and the id; one counts only if no other word stands beside it than a place or a shape."""
+        names = set()
+        for token in " ".join(v for k, v in attrs if k in ("class", "id") and v).split():
+            words = {x.lower() for x in _NAME.findall(token)}
+            own = words & _ALL_NAMES
+            others = words - own - _BESIDE - ({"content"} if own & _CONTENT_TOO else set())
+            if not any(len(x) > 1 and not x.isdigit() for x in others):
+                names |= own
+        return names
+
+    def _never(self, tag, attrs, in_main: bool) -> int:
+        """0 for content; an article counts again in what is hidden by name (1), a main also among other texts (2), none in the rest (3)."""
+        if tag in _NEVER_TAG or (tag == "header" and not in_main):
+            return 3
         if not attrs or tag in ("html", "body"):
-            return tag == "header" and not in_main
-        names = self._names(attrs)
+            return 0
         if tag in _MAIN:
-            return bool(names & _COMMENT_NAME)
-        if names & _NEVER_NAME or (not in_main and (tag == "header" or names & _HEADER_NAME)):
-            return True
-        return any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "role" and (v or "").lower() in _NEVER_ROLE)
-                   or (k == "style" and v and "display:none" in v.replace(" ", "").lower()) for k, v in attrs)
+            return 2 if self._names(attrs) & _COMMENT_NAME else 0
+        if any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "role" and (v or "").lower() in _NEVER_ROLE)
+               or (k == "style" and v and "display:none" in v.replace(" ", "").lower()) for k, v in attrs):
+            return 3
+        names = self._names(attrs) if tag in _BLOCK else ()  # inline parts of a sentence are never known by name alone
+        if not names:
+            return 0
+        if names & _NEVER_NAME or (not in_main and names & _HEADER_NAME):
+            return 2 if names & _OTHER_NAME else 1
+        return 0
 
     def _end_line(self):
         never, container, in_main = self.open[-1][1:]
@@ -96,8 +120,10 @@ class _Lines(HTMLParser):
         while len(self.open) > 1 and tag in _CLOSED_BY.get(self._top_block(), ()):
             self._close(self._top_block())
         _, never, container, in_main = self.open[-1]
-        hidden = never or self._never(tag, attrs, in_main)
-        if hidden != never and self.parts:
+        hidden = self._never(tag, attrs, in_main)
+        if not (tag == "main" and never < 3 or tag == "article" and never == 1 and all(t[0] != "article" for t in self.open)):
+            hidden = max(hidden, never)
+        if bool(hidden) != bool(never) and self.parts:
             self.parts, kept = [], self.parts
             if not never:  # text before an inline part that is never content stays in its line
                 self.parts = kept
@@ -131,7 +157,7 @@ class _Lines(HTMLParser):
             return
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] == tag:
-                if tag in _BLOCK or any(t in _BLOCK for t, *_ in self.open[k:]) or self.open[k][1] != self.open[k - 1][1]:
+                if tag in _BLOCK or any(t in _BLOCK for t, *_ in self.open[k:]) or bool(self.open[k][1]) != bool(self.open[k - 1][1]):
                     self._close(tag)
                 else:
                     del self.open[k]

@@ -137,6 +137,36 @@ def test_boilerplate_goes_and_the_article_stays(frame):
     assert pages.main_text(PAGE % (frame % ARTICLE)) == TEXT
 
 
+@pytest.mark.parametrize("wrapper", ["class='site-content has-sidebar'", "class='no-sidebar'", "class='layout-sidebar-right'", "id='post-tags-layout'",
+                                     "class='content-sidebar-wrap'", "class='comments-open with-widgets'"])
+@pytest.mark.parametrize("frame", ["<article>%s</article>", "<article class='post comments-open'>%s</article>", "<div class='content'>%s</div>"])
+def test_layout_names_hide_nothing(wrapper, frame):
+    assert pages.main_text(PAGE % f"<div {wrapper}>{frame % ARTICLE}</div>") == TEXT
+
+
+@pytest.mark.parametrize("name", ["sidebar-right", "widget-area", "search", "tags", "banner header"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_in_a_block_hidden_by_name_is_content(name, tag):
+    inner = f"<div class='{name}'><p>Some words that are not of the text, but long enough.</p><{tag}>{ARTICLE}</{tag}></div>"
+    assert pages.main_text(PAGE % inner) == TEXT
+    assert pages.main_text(PAGE % f"<main>{inner}</main>") == TEXT
+
+
+def test_inline_parts_are_not_hidden_by_name():
+    text = "Take <span class='alert'>great care</span> with <b class='search-term'>every</b> <em id='tags'>word</em> of a sentence."
+    for frame in ("<article><p>%s</p></article>", "<div><p>%s</p></div>"):
+        assert pages.main_text(frame % text) == "Take great care with every word of a sentence."
+    assert pages.main_text("<p>Seen <span hidden>not</span> <span style='display: none'>this</span>words</p>").split() == ["Seen", "words"]
+
+
+@pytest.mark.parametrize("name", ["sidebar", "left-sidebar", "sidebar-1", "cookieNotice", "ad-box", "div-gpt-ad-12-0", "site-footer", "social-share-buttons",
+                                  "related-posts", "related-content", "post-tags", "comment-body"])
+def test_blocks_of_that_name_still_go(name):
+    for kind in ("class", "id"):
+        inner = f"<div {kind}='{name}'><p>Some words that are not of the text, but long enough.</p></div>"
+        assert pages.main_text(PAGE % f"<article>{ARTICLE}{inner}</article>") == TEXT
+
+
 def test_sections_of_an_unmarked_article_stay_together():
     body = "".join(f"<section><h2>Part {k}</h2><p>{'A long enough sentence of the text. ' * (6 if k != 2 else 1)}</p></section>" for k in range(4))
     got = pages.main_text(f"<body><div class='top'><a href='/'>Home</a> <a href='/x'>News</a></div><div id='post'>{body}</div></body>")
