@@ -9,7 +9,9 @@
    Ratios are smoothed with a Gaussian kernel, and lines over a threshold (a deviation, at most half of
    the highest value) form the clusters of content.
 3. A cluster selects its container, so short lines between long ones (headings, one-word paragraphs) stay with it. If
-   the page marks an ``article`` or ``main``, only those can be selected.
+   the page marks an ``article`` or ``main``, only those can be selected; else a cluster selects the nearest block around
+   the lines that are over the threshold by themselves, and more than one line: a paragraph in its own block brings
+   the paragraphs beside it, however short.
 
 A narrow map over whole pages; no shuffle.
 """
@@ -72,7 +74,8 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int, bool]] = []  # text, link characters, tags, container, in article or main
         self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, never content, container, in main
         self.parts: list[str] = []
-        self.link_chars = self.tags = self.links = self.containers = 0
+        self.around = [0]  # the container around each container
+        self.link_chars = self.tags = self.links = 0
 
     def _names(self, attrs) -> set[str]:
         """Names among the classes and the id; one counts only if no other word stands beside it than a place or a shape."""
@@ -129,14 +132,16 @@ class _Lines(HTMLParser):
                 self.parts = kept
                 self._end_line()
         if tag in _MAIN:
-            self.containers += 1
-            container, in_main = self.containers, True
+            container, in_main = self._container(container), True
         elif tag in _GROUP and not in_main and (tag != "section" or self._top_block() in ("body", "html", "")):
-            self.containers += 1
-            container = self.containers
+            container = self._container(container)
         self.open.append((tag, hidden, container, in_main))
         self.links += tag == "a"
 
+    def _container(self, around: int) -> int:
+        self.around.append(around)
+        return len(self.around) - 1
+
     def _top_block(self) -> str:
         for tag, *_ in reversed(self.open):
             if tag in _BLOCK or not tag:
@@ -191,6 +196,39 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel / kernel.sum(), mode="full")[REACH:-REACH] if len(ratios) else ratios
 
 
+def _held(lines, around: list[int], over: np.ndarray, ratios: np.ndarray, threshold: float) -> set[int]:
+    """Lines in the blocks that clusters (runs of lines ``over`` the threshold) select on a page without marked parts.
+
+    The lines that are over it by themselves lie inside; one that is so by its neighbours alone may belong to the next
+    block. Blocks of mere links (menus) come along only between such lines.
+    """
+    inside, count = [False] * len(around), [0] * len(around)
+    talking = {x[3] for x in lines if 2 * x[1] < len(x[0])}
+    for x in lines:
+        count[x[3]] += bool(x[0])
+    for c in range(len(around) - 1, 0, -1):  # a container is opened after the one around it
+        count[around[c]] += count[c]
+    between: set[int] = set()
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], over, [False]])))
+    for first, last in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        strong = [k for k in range(first, last) if ratios[k] > 0 and ratios[k] >= threshold]
+        if not strong:
+            continue
+        low, high = min(lines[k][3] for k in strong), max(lines[k][3] for k in strong)
+        while low != high:  # containers are numbered as they open: what holds the first and the last holds all
+            if low > high:
+                low = around[low]
+            else:
+                high = around[high]
+        while low and count[low] == 1:
+            low = around[low]
+        inside[low] = True
+        between.update(range(strong[0], strong[-1]))
+    for c in range(1, len(around)):
+        inside[c] |= inside[around[c]]
+    return {k for k, x in enumerate(lines) if inside[x[3]] and (x[3] in talking or k in between)}
+
+
 def main_text(html: str) -> str:
     """The article of one page; empty if it has none. Broken markup never fails: what the parser gives is used."""
     parser = _Lines()
@@ -202,11 +240,13 @@ def main_text(html: str) -> str:
     smooth = smoothed(ratios)
     threshold = min(float(smooth.std()), float(smooth.max()) / 2)
     usable = [k for k, x in enumerate(lines) if x[0]]
-    marked = [k for k in usable if lines[k][4]] or usable
-    chosen = {lines[k][3] for k in marked if smooth[k] >= threshold and ratios[k] > 0}
-    if not chosen:
-        chosen = {lines[max(marked, key=lambda k: (smooth[k], -k))][3]}
-    return " ".join(lines[k][0] for k in marked if lines[k][3] in chosen)
+    marked = [k for k in usable if lines[k][4]]
+    over = [k for k in marked or usable if smooth[k] >= threshold and ratios[k] > 0]
+    chosen = {lines[k][3] for k in over or [max(marked or usable, key=lambda k: (smooth[k], -k))]}
+    if marked:
+        return " ".join(lines[k][0] for k in marked if lines[k][3] in chosen)
+    held = _held(lines, parser.around, smooth >= threshold, ratios, threshold)
+    return " ".join(lines[k][0] for k in usable if lines[k][3] in chosen or k in held)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -173,6 +173,28 @@ def test_sections_of_an_unmarked_article_stay_together():
     assert [f"Part {k}" in got for k in range(4)] == [True] * 4 and "Home" not in got
 
 
+@pytest.mark.parametrize("between", ["", "<div class='ad'>Buy</div>", "<div><a href='/x'>Link</a></div>", "<div hidden>no</div>" * 4])
+@pytest.mark.parametrize("place", [0, 2, 5])
+@pytest.mark.parametrize("nested", ["%s", "<div>%s</div>", "<table><tr><td>%s</td></tr></table>"])
+def test_short_paragraphs_in_their_own_divs_stay(between, place, nested):
+    short = [f"Short {k} " + "w" * 52 for k in range(6)]
+    paragraphs = [*short[:place], "long text " * 200, *short[place:]]
+    post = between.join(f"<div>{nested % x}</div>" for x in paragraphs)
+    top = "<div class='top'><a href='/'>Home</a> <a href='/x'>News</a></div>"
+    end = "<div class='end'><a href='/about'>About</a><br><a href='/legal'>Legal</a></div>"
+    for page in (f"<body>{top}<div id='post'>{post}</div>{end}</body>", f"<body>{post}</body>"):
+        got = pages.main_text(page)
+        assert got.count("long text") == 200 and [x in got for x in short] == [True] * 6
+        assert not any(x in got for x in ("Legal", "Buy", "no")) and ("Home" not in got or place == 0)
+
+
+def test_a_block_beside_the_paragraphs_stays_out():
+    post = "".join(f"<div>{'long text ' * 30}{k}</div><div>Short {k}.</div>" for k in range(6))
+    other = "<div class='x'>" + "<div>Call us.</div><div>Open daily.</div>" * 3 + "</div>"
+    got = pages.main_text(f"<body>{other}<div id='post'>{post}</div>{other}</body>")
+    assert all(f"Short {k}." in got for k in range(6)) and got.count("Open daily.") < 6
+
+
 @pytest.mark.parametrize("text,want", [("", ""), ("plain words", "plain words"), ("<p>a<br>b</p>", "a b"), ("<p>a", "a"), ("</p></div>x</i>", "x"),
                                        ("<script>only()</script>", ""), ("<nav><a href=x>only menu</a></nav>", ""), ("<!-- c -->", ""), ("a &lt;b&gt; &#x41;", "a <b> A")])
 def test_small_and_broken_pages(text, want):
