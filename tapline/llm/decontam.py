@@ -5,9 +5,12 @@
 2. Windows as long as an item slide over the text wherever they hold at least one of the item's shingles: a
    window without one has similarity 0. Their SimHashes come from running sums of the shingles' bits.
 3. The items of that length stand in one table per block of the fingerprint. ``RADIUS`` differing bits cannot touch
-   all ``RADIUS + 1`` blocks, so looking up every block finds all items within the radius. Texts of
-   similarity 0.8 differ by 10 bits of 64 on average (deviation 3), so a radius of 23 leaves none behind.
-4. Candidates are verified: similarity is the sum of the smaller shingle counts over the sum of the larger.
+   all ``RADIUS + 1`` blocks, so looking up every block finds all items within the radius. Texts of different
+   shingles and similarity 0.8 differ by 10 bits of 64 on average (deviation 3); where one shingle is repeated, the
+   fingerprints may lie further apart.
+4. So every window is also looked at whose running count of the item's shingles allows the similarity: no smaller
+   count can reach it, whatever the fingerprints are.
+5. Candidates are verified: similarity is the sum of the smaller shingle counts over the sum of the larger.
 
 A narrow map over whole texts; no shuffle. Items are broadcast in buckets of at most ``BUCKET_BYTES`` of text,
 one pass over the texts for each bucket, so a benchmark of any size can be taken.
@@ -33,6 +36,7 @@ RADIUS = 23
 THRESHOLD = 0.8
 BUCKET_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
+PAIRS = 1 << 22
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _WORD_BYTE = np.zeros(256, bool)
@@ -92,6 +96,20 @@ def _prints(hashes: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(sums[starts + count] - sums[starts] > 0, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def _portions(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of places whose lengths add up to about ``most``."""
+    portion = (np.cumsum(lengths) - lengths) // most
+    edges = np.append(np.flatnonzero(np.diff(portion, prepend=-1)), len(lengths)).tolist()
+    yield from zip(edges[:-1], edges[1:])
+
+
+def _padded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.zeros(max(len(a), len(b)), np.int64)
+    out[:len(a)] += a
+    out[:len(b)] += b
+    return out
+
+
 class _Blocks:
     """Multi-index over fingerprints: a sorted table per block; finds all within ``radius``."""
 
@@ -131,6 +149,7 @@ class Matcher:
         self.threshold, self.most = threshold, 0
         self.ids, self.counts = [], []
         by_size, postings = defaultdict(list), defaultdict(lambda: defaultdict(set))
+        holders, own_keys = defaultdict(lambda: defaultdict(list)), []
         for item_id, text in items:
             raw = np.frombuffer(pc.utf8_lower(pa.scalar(text or "")).as_py().encode(), np.uint8)
             words = Words(raw, np.array([0, len(raw)]))
@@ -144,6 +163,9 @@ class Matcher:
             by_size[n].append((k, _prints(hashes, np.array([0]), len(hashes))[0]))
             for h in hashes:
                 postings[w][int(h)].add(n)
+            own_keys.append(np.unique(hashes))
+            for h in own_keys[-1].tolist():
+                holders[w][h].append(k)
             self.most = max(self.most, n)
         self.indexes = {n: (np.array([k for k, _ in own]), _Blocks(np.array([p for _, p in own], np.uint64), radius))
                         for n, own in by_size.items()}
@@ -153,6 +175,12 @@ class Matcher:
             seen = np.zeros(1 << 20, bool)
             seen[(keys >> np.uint64(44)).astype(np.int64)] = True
             self.widths[w] = (seen, keys, sizes)
+        self.totals = np.array([c.total() for c in self.counts], np.int64)
+        self.own = own_keys
+        self.holders = {}
+        for w, held in holders.items():
+            lists = [held[h] for h in self.widths[w][1].tolist()]
+            self.holders[w] = (np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.array([k for x in lists for k in x], np.int64))
 
     def _block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[tuple[int, int, float, int, int]]]:
         words, out = Words(raw, offsets), []
@@ -161,6 +189,7 @@ class Matcher:
             hashes, whole = words.shingles(width)
             at = np.flatnonzero(seen[(hashes >> np.uint64(44)).astype(np.int64)] & whole)
             at = at[np.isin(hashes[at], keys)]
+            out += self._counted(words, hashes, at, width, edges)
             spots = defaultdict(list)
             for i in at.tolist():
                 for n in sizes[int(hashes[i])]:
@@ -173,6 +202,67 @@ class Matcher:
                 out += [(row, *x) for x in self._windows(words, hashes, starts, size, width, n, first)]
         return words, out
 
+    def _counted(self, words, hashes, at, width, edges) -> Iterator[tuple[int, int, float, int, int]]:
+        """Best window of each text and item among those with enough of the item's shingles for the threshold."""
+        keys, (begins, items) = self.widths[width][1], self.holders[width]
+        key = np.searchsorted(keys, hashes[at])
+        rows = words.row[at]
+        bounds = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows)).tolist()
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            row = int(rows[a])
+            first, last = int(edges[row]), int(edges[row + 1])
+            total = np.zeros(0, np.int64)
+            kinds, times = np.unique(key[a:b], return_counts=True)
+            lengths = begins[kinds + 1] - begins[kinds]
+            for c, d in _portions(lengths, PAIRS):
+                count, n = lengths[c:d], int(lengths[c:d].sum())
+                place = np.arange(n) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begins[kinds[c:d]], count)
+                more = np.bincount(items[place], np.repeat(times[c:d], count)).astype(np.int64)
+                total = _padded(total, more)
+            some = np.flatnonzero(total)
+            windows = np.minimum(self.totals[some], last - first - width + 1)  # shingles of a window
+            need = np.ceil(self.threshold * (self.totals[some] + windows) / (1 + self.threshold) - 1e-9).astype(np.int64)
+            fit = total[some] >= need
+            for i, size, least in zip(some[fit].tolist(), windows[fit].tolist(), need[fit].tolist()):
+                mine = np.isin(key[a:b], np.searchsorted(keys, self.own[i]))
+                sums = np.zeros(last - first + 1, np.int32)
+                sums[at[a:b][mine] - first + 1] = 1
+                np.cumsum(sums, out=sums)
+                starts = np.flatnonzero(sums[size:last - first - width + 2] - sums[:last - first - width + 2 - size] >= least)
+                found = self._slide(i, words, first, starts.tolist(), width, size) if len(starts) else None
+                if found:
+                    yield (row, i, *found, size + width - 1)
+
+    def _slide(self, item, words, first, starts, width, size) -> tuple[float, int] | None:
+        """The best of the windows of ``size`` shingles at ``starts``, and the first of equals; counts go on from one to the next."""
+        own, best, at = self.counts[item], None, 0
+        whole = own.total() + size
+        while at < len(starts):
+            end = at + 1
+            while end < len(starts) and starts[end] - starts[end - 1] <= size:
+                end += 1
+            low = starts[at]
+            tokens = words.tokens(first + low, first + starts[end - 1] + size + width - 1)
+            shingles = [b" ".join(tokens[k:k + width]) for k in range(len(tokens) - width + 1)]
+            held, shared, wanted = Counter(), 0, set(starts[at:end])
+            for k, shingle in enumerate(shingles):
+                if shingle in own:
+                    held[shingle] += 1
+                    shared += held[shingle] <= own[shingle]
+                if k >= size and shingles[k - size] in own:
+                    gone = shingles[k - size]
+                    shared -= held[gone] <= own[gone]
+                    held[gone] -= 1
+                s = low + k - size + 1
+                if s in wanted:
+                    similarity = shared / (whole - shared)
+                    if similarity >= self.threshold and (best is None or similarity > best[0]):
+                        best = (similarity, s)
+                        if similarity == 1.0:
+                            return best
+            at = end
+        return best
+
     def _windows(self, words, hashes, starts, size, width, n, row_start) -> Iterator[tuple[int, float, int, int]]:
         """Best window of each item of ``n`` words: (item, similarity, first word, words)."""
         count, own, index = size - width + 1, *self.indexes[n]

@@ -224,6 +224,29 @@ def test_decontamination_matches_brute_force(spark, texts, monkeypatch):
     assert kept == set(range(len(rows))) - {row for row, _ in want}
 
 
+def found_in(rows, items):
+    matcher = decontam.Matcher(items)
+    import pyarrow as pa
+
+    return {(r[0], r[1]): r[2:] for r in matcher.find(pa.array(rows))}
+
+
+def test_windows_beside_repeated_words_are_found(monkeypatch):
+    rng = np.random.default_rng(8)
+    items, rows = [], []
+    for k, (n, cut) in enumerate([(64, 6), (64, 6), (104, 11), (104, 11), (204, 22), (30, 2), (12, 1)]):
+        words = [f"w{x}" for x in rng.integers(0, 10_000, n)]
+        items.append((k, " ".join(words)))
+        run = ["junk"] * (n + 20)
+        rows += [" ".join(["start"] + words[:n - cut] + run), " ".join(run + words[cut:] + ["end"]), " ".join(words[:n - 2 * cut] + run)]
+        rows += [" ".join(words[:n - cut] + ["junk"] * cut), " ".join((words[:n - cut] + run) * 2), " ".join(run)]
+    items += [(50, "junk " * 40), (51, "a b c d e f g " + "junk " * 40), (52, "junk")]
+    want = plain_matches(rows, items)
+    assert found_in(rows, items) == want and sum(i < 50 for _, i in want) >= 10
+    monkeypatch.setattr(decontam, "PAIRS", 3)
+    assert found_in(rows, items) == want
+
+
 def test_blocks_find_all_fingerprints_within_the_radius():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 1 << 63, 60).astype(np.uint64)
