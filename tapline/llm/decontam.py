@@ -110,6 +110,21 @@ def _padded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _piece_end(raw: np.ndarray, at: int, end: int, words: int) -> int:
+    """Where a piece of a long text ends: between words, after about ``BLOCK_BYTES`` and at least so many words."""
+    cut, held = at, 0
+    while end - cut > 2 * BLOCK_BYTES:
+        gap = np.flatnonzero(~_WORD_BYTE[raw[cut + BLOCK_BYTES:cut + 2 * BLOCK_BYTES]])
+        if not len(gap):
+            return end
+        inside = _WORD_BYTE[raw[cut:cut + BLOCK_BYTES + int(gap[0])]]
+        held += int(inside[0]) + int((inside[1:] & ~inside[:-1]).sum())
+        cut += len(inside)
+        if held >= words:
+            return cut
+    return end
+
+
 class _Blocks:
     """Multi-index over fingerprints: a sorted table per block; finds all within ``radius``."""
 
@@ -291,11 +306,10 @@ class Matcher:
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for first, last in slices(offsets, BLOCK_BYTES):
             at, base = offsets[first], 0
-            while True:  # a longer text is cut between words, in pieces that share an item's length
+            while True:  # a longer text is cut between words, in pieces that hold two items and share one
                 end = offsets[last]
-                if last == first + 1 and end - at > 2 * BLOCK_BYTES:
-                    gap = np.flatnonzero(~_WORD_BYTE[raw[at + BLOCK_BYTES:at + 2 * BLOCK_BYTES]])
-                    end = at + BLOCK_BYTES + int(gap[0]) if len(gap) else end
+                if last == first + 1:
+                    end = _piece_end(raw, at, end, 2 * (self.most + WIDTH))
                 off = np.minimum(offsets[first:last + 1], end) - at
                 off[0] = 0
                 words, found = self._block(raw[at:end], off)
@@ -305,13 +319,9 @@ class Matcher:
                         best[key] = (similarity, start + base, size)
                 if end == offsets[last]:
                     break
-                keep = max(len(words.start) - self.most - WIDTH, 1)
-                if keep >= len(words.start):
-                    at = end
-                    base += len(words.start)
-                else:
-                    at += int(words.start[keep])
-                    base += keep
+                keep = len(words.start) - self.most - WIDTH  # at least as many as are looked at again
+                at += int(words.start[keep])
+                base += keep
         return [(row, self.ids[item], *x) for (row, item), x in sorted(best.items())]
 
 

@@ -247,6 +247,21 @@ def test_windows_beside_repeated_words_are_found(monkeypatch):
     assert found_in(rows, items) == want
 
 
+@pytest.mark.parametrize("block", [20, 45, 300])
+def test_items_longer_than_a_piece_are_found(block, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    words = [f"word{k}" for k in range(90)]
+    items = [(1, " ".join(words)), (2, " ".join(words[:12])), (3, "one two")]
+    other = [f"other{k}" for k in range(300)]
+    rows = [" ".join(other[:n] + words[:85] + ["changed"] + words[86:] + other[n:]) for n in (0, 1, 7, 40, 150, 300)] + [" ; ".join(words), " " * 500, ""]
+    rows += ["y" * 1000 + " " + " ".join(words[:12]), " ".join(other[:50]) + "  " * 200 + " ".join(words)]
+    calls, block_of = [], decontam.Matcher._block
+    monkeypatch.setattr(decontam.Matcher, "_block", lambda self, raw, offsets: calls.append(len(raw)) or block_of(self, raw, offsets))
+    want = plain_matches(rows, items)
+    assert found_in(rows, items) == want and len(want) >= 14
+    assert len(calls) < 60  # a step is a piece, not a word
+
+
 def test_blocks_find_all_fingerprints_within_the_radius():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 1 << 63, 60).astype(np.uint64)
