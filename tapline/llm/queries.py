@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, html, langid, pieces, quality, simhash, suffixdedup, urlfilter
+from . import ann, chat, decontam, html, langid, linededup, phrases, pieces, quality, resample, simhash, suffixdedup, urlfilter
 from .common import cut, table
 
 
@@ -110,12 +110,110 @@ def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=3)
 
 
+def op11_line_dedup(spark, sf_dir):
+    """Every document without the lines that ten documents or more share."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_repeated_lines(docs, min_docs=10, min_chars=1).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+  CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r"""
+
+
+def op12_resample(spark, sf_dir):
+    """A quarter of the documents of 20 words or more, drawn towards the benchmark's features; all with their weights."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark"), percent=25, min_words=20, seed=7).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+#: CRC-32 bit by bit (its table is made from the polynomial), over the bytes of each different feature.
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, 0 AS step, range AS c FROM range(256)
+  UNION ALL SELECT i, step + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+texts AS (SELECT row_number() OVER () AS r, doc_id, text, true AS own FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, text, false FROM benchmark),
+w AS (SELECT r, doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+f AS (SELECT r, own, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])))
+        AS feature FROM w),
+g AS (SELECT r, own, feature, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(feature))),
+        lambda i: CAST('0x' || substr(hex(encode(feature)), 2 * i + 1, 2) AS BIGINT))),
+        lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT feature FROM g), crc),
+c AS (SELECT bucket, sum(n) FILTER (WHERE own) AS s, sum(n) FILTER (WHERE NOT own) AS t FROM g JOIN b USING (feature) GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM c),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000)
+        / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + 10000)))) AS BIGINT) AS gain FROM c, a),
+v AS (SELECT r, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * gain) AS BIGINT) AS total
+      FROM g JOIN b USING (feature) JOIN gain USING (bucket) WHERE own GROUP BY r),
+d AS (SELECT w.r, w.doc_id, len(w.words) AS n_words, coalesce(v.n, 0) AS n_features,
+        CASE WHEN v.n > 0 THEN (v.total - (v.total % v.n + v.n) % v.n) // v.n ELSE 0 END AS weight,
+        CAST('0x' || substr(sha256('7:' || coalesce(CAST(w.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM w LEFT JOIN v ON w.r = v.r WHERE w.own),
+e AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM d),
+k AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+        count(*) FILTER (WHERE n_words >= 20) OVER () AS fit FROM e)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN n_words >= 20 AND place <= 25 * fit // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM k"""
+
+
+def op13_phrases(spark, sf_dir):
+    """The 2,000 strongest phrases of two to four words of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), min_count=30, top=2000)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+o AS (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' ')))
+        AS phrase FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(words) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM o GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND n >= 30),
+cuts AS (SELECT lang, k, phrase, a, words, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT cuts.*, l.n AS l, r.n AS r, (2000000::HUGEINT * a) // (l.n + r.n) AS score FROM cuts
+      JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(words[1:cut], ' ')
+      JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_of AS (SELECT lang, a, unnest(CASE k
+        WHEN 3 THEN [array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]
+        WHEN 4 THEN [array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' '), array_to_string(words[3:4], ' '),
+                     array_to_string(words[1:3], ' '), array_to_string(words[2:4], ' ')] END) AS phrase
+      FROM c WHERE k > 2),
+around AS (SELECT lang, phrase, max(a) AS f FROM inner_of GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN around u ON u.lang = best.lang AND u.phrase = best.phrase
+         WHERE u.f IS NULL OR 100 * u.f < 80 * best.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, n.n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000"""
+
+
 def queries():
     return {"op1_chat": op1_chat, "op2_sentencepiece": op2_sentencepiece, "op3_suffix_dedup": op3_suffix_dedup,
             "op4_language": op4_language, "op5_html": op5_html, "op6_ann": op6_ann, "op7_quality": op7_quality,
             "op8_decontamination": op8_decontamination,
-            "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash}
+            "op9_url_cascade": op9_url_cascade, "op10_simhash": op10_simhash, "op11_line_dedup": op11_line_dedup,
+            "op12_resample": op12_resample, "op13_phrases": op13_phrases}
 
 
 def oracle_sql():
-    return {"op1_chat": OP1_SQL, "op9_url_cascade": OP9_SQL}
+    return {"op1_chat": OP1_SQL, "op9_url_cascade": OP9_SQL, "op11_line_dedup": OP11_SQL,
+            "op12_resample": OP12_SQL, "op13_phrases": OP13_SQL}
