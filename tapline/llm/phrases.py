@@ -5,10 +5,10 @@ rest of the phrase; a container that grows past ``BURST`` bursts into containers
 trie holds ``MOST`` phrases, its largest subtrees are spilled whole, as sorted runs; runs are dealt by prefix (and
 a part of it, since a frequent first word may begin very many phrases) and merged there.
 
-Phrases are counted a word longer at a time: one of k words can be frequent only if both its parts of k - 1
-words are. The frequent phrases of one length are hashed into a Bloom filter of bounded size (``MAX_BITS``), with
-which tasks leave out most others of the next. The filter never misses a frequent phrase, and what it lets through is
-counted exactly, so a full filter costs time, never results.
+Most phrases of a corpus are rare, and a phrase is frequent only if its words and word pairs are. So two narrow passes
+come first: one sums counts of word hashes, one of the hashes of pairs of frequent words. Either gives a Bloom filter of
+bounded size (``MAX_BITS``) with which the trie's pass leaves most phrases out. Neither hash collisions nor a full filter
+can hide a frequent phrase; what they let through is counted exactly, by its words, so they cost time, never results.
 
 Everything after the counts is joins of frequent phrases with their parts, salted where a part is in many phrases.
 """
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 from heapq import nlargest
 
 import numpy as np
@@ -35,6 +34,8 @@ BURST, MOST = 4096, 1_000_000
 #: Words a task knows by an id of 21 bits; the trie is spilled and ids start afresh beyond.
 MOST_WORDS = 1 << 20
 ID_BITS = 21
+#: Different hashes that a task sums before it hands them on.
+MOST_HASHES = 2_000_000
 #: Bits of a filter at the most (16 MB), and bits a frequent phrase.
 MAX_BITS, KEY_BITS, HASHES = 1 << 27, 16, 4
 #: Parts that the phrases of one prefix are dealt into, and copies of a part's count in joins.
@@ -43,47 +44,71 @@ PARTS, SALTS = 16, 8
 RUN_ROWS = 50_000
 #: Languages that a task counts side by side.
 MOST_LANGS = 256
+#: Bytes of joined text that are looked at at once (a longer word is looked at whole), and that are joined.
 WINDOW_BYTES = 1 << 20
 JOINED_BYTES = 1 << 23
-#: Fixed by the definition of pieces and words: what ends a piece, and what ends a word within one.
-_TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]+|[^\x20\x09.,;:!?\x0A-\x0D]+")
+#: Fixed by the definition of pieces and words: what ends a piece, and what else ends a word.
+PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
-_ENDS = frozenset(b".,;:!?\n\x0b\x0c\r")
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(BLANKS)] = 1
+_KIND[list(PIECE_ENDS)] = 2
 
 RUN = "lang string, prefix string, phrase string, n long"
+#: An odd multiplier and its inverse modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 1 << 64)
 
 
-class WordIds(dict):
-    """Ids of words in order of appearance, from 1; 0 for what ends a piece."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
-    def __init__(self, lang: str):
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        self.words: list[bytes] = [b""]
-        self._hashes, self._new = np.zeros(1024, np.uint64), [0]
 
-    def __missing__(self, word: bytes) -> int:
-        if word[0] in _ENDS:
-            self[word] = 0
-            return 0
-        self.words.append(word)
-        self._new.append(xxhash.xxh64_intdigest(word, self.seed))
-        self[word] = len(self.words) - 1
-        return len(self.words) - 1
+class WordReader:
+    """Words of the joined texts of one language, window by window, as arrays."""
 
-    def hashes(self) -> np.ndarray:
-        """The hash of each id's word."""
-        n, known = len(self.words), len(self.words) - len(self._new)
-        if n > len(self._hashes):
-            self._hashes = np.concatenate([self._hashes, np.zeros(n, np.uint64)])
-        self._hashes[known:n] = np.array(self._new, np.uint64)
-        self._new = []
-        return self._hashes
+    def __init__(self, lang: str):
+        self.seed = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
+        self._up, self._down = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    def windows(self, texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(bytes, starts, ends, hashes, joined): ``joined`` tells of each word whether it follows on the one before
+        it, in its window or in the one before, with no piece end between them."""
+        data = b"\n".join(texts).lower()                     # a line feed ends a piece; bytes.lower(): A-Z only
+        at, ended = 0, True
+        while at < len(data):
+            stop = _BREAK.search(data, min(at + WINDOW_BYTES, len(data)))
+            stop = stop.start() if stop else len(data)
+            window = data[at:stop]
+            at = stop                                        # the break belongs to the next window: it may end a piece
+            raw = np.frombuffer(window, np.uint8)
+            kind = _KIND[raw]
+            edge = np.diff(np.concatenate([[False], kind == 0, [False]]).astype(np.int8))
+            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            piece = np.cumsum(kind == 2, dtype=np.int64)
+            if not len(starts):
+                ended = ended or bool(piece[-1])
+                continue
+            joined = np.empty(len(starts), bool)
+            joined[0] = not ended and piece[starts[0]] == 0
+            np.equal(piece[starts[1:]], piece[starts[:-1]], out=joined[1:])
+            ended = bool(piece[-1] > piece[starts[-1]])
+            yield window, starts, ends, self._hash(raw, starts, ends), joined
+
+    def _hash(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Polynomial hash of each word: a difference of prefix sums, moved to the front."""
+        if len(raw) > len(self._up):
+            self._up, self._down = _powers(BASE, len(raw) + 1024), _powers(UNBASE, len(raw) + 1024)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._up[:len(raw)])])
+        own = (sums[ends] - sums[starts]) * self._down[starts]
+        return mix64(own ^ mix64(self.seed + (ends - starts).astype(np.uint64)))
 
 
 def join_hash(left: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase from that of all its words but the last and that of the last."""
-    return mix64(left * np.uint64(0x9E3779B97F4A7C15) + word)
+    return mix64(left * np.uint64(BASE) + word)
 
 
 class PhraseFilter:
@@ -106,6 +131,19 @@ class PhraseFilter:
         return held
 
 
+class WordIds(dict):
+    """Ids of words in order of appearance, from 1."""
+
+    def __init__(self):
+        super().__init__()
+        self.words: list[bytes] = [b""]
+
+    def __missing__(self, word: bytes) -> int:
+        self.words.append(word)
+        self[word] = len(self.words) - 1
+        return len(self.words) - 1
+
+
 class PhraseTrie:
     """Counts of one language's phrases: word id -> container of the rest, or, once burst, a node one word deeper."""
 
@@ -178,29 +216,34 @@ class PhraseTrie:
 
 
 class Counter:
-    """Counts phrases of ``width`` words of the texts of one language that are handed to it, in bounded memory.
+    """Counts the phrases of one language's texts that are handed to it, in bounded memory: a trie for each length.
 
-    Single words are the trie's first level alone: an array by word id.
+    Single words are a trie's first level alone: an array by word id. ``words`` and ``pairs`` are the filters.
     """
 
-    def __init__(self, lang: str, width: int, known: PhraseFilter):
-        self.lang, self.width, self.known = lang, width, known
+    def __init__(self, lang: str, longest: int, words: PhraseFilter, pairs: PhraseFilter):
+        self.lang, self.longest, self.known_words, self.known_pairs = lang, longest, words, pairs
+        self.reader, self.all_words = WordReader(lang), 0
         self._fresh()
 
     def _fresh(self) -> None:
-        self.ids, self.trie = WordIds(self.lang), PhraseTrie(self.width)
-        self.single = np.zeros(1024, np.int64)
+        self.ids, self.single = WordIds(), np.zeros(1024, np.int64)
+        self.tries = [PhraseTrie(width) for width in range(2, self.longest + 1)]
+
+    @property
+    def size(self) -> int:
+        return sum(trie.size for trie in self.tries)
 
     def _subtrees(self, share: float) -> Iterator[tuple[list[bytes], list[bytes], list[int]]]:
-        if self.width == 1:
+        if share >= 1:
             rows = sorted((w, n) for w, n in zip(self.ids.words, self.single.tolist()) if n)
             words = [w for w, _ in rows]
             yield words, words, [n for _, n in rows]
-            total = int(self.single.sum())
-            if total:
-                yield [b""], [b""], [total]
-        for prefix, phrases, counts in self.trie.spill(self.ids.words, share):
-            yield [prefix] * len(phrases), phrases, counts
+            if self.all_words:
+                yield [b""], [b""], [self.all_words]
+        for trie in self.tries:
+            for prefix, phrases, counts in trie.spill(self.ids.words, share):
+                yield [prefix] * len(phrases), phrases, counts
 
     def spill(self, share: float = 1.0) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees; with all of them, words start afresh too."""
@@ -214,54 +257,55 @@ class Counter:
         if rows[2]:
             yield run_rows(self.lang, *rows)
         if share >= 1:
+            self.all_words = 0
             self._fresh()
 
     def read(self, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        data = b"\n".join(texts).lower()                     # a line feed ends a piece; bytes.lower(): A-Z only
-        at, tail = 0, np.zeros(0, np.int64)
-        while at < len(data):
-            stop = _BREAK.search(data, min(at + WINDOW_BYTES, len(data)))
-            stop = stop.start() if stop else len(data)
-            tokens = _TOKEN.findall(data, at, stop)
-            at = stop                                        # the break belongs to the next window: it may end a piece
-            ids = np.concatenate([tail, np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))])
-            self._count(ids)
-            tail = ids[max(0, len(ids) - (self.width - 1)):]
-            if len(self.ids.words) > MOST_WORDS:
-                kept = [self.ids.words[i] for i in tail]
-                yield from self.spill()
-                tail = np.array([self.ids[w] if w else 0 for w in kept], np.int64)
-            elif self.trie.size > MOST:
-                yield from self.spill(0.5)
-
-    def _count(self, ids: np.ndarray) -> None:
-        k, n = self.width, len(ids) - self.width + 1
-        if n <= 0:
-            return
-        if k == 1:
+        keep = self.longest - 1
+        tail = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))
+        for window, starts, ends, hashes, joined in self.reader.windows(texts):
+            self.all_words += len(starts)
+            held = np.flatnonzero(self.known_words(hashes))
+            own = map(window.__getitem__, map(slice, starts[held].tolist(), ends[held].tolist()))
+            ids = np.zeros(len(starts), np.int64)            # 0: a word that is in no frequent phrase
+            ids[held] = np.fromiter(map(self.ids.__getitem__, own), np.int64, len(held))
             counts = np.bincount(ids, minlength=len(self.single))
             counts[:len(self.single)] += self.single
             counts[0] = 0
             self.single = counts
+            hashes, ids, joined = (np.concatenate([t, x]) for t, x in zip(tail, (hashes, ids, joined)))
+            self._count(hashes, ids, joined, len(tail[0]))
+            tail = tuple(x[max(0, len(x) - keep):] for x in (hashes, ids, joined))
+            if len(self.ids.words) > MOST_WORDS:
+                kept = [self.ids.words[i] for i in tail[1]]
+                yield from self.spill()
+                tail = (tail[0], np.array([self.ids[w] if w else 0 for w in kept], np.int64), tail[2])
+            elif self.size > MOST:
+                yield from self.spill(0.5)
+
+    def _count(self, hashes: np.ndarray, ids: np.ndarray, joined: np.ndarray, old: int) -> None:
+        """Count the phrases that end behind the first ``old`` words, which have been counted."""
+        if len(ids) < 2:
             return
-        hashes = self.ids.hashes()[ids]
-        part = hashes
-        for j in range(1, k - 1):                            # hash of the k - 1 words from each place on
-            part = join_hash(part[:len(ids) - j], hashes[j:])
-        held = self.known(part)
-        whole = held[:n] & held[1:n + 1]
-        for j in range(k):
-            whole &= ids[j:n + j] > 0
-        start = np.flatnonzero(whole)
-        if not len(start):
-            return
-        first, rest = ids[start], np.zeros(len(start), np.int64)
-        for j in range(1, k):
-            rest = rest << ID_BITS | ids[start + j]
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
-        at = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
-        self.trie.add(first[at], rest[at], np.diff(np.append(at, len(first))))
+        pair = joined[1:] & (ids[:-1] > 0) & (ids[1:] > 0)
+        at = np.flatnonzero(pair)
+        pair[at] = self.known_pairs(join_hash(hashes[at], hashes[at + 1]))
+        whole = np.ones(len(ids), bool)                      # of the phrase that starts at each word
+        for trie in self.tries:
+            k = trie.width
+            n = len(ids) - k + 1
+            if n <= 0:
+                return
+            whole = whole[:n] & pair[k - 2:]
+            start = np.flatnonzero(whole)
+            start = start[start + k > old]
+            first, rest = ids[start], np.zeros(len(start), np.int64)
+            for j in range(1, k):
+                rest = rest << ID_BITS | ids[start + j]
+            order = np.lexsort((rest, first))
+            first, rest = first[order], rest[order]
+            new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])])[:len(first)])
+            trie.add(first[new], rest[new], np.diff(np.append(new, len(first))))
 
 
 def run_rows(lang: str, prefixes: list, phrases: list, counts: list) -> pa.RecordBatch:
@@ -270,26 +314,102 @@ def run_rows(lang: str, prefixes: list, phrases: list, counts: list) -> pa.Recor
                                       names=["lang", "prefix", "phrase", "n"])
 
 
-def count_phrases(texts: DataFrame, width: int, known: PhraseFilter | None = None) -> DataFrame:
-    """(``lang``, ``phrase``, ``n``): all phrases of ``width`` words that ``known`` lets through, counted exactly.
+def _texts_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """The texts of each language of a batch of (lang, text), in lists of bounded size together."""
+    langs, column = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
+    for lang in langs.unique().to_pylist():
+        own = column.filter(pc.equal(langs, lang))
+        sizes = pc.binary_length(own).to_numpy(zero_copy_only=False)
+        for first, last in slices(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), JOINED_BYTES):
+            yield lang, own.slice(first, last - first).to_pylist()
 
-    ``texts`` has the columns lang and text. With a width of 1, the phrase '' holds a language's number of words.
+
+def frequent_hashes(texts: DataFrame, min_count: int, words: PhraseFilter | None = None) -> DataFrame:
+    """(``h``): hashes that at least ``min_count`` words have, or, given the filter of ``words``, pairs of such words."""
+    held = texts.sparkSession.sparkContext.broadcast((words.bits, words.data) if words else None)
+
+    def sums(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        hashes, counts = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
+        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[:len(hashes)])
+        return hashes[new], np.add.reduceat(counts, new) if len(new) else counts
+
+    def rows(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(hashes), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[k:k + (1 << 18)].view(np.int64)),
+                                              pa.array(counts[k:k + (1 << 18)])], names=["h", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = PhraseFilter(*held.value) if held.value else None
+        readers: dict[str, WordReader] = {}
+        parts, pending = [], 0
+        for batch in batches:
+            for lang, some in _texts_by_lang(batch):
+                reader = readers.get(lang) or WordReader(lang)
+                if len(readers) < MOST_LANGS:
+                    readers[lang] = reader
+                last, last_known = np.zeros(0, np.uint64), np.zeros(0, bool)
+                for _, _, _, hashes, joined in reader.windows(some):
+                    if known:
+                        both, inside = np.concatenate([last, hashes]), np.concatenate([last_known, known(hashes)])
+                        joined = joined[1 - len(last):]
+                        last, last_known = both[-1:], inside[-1:]
+                        at = np.flatnonzero(inside[:-1] & inside[1:] & joined)
+                        hashes = join_hash(both[at], both[at + 1])
+                    hashes, counts = np.unique(hashes, return_counts=True)
+                    parts.append((hashes, counts))
+                    pending += len(hashes)
+                    if pending > 2 * MOST_HASHES:
+                        parts = [sums(parts)]
+                        pending = len(parts[0][0])
+                        if pending > MOST_HASHES:
+                            yield from rows(*parts[0])
+                            parts, pending = [], 0
+        if parts:
+            yield from rows(*sums(parts))
+
+    counted = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return counted.filter(F.col("n") >= min_count).select("h")
+
+
+def phrase_filter(hashes: DataFrame, n: int) -> PhraseFilter:
+    """Filter of the ``n`` hashes of ``hashes``."""
+    bits = 1 << 10
+    while bits < min(n * KEY_BITS, MAX_BITS):
+        bits <<= 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            at = np.concatenate(list(PhraseFilter.positions(own, bits)))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(
+                (np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["w", "b"])
+
+    marks = hashes.mapInArrow(run, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
+    data = np.zeros(bits // 64, np.int64)
+    for row in marks.toLocalIterator():                      # at most bits / 64 rows
+        data[row["w"]] = row["b"]
+    return PhraseFilter(bits, data.view(np.uint8))
+
+
+def count_phrases(texts: DataFrame, longest: int, words: PhraseFilter, pairs: PhraseFilter) -> DataFrame:
+    """(``lang``, ``phrase``, ``n``): phrases of up to ``longest`` words that the filters let through, counted exactly.
+
+    ``texts`` has the columns lang and text. The phrase '' holds a language's number of words.
     """
-    held = texts.sparkSession.sparkContext.broadcast((known.bits, known.data) if known else (0, None))
+    held = texts.sparkSession.sparkContext.broadcast([(f.bits, f.data) for f in (words, pairs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
+        filters = [PhraseFilter(*f) for f in held.value]
         for batch in batches:
-            langs, column = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
-            for lang in langs.unique().to_pylist():
-                own = column.filter(pc.equal(langs, lang))
-                sizes = pc.binary_length(own).to_numpy(zero_copy_only=False)
-                for first, last in slices(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), JOINED_BYTES):
-                    if lang not in counters:
-                        counters[lang] = Counter(lang, width, PhraseFilter(*held.value))
-                    yield from counters[lang].read(own.slice(first, last - first).to_pylist())
-                if sum(c.trie.size for c in counters.values()) > MOST:
-                    yield from max(counters.values(), key=lambda c: c.trie.size).spill()
+            for lang, some in _texts_by_lang(batch):
+                if lang not in counters:
+                    counters[lang] = Counter(lang, longest, *filters)
+                yield from counters[lang].read(some)
+                if sum(c.size for c in counters.values()) > MOST:
+                    yield from max(counters.values(), key=lambda c: c.size).spill()
                 if len(counters) > MOST_LANGS or sum(len(c.ids.words) for c in counters.values()) > MOST_WORDS:
                     for counter in counters.values():
                         yield from counter.spill()
@@ -304,41 +424,14 @@ def count_phrases(texts: DataFrame, width: int, known: PhraseFilter | None = Non
     return merged.select("lang", "phrase", "n")
 
 
-def phrase_filter(frequent: DataFrame, n: int) -> PhraseFilter:
-    """Filter of the ``n`` phrases (lang, phrase) of ``frequent``."""
-    bits = 1 << 10
-    while bits < min(n * KEY_BITS, MAX_BITS):
-        bits <<= 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = np.zeros(batch.num_rows, np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-                words = np.array([[xxhash.xxh64_intdigest(w, seed)] for w in phrase.encode().split(b" ")], np.uint64)
-                hashes[i] = reduce(join_hash, words)[0]
-            at = np.concatenate([p for p in PhraseFilter.positions(hashes, bits)])
-            words, bit = at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(bit.view(np.int64))], names=["w", "b"])
-
-    marks = frequent.select("lang", "phrase").mapInArrow(run, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
-    data = np.zeros(bits // 64, np.int64)
-    for row in marks.toLocalIterator():                      # at most bits / 64 rows
-        data[row["w"]] = row["b"]
-    return PhraseFilter(bits, data.view(np.uint8))
-
-
-def frequent_phrases(texts: DataFrame, min_count: int, longest: int = LONGEST) -> list[DataFrame]:
-    """Written tables (lang, phrase, n) of the phrases of 1, 2, ... words found at least ``min_count`` times."""
-    levels, known = [], None
-    for width in range(1, longest + 1):
-        level = cut(count_phrases(texts, width, known).filter(F.col("n") >= min_count), "phrases")
-        levels.append(level)
-        n = level.count()
-        if not n or width == longest:
-            break
-        known = phrase_filter(level.filter("phrase != ''"), n)
-    return levels
+def frequent_phrases(texts: DataFrame, min_count: int, longest: int = LONGEST) -> DataFrame:
+    """A written table (lang, phrase, n) of all phrases found at least ``min_count`` times; '' counts all words."""
+    filters = []
+    for _ in range(2):
+        hashes = cut(frequent_hashes(texts, min_count, *filters), "hashes")
+        filters.append(phrase_filter(hashes, hashes.count()))
+    counted = count_phrases(texts, longest, *filters)
+    return cut(counted.filter((F.col("n") >= min_count) | (F.col("phrase") == "")), "phrases")
 
 
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 30, top: int = 2000,
@@ -356,9 +449,8 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
-    levels = frequent_phrases(texts, min_count, longest)
-    counts = reduce(DataFrame.unionByName, levels)
-    longer = reduce(DataFrame.unionByName, levels[1:]) if len(levels) > 1 else levels[0].limit(0)
+    counts = frequent_phrases(texts, min_count, longest)
+    longer = counts.filter(F.contains("phrase", F.lit(" ")))
     words = F.split("phrase", " ")
     size = F.size("words")
 
@@ -394,5 +486,5 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     some = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", spread).orderBy(*order))).filter(
         F.col("rank") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-    n = levels[0].filter("phrase = ''").select("lang", "n")
+    n = counts.filter("phrase = ''").select("lang", "n")
     return ranked.filter(F.col("rank") <= top).join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
