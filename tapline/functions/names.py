@@ -54,3 +54,15 @@ def sanitized_names(names: list[str]) -> list[str]:
         seen[clean] = name
         result.append(clean)
     return result
+
+
+def spare_names(df, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import spare_names
 from ..session import scratch_path
 
 #: ``monotonically_increasing_id`` holds the partition above these bits and the row's place below them.
@@ -43,19 +44,19 @@ def by_partition(df: DataFrame, place: str, values: dict[int, int], name: str) -
 
     The values are one row a partition: they are joined by broadcast, whose size the number of partitions bounds.
     """
-    spark = df.sparkSession
-    rows = spark.createDataFrame(sorted(values.items()) or [(-1, 0)], f"`{name}_p` long, `{name}` long")
-    joined = df.join(F.broadcast(rows), partition_of(F.col(place)) == F.col(f"{name}_p"), "left").drop(f"{name}_p")
-    return joined.withColumn(name, F.coalesce(name, F.lit(0)))
+    part, value = spare_names(df, "part", "value")
+    rows = df.sparkSession.createDataFrame(sorted(values.items()) or [(-1, 0)], f"`{part}` long, `{value}` long")
+    joined = df.join(F.broadcast(rows), partition_of(F.col(place)) == F.col(part), "left")
+    return joined.withColumn(name, F.coalesce(value, F.lit(0))).drop(part, value)
 
 
 def in_order(df: DataFrame, order: list, name: str = "ordinal") -> tuple[DataFrame, int]:
-    """``df`` with its row number from 1 in the given order, and the number of rows.
+    """``df`` with its row number from 1 in the given order as the column ``name``, and the number of rows.
 
     Rows that tie in all of ``order`` are neighbours in no fixed order: name enough columns. A range partition, a
     sort within each and one written table; an empty table gives no rows and 0.
     """
-    place = f"__{name}_place"
+    place, = spare_names(df, "place")
     path = scratch_path(df.sparkSession, "ordered")
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id())
     placed.write.parquet(path)
