@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapline.functions.names import spare_names  # noqa: F401 - for the operators of this folder
 from tapline.session import scratch_path
 
 
@@ -25,18 +26,6 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spare_names(df: DataFrame, *names: str) -> list[str]:
-    """``names``, each lengthened until no column of ``df`` has it in any case."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def text_or_empty(column: str):
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

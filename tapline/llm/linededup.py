@@ -85,10 +85,14 @@ class LineRuns:
         return [self._read(path) for level in self.levels for path in level]
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        """All runs' hashes, each once, with the sum of its documents."""
-        if len(runs) == 1:
-            return runs[0]
-        return reduce(DataFrame.unionByName, runs).groupBy("h").agg(F.sum("docs").alias("docs"))
+        """All runs' hashes, each once, with the sum of its documents: sorted buckets are merged pair by pair."""
+
+        def merge(one: DataFrame, other: DataFrame) -> DataFrame:
+            other = other.withColumnRenamed("docs", "more").hint("merge")
+            both = F.coalesce(F.col("docs"), F.lit(0)) + F.coalesce(F.col("more"), F.lit(0))
+            return one.join(other, "h", "full").select("h", both.alias("docs"))
+
+        return reduce(merge, runs)
 
     def add(self, counts: DataFrame) -> None:
         """Add a batch's (h, docs), without the keys that the runs have settled, and compact full levels."""

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, mix64, slices
@@ -434,6 +434,11 @@ def frequent_phrases(texts: DataFrame, min_count: int, longest: int = LONGEST) -
     return cut(counted.filter((F.col("n") >= min_count) | (F.col("phrase") == "")), "phrases")
 
 
+def score_of(a: str, left: str, right: str) -> Column:
+    """floor(2000000 a / (left + right)) in decimals, as the product may pass 64 bits; it is 1,000,000 at the most."""
+    return F.expr(f"cast((cast({a} as decimal(20, 0)) * 2000000bd) div (cast({left} as decimal(20, 0)) + {right}) as long)")
+
+
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 30, top: int = 2000,
                  longest: int = LONGEST) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
@@ -471,9 +476,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         return rows.join(table, on).withColumn(name, F.col("c_n")).drop("c_lang", "c_phrase", "c_n", "c_salt", side)
 
     counted = with_count(with_count(cuts, "left", "l"), "right", "r")
-    # decimals: the product may pass 64 bits; the quotient is 1,000,000 at the most
-    score = F.expr("cast((cast(a as decimal(20, 0)) * 2000000bd) div (cast(l as decimal(20, 0)) + r) as long)")
-    best = counted.withColumn("score", score).groupBy("lang", "phrase").agg(
+    best = counted.withColumn("score", score_of("a", "l", "r")).groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r")).alias("best")).select("lang", "phrase", "best.*")
     inner = phrases.filter(size > 2).select(
         "lang", F.col("n").alias("f"), "words", F.explode(F.sequence(F.lit(2), size - 1)).alias("m"))
