@@ -24,19 +24,21 @@ from pyspark import cloudpickle  # noqa: E402
 
 from tapline import build_pipeline, export, scratch_path  # noqa: E402
 from tapline.functions import formula_guard, non_finite_to_null, redact_credentials  # noqa: E402
-from tapline.operators import PandasStep, StepRegistry  # noqa: E402
+from tapline.operators import MapTableStep, PandasStep, StepRegistry  # noqa: E402
 from tapline.operators.custom import filter_provider, uppercase_provider  # noqa: E402
-from tapline.plans import column_manifest, describe  # noqa: E402
+from tapline.plans import Pipeline, column_manifest, describe  # noqa: E402
 from tapline.plans.pipeline import pipeline_counters  # noqa: E402
 from tapline.plans.runs import latest_runs, run_kpis, step_summary, with_throughput  # noqa: E402
 from tapline.sinks import parquet_values  # noqa: E402
 from tapline.sources import cap_rows, jdbc_source, query_source, register_tables  # noqa: E402
 from tapline.streaming import read_stream, start_stream_export  # noqa: E402
 
-try:  # the training-data operators and their pipeline are an optional part
+try:  # the training-data operators and their pipeline are an optional part, which may be left out as a whole
     import corpus_pipeline
     from tapline.llm import queries as _llm
-except ImportError:
+except ModuleNotFoundError as exc:
+    if exc.name not in ("corpus_pipeline", "tapline.llm", "public_tokenizers", "sentencepiece", "xxhash", "ahocorasick", "regex"):
+        raise
     corpus_pipeline = _llm = None
 
 # Functions defined here run in Python workers (the pandas step); they travel with the task by
@@ -147,6 +149,34 @@ def q_map_keep_original(spark, sf_dir):
     return p.apply(src)
 
 
+def _customer_names(spark, sf_dir):
+    """Orders, and the names of most customers as a mapping table."""
+    _views(spark, sf_dir, "orders", "customer")
+    query_source(spark, "SELECT c_custkey, c_name FROM customer WHERE c_nationkey < 15").createOrReplaceTempView("names_by_key")
+    return query_source(spark, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+
+
+def q_map_from_table(spark, sf_dir):
+    """A map whose mapping is a table: small enough here to be broadcast."""
+    src = _customer_names(spark, sf_dir)
+    return build_pipeline({"transforms": [{"type": "map", "column": "o_custkey", "table": "names_by_key", "key": "c_custkey",
+                                           "value": "c_name"}]}).apply(src)
+
+
+def q_map_from_table_default(spark, sf_dir):
+    """The same, with the mapping taken to be too large to broadcast: a merge join with hot keys split."""
+    src = _customer_names(spark, sf_dir)
+    step = MapTableStep("o_custkey", spark.table("names_by_key"), "c_custkey", "c_name", unmatched="default", default="unknown",
+                        broadcast_bytes=0)
+    return Pipeline.of(step).apply(src)
+
+
+def q_map_from_table_skip_row(spark, sf_dir):
+    src = _customer_names(spark, sf_dir)
+    step = MapTableStep("o_custkey", spark.table("names_by_key"), "c_custkey", "c_name", unmatched="fail", broadcast_bytes=0)
+    return Pipeline.of(step, error_strategy="skipRow").apply(src)
+
+
 def q_mask(spark, sf_dir):
     _views(spark, sf_dir, "customer")
     src = query_source(spark, "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
@@ -256,6 +286,29 @@ def q_row_cap(spark, sf_dir):
     return build_pipeline(inline=["map:o_orderstatus=F>Finished"]).apply(cap_rows(src, 100))
 
 
+def q_row_cap_half(spark, sf_dir):
+    """A cap of half the table: the first half of lineitem in order, from partitions' quotas."""
+    _views(spark, sf_dir, "lineitem")
+    src = query_source(spark, "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem "
+                              "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice")
+    return cap_rows(src, _table(spark, sf_dir, "lineitem").count() // 2)
+
+
+def q_first_failing_row(spark, sf_dir):
+    """The number of the first row without a mapping, in key order, for two pipelines."""
+    _views(spark, sf_dir, "orders")
+    src = query_source(spark, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey")
+    pipelines = {
+        "status": build_pipeline([{"type": "map", "column": "o_orderstatus", "mapping": {"F": "Finished", "O": "Open"},
+                                   "unmatched": "fail"}]),
+        "share": build_pipeline(inline=["default:o_custkey=0", "expression:share=1 / (o_custkey % 97 - 5)"])}
+    found = []
+    for name, pipeline in pipelines.items():
+        failure = pipeline.plan(src, observe=False).first_failure()
+        found.append((name, failure.row, failure.step) if failure else (name, None, None))
+    return spark.createDataFrame(found, "pipeline string, row long, step string")
+
+
 def _custom_registry() -> StepRegistry:
     return StepRegistry({"uppercase": uppercase_provider, "filter": filter_provider})
 
@@ -521,6 +574,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_default": q_map_default,
     "map_skip_row": q_map_skip_row,
     "map_keep_original": q_map_keep_original,
+    "map_from_table": q_map_from_table,
+    "map_from_table_default": q_map_from_table_default,
+    "map_from_table_skip_row": q_map_from_table_skip_row,
     "mask": q_mask,
     "template": q_template,
     "expression": q_expression,
@@ -534,6 +590,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sanitize_names": q_sanitize_names,
     "output_names": q_output_names,
     "row_cap": q_row_cap,
+    "row_cap_half": q_row_cap_half,
+    "first_failing_row": q_first_failing_row,
     "pipeline_counters": q_pipeline_counters,
     "custom_uppercase": q_custom_uppercase,
     "custom_pandas": q_custom_pandas,
@@ -618,6 +676,13 @@ SELECT o_orderkey,
        THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'U' WHEN '2-HIGH' THEN 'H' ELSE o_orderpriority END
        ELSE o_orderpriority END AS o_orderpriority
 FROM orders""",
+    **{name: f"""
+SELECT o_orderkey, {value} AS o_custkey, o_orderstatus
+FROM orders {kind} JOIN (SELECT * FROM customer WHERE c_nationkey < 15) c ON o_custkey = c_custkey"""
+       for name, value, kind in [
+           ("map_from_table", "CASE WHEN c_custkey IS NULL THEN CAST(o_custkey AS VARCHAR) ELSE c_name END", "LEFT"),
+           ("map_from_table_default", "CASE WHEN c_custkey IS NULL THEN 'unknown' ELSE c_name END", "LEFT"),
+           ("map_from_table_skip_row", "c_name", "INNER")]},
     "mask": "SELECT c_custkey, CASE WHEN c_name IS NOT NULL THEN '***' END AS c_name, "
             "CASE WHEN c_acctbal IS NOT NULL THEN '***' END AS c_acctbal, "
             "CASE WHEN c_mktsegment IS NOT NULL THEN '#' END AS c_mktsegment FROM customer",
@@ -654,6 +719,14 @@ FROM (SELECT c_custkey, c_mktsegment, CAST(CAST(floor(c_acctbal) AS BIGINT) AS V
     "output_names": "SELECT n_nationkey AS nationkey, n_name AS name FROM nation",
     "row_cap": "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Finished' ELSE o_orderstatus END AS o_orderstatus "
                "FROM orders ORDER BY o_orderkey LIMIT 100",
+    "row_cap_half": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem "
+                    "ORDER BY 1, 2, 3, 4, 5 LIMIT (SELECT count(*) // 2 FROM lineitem)",
+    "first_failing_row": """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS row FROM orders)
+SELECT 'status' AS pipeline, min(row) AS row, CASE WHEN min(row) IS NOT NULL THEN 'map' END AS step
+FROM n WHERE o_orderstatus NOT IN ('F', 'O')
+UNION ALL SELECT 'share', min(row), CASE WHEN min(row) IS NOT NULL THEN 'expression' END
+FROM n WHERE coalesce(o_custkey, 0) % 97 = 5""",
     "pipeline_counters": """
 SELECT CAST(count(*) AS BIGINT) AS rows_in,
   CAST(count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderstatus IN ('F', 'O')) AS BIGINT) AS rows_out,

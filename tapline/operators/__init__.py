@@ -8,6 +8,7 @@ from .builtin import (
     ExpressionStep,
     KeepStep,
     MapStep,
+    MapTableStep,
     MaskStep,
     RenameStep,
     TemplateStep,
@@ -20,7 +21,7 @@ from .spec import StepSpec
 
 __all__ = [
     "COLUMN_CHANGING", "Capabilities", "Field", "RowView", "SqlExpression", "Step", "StepOutput",
-    "AddStaticStep", "DefaultStep", "DropStep", "ExpressionStep", "KeepStep", "MapStep", "MaskStep",
+    "AddStaticStep", "DefaultStep", "DropStep", "ExpressionStep", "KeepStep", "MapStep", "MapTableStep", "MaskStep",
     "RenameStep", "TemplateStep", "parse_literal", "template_parts", "ColumnStep", "PandasStep",
     "StepRegistry", "default_registry", "StepSpec",
 ]

@@ -45,6 +45,7 @@ class StepOutput:
     ``keep``:   the row goes on where true; false or null drops it as filtered.
     ``sensitive``: output columns whose values are redacted (reported in metadata).
     ``messages``: value-free text reported when a row fails at this step.
+    ``lookups``: tables the columns are looked up in (:class:`~tapline.operators.lookup.TableLookup`).
     """
 
     columns: list[tuple[str, Column | SqlExpression]]
@@ -52,6 +53,7 @@ class StepOutput:
     keep: Column | None = None
     sensitive: tuple[str, ...] = ()
     message: str | None = None
+    lookups: tuple = ()
 
 
 @dataclass

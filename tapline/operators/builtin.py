@@ -5,17 +5,18 @@ Each is a handful of native column expressions; none runs Python per row.
 
 from __future__ import annotations
 
-import json
 import re
-import zlib
 from decimal import Decimal, InvalidOperation, localcontext
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import TransformError
 from ..functions.values import kind_of, stringify
 from .base import COLUMN_CHANGING, RowView, SqlExpression, Step, StepOutput
+from .lookup import TableLookup, literal_lookup
 from .spec import StepSpec, choice, entries, names, text
 
 
@@ -204,7 +205,9 @@ class MapStep(Step):
     shorthand, usage = re.compile(r"\s*(?P<column>[^=]*?)\s*=(?P<mapping>.*)", re.S), "<column>=<key>><value>,..."
 
     @classmethod
-    def from_spec(cls, spec: StepSpec) -> "MapStep":
+    def from_spec(cls, spec: StepSpec) -> "Step":
+        if "table" in spec.config:
+            return MapTableStep.from_spec(spec)
         fallback = text(required=spec.config.get("unmatched") == "default")
         found = spec.values(column=text(), mapping=entries(">", trim=True),
                             unmatched=choice(*UNMATCHED_MODES, default="keep"), default=fallback)
@@ -216,7 +219,7 @@ class MapStep(Step):
         key = stringify(value, target.dtype)
         # Keys are matched on the value's text form; a key may map to null, so presence and
         # value are read separately.
-        lookup = _lookup_map(self.mapping, key)
+        lookup = literal_lookup(self.mapping, key)
         matched = F.map_contains_key(lookup, key)
         if self.unmatched == "default":
             otherwise = F.lit(self.default).cast("string")
@@ -233,24 +236,51 @@ class MapStep(Step):
                           message=f'no mapping for a value in column "{self.column}"')
 
 
-# A map lookup scans its keys, so a mapping is split into hash buckets of about this many keys each.
-MAP_BUCKET_SIZE = 16
+class MapTableStep(Step):
+    """Look up the value's text form in a table's key column: a map step for mappings too large for a plan.
 
+    ``table`` is a DataFrame or the name of a table or view. Keys and values are matched as text; null keys match
+    nothing, a key may map to null, equal rows count once, and a key with two values is an error when the plan is
+    built. See :mod:`tapline.operators.lookup` for how it is joined.
+    """
 
-def _lookup_map(mapping: dict[str, str | None], key):
-    """The literal map holding ``key``'s entry, if any.
+    type_name = "map"
 
-    The mapping is split into buckets by CRC-32 of the key's UTF-8 text; Python places each entry at plan
-    time and Spark's ``crc32`` picks the bucket per row, so a row scans one small map instead of the whole
-    mapping. All buckets travel as one JSON literal that the optimizer folds into an array of maps, so planning
-    takes one call however many entries there are.
-    """
-    buckets = -(-len(mapping) // MAP_BUCKET_SIZE)
-    grouped: list[dict] = [{} for _ in range(buckets)]
-    for k, v in mapping.items():
-        grouped[zlib.crc32(k.encode("utf-8")) % buckets][k] = v
-    maps = F.from_json(F.lit(json.dumps(grouped)), "array<map<string,string>>")
-    return F.element_at(maps, F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int") + F.lit(1))
+    def __init__(self, column: str, table, key: str, value: str, unmatched: str = "keep", default: str | None = None,
+                 broadcast_bytes: int | None = None):
+        if unmatched not in UNMATCHED_MODES:
+            raise TransformError('Transform "map" "unmatched" must be one of keep, default, fail.')
+        self.column, self.table, self.key, self.value = column, table, key, value
+        self.unmatched, self.default, self.broadcast_bytes = unmatched, default, broadcast_bytes
+
+    @classmethod
+    def from_spec(cls, spec: StepSpec) -> "MapTableStep":
+        if "mapping" in spec.config:
+            raise TransformError('Transform "map" takes either "mapping" or "table".')
+        fallback = text(required=spec.config.get("unmatched") == "default")
+        return cls(**spec.values(column=text(), table=text(), key=text(), value=text(),
+                                 unmatched=choice(*UNMATCHED_MODES, default="keep"), default=fallback))
+
+    def build(self, row: RowView) -> StepOutput:
+        target = row.require(self.column, "map")
+        value = row[self.column]
+        key = stringify(value, target.dtype)
+        lookup = TableLookup(key, self._frame(), self.key, self.value, self.broadcast_bytes)
+        matched = F.coalesce(F.col(lookup.found), F.lit(False))
+        otherwise = {"keep": key, "default": F.lit(self.default).cast("string"), "fail": F.lit(None).cast("string")}
+        mapped = F.when(value.isNull(), F.lit(None).cast("string")).when(matched, F.col(lookup.value)).otherwise(
+            otherwise[self.unmatched])
+        return StepOutput([(n, mapped if n == self.column else c) for n, c in row.passthrough()],
+                          fail=(value.isNotNull() & ~matched) if self.unmatched == "fail" else None,
+                          message=f'no mapping for a value in column "{self.column}"', lookups=(lookup,))
+
+    def _frame(self) -> DataFrame:
+        if isinstance(self.table, DataFrame):
+            return self.table
+        try:
+            return SparkSession.active().table(self.table)
+        except AnalysisException:
+            raise TransformError(f'Transform "map": there is no table "{self.table}".') from None
 
 
 class MaskStep(Step):

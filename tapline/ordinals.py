@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import spare_names
-from ..session import scratch_path
+from .functions.names import spare_names
+from .session import scratch_path
 
 #: ``monotonically_increasing_id`` holds the partition above these bits and the row's place below them.
 PLACE_BITS = 33

@@ -167,10 +167,10 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
             if counted is not None and fmt == "parquet" and not replaces:
                 rows_written = spark.read.parquet(output).count()
     except PySparkException as exc:
-        raise _job_error(exc) from None
+        raise _numbered(_job_error(exc), planned, jdbc) from None
     except Exception as exc:  # py4j errors from the JVM
         if exc.__class__.__name__ == "Py4JJavaError":
-            raise _job_error(exc) from None
+            raise _numbered(_job_error(exc), planned, jdbc) from None
         raise
     duration = int((time.monotonic() - t0) * 1000)
     completed = datetime.now(timezone.utc)
@@ -259,6 +259,18 @@ def _job_error(exc: Exception) -> TaplineError:
     return OutputError(f"Export job failed ({cls}); no output was published.")
 
 
+def _numbered(error: TaplineError, planned, jdbc: dict | None) -> TaplineError:
+    """A row failure with its row number among all rows, found by a second job. A database is not asked again, since
+    it may give its rows in another order: the position in the part has to do there."""
+    if not isinstance(error, TransformError) or planned is None or jdbc is not None:
+        return error
+    try:
+        found = planned.first_failure()
+    except Exception:  # noqa: BLE001 - the first error is the one to tell of
+        return error
+    return error if found is None else TransformError(str(found))
+
+
 _COLUMN_TYPE = T.StructType([
     T.StructField("index", T.IntegerType()), T.StructField("label", T.StringType()),
     T.StructField("output_name", T.StringType()), T.StructField("type", T.StringType()),

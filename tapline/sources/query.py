@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..errors import SourceError, TaplineError
 from ..functions.names import normalized_names
+from ..ordinals import by_partition, row_of, rows_per_partition, starts
+from ..session import scratch_path
 
 DEFAULT_FETCH_SIZE = 1000
 # Statements that make each reading connection read-only, per JDBC sub-protocol; the database
@@ -204,19 +207,52 @@ def _load(reader, url: str) -> DataFrame:
 def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Cap the rows read (before any transform); ``None`` means no cap, and a cap must be positive.
 
-    Counting off the first rows is one task's work, but it only passes them on: each capped row gets its place
-    and is dealt, in runs of neighbouring places, over all shuffle partitions, so transforms and the write
-    stay parallel and an ordered query keeps its order from part to part.
+    No task sees all capped rows: partitions count their rows, the sums of the partitions before give each its quota, and
+    each keeps its first rows up to it. The first rows of an ordered query are its first in order, part by part.
+
+    Where partitions are file splits, or parts of a range, and rows only pass through projections and filters, a second
+    read gives the same rows in the same places: the table is read twice, the first time without columns if nothing
+    filters. Any other source (a shuffle, a sort, a database) is written once below the scratch folder, no partition more
+    rows than the cap, and read from there. A stream cannot be counted first and is capped by Spark's own limit.
     """
     if max_rows is None:
         return df
     if max_rows <= 0:
         raise TaplineError(f"max_rows must be greater than 0, not {max_rows}.")
     names, metadata = df.columns, [sf.metadata for sf in df.schema.fields]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    capped = df.toDF(*[f"_c{k}" for k in range(len(names))]).limit(int(max_rows)).withColumn(
-        "_place", F.monotonically_increasing_id())
-    run = max(1, -(-int(max_rows) // parts))
-    dealt = capped.repartitionById(parts, F.least(F.floor(F.col("_place") / run), F.lit(parts - 1)).cast("int"))
-    return dealt.sortWithinPartitions("_place").select(
-        *[F.col(f"_c{k}").alias(name, metadata=m) for k, (name, m) in enumerate(zip(names, metadata))])
+    plain = df.toDF(*[f"_c{k}" for k in range(len(names))])
+    if df.isStreaming:
+        return df.limit(int(max_rows))
+    place = F.col("_place")
+    placed = plain.withColumn("_place", F.monotonically_increasing_id())
+    written = not _reads_alike(plain)
+    if written:
+        path = scratch_path(df.sparkSession, "capped")
+        placed.filter(row_of(place) < int(max_rows)).write.parquet(path)
+        placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    before, _ = starts(rows_per_partition(placed, "_place"))
+    capped = by_partition(placed, "_place", {p: int(max_rows) - n for p, n in before.items() if n < max_rows}, "_quota")
+    capped = capped.filter(row_of(place) < F.col("_quota"))
+    if written:  # files are read in any order: neighbouring places go to one partition again
+        capped = capped.repartitionByRange("_place").sortWithinPartitions("_place")
+    return capped.select(*[F.col(f"_c{k}").alias(name, metadata=m) for k, (name, m) in enumerate(zip(names, metadata))])
+
+
+#: Physical operators under which a second read of a table finds each row in the same partition and place.
+_STEADY = re.compile(r"(Project|Filter|ColumnarToRow|WholeStageCodegen.*|InputAdapter|Scan parquet.*|Scan orc.*|"
+                     r"Scan text.*|Scan csv.*|Scan json.*|LocalTableScan|Range|Generate|Expand|Union)\b")
+
+
+def _reads_alike(df: DataFrame) -> bool:
+    """Whether every operator of the plan is one of ``_STEADY``, with no random expression."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if "Bucketed: " in plan.toString():  # whether buckets are read as partitions depends on what the rows are used for
+        return False
+    pending = [plan]
+    while pending:
+        node = pending.pop()
+        if not _STEADY.match(node.nodeName()):
+            return False
+        children = node.children()
+        pending += [children.apply(k) for k in range(children.size())]
+    return df._jdf.queryExecution().optimizedPlan().deterministic()
