@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapline.plans.ordinals import in_order
+from tapline.ordinals import in_order
 
 from .common import cut, slices, spare_names
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapline.llm import linededup, phrases, resample
-from tapline.plans.ordinals import in_order
+from tapline.ordinals import in_order
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
