@@ -22,14 +22,16 @@ from pyspark.sql import types as T  # noqa: E402
 
 from pyspark import cloudpickle  # noqa: E402
 
-from tapline import build_pipeline, export, scratch_path  # noqa: E402
+from tapline import TransformError, build_pipeline, export, scratch_path  # noqa: E402
 from tapline.functions import formula_guard, non_finite_to_null, redact_credentials  # noqa: E402
-from tapline.operators import MapTableStep, PandasStep, StepRegistry  # noqa: E402
+from tapline.operators import (  # noqa: E402
+    COLUMN_CHANGING, ColumnStep, MapTableStep, PandasStep, StepOutput, StepRegistry)
 from tapline.operators.custom import filter_provider, uppercase_provider  # noqa: E402
+from tapline.ordinals import in_order  # noqa: E402
 from tapline.plans import Pipeline, column_manifest, describe  # noqa: E402
 from tapline.plans.pipeline import pipeline_counters  # noqa: E402
 from tapline.plans.runs import latest_runs, run_kpis, step_summary, with_throughput  # noqa: E402
-from tapline.sinks import parquet_values  # noqa: E402
+from tapline.sinks import current_version, parquet_values, published_versions, read_current  # noqa: E402
 from tapline.sources import cap_rows, jdbc_source, query_source, register_tables  # noqa: E402
 from tapline.streaming import read_stream, start_stream_export  # noqa: E402
 
@@ -464,6 +466,91 @@ def q_sink_json_array(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "nation", "json", pretty=True)
 
 
+def _ordered_lines(spark, sf_dir) -> DataFrame:
+    """lineitem in order, in eight parts whatever its size."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    df = _table(spark, sf_dir, "lineitem").select(*order, "l_returnflag")
+    return df.repartitionByRange(8, *order).sortWithinPartitions(*order)
+
+
+def _file_lines(spark, path: str) -> DataFrame:
+    """The lines of the one file in a folder with their numbers from 1."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("place"))
+    return in_order(lines, ["file", "block", "place"], "line")[0]
+
+
+def q_sink_single_csv(spark, sf_dir):
+    """One ordered CSV file written by eight tasks, read back line by line."""
+    out = scratch_path(spark, "single-csv")
+    export(spark, df=_ordered_lines(spark, sf_dir), fmt="csv", output=out, single_file=True)
+    cells = F.split(F.regexp_replace("value", "\r$", ""), ",")
+    types = ["long", "int", "long", "long", "double", "string"]
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"]
+    return _file_lines(spark, out).filter("line > 1").select(
+        (F.col("line") - 1).alias("place"), *[F.get(cells, F.lit(k)).cast(t).alias(n) for k, (n, t) in enumerate(zip(names, types))])
+
+
+def q_sink_single_json(spark, sf_dir):
+    """One ordered JSON array in one file written by eight tasks, read back line by line."""
+    out = scratch_path(spark, "single-json")
+    df = _ordered_lines(spark, sf_dir)
+    export(spark, df=df, fmt="json", output=out, single_file=True)
+    row = F.from_json(F.regexp_replace("value", r"^\[|[,\]]$", ""), df.schema)
+    return _file_lines(spark, out).select(F.col("line").alias("place"), row.alias("row")).select("place", "row.*")
+
+
+def q_publish_versions(spark, sf_dir):
+    """Three versions of a table and a failed fourth: a reader gets the third, whole; two versions are kept."""
+    out = scratch_path(spark, "versions")
+    _views(spark, sf_dir, "orders")
+    sql = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+    for status in ("F", "O", "P"):
+        export(spark, sql=f"{sql} WHERE o_orderstatus = '{status}'", fmt="parquet", output=out, versions=2)
+    try:
+        export(spark, sql=sql, fmt="parquet", output=out, versions=2, transforms=[
+            {"type": "map", "column": "o_orderstatus", "mapping": {"F": "f"}, "unmatched": "fail"}])
+    except TransformError:
+        pass
+    kept = len(published_versions(spark, out))
+    number = current_version(spark, out).number
+    return read_current(spark, out).withColumns({"version": F.lit(number), "kept": F.lit(kept)})
+
+
+def q_empty_result(spark, sf_dir):
+    """No rows in each format: what is in the files, and what they read as."""
+    found = []
+    for fmt in ("csv", "tsv", "json", "ndjson", "parquet"):
+        for single in (False, True):
+            out = scratch_path(spark, f"empty-{fmt}")
+            export(spark, df=_table(spark, sf_dir, "region").filter("r_regionkey < 0"), fmt=fmt, output=out, single_file=single)
+            if fmt == "parquet":
+                text = ",".join(spark.read.parquet(out).columns)
+            else:
+                text = "".join(r["value"] for r in spark.read.text(out, wholetext=True).collect())
+            found.append((fmt, single, text))
+    return spark.createDataFrame(found, "format string, single boolean, content string")
+
+
+def q_declared_shape(spark, sf_dir):
+    """Custom steps that keep, or break, the columns they declare: found when the plan is built."""
+    region = _table(spark, sf_dir, "region")
+    shapes = {"as declared": ["r_regionkey", "r_name", "size"], "missing": ["r_regionkey", "size"],
+              "other order": ["r_name", "r_regionkey", "size"], "undeclared": ["r_regionkey", "r_name", "size", "more"]}
+    found = []
+    for name, made in shapes.items():
+        step = ColumnStep("shape", lambda row, made=made: StepOutput(
+            [(c, row[c] if row.has(c) else F.lit(1)) for c in made]), declare=lambda names: names + ["size"],
+            capabilities=COLUMN_CHANGING)
+        try:
+            rows = Pipeline.of(step).apply(region).count()
+            found.append((name, rows))
+        except TransformError:
+            found.append((name, None))
+    return spark.createDataFrame(found, "shape string, rows long")
+
+
 def q_sink_csv_texts(spark, sf_dir):
     """Whole conversation texts (multi-line, accented) through CSV and back."""
     return _roundtrip(spark, sf_dir, "conversations", "csv", escape_formulas=False)
@@ -606,6 +693,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_tsv": q_sink_tsv,
     "sink_ndjson": q_sink_ndjson,
     "sink_json_array": q_sink_json_array,
+    "sink_single_csv": q_sink_single_csv,
+    "sink_single_json": q_sink_single_json,
+    "publish_versions": q_publish_versions,
+    "empty_result": q_empty_result,
+    "declared_shape": q_declared_shape,
     "sink_csv_texts": q_sink_csv_texts,
     "sink_tsv_documents": q_sink_tsv_documents,
     "sink_json_pages": q_sink_json_pages,
@@ -727,6 +819,18 @@ SELECT 'status' AS pipeline, min(row) AS row, CASE WHEN min(row) IS NOT NULL THE
 FROM n WHERE o_orderstatus NOT IN ('F', 'O')
 UNION ALL SELECT 'share', min(row), CASE WHEN min(row) IS NOT NULL THEN 'expression' END
 FROM n WHERE coalesce(o_custkey, 0) % 97 = 5""",
+    **dict.fromkeys(("sink_single_csv", "sink_single_json"), """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place,
+  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag FROM lineitem"""),
+    "publish_versions": "SELECT o_orderkey, o_orderstatus, o_totalprice, 3 AS version, 2 AS kept FROM orders "
+                        "WHERE o_orderstatus = 'P'",
+    "empty_result": """
+SELECT format, single, CASE format WHEN 'csv' THEN 'r_regionkey,r_name' || chr(13) || chr(10)
+  WHEN 'tsv' THEN 'r_regionkey' || chr(9) || 'r_name' || chr(13) || chr(10) WHEN 'json' THEN '[]' || chr(10) WHEN 'ndjson' THEN ''
+  ELSE 'r_regionkey,r_name' END || repeat('?', (SELECT count(*) FROM region WHERE r_regionkey < 0)) AS content
+FROM (SELECT unnest(['csv', 'tsv', 'json', 'ndjson', 'parquet']) AS format), (SELECT unnest([true, false]) AS single)""",
+    "declared_shape": "SELECT shape, CASE shape WHEN 'as declared' THEN (SELECT count(*) FROM region) END AS rows "
+                      "FROM (SELECT unnest(['as declared', 'missing', 'other order', 'undeclared']) AS shape)",
     "pipeline_counters": """
 SELECT CAST(count(*) AS BIGINT) AS rows_in,
   CAST(count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderstatus IN ('F', 'O')) AS BIGINT) AS rows_out,

@@ -27,7 +27,8 @@ from ..sinks.formats import (
     write_parquet,
     write_text_lines,
 )
-from ..sinks.publish import ReplacedInPlace, StagedOutput, path_exists
+from ..sinks.publish import ReplacedInPlace, StagedOutput, move_over, path_exists
+from ..sinks.versions import VersionedOutput
 from ..sources.query import cap_rows, jdbc_source, normalize_columns, query_source
 from .config import TransformConfig, load_config
 from .pipeline import FAIL_MARKER, Pipeline, observed
@@ -106,7 +107,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            metadata_path: str | None = None, single_file: bool = False,
            rebalance: bool = False,
            parquet_decimals: dict[str, tuple[int, int]] | None = None,
-           dry_run: bool = False, staged: bool = True) -> ExportResult:
+           dry_run: bool = False, staged: bool = True, versions: int | None = None) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
     ``staged``: write into a hidden sibling and rename it onto ``output`` when complete (the
@@ -114,6 +115,9 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     rename copies every object, pass ``staged=False`` to write straight to ``output`` through
     Spark's commit protocol (use a committer made for the store).
 
+    ``versions``: publish as a new version below ``output`` and keep so many (see ``sinks.versions``); readers follow
+    the pointer with ``read_current``. Nothing is ever replaced, so ``overwrite`` is not needed.
+
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
     shuffle, partitions sized by AQE; the order of an ORDER BY result is lost). The default ``False``
     keeps the scan's own splits, which at scale already give one task per file block.
@@ -123,8 +127,13 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
     if max_rows is not None and max_rows <= 0:
         raise TaplineError(f"max_rows must be greater than 0, not {max_rows}.")
-    publisher = StagedOutput(spark, output, overwrite)
-    publisher.check()
+    if versions is not None:
+        if versions < 1 or not staged:
+            raise TaplineError("versions must be 1 or more, and is not used with staged=False.")
+        publisher = VersionedOutput(spark, output, versions)
+    else:
+        publisher = StagedOutput(spark, output, overwrite)
+        publisher.check()
     if metadata_path and not overwrite and path_exists(spark, metadata_path):
         raise OutputError(f"Metadata file already exists: {metadata_path} (use overwrite).")
 
@@ -330,10 +339,7 @@ def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
     finally:
         stream.close()
     try:
-        if fs.exists(target):
-            fs.delete(target, True)
-        if not fs.rename(temporary, target):
-            raise OutputError(f"Could not publish the metadata file {path}.")
+        move_over(spark, temporary, target)
     finally:
         if fs.exists(temporary):
             fs.delete(temporary, False)

@@ -1,4 +1,4 @@
-"""Sinks: JSON, NDJSON, CSV, TSV, Parquet, staged publish and the manifest."""
+"""Sinks: JSON, NDJSON, CSV, TSV, Parquet, staged and versioned publish, and the manifest."""
 
 from .formats import (
     COMPRESSIONS,
@@ -18,7 +18,8 @@ from .formats import (
     write_text_lines,
 )
 from .publish import StagedOutput
+from .versions import VersionedOutput, clean_versions, current_version, published_versions, read_current
 
-__all__ = ["COMPRESSIONS", "FORMATS", "StagedOutput", "delimited_lines", "delimited_values", "exact_decimal",
+__all__ = ["COMPRESSIONS", "FORMATS", "StagedOutput", "VersionedOutput", "clean_versions", "current_version", "delimited_lines", "delimited_values", "exact_decimal",
            "json_array_lines", "json_objects", "json_values", "ndjson_lines", "normalize_format",
-           "parquet_values", "write_delimited", "write_json_array", "write_parquet", "write_text_lines"]
+           "parquet_values", "published_versions", "read_current", "write_delimited", "write_json_array", "write_parquet", "write_text_lines"]

@@ -2,19 +2,24 @@
 
 Each sink is split into a pure preparation step (``DataFrame -> DataFrame``, all native column
 expressions) and a Spark writer call. Output is a directory of part files written in parallel by
-the executors; nothing is collected on the driver. Pass ``single_file=True`` to gather the finished
-rows of a small result into one part.
+the executors; nothing is collected on the driver. With ``single_file=True`` the directory holds one file in
+the order of the rows: text formats are still written in parallel and joined as bytes (see ``document``), Parquet
+rows are gathered in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import threading
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import FormatError, OutputError
 from ..functions.names import sanitized_names
 from ..functions.values import canonical, formula_guard, non_finite_to_null
+from .document import Layout, write_document
 from .publish import drop_empty_parts, part_names
 
 FORMATS = ("json", "ndjson", "csv", "tsv", "parquet")
@@ -145,25 +150,27 @@ def counting(lines: DataFrame, counted: Observation | None) -> DataFrame:
     return lines if counted is None else lines.observe(counted, F.count(F.lit(1)).alias("rows_out"))
 
 
-def json_array_lines(df: DataFrame, pretty: bool = False, single_file: bool = False,
-                     counted: Observation | None = None) -> DataFrame:
+def json_array_lines(df: DataFrame, pretty: bool = False, counted: Observation | None = None) -> DataFrame:
     """Lines that make each non-empty partition one JSON array (``[`` ... ``]``).
 
-    Framing is per partition, so the partitioning must be final before it: ``single_file``
-    gathers the finished objects first.
+    Framing is per partition, so the partitioning must be final before it.
     """
-    lines = counting(json_objects(json_values(df), pretty), counted)
-    if single_file:
-        lines = in_one_part(lines)
-    return lines.mapInArrow(_frame_arrays(pretty), "value string")
+    return counting(json_objects(json_values(df), pretty), counted).mapInArrow(_frame_arrays(pretty), "value string")
 
 
 def write_json_array(df: DataFrame, path: str, pretty: bool = False, single_file: bool = False,
                      mode: str = "errorifexists", counted: Observation | None = None) -> None:
-    """Each part file is one JSON array; an empty result is one ``[]`` file."""
+    """Each part file is one JSON array; an empty result is one ``[]`` file. ``single_file``: one array in one file."""
+    if single_file:
+        lines = counting(json_objects(json_values(df), pretty), counted)
+        if pretty:
+            lines = lines.select(F.replace("value", F.lit("\n"), F.lit("\n  ")).alias("value"))
+        layout = Layout(",\n  ", "[\n  ", "\n]\n", True, "[ ]\n") if pretty else Layout(",\n", "[", "]\n", True, "[]\n")
+        write_document(lines, path, layout, mode)
+        return
     old = part_names(df.sparkSession, path)
     # one file per task: a file split by maxRecordsPerFile would leave arrays unclosed
-    json_array_lines(df, pretty, single_file, counted).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+    json_array_lines(df, pretty, counted).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
     if not drop_empty_parts(df.sparkSession, path, old):
         df.sparkSession.createDataFrame([("[ ]" if pretty else "[]",)], "value string").coalesce(1) \
             .write.mode("append").text(path)
@@ -222,11 +229,11 @@ def quote_cell(value: str, first: bool, sep: str) -> str:
 
 
 def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_value: str = "",
-                    escape_formulas: bool = False, bom: bool = False, single_file: bool = False) -> tuple[DataFrame, str]:
+                    escape_formulas: bool = False, bom: bool = False, pieces: bool = False) -> tuple[DataFrame, str]:
     """One text line per row (column ``value``), and the header line.
 
     The first row of every partition carries the header (and BOM) in front of it, so each part
-    file is a complete delimited file; no row is moved between tasks.
+    file is a complete delimited file; no row is moved between tasks. With ``pieces`` none does.
     """
     text, _ = by_position(delimited_values(df, escape_formulas))
     pattern = _needs_quotes_pattern(sep)
@@ -246,12 +253,9 @@ def delimited_lines(df: DataFrame, sep: str = ",", header: bool = True, null_val
             cell = value
         cells.append(F.when(value.isNull(), null_cell).otherwise(cell))
     line = F.concat_ws(sep, *cells)
-    if single_file:
-        text = in_one_part(text.select(line.alias("value")))
-        line = F.col("value")
     head = sep.join(quote_cell(n, i == 0, sep) for i, n in enumerate(df.columns)) if header else None
     lead = ((BOM if bom else "") + (head + "\r\n" if head is not None else ""))
-    if lead:
+    if lead and not pieces:
         # the lower 33 bits of the id count rows within the partition
         first_in_part = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))) == F.lit(0)
         line = F.when(first_in_part, F.concat(F.lit(lead), line)).otherwise(line)
@@ -262,8 +266,12 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
                     escape_formulas: bool = False, bom: bool = False, single_file: bool = False,
                     mode: str = "errorifexists", counted: Observation | None = None) -> None:
     """CSV (``sep=","``) or TSV (``sep="\\t"``) with CRLF line ends. Returns after the write."""
-    lines, head = delimited_lines(df, sep, header, null_value, escape_formulas, bom, single_file)
+    lines, head = delimited_lines(df, sep, header, null_value, escape_formulas, bom, pieces=single_file)
     spark = df.sparkSession
+    if single_file:
+        lead = head + "\r\n" if header else BOM if bom else ""
+        write_document(counting(lines, counted), path, Layout("\r\n", lead, empty=lead if header else None), mode)
+        return
     old = part_names(spark, path)
     # one file per task, so every file starts with the header row
     counting(lines, counted).write.mode(mode).option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
@@ -334,17 +342,36 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonic
     out = parquet_values(with_declared_decimals(df, decimals), canonical_types)
     if single_file:
         out = in_one_part(out)
-    spark = df.sparkSession
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
+    with _micros(df.sparkSession):
         out.write.mode(mode).option("compression", codec).parquet(path)
+
+
+_micros_lock = threading.Lock()
+_micros_users: dict[int, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def _micros(spark: SparkSession):
+    """Timestamps in microseconds while any thread of the session writes: the setting is the session's, so the first to
+    come sets it and the last to go restores it."""
+    key, own = "spark.sql.parquet.outputTimestampType", id(spark)
+    with _micros_lock:
+        users, before = _micros_users.get(own, (0, None))
+        if not users:
+            before = spark.conf.get(key, None)
+            spark.conf.set(key, "TIMESTAMP_MICROS")
+        _micros_users[own] = (users + 1, before)
+    try:
+        yield
     finally:
-        if before is not None:
-            spark.conf.set(key, before)
-        else:
-            spark.conf.unset(key)
+        with _micros_lock:
+            users, before = _micros_users.pop(own)
+            if users > 1:
+                _micros_users[own] = (users - 1, before)
+            elif before is not None:
+                spark.conf.set(key, before)
+            else:
+                spark.conf.unset(key)
 
 
 def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists",
@@ -352,7 +379,8 @@ def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mod
     """Write a one-string-column DataFrame as text lines."""
     lines = counting(lines, counted)
     if single_file:
-        lines = in_one_part(lines)
+        write_document(lines, path, Layout("\n"), mode, compression)
+        return
     writer = lines.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)

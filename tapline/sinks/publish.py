@@ -1,6 +1,8 @@
 """Publish-on-success: write into a hidden sibling folder, then move it onto the target.
 
-A failed job leaves the old target untouched and removes the staging folder. Moves go through
+A failed job leaves the old target untouched and removes the staging folder. Between the two renames of an
+overwrite the target is missing for a moment; a publisher that dies there leaves the old output aside, and the
+next one puts it back first (``versions`` has no such moment). Moves go through
 the Hadoop ``FileSystem`` of the target path, so the same code works on HDFS, on a local disk and
 on object stores (where a folder rename is a copy and not atomic; documented in the README).
 """
@@ -9,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from ..errors import OutputError
@@ -50,6 +53,24 @@ def drop_empty_parts(spark: SparkSession, path: str, old: set[str] = frozenset()
     return filled
 
 
+def move_over(spark: SparkSession, source, target) -> None:
+    """Rename a file over another in one step, as HDFS and local disks do; on other file systems the old one goes first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = target.getFileSystem(conf)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    try:
+        where = fs.makeQualified(target)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), conf).rename(fs.makeQualified(source), where, options)
+    except Py4JJavaError as exc:
+        if "UnsupportedFileSystemException" not in str(exc.java_exception):
+            raise
+        fs.delete(target, False)
+        if not fs.rename(source, target):
+            raise OutputError(f"Could not publish the file {target.toString()}.") from None
+
+
 class ReplacedInPlace:
     """``with ReplacedInPlace(spark, target): append to target``: overwriting without a staging folder.
 
@@ -73,7 +94,7 @@ class ReplacedInPlace:
 
 
 class StagedOutput:
-    """``with StagedOutput(spark, target, overwrite) as stage: write to stage``."""
+    """``with StagedOutput(spark, target, overwrite) as stage: write to stage``; one publisher of a target at a time."""
 
     def __init__(self, spark: SparkSession, target: str, overwrite: bool = False):
         jvm = spark.sparkContext._jvm
@@ -96,7 +117,22 @@ class StagedOutput:
     def stage_path(self) -> str:
         return self.stage.toString()
 
+    def recover(self) -> None:
+        """Put back an old output that a publisher left aside when it died between its two renames."""
+        parent, name = self.target.getParent(), self.target.getName()
+        if parent is None or not self.fs.exists(parent):
+            return
+        aside = [s.getPath() for s in self.fs.listStatus(parent)
+                 if s.getPath().getName().startswith(f".{name}.") and s.getPath().getName().endswith(".old")]
+        if aside and not self.fs.exists(self.target):
+            newest = max(aside, key=lambda p: self.fs.getFileStatus(p).getModificationTime())
+            self.fs.rename(newest, self.target)
+            aside.remove(newest)
+        for path in aside:                                   # the new output stands: its publisher died before this
+            self._delete(path)
+
     def __enter__(self) -> str:
+        self.recover()
         self.check()
         parent = self.target.getParent()
         if parent is not None and not self.fs.exists(parent):

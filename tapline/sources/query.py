@@ -234,7 +234,8 @@ def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
     capped = by_partition(placed, "_place", {p: int(max_rows) - n for p, n in before.items() if n < max_rows}, "_quota")
     capped = capped.filter(row_of(place) < F.col("_quota"))
     if written:  # files are read in any order: neighbouring places go to one partition again
-        capped = capped.repartitionByRange("_place").sortWithinPartitions("_place")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        capped = capped.repartitionByRange(parts, "_place").sortWithinPartitions("_place")
     return capped.select(*[F.col(f"_c{k}").alias(name, metadata=m) for k, (name, m) in enumerate(zip(names, metadata))])
 
 

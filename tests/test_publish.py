@@ -1,0 +1,288 @@
+"""Single documents written in pieces, and versioned publishes stopped at every step."""
+
+import json
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapline import OutputError, TaplineError, TransformError, export
+from tapline.sinks import StagedOutput, VersionedOutput, clean_versions, current_version, published_versions, read_current
+from tapline.sinks import document
+from tapline.sinks.document import Layout, join_pieces, list_pieces, write_document
+from tapline.sinks.versions import _Store
+
+
+def fs_of(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def names_in(spark, path):
+    p, fs = fs_of(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def content(spark, path):
+    (row,) = spark.read.text(path, wholetext=True).collect()
+    return row["value"]
+
+
+def rows(spark, n=1000, parts=9, gaps=True):
+    """Rows in order over ``parts`` partitions, the first, the last and one in the middle of them empty."""
+    df = spark.range(0, n, 1, parts).withColumn("t", F.concat(F.lit("text, \"of\" "), F.col("id").cast("string")))
+    edge = n // parts
+    return df.filter((F.col("id") >= edge) & (F.col("id") < n - edge - 2) & ((F.col("id") < 4 * edge) | (F.col("id") >= 5 * edge + 3))) if gaps else df
+
+
+# ------------------------------------------------------------------------------------------ documents
+
+@pytest.mark.parametrize("pretty", [False, True])
+def test_one_json_array(spark, out, pretty):
+    path, df = out(), rows(spark)
+    assert export(spark, df=df, fmt="json", output=path, single_file=True, pretty=pretty).row_count == df.count()
+    text = content(spark, path)
+    assert [r["id"] for r in json.loads(text)] == [r["id"] for r in df.collect()]
+    assert text.endswith("]\n") and text.startswith("[\n  {" if pretty else "[{")
+    assert [n for n in names_in(spark, path) if not n.startswith((".", "_"))].__len__() == 1
+    assert not any(n.startswith("_pieces") for n in names_in(spark, path))
+
+
+@pytest.mark.parametrize("fmt,sep,options", [("csv", ",", {}), ("csv", ",", {"bom": True}), ("tsv", "\t", {"header": False}),
+                                             ("csv", ",", {"bom": True, "header": False})])
+def test_one_delimited_file(spark, out, fmt, sep, options):
+    import csv
+    import io
+
+    path, df = out(), rows(spark)
+    export(spark, df=df, fmt=fmt, output=path, single_file=True, **options)
+    text = content(spark, path)
+    assert text.startswith("﻿") == options.get("bom", False)
+    assert text.count("id" + sep + "t\r\n") == (1 if options.get("header", True) else 0)
+    found = list(csv.reader(io.StringIO(text.lstrip("﻿"), newline=""), delimiter=sep))[1 if options.get("header", True) else 0:]
+    assert found == [[str(r["id"]), r["t"]] for r in df.collect()]
+
+
+def test_one_ndjson_file_of_an_ordered_query(spark, out):
+    path = out()
+    rows(spark, gaps=False).createOrReplaceTempView("document_rows")
+    export(spark, sql="SELECT * FROM document_rows ORDER BY id DESC", fmt="ndjson", output=path, single_file=True,
+           transforms=[{"type": "mask", "column": "t"}])
+    assert [json.loads(line)["id"] for line in content(spark, path).splitlines()] == list(range(999, -1, -1))
+
+
+def test_pieces_come_from_as_many_tasks_as_there_are_partitions(spark, out, monkeypatch):
+    seen = []
+    monkeypatch.setattr(document, "join_pieces", lambda s, fs, pieces, target, layout: seen.append(len(pieces)) or join_pieces(
+        s, fs, pieces, target, layout))
+    for fmt in ("csv", "json", "ndjson"):
+        export(spark, df=rows(spark, gaps=False), fmt=fmt, output=out(), single_file=True)
+    assert seen == [9, 9, 9]
+
+
+def test_a_document_beside_an_existing_output(spark, out):
+    path = out()
+    lines = spark.createDataFrame([("a",)], "value string")
+    write_document(lines, path, Layout("\n"))
+    with pytest.raises(OutputError, match="already exists"):
+        write_document(lines, path, Layout("\n"))
+    write_document(lines, path, Layout("\n"), mode="append")
+    assert sorted(r["value"] for r in spark.read.text(path).collect()) == ["a", "a"]
+
+
+def test_a_failing_document_leaves_nothing(spark, out):
+    path = out()
+    with pytest.raises(OutputError):
+        export(spark, df=spark.range(9).select(F.expr("1 / (id - 5)").alias("x")), fmt="json", output=path, single_file=True)
+    assert not names_in(spark, path)
+
+
+class Joining:
+    """A file system that joins files, over one that does not."""
+
+    def __init__(self, fs, spark):
+        self._fs, self.spark, self.joined = fs, spark, []
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+    def concat(self, target, sources):
+        self.joined.append(len(sources))
+        data = bytearray()
+        for path in [target, *sources]:
+            data += bytearray(open(path.toUri().getPath(), "rb").read())
+        stream = self._fs.create(target, True)
+        stream.write(data)
+        stream.close()
+
+
+@pytest.mark.parametrize("layout", [Layout("\n"), Layout("\r\n", "head\r\n"), Layout(",\n", "[", "]\n", True, "[]\n")])
+@pytest.mark.parametrize("texts", [["a"], ["a", "b"], ["a", "b", "c", "d"]])
+def test_joined_by_the_file_system_or_by_bytes_the_same(spark, out, layout, texts):
+    made = []
+    for joins in (False, True):
+        path = out()
+        df = spark.createDataFrame([(t,) for t in texts], "value string").repartitionByRange(len(texts), "value")
+        df.write.option("lineSep", layout.separator).text(path)
+        folder, fs = fs_of(spark, path)
+        fs = Joining(fs, spark) if joins else fs
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/document")
+        join_pieces(spark, fs, [p for p in list_pieces(fs, folder) if p[1]], target, layout)
+        made.append(open(target.toUri().getPath(), newline="").read())
+        if joins and (len(texts) > 1 or layout.head):
+            assert fs.joined
+    end = layout.separator if not layout.closing else ""
+    assert made == [layout.head + layout.separator.join(texts) + end + layout.tail] * 2
+
+
+# ------------------------------------------------------------------------------------------ versions
+
+def publish(spark, target, n, cls=VersionedOutput, **options):
+    with cls(spark, target, **options) as folder:
+        spark.range(n).write.parquet(folder)
+
+
+def test_versions_follow_each_other(spark, out):
+    target = out()
+    assert current_version(spark, target) is None
+    with pytest.raises(OutputError, match="Nothing has been published"):
+        read_current(spark, target)
+    for n in (3, 4, 5):
+        publish(spark, target, n)
+        assert read_current(spark, target).count() == n
+    assert [v.number for v in published_versions(spark, target)] == [3, 2]
+    assert len(names_in(spark, f"{target}/_versions")) == 2 and not names_in(spark, f"{target}/_journal")
+
+
+def test_a_reader_stays_on_its_version(spark, out):
+    target = out()
+    publish(spark, target, 3)
+    reading = read_current(spark, target)
+    publish(spark, target, 10)
+    assert reading.count() == 3 and read_current(spark, target).count() == 10
+
+
+class Crash(BaseException):
+    """The process died: nothing behind this runs."""
+
+
+STEPS = ["journal", "written", "pointer", "journal removed"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("first", [True, False])
+def test_a_crash_at_any_step_leaves_one_whole_version(spark, out, step, first):
+    class Dying(VersionedOutput):
+        def reached(self, at):
+            if at == step:
+                raise Crash(at)
+
+    target = out()
+    if not first:
+        publish(spark, target, 3)
+    with pytest.raises(Crash):
+        publish(spark, target, 7, Dying)
+    done = STEPS.index(step) >= 2
+    if first and not done:
+        assert current_version(spark, target) is None
+    else:
+        assert read_current(spark, target).count() == (7 if done else 3)
+    clean_versions(spark, target)                            # young entries may belong to a running publisher
+    assert len(names_in(spark, f"{target}/_journal")) == (0 if done else 1)
+    clean_versions(spark, target, grace_s=-1)
+    assert not names_in(spark, f"{target}/_journal")
+    assert len(names_in(spark, f"{target}/_versions")) == len(published_versions(spark, target)) == (not first) + done
+    publish(spark, target, 9)
+    assert read_current(spark, target).count() == 9
+
+
+@pytest.mark.parametrize("text", ["", "abc", "abc\ncompl"])
+def test_a_pointer_whose_writer_died_is_none(spark, out, text):
+    target = out()
+    publish(spark, target, 3)
+    _Store(spark, target).create(text, "_current", "000000000002")
+    assert read_current(spark, target).count() == 3
+    publish(spark, target, 4)
+    assert current_version(spark, target).number == 3 and read_current(spark, target).count() == 4
+    assert "000000000002" not in names_in(spark, f"{target}/_current")
+
+
+def test_two_publishers_never_share_a_number(spark, out):
+    target, errors = out(), []
+
+    def run(n):
+        try:
+            publish(spark, target, n, keep=10)
+        except Exception as exc:  # noqa: BLE001
+            errors.append(exc)
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in range(1, 6)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    found = published_versions(spark, target)
+    assert not errors and [v.number for v in found] == [5, 4, 3, 2, 1] and len({v.token for v in found}) == 5
+    assert sorted(spark.read.parquet(v.path).count() for v in found) == [1, 2, 3, 4, 5]
+
+
+def test_a_publisher_that_came_too_late(spark, out):
+    target = out()
+    publish(spark, target, 3)
+    publish(spark, target, 4, expected=1)
+    with pytest.raises(OutputError, match="Version 2 .* expected 1"):
+        publish(spark, target, 5, expected=1)
+    assert read_current(spark, target).count() == 4 and len(names_in(spark, f"{target}/_versions")) == 2
+
+
+def test_failing_and_empty_publishes(spark, out):
+    target = out()
+    with pytest.raises(OutputError, match="Nothing was written"):
+        with VersionedOutput(spark, target):
+            pass
+    with pytest.raises(TransformError):
+        export(spark, df=spark.range(3).select(F.lit("x").alias("c")), fmt="parquet", output=target, versions=2,
+               transforms=[{"type": "map", "column": "c", "mapping": {"a": "b"}, "unmatched": "fail"}])
+    assert current_version(spark, target) is None and not names_in(spark, f"{target}/_versions")
+    assert export(spark, df=spark.range(3), fmt="csv", output=target, versions=1).row_count == 3
+    assert read_current(spark, target, "csv", header=True).count() == 3
+    with pytest.raises(TaplineError, match="versions must be 1 or more"):
+        export(spark, df=spark.range(3), fmt="csv", output=target, versions=0)
+
+
+# ------------------------------------------------------------------------------------------ staged publish and sidecar
+
+def test_an_output_left_aside_by_a_crash_comes_back(spark, out):
+    target = out()
+    spark.range(3).write.parquet(target)
+    path, fs = fs_of(spark, target)
+    aside = type(path) and spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.0123456789ab.old")
+    fs.rename(path, aside)                                   # where a publisher that dies between its renames leaves it
+    with pytest.raises(OutputError, match="already exists"):
+        with StagedOutput(spark, target) as stage:
+            spark.range(9).write.parquet(stage)
+    assert spark.read.parquet(target).count() == 3
+    with StagedOutput(spark, target, overwrite=True) as stage:
+        spark.range(9).write.parquet(stage)
+    assert spark.read.parquet(target).count() == 9 and not fs.exists(aside)
+
+
+def test_the_sidecar_is_replaced_in_one_step(spark, out, monkeypatch):
+    sidecar = out("sidecar") + ".json"
+    for n in (3, 4):
+        export(spark, df=spark.range(n), fmt="ndjson", output=out(), metadata_path=sidecar, overwrite=True)
+        path, fs = fs_of(spark, sidecar)
+        assert json.loads(open(path.toUri().getPath()).read())["rowCount"] == n
+    fs.delete(path, False)
+
+
+def test_threads_of_a_session_keep_the_time_unit(spark, out):
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "INT96")
+    try:
+        threads = [threading.Thread(target=export, args=(spark,), kwargs=dict(
+            df=spark.range(50).select(F.timestamp_micros("id").alias("t")), fmt="parquet", output=out())) for _ in range(4)]
+        [t.start() for t in threads]
+        [t.join() for t in threads]
+        assert spark.conf.get(key) == "INT96"
+    finally:
+        spark.conf.set(key, before)
