@@ -625,6 +625,20 @@ def q_jdbc_roundtrip(spark, sf_dir):
                        F.col("n_regionkey").cast("int").alias("n_regionkey"))
 
 
+def q_jdbc_equi_depth(spark, sf_dir):
+    """Orders through a database and back in equi-depth splits of their customers, a third of them one customer's.
+
+    The same embedded database as in ``jdbc_roundtrip``: local mode only."""
+    import uuid
+
+    url = f"jdbc:derby:memory:tl{uuid.uuid4().hex[:8]};create=true"
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("O_ORDERKEY"), hot.alias("O_CUSTKEY"))
+    orders.write.format("jdbc").option("url", url).option("dbtable", "ORDERS_COPY").mode("overwrite").save()
+    return jdbc_source(spark, url, "SELECT O_ORDERKEY, O_CUSTKEY FROM ORDERS_COPY", partition_column="O_CUSTKEY", num_partitions=6,
+                       equi_depth=True, spread_by="O_ORDERKEY")
+
+
 def q_stream_pipeline(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     stream = read_stream(spark, sf_dir, orders.schema, glob_filter="orders.parquet")
@@ -704,6 +718,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_parquet_decimals": q_sink_parquet_decimals,
     "sink_ndjson_transformed": q_sink_ndjson_transformed,
     "jdbc_roundtrip": q_jdbc_roundtrip,
+    "jdbc_equi_depth": q_jdbc_equi_depth,
     "stream_pipeline": q_stream_pipeline,
     "expression_skip_row": q_expression_skip_row,
     "custom_skip_row": q_custom_skip_row,
@@ -829,6 +844,7 @@ SELECT format, single, CASE format WHEN 'csv' THEN 'r_regionkey,r_name' || chr(1
   WHEN 'tsv' THEN 'r_regionkey' || chr(9) || 'r_name' || chr(13) || chr(10) WHEN 'json' THEN '[]' || chr(10) WHEN 'ndjson' THEN ''
   ELSE 'r_regionkey,r_name' END || repeat('?', (SELECT count(*) FROM region WHERE r_regionkey < 0)) AS content
 FROM (SELECT unnest(['csv', 'tsv', 'json', 'ndjson', 'parquet']) AS format), (SELECT unnest([true, false]) AS single)""",
+    "jdbc_equi_depth": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey FROM orders",
     "declared_shape": "SELECT shape, CASE shape WHEN 'as declared' THEN (SELECT count(*) FROM region) END AS rows "
                       "FROM (SELECT unnest(['as declared', 'missing', 'other order', 'undeclared']) AS shape)",
     "pipeline_counters": """

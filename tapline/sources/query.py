@@ -18,6 +18,8 @@ from ..errors import SourceError, TaplineError
 from ..functions.names import normalized_names
 from ..ordinals import by_partition, row_of, rows_per_partition, starts
 from ..session import scratch_path
+from .split import conditions, histogram
+from .zoned import TEXT_OF, as_iso, result_columns, with_text, zoned_columns
 
 DEFAULT_FETCH_SIZE = 1000
 # Statements that make each reading connection read-only, per JDBC sub-protocol; the database
@@ -122,7 +124,8 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
                 fetch_size: int = DEFAULT_FETCH_SIZE, partition_column: str | None = None,
                 lower_bound=None, upper_bound=None, num_partitions: int | None = None,
                 predicates: list[str] | None = None, session_init: str | None = None,
-                read_only: bool = True, options: dict | None = None) -> DataFrame:
+                read_only: bool = True, options: dict | None = None, equi_depth: bool = False,
+                spread_by: str | None = None, own_offsets: bool = True) -> DataFrame:
     """Read a query's result over JDBC.
 
     Without a partition column this is one streaming cursor (``fetchsize`` rows per round trip),
@@ -131,6 +134,13 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
     large extract out across executors. A skewed key makes range splits uneven; ``predicates``
     instead gives one WHERE condition per partition (for example a database-side hash bucket,
     ``MOD(ABS(hash_fn(id)), 64) = i``), so a hot key's rows can be spread evenly.
+
+    ``equi_depth`` has the database make such conditions from the key's own distribution, for keys of any type (see
+    :mod:`tapline.sources.split`): about ``num_partitions`` of like size, a hot key split by the numeric expression
+    ``spread_by``. It costs the database two passes over the query, one of them a sort of the keys.
+
+    ``own_offsets``: zoned times keep the offset they have in the database, as text, where it keeps one (see
+    :mod:`tapline.sources.zoned`); the prepared statement's metadata is asked for, on such databases only.
     """
     if fetch_size <= 0:
         raise TaplineError(f"fetch_size must be greater than 0, not {fetch_size}.")
@@ -140,6 +150,26 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
         session_init = READ_ONLY_SESSION.get(url.split(":")[1] if url.count(":") >= 2 else "")
     if session_init:
         reader = reader.option("sessionInitStatement", session_init)
+    database = url.split(":")[1] if url.count(":") >= 2 else ""
+    zoned: dict[str, str] = {}
+    if own_offsets and any(database == name for name, _ in TEXT_OF):
+        columns = result_columns(spark, url, text, user, password, driver)
+        zoned = zoned_columns(columns, database)
+        text = with_text(text, columns, zoned)
+    if equi_depth:
+        if not partition_column or not num_partitions or predicates:
+            raise SourceError("An equi-depth read needs partition_column and num_partitions, and takes no predicates.")
+
+        def rows_of(query: str) -> list:
+            asked = spark.read.format("jdbc").option("url", url).option("query", query).option("fetchsize", str(fetch_size))
+            for key, value in (("user", user), ("password", password), ("driver", driver),
+                               ("sessionInitStatement", session_init), *(options or {}).items()):
+                if value is not None:
+                    asked = asked.option(key, str(value))
+            return _load(asked, url).collect()               # POINTS rows a partition at the most
+
+        found = histogram(rows_of, text, partition_column, num_partitions, database)
+        predicates = conditions(found, partition_column, num_partitions, spread_by)
     if predicates:
         props = {"fetchsize": str(fetch_size)}
         for key, value in (("user", user), ("password", password), ("driver", driver),
@@ -147,8 +177,8 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
             if value is not None:
                 props[key] = value
         props.update({k: str(v) for k, v in (options or {}).items()})
-        return normalize_columns(spark.read.jdbc(url, f"({text}) tapline_q", predicates=list(predicates),
-                                                 properties=props))
+        read = spark.read.jdbc(url, f"({text}) tapline_q", predicates=list(predicates), properties=props)
+        return normalize_columns(as_iso(read, zoned) if zoned else read)
     if partition_column:
         if not num_partitions:
             raise SourceError("A partitioned JDBC read needs num_partitions.")
@@ -182,7 +212,8 @@ def jdbc_source(spark: SparkSession, url: str, sql: str | None = None, sql_file:
         reader = reader.option("driver", driver)
     for key, value in (options or {}).items():
         reader = reader.option(key, str(value))
-    return normalize_columns(_load(reader, url))
+    read = _load(reader, url)
+    return normalize_columns(as_iso(read, zoned) if zoned else read)
 
 
 def whole_bound(value, rounding):

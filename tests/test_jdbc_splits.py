@@ -1,0 +1,160 @@
+"""Equi-depth splits of skewed keys through an embedded database, and zoned texts."""
+
+import datetime
+import uuid
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapline import export
+from tapline.errors import SourceError
+from tapline.sources import jdbc_source
+from tapline.sources.split import Histogram, conditions, literal
+from tapline.sources.zoned import (
+    ORACLE_TIMESTAMP_ZONED, TIME_ZONED, TIMESTAMP_ZONED, as_iso, offset_text, result_columns, with_text, zoned_columns)
+
+
+def database(df):
+    url = f"jdbc:derby:memory:d{uuid.uuid4().hex[:8]};create=true"
+    df.write.format("jdbc").option("url", url).option("dbtable", "KEYS").save()
+    return url
+
+
+def skewed(spark, n=4000):
+    """One key with 40 % of the rows, one with 12 %, 10 % nulls, the rest spread out unevenly."""
+    i = F.col("id")
+    k = F.when(i % 10 < 4, F.lit(77)).when(i % 25 < 3, F.lit(5000)).when(i % 10 == 9, F.lit(None)).otherwise((i * i) % 100_003)
+    return spark.range(n).select(i.cast("int").alias("ID"), k.cast("int").alias("K"))
+
+
+def sizes(df):
+    counts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    return [r["n"] for r in counts], df.rdd.getNumPartitions()
+
+
+KINDS = {"int": lambda k: k, "decimal": lambda k: (k.cast("decimal(12,2)") / 4).cast("decimal(12,2)"),
+         "date": lambda k: F.date_add(F.lit("1970-01-01").cast("date"), k), "double": lambda k: k / 8,
+         "timestamp": lambda k: F.timestamp_seconds(k), "text": lambda k: k}
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+def test_no_partition_is_deep(spark, kind):
+    df = skewed(spark).withColumn("K", KINDS[kind](F.col("K")))
+    url = database(df)
+    key = "'it''s ' || RTRIM(CAST(K AS CHAR(12))) AS K" if kind == "text" else "K"
+    read = jdbc_source(spark, url, f"SELECT ID, {key} FROM KEYS", partition_column="K", num_partitions=8, equi_depth=True,
+                       spread_by="ID")
+    assert sorted(r["id"] for r in read.collect()) == list(range(4000))
+    counts, parts = sizes(read)
+    assert 8 <= parts <= 12
+    assert max(counts) <= 1.5 * 4000 / 8 and max(counts) <= 1.75 * 4000 / parts
+
+
+def test_one_hot_key_and_unique_others(spark):
+    """The case of a key at 40 %: no partition reads over 1.5 times the mean."""
+    df = spark.range(5000).select(F.col("id").alias("ID"), F.when(F.col("id") % 5 < 2, -1).otherwise(F.col("id")).alias("K"))
+    read = jdbc_source(spark, database(df), "SELECT ID, K FROM KEYS", partition_column="K", num_partitions=10, equi_depth=True,
+                       spread_by="ID")
+    counts, parts = sizes(read)
+    assert sum(counts) == 5000 and max(counts) <= 1.5 * 5000 / parts
+
+
+@pytest.mark.parametrize("rows", [0, 1, 3])
+def test_few_rows(spark, rows):
+    url = database(skewed(spark, rows))
+    read = jdbc_source(spark, url, "SELECT ID, K FROM KEYS", partition_column="K", num_partitions=4, equi_depth=True, spread_by="ID")
+    assert sorted(r["id"] for r in read.collect()) == list(range(rows))
+
+
+def test_only_null_keys(spark):
+    url = database(spark.range(100).select(F.col("id").alias("ID"), F.lit(None).cast("int").alias("K")))
+    read = jdbc_source(spark, url, "SELECT ID, K FROM KEYS", partition_column="K", num_partitions=4, equi_depth=True, spread_by="ID")
+    counts, _ = sizes(read)
+    assert sorted(counts) == [25] * 4
+
+
+def test_an_export_of_a_skewed_table(spark, out):
+    url = database(skewed(spark, 500))
+    path = out()
+    result = export(spark, jdbc={"url": url, "partition_column": "K", "num_partitions": 3, "equi_depth": True}, fmt="ndjson",
+                    sql="SELECT ID, K FROM KEYS", output=path)
+    assert result.row_count == 500
+    with pytest.raises(SourceError, match="needs partition_column and num_partitions"):
+        jdbc_source(spark, url, "SELECT ID FROM KEYS", equi_depth=True)
+
+
+def test_conditions_cover_every_key_once():
+    keys = [k // 3 for k in range(300)] + [50] * 400 + [None] * 50 + [98] * 60
+    filled = sorted(k for k in keys if k is not None)
+    step = 7
+    found = conditions(Histogram(filled[step - 1::step], step, len(filled), 50), "k", 6, "k2")
+    assert any("k = 50" in c for c in found) and any("IS NULL" in c for c in found)
+
+    def holds(condition, k, k2):
+        if k is None:
+            return "IS NULL" in condition.split(" AND ")[0] and _remainder(condition, k2)
+        if "k IS NULL" in condition.split(" AND ")[0]:
+            return False
+        parts = [c.strip("()") for c in condition.split(" AND ")]
+        for c in parts:
+            name, op, value = (c.split() + ["", "", ""])[:3]
+            if name != "k" or op == "IS":
+                continue
+            v = int(value)
+            if not {">=": k >= v, "<": k < v, "<>": k != v, "=": k == v}[op]:
+                return False
+        return _remainder(condition, k2)
+
+    def _remainder(condition, k2):
+        import re
+        m = re.search(r"MOD\(ABS\(k2\), (\d+)\) = (\d+)", condition)
+        return m is None or k2 % int(m.group(1)) == int(m.group(2))
+
+    hits = Counter(sum(holds(c, k, i) for c in found) for i, k in enumerate(keys))
+    assert hits == {1: len(keys)}
+
+
+def test_literals():
+    assert [literal(v) for v in (3, Decimal("1E+3"), 2.5, "it's", datetime.date(2024, 1, 2), datetime.datetime(2024, 1, 2, 3, 4, 5))] == [
+        "3", "1000", "2.5", "'it''s'", "{d '2024-01-02'}", "{ts '2024-01-02 03:04:05'}"]
+    with pytest.raises(SourceError, match="bytearray"):
+        literal(bytearray(b"x"))
+
+
+# ------------------------------------------------------------------------------------------ zoned times
+
+def test_only_columns_whose_offset_would_be_lost_are_cast():
+    columns = [("ID", 4), ("AT", ORACLE_TIMESTAMP_ZONED), ('odd "name"', TIMESTAMP_ZONED)]
+    zoned = zoned_columns(columns, "oracle")
+    assert set(zoned) == {"AT", 'odd "name"'}
+    text = with_text("SELECT * FROM T", columns, zoned)
+    assert text.startswith('SELECT "ID", TO_CHAR("AT", ') and 'AS "odd ""name""" FROM (\nSELECT * FROM T\n)' in text
+    assert zoned_columns([("a", TIMESTAMP_ZONED), ("t", TIME_ZONED)], "postgresql") == {"t": 'CAST("t" AS VARCHAR)'}
+    assert zoned_columns(columns, "duckdb") == {} and with_text("SELECT 1", columns, {}) == "SELECT 1"
+
+
+@pytest.mark.parametrize("text,iso", [
+    ("2024-01-01T10:00:00.000000+02:00", "2024-01-01T10:00+02:00"), (" 2024-01-01T10:00:07.500000-05:30", "2024-01-01T10:00:07.500-05:30"),
+    ("2024-01-01 10:00:00+02", "2024-01-01T10:00+02:00"), ("2024-01-01 10:00:00.123456 +02:00", "2024-01-01T10:00:00.123456+02:00"),
+    ("2024-01-01T00:00:00.1+00:00", "2024-01-01T00:00:00.100Z"), ("10:00:00+02", "10:00+02:00"), ("10:00:01.25-0330", "10:00:01.250-03:30"),
+    ("23:59:59+05:30:15", "23:59:59+05:30:15"), ("2024-01-01T10:00:00Z", "2024-01-01T10:00Z"), ("2024-01-01T10:30:00.1234567+1:00", "2024-01-01T10:30:00.123456700+01:00"),
+    ("no time", "no time"), (None, None)])
+def test_offset_texts(spark, text, iso):
+    assert spark.createDataFrame([(text,)], "t string").select(offset_text(F.col("t")).alias("t")).first()["t"] == iso
+
+
+def test_an_offset_survives_to_csv_and_parquet(spark, out):
+    """What a database's zoned column gives once its cast is pushed down, through both kinds of sink."""
+    df = as_iso(spark.createDataFrame([(1, "2024-01-01T10:00:00.000000+02:00"), (2, None)], "ID int, AT string"), {"AT": ""})
+    for fmt in ("csv", "parquet"):
+        path = out()
+        export(spark, df=df, fmt=fmt, output=path, inline=["rename:id=key"])
+        back = spark.read.option("header", True).format(fmt).load(path)
+        assert sorted(str(r["at"]) for r in back.collect()) == ["2024-01-01T10:00+02:00", "None"]
+
+
+def test_result_metadata_without_execution(spark):
+    url = database(spark.range(3).select(F.col("id").alias("ID"), F.lit("x").alias("K")))
+    assert [n for n, _ in result_columns(spark, url, "SELECT ID, K AS LABEL FROM KEYS WHERE 1 / 0 = ID", None, None, None)] == ["ID", "LABEL"]
