@@ -31,9 +31,10 @@ from tapline.ordinals import in_order  # noqa: E402
 from tapline.plans import Pipeline, column_manifest, describe  # noqa: E402
 from tapline.plans.pipeline import pipeline_counters  # noqa: E402
 from tapline.plans.runs import latest_runs, run_kpis, step_summary, with_throughput  # noqa: E402
-from tapline.sinks import current_version, parquet_values, published_versions, read_current  # noqa: E402
+from tapline.sinks import (  # noqa: E402
+    current_version, damaged_parts, parquet_values, part_frame, published_versions, read_current, write_parts)
 from tapline.sources import cap_rows, jdbc_source, query_source, register_tables  # noqa: E402
-from tapline.streaming import read_stream, start_stream_export  # noqa: E402
+from tapline.streaming import read_ledger, read_stream, start_stream_export  # noqa: E402
 
 try:  # the training-data operators and their pipeline are an optional part, which may be left out as a whole
     import corpus_pipeline
@@ -518,6 +519,21 @@ def q_publish_versions(spark, sf_dir):
     return read_current(spark, out).withColumns({"version": F.lit(number), "kept": F.lit(kept)})
 
 
+def q_manifest_parts(spark, sf_dir):
+    """lineitem in six parts of each kind: the sums of the manifests' parts, what reads back, and damage found (none)."""
+    lines = _table(spark, sf_dir, "lineitem").repartition(6, "l_orderkey")
+    found = []
+    for fmt in ("parquet", "ndjson", "csv"):
+        out = scratch_path(spark, f"parts-{fmt}")
+        manifest = write_parts(lines, out, fmt)
+        back = spark.read.format({"ndjson": "json"}.get(fmt, fmt)).options(header=True).load(out)
+        sums = part_frame(spark, manifest).agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"))
+        found.append(sums.select(
+            F.lit(fmt).alias("format"), "parts", "rows", F.lit(back.count()).alias("read"),
+            F.lit(damaged_parts(spark, out).count()).alias("damaged")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def q_empty_result(spark, sf_dir):
     """No rows in each format: what is in the files, and what they read as."""
     found = []
@@ -663,6 +679,30 @@ def q_stream_restart(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_stream_ledger(spark, sf_dir):
+    """The counters of a stream of three batches, the last of them run again after its commit was lost, as JSON arrays."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    source, out, ledger = (scratch_path(spark, f"ledger-{x}") for x in ("in", "out", "book"))
+    checkpoint = scratch_path(spark, "ledger-progress")
+    pipeline = build_pipeline({"errorStrategy": "skipRow", "transforms": [
+        {"type": "map", "column": "o_orderstatus", "mapping": {"F": "Finished", "O": "Open"}, "unmatched": "fail"}]})
+
+    def run():
+        stream = read_stream(spark, source, orders.schema, glob_filter="*.parquet")
+        start_stream_export(stream, pipeline, "json", out, checkpoint=checkpoint, ledger=ledger).awaitTermination()
+
+    for third in range(3):
+        orders.filter(F.col("o_orderkey") % 3 == third).write.mode("append").parquet(source)
+        run()
+    lost = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/2")
+    lost.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(lost, False)
+    run()                                                    # the third batch again
+    written = spark.read.option("multiLine", True).schema("o_orderkey long, o_orderstatus string").json(out)
+    return read_ledger(spark, ledger).select(
+        "batch_id", "rows_in", "rows_out", "rows_dropped_by_error", F.get("steps", F.lit(0))["failures"].alias("failures")).join(
+        written.groupBy((F.col("o_orderkey") % 3).alias("batch_id")).agg(F.count("*").alias("written")), "batch_id")
+
+
 # ----------------------------------------------------------------------------- registry
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -710,6 +750,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_single_csv": q_sink_single_csv,
     "sink_single_json": q_sink_single_json,
     "publish_versions": q_publish_versions,
+    "manifest_parts": q_manifest_parts,
+    "stream_ledger": q_stream_ledger,
     "empty_result": q_empty_result,
     "declared_shape": q_declared_shape,
     "sink_csv_texts": q_sink_csv_texts,
@@ -845,6 +887,14 @@ SELECT format, single, CASE format WHEN 'csv' THEN 'r_regionkey,r_name' || chr(1
   ELSE 'r_regionkey,r_name' END || repeat('?', (SELECT count(*) FROM region WHERE r_regionkey < 0)) AS content
 FROM (SELECT unnest(['csv', 'tsv', 'json', 'ndjson', 'parquet']) AS format), (SELECT unnest([true, false]) AS single)""",
     "jdbc_equi_depth": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey FROM orders",
+    "manifest_parts": "SELECT format, 6 AS parts, n AS rows, n AS read, 0 AS damaged FROM (SELECT count(*) AS n FROM lineitem), "
+                      "(SELECT unnest(['parquet', 'ndjson', 'csv']) AS format)",
+    "stream_ledger": """
+SELECT o_orderkey % 3 AS batch_id, count(*) AS rows_in, count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS rows_out,
+  count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS rows_dropped_by_error,
+  count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS failures,
+  count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS written
+FROM orders GROUP BY 1""",
     "declared_shape": "SELECT shape, CASE shape WHEN 'as declared' THEN (SELECT count(*) FROM region) END AS rows "
                       "FROM (SELECT unnest(['as declared', 'missing', 'other order', 'undeclared']) AS shape)",
     "pipeline_counters": """

@@ -162,14 +162,14 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     try:
         if staged:
             with publisher as stage:
-                _write(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
+                write_output(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
                        single_file=single_file, decimals=parquet_decimals, counted=counted)
                 if counted is not None and fmt == "parquet":
                     rows_written = spark.read.parquet(stage).count()  # from the footers
         else:
             with ReplacedInPlace(spark, output):  # the old files go only after the job has committed
-                _write(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
+                write_output(data, output, fmt, transformed=planned is not None, header=header, null_value=null_value,
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
                        single_file=single_file, decimals=parquet_decimals, counted=counted,
                        mode="append" if overwrite else "errorifexists")
@@ -234,9 +234,10 @@ def describe(spark: SparkSession, *, sql: str | None = None, sql_file: str | Non
     return spark.createDataFrame(columns, _COLUMN_TYPE)
 
 
-def _write(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
+def write_output(data: DataFrame, path: str, fmt: str, *, transformed: bool, header: bool, null_value: str,
            escape_formulas: bool, bom: bool, pretty: bool, compression: str, single_file: bool,
            decimals: dict | None = None, mode: str = "errorifexists", counted: Observation | None = None) -> None:
+    """Write finished rows with one format's sink."""
     if fmt == "parquet":
         write_parquet(data, path, compression, canonical_types=transformed, single_file=single_file,
                       decimals=decimals, mode=mode)
