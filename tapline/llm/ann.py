@@ -62,6 +62,14 @@ class Tree:
 
     routers: dict[int, Router] = field(default_factory=dict)
 
+    def plain(self) -> dict[int, tuple]:
+        """The routers as arrays: what is broadcast must not need this module in the workers."""
+        return {n: (r.weights, r.bias, r.probes) for n, r in self.routers.items()}
+
+    @classmethod
+    def of(cls, plain: dict[int, tuple]) -> "Tree":
+        return cls({n: Router(*r) for n, r in plain.items()})
+
     def leaf(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector."""
         node = np.ones(len(x), np.int64)
@@ -232,15 +240,16 @@ def fit_tree(vectors: DataFrame, size: int) -> tuple[Tree, DataFrame, dict[int,
         found = fit_routers(sample, target)
         tried |= set(found)
         tree.routers |= {p: r for p, r in found.items() if r.bias.size > 1}
-        held = spark.sparkContext.broadcast(tree)
+        held = spark.sparkContext.broadcast(tree.plain())
 
         def place(batches, held=held):
+            placing = Tree.of(held.value)
             for batch in batches:
                 lengths = np.diff(batch.column(1).offsets.to_numpy())
                 leaf = -lengths.astype(np.int64)
                 own = np.flatnonzero(lengths == size)
                 if len(own):
-                    leaf[own] = held.value.leaf(_matrix(batch.column(1).take(pa.array(own))))
+                    leaf[own] = placing.leaf(_matrix(batch.column(1).take(pa.array(own))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=["id", "v", "p"])
 
         placed = cut(vectors.mapInArrow(place, T.StructType([*vectors.schema.fields, T.StructField("p", T.LongType())])), "placed")
@@ -303,10 +312,10 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree, placed, rows = fit_tree(vectors, sizes[0]["n"])
     size, wanted = sizes[0]["n"], SPARE * k
-    held = spark.sparkContext.broadcast((tree, rows))
+    held = spark.sparkContext.broadcast((tree.plain(), rows))
 
     def route(batches):
-        tree, rows = held.value
+        tree, rows = Tree.of(held.value[0]), held.value[1]
         for batch in batches:
             lengths = np.diff(batch.column(1).offsets.to_numpy())
             visits = [[-int(n)] for n in lengths]
