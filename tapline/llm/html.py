@@ -4,12 +4,15 @@
    not end it); it has a container (the nearest ``article`` or ``main``, else the nearest block that groups others)
    and may stand in a part that is never content (menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles, comments), known by tag, role, or the class or id of a block. An article in a block known by its
-   name alone counts again, unless it stands among comments or links to other articles.
+   name alone counts again, unless it stands among comments or links to other articles. Forms are judged by what is in
+   them: a page that stands in a form has much text for each control, or an article. A part whose name has a word for
+   comments among other words is one if it repeats items of one shape.
 2. The ratio of a line is its characters outside links over its tags; parts that are never content have ratio 0.
    Ratios are smoothed with a Gaussian kernel, and lines over a threshold (a deviation, at most half of
    the highest value) form the clusters of content.
 3. A cluster selects its container, so short lines between long ones (headings, one-word paragraphs) stay with it. If
-   the page marks an ``article`` or ``main``, only those can be selected; else a cluster selects the nearest block around
+   the page marks an ``article`` or ``main``, only those can be selected (an article in a main with what stands before
+   it there, its title and byline); else a cluster selects the nearest block around
    the lines that are over the threshold by themselves, and more than one line: a paragraph in its own block brings
    the paragraphs beside it, however short.
 
@@ -38,7 +41,7 @@ figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main m
 section summary table tbody td textarea tfoot th thead title tr ul br""".split())
 _GROUP = set("body div section td html center".split())
 _MAIN = {"article", "main"}
-_NEVER_TAG = set("""head script style noscript template nav footer aside form button select option textarea input iframe object
+_NEVER_TAG = set("""head script style noscript template nav footer aside button select option textarea input iframe object
 svg math canvas audio video menu dialog search label fieldset title""".split())
 _NEVER_ROLE = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 #: Words in a class or id that mark parts outside the article; fixed values.
@@ -55,11 +58,17 @@ _OTHER_NAME = _COMMENT_NAME | set("disqus related recommended recommendations te
 #: Words that may stand beside a name in one class or id (place, shape, what it belongs to): ``left-sidebar``, ``ad-box``.
 #: Any other word makes it tell of something else: ``has-sidebar``, ``no-sidebar``, ``layout-sidebar-right``, ``search-term``.
 _BESIDE = set("""left right top bottom upper lower side main primary secondary tertiary first last site page post posts article articles
-entry story blog box block blocks area areas zone slot slots unit container containers wrap wrapper wrappers inner outer holder
+entry story stories blog reader readers user users visitor visitors guest member thread threads law info leaderboard box block blocks area areas zone slot slots unit container containers wrap wrapper wrappers inner outer holder
 panel bar list lists item items section group row column col button buttons icon icons link links title heading text message
 policy image label cloud trail mobile desktop sticky fixed floating global local div gpt google dfp wp js id count author body""".split())
 #: Names that stay names beside ``content``, which else tells of the article: ``related-content`` but not ``content-sidebar``.
 _CONTENT_TOO = _OTHER_NAME | set("ad ads advert sponsored promoted footer modal popup".split())
+#: Controls of a form. A form with so many characters of text for each control and one more, or with an article in it,
+#: is a page that stands in a form; others are forms.
+_CONTROLS = {"input", "select", "textarea", "button"}
+FORM_CHARS = 120
+#: Parts that may hold reader comments, and what one comment stands in.
+_THREADS, _ITEMS = set("div section ul ol table".split()), set("div li article section tr".split())
 _CLOSED_BY = {"p": _BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
               "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"}}
 _ALL_NAMES = _NEVER_NAME | _HEADER_NAME | _COMMENT_NAME
@@ -72,7 +81,13 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []  # text, link characters, tags, container, in article or main
-        self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, never content, container, in main
+        # tag, never content, container, in main, form, thread
+        self.open: list[tuple[str, int, int, bool, int, int]] = [("", 0, 0, False, 0, 0)]
+        self.mains: set[int] = set()  # containers that are a main
+        self.within: list[tuple[int, int]] = []  # form and thread of each line; 0 is none
+        self.forms = [[0, 0, False]]  # characters, controls, whether an article stands in it
+        self.starts = [0]  # where in ``open`` each such part stands
+        self.threads: list[dict[str, int]] = [{}]  # blocks of each shape right in a part whose name may tell of comments
         self.parts: list[str] = []
         self.around = [0]  # the container around each container
         self.link_chars = self.tags = self.links = 0
@@ -83,7 +98,8 @@ class _Lines(HTMLParser):
         for token in " ".join(v for k, v in attrs if k in ("class", "id") and v).split():
             words = {x.lower() for x in _NAME.findall(token)}
             own = words & _ALL_NAMES
-            others = words - own - _BESIDE - ({"content"} if own & _CONTENT_TOO else set())
+            ends = own & _CONTENT_TOO or token.lower().endswith("content")  # sidebar-content, but not content-sidebar
+            others = words - own - _BESIDE - ({"content"} if ends else set())
             if not any(len(x) > 1 and not x.isdigit() for x in others):
                 names |= own
         return names
@@ -107,10 +123,12 @@ class _Lines(HTMLParser):
         return 0
 
     def _end_line(self):
-        never, container, in_main = self.open[-1][1:]
+        _, never, container, in_main, form, thread = self.open[-1]
         text = " ".join("".join(self.parts).split()) if self.parts else ""
         if text:
             self.lines.append(("" if never else text, self.link_chars, self.tags, container, in_main))
+            self.within.append((form, thread))
+            self.forms[form][0] += 0 if never else len(text)
             self.tags = 0
         self.parts, self.link_chars = [], 0
 
@@ -118,11 +136,13 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _BLOCK:
             self._end_line()
+        if tag in _CONTROLS and dict(attrs).get("type") != "hidden":
+            self.forms[self.open[-1][4]][1] += 1
         if tag == "br" or tag in _VOID:
             return
         while len(self.open) > 1 and tag in _CLOSED_BY.get(self._top_block(), ()):
             self._close(self._top_block())
-        _, never, container, in_main = self.open[-1]
+        _, never, container, in_main, form, thread = self.open[-1]
         hidden = self._never(tag, attrs, in_main)
         if not (tag == "main" and never < 3 or tag == "article" and never == 1 and all(t[0] != "article" for t in self.open)):
             hidden = max(hidden, never)
@@ -133,11 +153,31 @@ class _Lines(HTMLParser):
                 self._end_line()
         if tag in _MAIN:
             container, in_main = self._container(container), True
+            self.forms[form][2] = True
+            if tag == "main":
+                self.mains.add(container)
         elif tag in _GROUP and not in_main and (tag != "section" or self._top_block() in ("body", "html", "")):
             container = self._container(container)
-        self.open.append((tag, hidden, container, in_main))
+        if tag == "form":
+            self.forms.append([0, 0, False])
+            form = len(self.forms) - 1
+        self.open.append((tag, hidden, container, in_main, form, self._thread(tag, attrs, thread)))
         self.links += tag == "a"
 
+    def _thread(self, tag, attrs, thread: int) -> int:
+        """The part a new element belongs to whose name has a word for comments among others; its items are counted."""
+        if thread:
+            depth = len(self.open) - self.starts[thread]      # 1: right in the part; 2: in a list right in it
+            if tag in _ITEMS and (depth == 1 or depth == 2 and self.open[-1][0] in ("ul", "ol", "table")):
+                shape = f"{tag} {dict(attrs).get('class')}"
+                self.threads[thread][shape] = self.threads[thread].get(shape, 0) + 1
+            return thread
+        if tag in _THREADS and any({x.lower() for x in _NAME.findall(v)} & _COMMENT_NAME for k, v in attrs if k in ("class", "id") and v):
+            self.threads.append({})
+            self.starts.append(len(self.open))
+            return len(self.threads) - 1
+        return 0
+
     def _container(self, around: int) -> int:
         self.around.append(around)
         return len(self.around) - 1
@@ -186,9 +226,13 @@ class _Lines(HTMLParser):
         return self.rawdata.find(">", i) + 1 or len(self.rawdata)
 
     def finish(self):
+        """The lines; those in forms, and in parts that hold comments by their name and their repeated items, without text."""
         self.close()
         self._end_line()
-        return self.lines
+        forms = {k for k, (chars, controls, article) in enumerate(self.forms)
+                 if k and not article and chars < FORM_CHARS * (controls + 1)}
+        threads = {k for k, shapes in enumerate(self.threads) if max(shapes.values(), default=0) > 1}
+        return [("", *x[1:]) if form in forms or thread in threads else x for x, (form, thread) in zip(self.lines, self.within)]
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -230,7 +274,8 @@ def _held(lines, around: list[int], over: np.ndarray, ratios: np.ndarray, thresh
 
 
 def main_text(html: str) -> str:
-    """The article of one page; empty if it has none. Broken markup never fails: what the parser gives is used."""
+    """The article of one page; empty if it has none. Broken markup never fails: what the parser gives is used. Of lines
+    that tie for the highest value where none is over the threshold, the first is taken."""
     parser = _Lines()
     parser.feed(html)
     lines = parser.finish()
@@ -244,7 +289,11 @@ def main_text(html: str) -> str:
     over = [k for k in marked or usable if smooth[k] >= threshold and ratios[k] > 0]
     chosen = {lines[k][3] for k in over or [max(marked or usable, key=lambda k: (smooth[k], -k))]}
     if marked:
-        return " ".join(lines[k][0] for k in marked if lines[k][3] in chosen)
+        # what stands before an article right in its main (title, byline) belongs to it
+        first = {c: next(k for k in marked if lines[k][3] == c) for c in chosen}
+        mains = {parser.around[c]: k for c, k in sorted(first.items(), key=lambda x: -x[1]) if parser.around[c] in parser.mains}
+        return " ".join(lines[k][0] for k in marked if lines[k][3] in chosen
+                        or k < mains.get(lines[k][3], 0) and 2 * lines[k][1] < len(lines[k][0]))
     held = _held(lines, parser.around, smooth >= threshold, ratios, threshold)
     return " ".join(lines[k][0] for k in usable if lines[k][3] in chosen or k in held)
 

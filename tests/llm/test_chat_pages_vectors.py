@@ -332,3 +332,54 @@ def test_ids_of_several_rows_and_vectors_of_other_lengths(spark):
     for r in sorted(ann.nearest(frame, F.col("id") % 20 == 0).collect(), key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got == {0: [(1, 3.0), (1, 1.0), (2, 1.0), (20, 0.0), (20, 0.0)], 20: [(2, 3.0), (1, 1.0), (0, 0.0), (1, 0.0)], 40: [(3, 1.0)]}
+
+
+# ------------------------------------------------------------------------------------------ pages: forms, comments, titles
+
+TELL = "A long enough paragraph of the article that tells of the river, the mill and the people who lived there for years."
+MARKED = f"<article><h1>Title</h1><p>{TELL}</p><p>{TELL} More.</p><p>Short.</p></article>"
+MARKED_TEXT = f"Title {TELL} {TELL} More. Short."
+LETTER = "<form action='/x'><p>Write to us and never miss a story</p><input name=mail><button>Send</button></form>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><form id='aspnetForm'><input type=hidden name=state><input name=q>{MARKED}<button>Go</button></form></body>", MARKED_TEXT),
+    (f"<body><form id='f'><input name=q><div><p>{TELL}</p><p>{TELL}</p><p>{TELL}</p></div></form></body>", " ".join([TELL] * 3)),
+    (f"<body>{MARKED}{LETTER}</body>", MARKED_TEXT), (f"<body><div>{LETTER}</div><div><p>{TELL}</p><p>{TELL}</p></div></body>", f"{TELL} {TELL}"),
+    (f"<body><article><p>{TELL}</p>{LETTER}<p>{TELL}</p></article></body>", f"{TELL} {TELL}"),
+    (f"<body><form>{MARKED}<footer><p>{TELL}</p></footer></form></body>", MARKED_TEXT)])
+def test_forms_are_judged_by_what_is_in_them(page, text):
+    assert pages.main_text(page) == text
+
+
+READERS = "".join(f"<div class='c'><p>I think that {TELL} Says reader {k}.</p></div>" for k in range(3))
+READER_LIST = f"<ul>{READERS.replace('div', 'li')}</ul>"
+
+
+@pytest.mark.parametrize("name", ["reader-comments", "user-comments", "comment-thread", "discussion-thread", "all-public-comments", "repliesPane"])
+@pytest.mark.parametrize("items", [READERS, READER_LIST], ids=["blocks", "list"])
+def test_reader_comments_under_any_name(name, items):
+    assert pages.main_text(f"<body><article><h1>T</h1><p>{TELL}</p><p>{TELL}</p><div class='{name}'>{items}</div></article></body>") == f"T {TELL} {TELL}"
+    assert pages.main_text(f"<body>{MARKED}<section id='{name}'>{items}</section></body>") == MARKED_TEXT
+    assert pages.main_text(f"<body><div><h1>T</h1><p>{TELL}</p><p>{TELL}</p><div id='{name}'>{items}</div></div></body>") == f"T {TELL} {TELL}"
+
+
+@pytest.mark.parametrize("name", ["related-stories", "sidebar-content", "cookie-law-info", "ad-leaderboard"])
+def test_more_names_of_what_is_beside_the_article(name):
+    page = f"<body><div class='wrap'><div><p>{TELL}</p><p>{TELL}</p></div><div class='%s'><p>{TELL} Beside.</p></div></div></body>"
+    assert pages.main_text(page % name) == f"{TELL} {TELL}"
+    assert pages.main_text(page % "content-sidebar") == f"{TELL} {TELL} {TELL} Beside."
+
+
+def test_a_section_about_comments_is_no_thread():
+    page = f"<article><p>{TELL}</p><section id='discussion-of-results'><h2>Discussion</h2><p>{TELL}</p><p>{TELL}</p></section></article>"
+    assert pages.main_text(page) == f"{TELL} Discussion {TELL} {TELL}"
+
+
+@pytest.mark.parametrize("title", ["<h1>Title here</h1>", "<h1>Title here</h1><p class='by'>By A. Writer</p>", "<div><h1>Title here</h1></div><p>12 May</p>"])
+def test_title_and_byline_before_the_article_in_main(title):
+    page = f"<body><main>{title}<article>{f'<p>{TELL}</p>' * 8}</article></main></body>"
+    words = " ".join(re.sub("<[^>]*>", " ", title).split())
+    assert pages.main_text(page) == f"{words} {' '.join([TELL] * 8)}"
+    links = f"<body><main><p><a href=/>All news</a></p>{title}<article>{f'<p>{TELL}</p>' * 8}</article></main></body>"
+    assert pages.main_text(links) == f"{words} {' '.join([TELL] * 8)}"
