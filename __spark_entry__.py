@@ -22,10 +22,10 @@ from pyspark.sql import types as T  # noqa: E402
 
 from pyspark import cloudpickle  # noqa: E402
 
-from tapline import TransformError, build_pipeline, export, scratch_path  # noqa: E402
+from tapline import OutputError, TransformError, build_pipeline, export, scratch_path  # noqa: E402
 from tapline.functions import formula_guard, non_finite_to_null, redact_credentials  # noqa: E402
 from tapline.operators import (  # noqa: E402
-    COLUMN_CHANGING, ColumnStep, MapTableStep, PandasStep, StepOutput, StepRegistry)
+    COLUMN_CHANGING, Capabilities, ColumnStep, MapTableStep, PandasStep, StepOutput, StepRegistry)
 from tapline.operators.custom import filter_provider, uppercase_provider  # noqa: E402
 from tapline.ordinals import in_order  # noqa: E402
 from tapline.plans import Pipeline, column_manifest, describe  # noqa: E402
@@ -549,6 +549,41 @@ def q_empty_result(spark, sf_dir):
     return spark.createDataFrame(found, "format string, single boolean, content string")
 
 
+def q_overwrite_guard(spark, sf_dir):
+    """A second export to the same place: refused, then allowed; what is there after each."""
+    out = scratch_path(spark, "guard")
+    _views(spark, sf_dir, "supplier")
+    found = []
+    for step, overwrite, where in (("first", False, "s_suppkey > 0"), ("refused", False, "s_suppkey < 0"), ("allowed", True, "s_suppkey > 5")):
+        try:
+            export(spark, sql=f"SELECT s_suppkey, s_name FROM supplier WHERE {where}", fmt="parquet", output=out, overwrite=overwrite)
+            outcome = "written"
+        except OutputError:
+            outcome = "refused"
+        found.append((step, outcome, spark.read.parquet(out).count()))
+    return spark.createDataFrame(found, "step string, outcome string, rows long")
+
+
+def q_capability_flags(spark, sf_dir):
+    """Custom steps against what they declare: one that changes columns unannounced, and one that is not row by row."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    steps = {"changing, declared": (Capabilities(schema_changing=True), True), "changing, not declared": (Capabilities(), True),
+             "unchanged": (Capabilities(), False), "not row by row": (Capabilities(row_level=False), False)}
+    found = []
+    for name, (flags, adds) in steps.items():
+        step = ColumnStep("flagged", lambda row, adds=adds: StepOutput(
+            row.passthrough() + ([("size", F.length(row["o_orderstatus"]))] if adds else [])), capabilities=flags)
+        for kind in ("batch", "stream"):
+            source = orders if kind == "batch" else read_stream(spark, sf_dir, _table(spark, sf_dir, "orders").schema,
+                                                                glob_filter="orders.parquet").select(*orders.columns)
+            try:
+                planned = Pipeline.of(step).plan(source, observe=False).df
+                found.append((name, kind, planned.count() if kind == "batch" else len(planned.columns)))
+            except TransformError:
+                found.append((name, kind, None))
+    return spark.createDataFrame(found, "step string, kind string, found long")
+
+
 def q_declared_shape(spark, sf_dir):
     """Custom steps that keep, or break, the columns they declare: found when the plan is built."""
     region = _table(spark, sf_dir, "region")
@@ -753,6 +788,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_parts": q_manifest_parts,
     "stream_ledger": q_stream_ledger,
     "empty_result": q_empty_result,
+    "overwrite_guard": q_overwrite_guard,
+    "capability_flags": q_capability_flags,
     "declared_shape": q_declared_shape,
     "sink_csv_texts": q_sink_csv_texts,
     "sink_tsv_documents": q_sink_tsv_documents,
@@ -895,6 +932,15 @@ SELECT o_orderkey % 3 AS batch_id, count(*) AS rows_in, count(*) FILTER (WHERE o
   count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS failures,
   count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS written
 FROM orders GROUP BY 1""",
+    "overwrite_guard": """
+SELECT 'first' AS step, 'written' AS outcome, (SELECT count(*) FROM supplier WHERE s_suppkey > 0) AS rows
+UNION ALL SELECT 'refused', 'refused', (SELECT count(*) FROM supplier WHERE s_suppkey > 0)
+UNION ALL SELECT 'allowed', 'written', (SELECT count(*) FROM supplier WHERE s_suppkey > 5)""",
+    "capability_flags": """
+SELECT step, kind, CASE WHEN step = 'changing, not declared' OR (step = 'not row by row' AND kind = 'stream') THEN NULL
+  WHEN kind = 'batch' THEN (SELECT count(*) FROM orders) WHEN step = 'unchanged' THEN 2 ELSE 3 END AS found
+FROM (SELECT unnest(['changing, declared', 'changing, not declared', 'unchanged', 'not row by row']) AS step),
+  (SELECT unnest(['batch', 'stream']) AS kind)""",
     "declared_shape": "SELECT shape, CASE shape WHEN 'as declared' THEN (SELECT count(*) FROM region) END AS rows "
                       "FROM (SELECT unnest(['as declared', 'missing', 'other order', 'undeclared']) AS shape)",
     "pipeline_counters": """

@@ -44,6 +44,9 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--fetch-size", type=int, default=1000)
     src.add_argument("--partition-column", help="JDBC: read in parallel ranges of this numeric/date column")
     src.add_argument("--num-partitions", type=int, help="JDBC: number of parallel range reads")
+    src.add_argument("--equi-depth", action="store_true",
+                     help="JDBC: partitions of like size from the column's own distribution, for keys of any type")
+    src.add_argument("--spread-by", help="JDBC: numeric expression that splits a hot key's rows")
     src.add_argument("--max-rows", type=int)
     out = p.add_argument_group("output")
     out.add_argument("--format", help="json, ndjson, csv, tsv or parquet")
@@ -56,7 +59,10 @@ def build_parser() -> argparse.ArgumentParser:
     out.add_argument("--escape-formulas", action="store_true")
     out.add_argument("--bom", action="store_true")
     out.add_argument("--parquet-compression", default="SNAPPY")
-    out.add_argument("--single-file", action="store_true", help="gather a small result into one part")
+    out.add_argument("--single-file", action="store_true", help="one file in the order of the rows")
+    out.add_argument("--keep-versions", type=int, metavar="N",
+                     help="publish a new version below --output and keep the newest N")
+    out.add_argument("--checked-parts", action="store_true", help="list rows, bytes and CRC-32 of each part in the manifest")
     out.add_argument("--direct-write", action="store_true",
                      help="write straight to --output (object stores) instead of staging and renaming")
     tr = p.add_argument_group("transforms")
@@ -114,7 +120,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.url:
             jdbc = {"url": args.url, "user": args.user, "password": password, "fetch_size": args.fetch_size}
             if args.partition_column:
-                jdbc.update(partition_column=args.partition_column, num_partitions=args.num_partitions or 8)
+                jdbc.update(partition_column=args.partition_column, num_partitions=args.num_partitions or 8,
+                            equi_depth=args.equi_depth, spread_by=args.spread_by)
         if args.describe:
             # Fixed layout, as the reference prints it (the type column holds Spark types here).
             print("Columns:")
@@ -128,7 +135,8 @@ def main(argv: list[str] | None = None) -> int:
                         header=args.include_header, null_value=args.null_value,
                         escape_formulas=args.escape_formulas, bom=args.bom, pretty=args.pretty,
                         compression=args.parquet_compression, metadata_path=args.metadata,
-                        single_file=args.single_file, dry_run=args.dry_run, staged=not args.direct_write)
+                        single_file=args.single_file, dry_run=args.dry_run, staged=not args.direct_write,
+                        versions=args.keep_versions, checked_parts=args.checked_parts)
         # Fixed messages, as the reference prints them.
         if result.dry_run:
             print("Dry run complete. All options are valid.")

@@ -27,6 +27,7 @@ from ..sinks.formats import (
     write_parquet,
     write_text_lines,
 )
+from ..sinks.parts import write_parts
 from ..sinks.publish import ReplacedInPlace, StagedOutput, move_over, path_exists
 from ..sinks.versions import VersionedOutput
 from ..sources.query import cap_rows, jdbc_source, normalize_columns, query_source
@@ -107,7 +108,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
            metadata_path: str | None = None, single_file: bool = False,
            rebalance: bool = False,
            parquet_decimals: dict[str, tuple[int, int]] | None = None,
-           dry_run: bool = False, staged: bool = True, versions: int | None = None) -> ExportResult:
+           dry_run: bool = False, staged: bool = True, versions: int | None = None,
+           checked_parts: bool = False) -> ExportResult:
     """Export one query's result to ``output`` in ``fmt`` (json, ndjson, csv, tsv, parquet).
 
     ``staged``: write into a hidden sibling and rename it onto ``output`` when complete (the
@@ -118,6 +120,10 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     ``versions``: publish as a new version below ``output`` and keep so many (see ``sinks.versions``); readers follow
     the pointer with ``read_current``. Nothing is ever replaced, so ``overwrite`` is not needed.
 
+    ``checked_parts``: the tasks that write report rows, bytes and CRC-32 of their parts (see ``sinks.parts``); the
+    manifest lists them, the rows counted are theirs, and ``damaged_parts`` compares them with what is there. For
+    NDJSON, CSV, TSV and Parquet.
+
     ``rebalance``: ``True`` spreads the source over the cluster before the per-row work (one
     shuffle, partitions sized by AQE; the order of an ORDER BY result is lost). The default ``False``
     keeps the scan's own splits, which at scale already give one task per file block.
@@ -127,6 +133,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     pipeline = _pipeline_from(transforms, inline, error_strategy, registry)
     if max_rows is not None and max_rows <= 0:
         raise TaplineError(f"max_rows must be greater than 0, not {max_rows}.")
+    if checked_parts and (fmt == "json" or single_file or bom or escape_formulas or pretty or parquet_decimals or not staged):
+        raise TaplineError("Checked parts are for staged NDJSON, CSV, TSV and Parquet without further options.")
     if versions is not None:
         if versions < 1 or not staged:
             raise TaplineError("versions must be 1 or more, and is not used with staged=False.")
@@ -151,16 +159,20 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
     data = source if planned is None else planned.df
     schema = data.schema
     # where no step can stop a row, the sink counts: rendered lines, or the footers of written Parquet files
-    counted = None if planned is not None and planned.stops else Observation()
+    counted = None if planned is not None and planned.stops else Observation()  # (checked parts count themselves)
     replaces = not staged and overwrite
     if counted is not None and fmt == "parquet" and replaces:  # the folder then holds old files too
         data = data.observe(counted, F.count(F.lit(1)).alias("rows_out"))
 
     started = datetime.now(timezone.utc)
     t0 = time.monotonic()
-    rows_written = None
+    rows_written = parts = None
     try:
-        if staged:
+        if checked_parts:
+            with publisher as stage:
+                parts = write_parts(data, stage, fmt, header, null_value, compression, canonical_types=planned is not None)
+            rows_written = parts["rows"]
+        elif staged:
             with publisher as stage:
                 write_output(data, stage, fmt, transformed=planned is not None, header=header, null_value=null_value,
                        escape_formulas=escape_formulas, bom=bom, pretty=pretty, compression=compression,
@@ -186,7 +198,7 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
 
     if counted is not None and rows_written is None:
         rows_written = int(observed(counted).get("rows_out", 0) or 0)
-    metrics = {} if planned is None else planned.metrics(rows_written)
+    metrics = {} if planned is None else planned.metrics(rows_written if counted is not None else None)
     rows = rows_written if counted is not None else metrics["rows_out"]
     sensitive = [] if planned is None else planned.sensitive
     columns = column_manifest(schema, sensitive)
@@ -197,6 +209,8 @@ def export(spark: SparkSession, *, output: str, fmt: str, sql: str | None = None
                        "completed_at": result.completed_at, "duration_ms": duration, "columns": columns,
                        "jdbc_url": source_label if jdbc is not None else None,
                        "sql_source": sql_file if sql_file else ("<inline>" if sql is not None else source_label)}
+    if parts is not None:
+        result.manifest["parts"] = parts["parts"]
     if metadata_path:
         write_manifest(spark, result.manifest, metadata_path)
     return result
@@ -299,11 +313,13 @@ def manifest_frame(spark: SparkSession, manifest: dict) -> DataFrame:
         T.StructField("columns", T.ArrayType(col_type))])
     row = dict(manifest)
     row["source"] = redact_text(row.get("source"))
+    row.pop("parts", None)
     return spark.createDataFrame([row], schema)
 
 
 def sidecar_document(manifest: dict) -> dict:
     """The manifest in the sidecar's JSON layout (field names as the reference writes them)."""
+    checked = {"parts": manifest["parts"]} if "parts" in manifest else {}
     return {
         "tool": manifest.get("tool"),
         "format": manifest.get("format"),
@@ -317,6 +333,7 @@ def sidecar_document(manifest: dict) -> dict:
         "columns": [{"index": c["index"], "jdbcLabel": c["label"], "outputName": c["output_name"],
                      "jdbcType": c["type"], "nullable": c["nullable"], "precision": c["precision"],
                      "scale": c["scale"], "sensitive": c["sensitive"]} for c in manifest.get("columns", [])],
+        **checked,
     }
 
 

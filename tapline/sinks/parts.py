@@ -158,7 +158,7 @@ class PartsSource(DataSource):
 
 
 def write_parts(df: DataFrame, path: str, fmt: str, header: bool = True, null_value: str = "",
-                compression: str = "snappy") -> dict:
+                compression: str = "snappy", canonical_types: bool = False) -> dict:
     """Write ``df`` as NDJSON, CSV, TSV or Parquet parts with the sink's value rules; the manifest of its parts.
 
     The folder must not hold a manifest already. Empty partitions make no part.
@@ -172,7 +172,7 @@ def write_parts(df: DataFrame, path: str, fmt: str, header: bool = True, null_va
         raise OutputError(f"Output already exists: {path}.")
     options = {"path": path, "kind": fmt, "token": uuid.uuid4().hex[:12]}
     if fmt == "parquet":
-        out, options["codec"] = parquet_values(df), compression.lower().replace("uncompressed", "none")
+        out, options["codec"] = parquet_values(df, canonical_types), compression.lower().replace("uncompressed", "none")
     elif fmt == "ndjson":
         out = ndjson_lines(df)
     else:

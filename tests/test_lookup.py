@@ -130,3 +130,12 @@ def test_guarded_and_plain_expressions_agree(spark):
         plain = [r["o"] for r in Pipeline.of(ExpressionStep("o", text)).apply(df).collect()]
         guarded = [r["o"] for r in Pipeline.of(ExpressionStep("o", f"if(1 / 1 = 1, {text}, NULL)")).apply(df).collect()]
         assert plain == guarded, text
+
+
+def test_registered_expressions_stay_in_generated_code(spark):
+    import __spark_entry__ as entry
+
+    plans = {name: entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+             for name in ("flagship", "expression")}
+    assert "lambda" not in plans["flagship"] and "tryeval" not in plans["flagship"].lower()
+    assert plans["expression"].lower().count("lambda ") == 1     # a product of whole numbers may overflow; the others cannot

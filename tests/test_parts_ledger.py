@@ -7,9 +7,9 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tapline import OutputError, TransformError, build_pipeline
+from tapline import OutputError, TaplineError, TransformError, build_pipeline, export
 from tapline.plans import Pipeline
-from tapline.sinks import damaged_parts, read_manifest, write_parts
+from tapline.sinks import current_version, damaged_parts, read_manifest, write_parts
 from tapline.streaming import read_ledger, read_stream, start_stream_export
 
 
@@ -73,6 +73,24 @@ def test_failing_retried_and_empty_writes(spark, out):
         read_manifest(spark, out())
 
 
+def test_an_export_lists_its_parts(spark, out):
+    path, sidecar = out(), out("sidecar") + ".json"
+    result = export(spark, df=rows(spark), fmt="parquet", output=path, checked_parts=True, metadata_path=sidecar,
+                    transforms={"errorStrategy": "skipRow", "transforms": [
+                        {"type": "expression", "outputField": "y", "expression": "1 / (id - 200)"}]})
+    assert result.row_count == rows(spark).count() - 1 == sum(p["rows"] for p in result.manifest["parts"])
+    assert result.metrics["rows_dropped_by_error"] == 1
+    written = json.load(open(local(sidecar)))
+    assert written["parts"] == read_manifest(spark, path)["parts"] and damaged_parts(spark, path).count() == 0
+    assert spark.read.parquet(path).count() == result.row_count
+    os.remove(local(sidecar))
+    versioned = out()
+    assert export(spark, df=rows(spark), fmt="csv", output=versioned, checked_parts=True, versions=2).row_count == rows(spark).count()
+    assert damaged_parts(spark, current_version(spark, versioned).path).count() == 0
+    with pytest.raises(TaplineError, match="Checked parts are for"):
+        export(spark, df=rows(spark), fmt="json", output=out(), checked_parts=True)
+
+
 PIPE = {"errorStrategy": "skipRow", "transforms": [
     {"type": "map", "column": "s", "mapping": {"a": "A", "b": "B"}, "unmatched": "fail"}, {"type": "filter", "condition": "k <> 5"}]}
 
