@@ -2,9 +2,9 @@
 
 A known word adds its log frequency in each language. An unseen word falls back to its 4-grams (with the
 word's edges); if none of them is known, to its 3-grams, and so on. The model is learned from a bounded number of
-labelled rows a language (``MAX_ROWS``, in equal shares the rows of smallest hash of each of ``SALTS`` parts) and keeps the ``MAX_WORDS`` most frequent
-words seen at least twice and the ``MAX_GRAMS`` most frequent n-grams of each length and language, so what is
-broadcast is bounded by those parameters whatever the corpus holds. Scoring is a narrow map over whole texts.
+labelled rows a language (``MAX_ROWS`` different texts of smallest hash), and holds all their words seen at least twice and
+all their n-grams; the size of what is broadcast is checked (``MAX_ENTRIES``). Scoring is a narrow map over whole
+texts.
 """
 
 from __future__ import annotations
@@ -15,17 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import cut, text_or_empty
 
-MAX_ROWS = 2016
-#: Parts of a language's rows that are ranked each for itself; few rows a part, so ranks are limited before the shuffle.
-SALTS = 32
-MAX_WORDS = 60_000
-MAX_GRAMS = 30_000
+MAX_ROWS = 2000
+#: Words and n-grams of all languages that a model may hold.
+MAX_ENTRIES = 4_000_000
 LONGEST_GRAM = 4
 #: Words a worker remembers; beyond it the memory starts afresh.
 REMEMBERED = 400_000
@@ -79,16 +77,33 @@ def count_grams(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("n", "lang", "gram").agg(F.sum("count").alias("count"))
 
 
+def sample_rows(rows: DataFrame, max_rows: int) -> DataFrame:
+    """About ``max_rows`` different texts of each language at the most (``lang``, ``text``), those of smallest hash.
+
+    A language's rows are counted first; hashes are even, so the share of the hash range that holds so many is known, and
+    rows outside it go where they are read. Copies of a text are one row, combined before the shuffle.
+    """
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 11))
+    share = F.least(F.lit(float(max_rows)) / F.col("rows"), F.lit(1.0))
+    bounds = rows.groupBy("lang").agg(F.count("*").alias("rows")).select(
+        F.col("lang").alias("bound_lang"), (share * float(1 << 53)).alias("bound"))
+    bound = {r["bound_lang"]: r["bound"] for r in bounds.collect()}     # a number a language
+    limit = F.lit(-1.0)
+    for lang, value in bound.items():
+        limit = F.when(F.col("lang") == lang, F.lit(value)).otherwise(limit)
+    return rows.filter(F.col("h") < limit).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> dict:
-    """Model of the rows of ``df`` with text and language: at most ``max_rows`` of each language."""
+    """Model of the rows of ``df`` with text and language: about ``max_rows`` different texts of each language at the
+    most (:func:`sample_rows`), words seen at least twice in them, and all their n-grams. Without rows no language is
+    learned. ValueError if that is over ``MAX_ENTRIES``; nothing is dropped to stay below it."""
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.filter("lang is not null and text is not null").withColumn("_h", F.xxhash64("text"))
-    each = Window.partitionBy("lang", F.pmod("_h", F.lit(SALTS))).orderBy("_h", "text")
-    chosen = rows.withColumn("_r", F.row_number().over(each)).filter(F.col("_r") <= max(1, max_rows // SALTS))
-    counts = count_grams(chosen.repartition(16))
-    most = Window.partitionBy("n", "lang").orderBy(F.desc("count"), "gram")
-    kept = counts.filter("n > 0 or count > 1").withColumn("_r", F.row_number().over(most)).filter(
-        (F.col("_r") <= MAX_GRAMS) | ((F.col("n") == 0) & (F.col("_r") <= MAX_WORDS))).drop("_r")
+    counts = count_grams(sample_rows(rows.filter("lang is not null and text is not null"), max_rows))
+    kept = cut(counts.filter((F.col("n") > 0) | (F.col("count") > 1)), "grams")
+    size = kept.count()
+    if size > MAX_ENTRIES:
+        raise ValueError(f"{size} words and n-grams were learned; the bound is {MAX_ENTRIES}. Lower max_rows.")
     found = kept.toPandas()
     langs = sorted(found["lang"].unique())
     tables = []

@@ -457,3 +457,79 @@ def test_pipeline_of_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+# ------------------------------------------------------------------------------------------ language: plain scorer
+
+def plain_language(rows, texts):
+    """(language, score) of each text, learned from (lang, text) rows: one dictionary a language and length."""
+    import math
+
+    rows = sorted({(lang, t) for lang, t in rows if lang is not None and t is not None})
+    langs = sorted({lang for lang, _ in rows})
+    grams = lambda w, n: [f"\x02{w}\x03"[k:k + n] for k in range(len(w) + 3 - n)] if n > 1 else list(w)
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    counts = [collections.defaultdict(lambda: collections.Counter()) for _ in range(5)]
+    for lang, text in rows:
+        for word in split(text):
+            counts[0][lang][word] += 1
+            for n in range(1, 5):
+                counts[n][lang].update(grams(word, n))
+    for lang in langs:
+        counts[0][lang] = collections.Counter({w: c for w, c in counts[0][lang].items() if c > 1})
+    known = [set().union(*(counts[n][lang] for lang in langs)) for n in range(5)]
+    total = [{lang: sum(counts[n][lang].values()) for lang in langs} for n in range(5)]
+
+    def log(n, key, lang):
+        return math.log((counts[n][lang][key] + 0.1) / (total[n][lang] + 0.1 * max(len(known[n]), 1)))
+
+    def word_score(word, lang):
+        if word in known[0]:
+            return log(0, word, lang)
+        for n in range(4, 0, -1):
+            found = [g for g in grams(word, n) if g in known[n]]
+            if found:
+                return sum(log(n, g, lang) for g in found) / len(found)
+        return 0.0
+
+    out = []
+    for text in texts:
+        words = split(text or "")
+        if not words or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        sums = [sum(word_score(w, lang) for w in words) * min(len(words), 20) / len(words) for lang in langs]
+        odds = [math.exp(s - max(sums)) for s in sums]
+        best = odds.index(max(odds))
+        out.append((langs[best], odds[best] / sum(odds)))
+    return out
+
+
+def test_language_matches_a_plain_scorer(spark, docs):
+    rows = docs.filter("doc_id % 4 <> 0").select("lang", "text")
+    learned = [tuple(r) for r in rows.collect()]
+    asked = docs.filter("doc_id % 4 = 0").select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(-1, "la the"), (-2, "x"), (-3, None), (-4, "Zyxw qqq 42 überall"), (-5, "??? 12"), (-6, "de la el der the")], "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] for r in asked.collect()}
+    want = dict(zip(texts, plain_language(learned, texts.values())))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(asked, langid.fit(rows)).collect()}
+    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
+    assert all(got[i][1] == pytest.approx(want[i][1], abs=1e-9) for i in want)
+
+
+def test_language_sample_is_bounded_and_copies_count_once(spark):
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'xx', 'yy') AS lang",
+                                          "if(id % 2 = 0, 'the same text in a third of all rows', concat('text ', id)) AS text")
+    found = {}
+    for r in langid.sample_rows(rows, 200).collect():
+        found.setdefault(r["lang"], []).append(r["text"])
+    assert set(found) == {"xx", "yy"}
+    assert all(len(set(t)) == len(t) and 60 <= len(t) <= 260 for t in found.values())
+    few = langid.sample_rows(rows.limit(50), 200).collect()
+    assert len(few) == rows.limit(50).distinct().count()
+
+
+def test_language_model_over_its_bound_is_refused(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_ENTRIES", 100)
+    with pytest.raises(ValueError, match="Lower max_rows"):
+        langid.fit(docs.select("lang", "text"))
