@@ -11,6 +11,7 @@ Arrow batches in, files out.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 import zlib
 from dataclasses import asdict, dataclass
@@ -180,7 +181,14 @@ def write_parts(df: DataFrame, path: str, fmt: str, header: bool = True, null_va
         out, head = delimited_lines(df, sep, header, null_value, pieces=True)
         options |= {"separator": "\r\n", "head": head + "\r\n" if header else ""}
     spark.dataSource.register(PartsSource)
-    out.write.format(FORMAT).options(**options).mode("append").save()
+    stage = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, f"_stage-{options['token']}")
+    try:
+        out.write.format(FORMAT).options(**options).mode("append").save()
+    except Exception:
+        for _ in range(10):                                  # tasks that are being stopped may still write a little
+            fs.delete(stage, True)
+            time.sleep(0.2)
+        raise
     return read_manifest(spark, path)
 
 
