@@ -335,6 +335,13 @@ def _buckets(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[
         yield [tuple(r) for r in own.collect()]
 
 
+def _matcher(state: dict) -> Matcher:
+    """The matcher of a broadcast bucket of items: made once a worker, as the broadcast's value lives as long as that."""
+    if "matcher" not in state:
+        state["matcher"] = Matcher(state["items"])
+    return state["matcher"]
+
+
 def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``id_col``, ``item_id_col``, ``similarity``, ``start_word`` and ``n_words`` of the best window for each row of
@@ -352,10 +359,10 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     arrow = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
     result = spark.createDataFrame([], schema)
     for items in _buckets(benchmark, item_id_col, item_text_col):
-        shared = spark.sparkContext.broadcast(items)
+        shared = spark.sparkContext.broadcast({"items": items})
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value)
+            matcher = _matcher(shared.value)
             for batch in batches:
                 found = matcher.find(batch.column(1))
                 rows = pa.array([x[0] for x in found], pa.int64())
@@ -368,14 +375,18 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that match no item, with all their columns as they were."""
+    """The rows of ``df`` that match no item, with all their columns as they were.
+
+    Null and empty texts and items match nothing, so such rows stay; of repeated rows all stay or all go; an empty
+    table, or one without items, comes back as it is.
+    """
     spark, at, names = df.sparkSession, df.columns.index(text_col), df.columns
     df = df.toDF(*[f"c{k}" for k in range(len(names))])
     for items in _buckets(benchmark, item_id_col, item_text_col):
-        shared = spark.sparkContext.broadcast(items)
+        shared = spark.sparkContext.broadcast({"items": items})
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value)
+            matcher = _matcher(shared.value)
             for batch in batches:
                 kept = np.ones(batch.num_rows, bool)
                 kept[[x[0] for x in matcher.find(batch.column(at))]] = False

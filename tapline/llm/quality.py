@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, string_buffers, text_or_empty
+from .common import cut, slices, string_buffers, text_or_empty
 
 FEATURES = 192
 BANDWIDTH = 3.0
@@ -242,19 +242,39 @@ def training_rows(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", l
 
 
 def score_documents(stats: DataFrame, model: QualityModel, id_col: str = "doc_id", threshold: float = 0.3) -> DataFrame:
-    """``id_col``, ``held_out``, ``score`` and ``predicted`` per row of ``stats``."""
+    """``id_col``, ``held_out``, ``score`` and ``predicted`` per row of ``stats``; equal statistics get equal scores, a null
+    id is not held out, an empty table gives no rows."""
     scored = with_scores(stats.select(id_col, "_stats"), model, "_stats", from_stats=True, out_col="score")
     return scored.select(id_col, held_out(F.col(id_col), 5, 0).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col`` and ``_stats`` per row of ``df``; null texts count as empty, repeated rows stay, an empty table gives none."""
     texts = df.select(F.col(id_col).alias(id_col), text_or_empty(text_col).alias("_text"))
     return with_statistics(texts, "_text").drop("_text")
 
 
+def learn_and_accept(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     threshold: float = 0.3) -> DataFrame:
+    """The rows of ``df`` that score ``threshold`` or more, with all their columns as they were; learned from the labels of
+    its rows that are not held out.
+
+    Texts are looked at once: rows are written with their statistics, from which the model is learned and the scores
+    come. Null and empty texts are scored like any other, equal texts alike; without labels every row scores a half; an
+    empty table comes back empty.
+    """
+    safe = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    own, text = (safe.columns[df.columns.index(c)] for c in (id_col, text_col))
+    marked = cut(with_statistics(safe, text), "stats")
+    model = fit(training_rows(marked.select(F.col(own).alias(id_col), "_stats"), labels, id_col))
+    scored = with_scores(marked, model, "_stats", from_stats=True)
+    return scored.filter(F.col("_score") >= threshold).select(*safe.columns).toDF(*df.columns)
+
+
 def accepted(df: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``df`` whose text scores ``threshold`` or more, with all their columns as they were. No shuffle."""
+    """The rows of ``df`` whose text scores ``threshold`` or more, with all their columns as they were. No shuffle; null texts
+    count as empty, repeated rows stay or go together, an empty table stays empty."""
     safe = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
     scored = with_scores(safe, model, safe.columns[df.columns.index(text_col)], from_stats=False)
     return scored.filter(F.col("_score") >= threshold).drop("_score").toDF(*df.columns)

@@ -533,3 +533,24 @@ def test_language_model_over_its_bound_is_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(langid, "MAX_ENTRIES", 100)
     with pytest.raises(ValueError, match="Lower max_rows"):
         langid.fit(docs.select("lang", "text"))
+
+
+def test_quality_learned_and_applied_in_one_look(spark, docs):
+    """The same rows as learning from statistics and scoring texts apart, whatever other columns there are."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(quality.training_rows(quality.document_statistics(docs), labels))
+    want = sorted(r["doc_id"] for r in quality.accepted(docs, model).collect())
+    got = quality.learn_and_accept(docs, labels)
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == want and 0 < len(want) < docs.count()
+    assert got.exceptAll(docs).count() == 0
+    odd = awkward(spark)
+    kept = quality.learn_and_accept(odd, labels.limit(0))          # nothing to learn from: every row scores a half
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+    assert quality.learn_and_accept(odd.limit(0), labels).count() == 0
+
+
+def test_a_matcher_is_made_once_a_worker(monkeypatch):
+    made = []
+    monkeypatch.setattr(decontam, "Matcher", lambda items: made.append(items) or "matcher")
+    state = {"items": [(1, "some words of an item here")]}
+    assert [decontam._matcher(state) for _ in range(3)] == ["matcher"] * 3 and len(made) == 1
