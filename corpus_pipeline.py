@@ -17,9 +17,7 @@ from tapline.llm.common import cut, table
 def quality_filter(spark, docs, sf_dir):
     """Documents with a quality score of 0.3 or more stay. Learned from the labels of ``docs`` that are not held
     out; without any label every document stays."""
-    stats = cut(quality.document_statistics(docs), "stats")
-    model = quality.fit(quality.training_rows(stats, table(spark, sf_dir, "labels")))
-    return quality.accepted(docs, model, "text", threshold=0.3)
+    return quality.learn_and_accept(docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def near_dedup(spark, docs, sf_dir):
