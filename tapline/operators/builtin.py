@@ -39,7 +39,7 @@ class RenameStep(Step):
     def build(self, row: RowView) -> StepOutput:
         row.require(self.source, "rename")
         if self.source != self.target and row.has(self.target):
-            raise TransformError(f'Transform "rename" would create a duplicate column "{self.target}".')
+            raise TransformError(f'Transform "rename" cannot add column "{self.target}": there is one of that name.')
         cols = [((self.target if n == self.source else n), c) for n, c in row.passthrough()]
         return StepOutput(cols)
 
@@ -86,7 +86,7 @@ class KeepStep(Step):
         out = []
         for name in self.columns:
             if name in seen:
-                raise TransformError(f'Transform "keep" lists duplicate column "{name}".')
+                raise TransformError(f'Transform "keep" names column "{name}" more than once.')
             seen.add(name)
             row.require(name, "keep")
             out.append((name, row[name]))
@@ -111,7 +111,7 @@ class AddStaticStep(Step):
     def build(self, row: RowView) -> StepOutput:
         for name in self.fields:
             if row.has(name):
-                raise TransformError(f'Transform "addStatic" would create a duplicate column "{name}".')
+                raise TransformError(f'Transform "addStatic" cannot add column "{name}": there is one of that name.')
         out = row.passthrough()
         out += [(name, F.lit(value).cast("string")) for name, value in self.fields.items()]
         return StepOutput(out)
@@ -129,7 +129,7 @@ def parse_literal(literal: str, dtype: T.DataType, step_type: str, column: str):
 
     def invalid() -> TransformError:
         return TransformError(
-            f'Transform "{step_type}" value "{literal}" is not valid for column "{column}" ({kind}).')
+            f'Transform "{step_type}" cannot read "{literal}" as {kind}, the kind of column "{column}".')
 
     text = literal.strip()
     if kind == "BOOLEAN":
@@ -349,7 +349,7 @@ class TemplateStep(Step):
 
     def build(self, row: RowView) -> StepOutput:
         if row.has(self.column):
-            raise TransformError(f'Transform "template" would create a duplicate column "{self.column}".')
+            raise TransformError(f'Transform "template" cannot add column "{self.column}": there is one of that name.')
         pieces = []
         for text, is_ref in self.parts:
             if is_ref:
@@ -387,7 +387,7 @@ class ExpressionStep(Step):
     def build(self, row: RowView) -> StepOutput:
         if row.has(self.output_field):
             raise TransformError(
-                f'Transform "expression" would create a duplicate column "{self.output_field}".')
+                f'Transform "expression" cannot add column "{self.output_field}": there is one of that name.')
         return StepOutput(row.passthrough() + [(self.output_field, SqlExpression(self.expression))],
                           message=f'expression "{self.output_field}" evaluation error')
 

@@ -26,7 +26,7 @@ def test_rename_to_itself_is_allowed(bookings):
 
 
 def test_rename_rejects_existing_target(bookings):
-    with pytest.raises(TransformError, match='duplicate column "attendees"'):
+    with pytest.raises(TransformError, match='column "attendees"'):
         run(bookings, "rename:room_code=attendees")
 
 
@@ -53,7 +53,7 @@ def test_keep_restricts_and_reorders(bookings):
 
 
 def test_keep_rejects_duplicates(bookings):
-    with pytest.raises(TransformError, match='duplicate column "amount"'):
+    with pytest.raises(TransformError, match='column "amount"'):
         run(bookings, "keep:amount,amount")
 
 
@@ -65,7 +65,7 @@ def test_add_static_appends_strings_and_nulls(bookings):
 
 
 def test_add_static_rejects_clash(bookings):
-    with pytest.raises(TransformError, match='duplicate column "amount"'):
+    with pytest.raises(TransformError, match='column "amount"'):
         run(bookings, "addStatic:amount=1")
 
 
@@ -78,7 +78,7 @@ def test_default_keeps_type(bookings):
 @pytest.mark.parametrize("column,value", [("attendees", "x"), ("attendees", "1.5"), ("cancelled", "yes"),
                                           ("cancelled", "1"), ("amount", "abc"), ("amount", "1.234")])
 def test_default_rejects_bad_literal_before_rows(bookings, column, value):
-    with pytest.raises(TransformError, match=f'value "{value}" .*column "{column}"'):
+    with pytest.raises(TransformError, match=f'"{value}" .*column "{column}"'):
         run(bookings, f"default:{column}={value}")
 
 
@@ -141,7 +141,7 @@ def test_template_renders_nulls_as_empty(bookings):
 def test_template_validates_placeholders_and_name(bookings):
     with pytest.raises(TransformError, match='unknown column "room"'):
         run(bookings, "template:summary={room}")
-    with pytest.raises(TransformError, match='duplicate column "amount"'):
+    with pytest.raises(TransformError, match='column "amount"'):
         run(bookings, "template:amount=x")
 
 
@@ -169,7 +169,7 @@ def test_expression_errors_fail_before_rows(bookings):
         run(bookings, "expression:x=attendeez + 1")
     with pytest.raises(TransformError, match="calls into the JVM"):
         run(bookings, "expression:x=reflect('java.lang.System', 'exit', 1)")
-    with pytest.raises(TransformError, match='duplicate column "amount"'):
+    with pytest.raises(TransformError, match='column "amount"'):
         run(bookings, "expression:amount=1")
 
 
