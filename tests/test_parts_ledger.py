@@ -59,6 +59,25 @@ def test_damage_is_found(spark, out):
     assert found == {names[0]: "bytes", names[1]: "length", names[2]: "missing", "part-99999-foreign.txt": "not in the manifest"}
 
 
+def test_parts_are_verified_in_blocks(spark, out, monkeypatch):
+    """A part of any size: none is ever held whole."""
+    from tapline.sinks import parts as module
+
+    path, key = out(), "spark.sql.sources.binaryFile.maxLength"
+    names = [p["name"] for p in write_parts(rows(spark), path, "ndjson")["parts"]]
+    monkeypatch.setattr(module, "BLOCK_BYTES", 64, raising=False)
+    spark.conf.set(key, 100)
+    try:
+        assert damaged_parts(spark, path).count() == 0
+        flipped = f"{local(path)}/{names[0]}"
+        data = bytearray(open(flipped, "rb").read())
+        data[-2] ^= 1
+        open(flipped, "wb").write(data)
+        assert [tuple(r) for r in damaged_parts(spark, path).collect()] == [(names[0], "bytes")]
+    finally:
+        spark.conf.unset(key)
+
+
 def test_failing_retried_and_empty_writes(spark, out):
     path = out()
     with pytest.raises(Exception):
