@@ -69,9 +69,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 class WordReader:
     """Words of the joined texts of one language, window by window, as arrays."""
 
+    #: Powers of ``BASE`` and ``UNBASE``: one table of each for the readers of all languages.
+    powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
     def __init__(self, lang: str):
         self.seed = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
-        self._up, self._down = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
     def windows(self, texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(bytes, starts, ends, hashes, joined): ``joined`` tells of each word whether it follows on the one before
@@ -99,10 +101,14 @@ class WordReader:
 
     def _hash(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Polynomial hash of each word: a difference of prefix sums, moved to the front."""
-        if len(raw) > len(self._up):
-            self._up, self._down = _powers(BASE, len(raw) + 1024), _powers(UNBASE, len(raw) + 1024)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._up[:len(raw)])])
-        own = (sums[ends] - sums[starts]) * self._down[starts]
+        if len(raw) > len(WordReader.powers[0]):
+            WordReader.powers = _powers(BASE, len(raw) + 1024), _powers(UNBASE, len(raw) + 1024)
+        up, down = WordReader.powers
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.add(raw, np.uint64(1), out=sums[1:], dtype=np.uint64)
+        sums[1:] *= up[:len(raw)]
+        np.cumsum(sums, out=sums)
+        own = (sums[ends] - sums[starts]) * down[starts]
         return mix64(own ^ mix64(self.seed + (ends - starts).astype(np.uint64)))
 
 
@@ -317,11 +323,11 @@ def run_rows(lang: str, prefixes: list, phrases: list, counts: list) -> pa.Recor
 def _texts_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """The texts of each language of a batch of (lang, text), in lists of bounded size together."""
     langs, column = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
     for lang in langs.unique().to_pylist():
-        own = column.filter(pc.equal(langs, lang))
-        sizes = pc.binary_length(own).to_numpy(zero_copy_only=False)
-        for first, last in slices(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), JOINED_BYTES):
-            yield lang, own.slice(first, last - first).to_pylist()
+        own = pc.indices_nonzero(pc.equal(langs, lang)).to_numpy()
+        for first, last in slices(np.concatenate([[0], np.cumsum(sizes[own], dtype=np.int64)]), JOINED_BYTES):
+            yield lang, column.take(pa.array(own[first:last])).to_pylist()
 
 
 def frequent_hashes(texts: DataFrame, min_count: int, words: PhraseFilter | None = None) -> DataFrame:
@@ -330,6 +336,7 @@ def frequent_hashes(texts: DataFrame, min_count: int, words: PhraseFilter | None
 
     def sums(parts: list) -> tuple[np.ndarray, np.ndarray]:
         hashes, counts = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()                                        # else all of it is held twice while it is sorted
         order = np.argsort(hashes, kind="stable")
         hashes, counts = hashes[order], counts[order]
         new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[:len(hashes)])

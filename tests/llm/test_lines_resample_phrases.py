@@ -213,6 +213,26 @@ def test_windows_bursts_and_spills_lose_no_count(monkeypatch, limits):
     assert parts == whole and whole["new york state"] > 5
 
 
+def test_languages_share_what_a_reader_needs(monkeypatch):
+    """A worker that reads many languages side by side needs little more than for one; a batch's texts are not copied whole."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = b"some words of a text " * 5000
+    tracemalloc.start()
+    try:
+        readers = [phrases.WordReader(f"l{k}") for k in range(30)]
+        found = [[h.tolist()[:5] for _, _, _, h, _ in r.windows([text])] for r in readers]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len({str(f) for f in found}) == 30 and peak < 100 * len(text), peak
+    monkeypatch.setattr(phrases, "JOINED_BYTES", 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a", "b", "a"]), pa.array(["xx", None, "y", "zzzzzz", "ww"])], names=["lang", "text"])
+    assert list(phrases._texts_by_lang(batch)) == [("a", [b"xx", b"y"]), ("a", [b"ww"]), ("b", [b""]), ("b", [b"zzzzzz"])]
+
+
 def test_spilled_subtrees_are_whole_and_sorted(monkeypatch):
     monkeypatch.setattr(phrases, "BURST", 2)
     trie, ids = phrases.PhraseTrie(3), phrases.WordIds()
