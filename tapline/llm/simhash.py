@@ -92,18 +92,20 @@ def _segment_counts(fp: Column) -> list[Column]:
     return [F.bit_count(F.shiftrightunsigned(fp, 4 * s).bitwiseAND(F.lit(15).cast("long"))) for s in range(SEGMENTS)]
 
 
-def _cells(fp: Column) -> Column:
-    """The fingerprint's lattice point and the points one step away, each packed into a long (4 bits a segment)."""
-    counts = _segment_counts(fp)
+def _cells(prints: DataFrame) -> DataFrame:
+    """(``fp``, ``cell``): the fingerprint's lattice point and the points one step away, packed into a long (4 bits a
+    segment). The point is a column of its own, else the plan, which the driver holds, has it 33 times."""
+    names = [f"s{s}" for s in range(SEGMENTS)]
+    counts = prints.select("fp", *[c.alias(n) for c, n in zip(_segment_counts(F.col("fp")), names)])
     home = None
-    for s, c in enumerate(counts):
-        part = F.shiftleft(c.cast("long"), 4 * s)
+    for s, n in enumerate(names):
+        part = F.shiftleft(F.col(n).cast("long"), 4 * s)
         home = part if home is None else home + part
-    steps = [home]
-    for s, c in enumerate(counts):
+    steps = [F.col("home")]
+    for s, n in enumerate(names):
         unit = F.lit(1 << (4 * s)).cast("long")
-        steps += [F.when(c < 4, home + unit), F.when(c > 0, home - unit)]
-    return F.array_compact(F.array(*steps))
+        steps += [F.when(F.col(n) < 4, F.col("home") + unit), F.when(F.col(n) > 0, F.col("home") - unit)]
+    return counts.withColumn("home", home).select("fp", F.explode(F.array_compact(F.array(*steps))).alias("cell"))
 
 
 def _near_strings(fp: Column) -> Column:
@@ -116,13 +118,13 @@ def _links(prints: DataFrame) -> DataFrame:
     """Links (a, b), a > b, between distinct fingerprints ``fp`` that connect all pairs within two bits."""
     # a small table in few files becomes many rows here: deal it out first
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = prints.repartition(parts, "fp").select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
+    cells = _cells(prints.repartition(parts, "fp"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
     met = cells.join(shared.hint("merge"), "cell")
     near = F.filter("fps", lambda x: F.exists("fps", lambda y: (x != y) & (F.bit_count(x.bitwiseXOR(y)) <= 2)))
     few = met.filter(F.col("n") <= FULL_CELL).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
-    candidates = few.select(F.explode(near).alias("fp")).unionByName(
-        met.filter(F.col("n") > FULL_CELL).select("fp")).distinct()
+    candidates = cut(few.select(F.explode(near).alias("fp")).unionByName(
+        met.filter(F.col("n") > FULL_CELL).select("fp")).distinct(), "near")   # used twice: one plan, not two copies
     strings = candidates.select("fp", F.explode(_near_strings(F.col("fp"))).alias("z"))
     heads = strings.groupBy("z").agg(F.min("fp").alias("b"), F.max("fp").alias("high")).filter("b <> high").select("z", "b")
     return strings.join(heads.hint("merge"), "z").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()

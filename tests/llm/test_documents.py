@@ -93,6 +93,13 @@ def test_links_connect_all_pairs_within_two_bits(spark, full_cell, monkeypatch):
     assert {p: got.get(p, p) for p in prints} == plain_roots(prints, linked)
 
 
+def test_the_plan_of_the_links_stays_small(spark):
+    """The driver holds each plan and its copies; the lattice point is in it once, the candidates are not in it twice."""
+    frame = spark.createDataFrame([(1, 1), (2, 2)], "fp long, low long")
+    plan = simhash._links(frame)._jdf.queryExecution().analyzed().toJSON()
+    assert plan.count("BitwiseCount") <= 2 * simhash.SEGMENTS, plan.count("BitwiseCount")
+
+
 def test_simhash_of_a_text_cut_into_pieces(monkeypatch):
     text = " ".join(f"w{k % 97}" for k in range(3000))
     whole = simhash.fingerprint_text(text.encode())
