@@ -17,10 +17,10 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 from .errors import OutputError, SourceError, TaplineError, TransformError
 from .operators import StepRegistry, StepSpec, default_registry
 from .plans import OutputContract, Pipeline, TransformConfig, build_pipeline, describe, export, load_config
-from .session import build_session, scratch_path, shared_dir
+from .session import build_session, drop_scratch, scratch_path, shared_dir, shuffles_freed
 
 __all__ = [
     "OutputError", "SourceError", "TaplineError", "TransformError", "StepRegistry", "StepSpec",
     "default_registry", "OutputContract", "Pipeline", "TransformConfig", "build_pipeline", "describe", "export",
-    "load_config", "build_session", "scratch_path", "shared_dir",
+    "load_config", "build_session", "drop_scratch", "scratch_path", "shared_dir", "shuffles_freed",
 ]

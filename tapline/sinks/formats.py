@@ -9,16 +9,14 @@ rows are gathered in one task.
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import FormatError, OutputError
 from ..functions.names import sanitized_names
 from ..functions.values import canonical, formula_guard, non_finite_to_null
+from ..session import held_setting
 from .document import Layout, write_document
 from .publish import drop_empty_parts, part_names
 
@@ -342,38 +340,10 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", canonic
     out = parquet_values(with_declared_decimals(df, decimals), canonical_types)
     if single_file:
         out = in_one_part(out)
-    with _micros(df.sparkSession):
+    with held_setting(df.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
         out.write.mode(mode).option("compression", codec).parquet(path)
 
 
-_micros_lock = threading.Lock()
-_micros_users: dict[int, tuple[int, str | None]] = {}
-
-
-@contextmanager
-def _micros(spark: SparkSession):
-    """Timestamps in microseconds while any thread of the session writes: the setting is the session's, so the first to
-    come sets it and the last to go restores it."""
-    key, own = "spark.sql.parquet.outputTimestampType", id(spark)
-    with _micros_lock:
-        users, before = _micros_users.get(own, (0, None))
-        if not users:
-            before = spark.conf.get(key, None)
-            spark.conf.set(key, "TIMESTAMP_MICROS")
-        _micros_users[own] = (users + 1, before)
-    try:
-        yield
-    finally:
-        with _micros_lock:
-            users, before = _micros_users.pop(own)
-            if users > 1:
-                _micros_users[own] = (users - 1, before)
-            elif before is not None:
-                spark.conf.set(key, before)
-            else:
-                spark.conf.unset(key)
-
-
 def write_text_lines(lines: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists",
                      compression: str | None = None, counted: Observation | None = None) -> None:
     """Write a one-string-column DataFrame as text lines."""

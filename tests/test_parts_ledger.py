@@ -2,12 +2,14 @@
 
 import json
 import os
+import time
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tapline import OutputError, TaplineError, TransformError, build_pipeline, export
+from tapline import (
+    OutputError, TaplineError, TransformError, build_pipeline, drop_scratch, export, shared_dir, shuffles_freed)
 from tapline.plans import Pipeline
 from tapline.sinks import current_version, damaged_parts, read_manifest, write_parts
 from tapline.streaming import read_ledger, read_stream, start_stream_export
@@ -186,3 +188,68 @@ def test_a_ledger_without_steps_and_a_wrong_pipeline(spark, out):
     assert totals(spark, ledger) == (40, 40, 0, 0)
     with pytest.raises(TransformError, match='unknown column "nope"'):
         run(spark, source, out(), out(), out(), build_pipeline(inline=["mask:nope"]))
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {n for top in dirs for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def soon(condition):
+    """Spark deletes shuffle files a moment after the query."""
+    for _ in range(100):
+        if condition():
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_the_query_of_parts_holds_one_kind_at_a_time(spark, tmp_path, monkeypatch):
+    """The shuffle of a kind goes when it is written, its parts before the next kind is written."""
+    import __spark_entry__ as entry
+
+    made = spark.range(0, 500, 1, 4).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 90).alias("l_orderkey"), F.concat(F.lit('é, "'), F.col("id")).alias("l_comment"),
+        F.when(F.col("id") % 5 > 0, F.col("id") / 3).alias("l_tax"))
+    made.union(made.filter("id < 50")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = []
+    folders = lambda: {n for n in os.listdir(local(shared_dir(spark)).replace("///", "/")) if n.startswith("tapline-parts-")}
+    there, real = folders(), write_parts
+
+    def watched(df, path, fmt):
+        earlier, before = folders() - there, shuffle_files(spark)
+        manifest = real(df, path, fmt)
+        seen.append((fmt, earlier, soon(lambda: not shuffle_files(spark) - before)))
+        return manifest
+
+    monkeypatch.setattr(entry, "write_parts", watched)
+    found = [tuple(r) for r in entry.q_manifest_parts(spark, str(tmp_path)).collect()]
+    assert found == [(fmt, 6, 550, 550, 0) for fmt in ("parquet", "ndjson", "csv")]
+    assert seen == [(fmt, set(), True) for fmt in ("parquet", "ndjson", "csv")]
+    assert folders() == there
+
+
+def test_shuffles_are_freed_where_asked_for(spark, out):
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffle_files(spark)
+    was, dealt = spark.conf.get(key, None), rows(spark).repartition(3, "id")
+    with shuffles_freed(spark):
+        write_parts(dealt, out(), "ndjson")
+        assert soon(lambda: not shuffle_files(spark) - before)
+    assert spark.conf.get(key, None) == was
+    with pytest.raises(RuntimeError), shuffles_freed(spark):
+        raise RuntimeError
+    assert spark.conf.get(key, None) == was
+    assert dealt.count() == dealt.count() == rows(spark).count()
+
+
+def test_only_scratch_is_dropped(spark, out, tmp_path):
+    path, other = out(), out()
+    for p in (path, other):
+        write_parts(rows(spark), p, "csv")
+    drop_scratch(spark, path)
+    drop_scratch(spark, path)                                # nothing there: nothing to do
+    assert not os.path.exists(local(path)) and damaged_parts(spark, other).count() == 0
+    for wrong in (str(tmp_path), shared_dir(spark), f"{other}/..", f"{other}/part", f"{shared_dir(spark)}/other"):
+        with pytest.raises(TaplineError, match="Not a scratch path"):
+            drop_scratch(spark, wrong)
+    assert damaged_parts(spark, other).count() == 0
